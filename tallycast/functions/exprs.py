@@ -59,3 +59,12 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (a limit, a
     config-sized list, a one-row aggregate)."""
     return F.broadcast(df)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint into the session's shared
+    ``spark.checkpoint.dir`` (survives executor loss; never a local checkpoint)."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

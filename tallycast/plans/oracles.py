@@ -330,3 +330,81 @@ _FEAT_D = _CAL_D + _COV + ["lat", "lng"] + [DEFAULT.grain.roll_name(k) for k in
 ORACLES["feature_table"] = FEAT_HOUR + f"""
 SELECT station_id, hour, trips, hour_of_day, day_of_week, month, is_weekend, is_holiday,
        {", ".join(f"lag_{h}" for h in DEFAULT.grain.lags)}, {_round_cols(_FEAT_D)} FROM feat"""
+
+
+# ---------------------------------------------------------------- backtest (day grain)
+def _bt_ctes(grain, base: str, grid_name: str, n: int) -> str:
+    last_bucket = "CAST(last_day(mx) AS TIMESTAMP)" + (" + INTERVAL 23 HOUR" if grain.unit == "hour" else "")
+    return base + f""",
+f AS (SELECT station_id, hour, trips, CAST(isodow(hour) AS INTEGER) AS day_of_week,
+             CAST(hour(hour) AS INTEGER) AS hour_of_day,
+             lag(trips, {grain.week}) OVER (PARTITION BY station_id ORDER BY hour) AS naive_lag,
+             strftime(hour, '%Y-%m') AS m FROM {grid_name}),
+lastb AS (SELECT max(hour) AS mx FROM f),
+wins AS (SELECT DISTINCT m AS "window" FROM f, lastb
+         WHERE NOT (m = strftime(mx, '%Y-%m') AND mx < {last_bucket}) ORDER BY 1 DESC LIMIT {n}),
+cut AS (SELECT w."window", (SELECT max(hour) FROM f WHERE f.m < w."window") AS cutoff FROM wins w),
+naive AS (SELECT 'seasonal_naive' AS predictor, m AS "window", station_id, hour, trips,
+                 CAST(coalesce(naive_lag, 0) AS DOUBLE) AS prediction FROM f WHERE m IN (SELECT "window" FROM wins)),
+recent AS (SELECT c."window", f.* FROM f JOIN cut c ON f.hour <= c.cutoff AND f.hour > c.cutoff - INTERVAL 56 DAY),
+prof AS (SELECT "window", station_id, day_of_week, hour_of_day, avg(trips) AS pm FROM recent GROUP BY ALL),
+smean AS (SELECT "window", station_id, avg(trips) AS sm FROM recent GROUP BY ALL),
+hist AS (SELECT 'historical_mean' AS predictor, f.m AS "window", f.station_id, f.hour, f.trips,
+                coalesce(p.pm, s.sm, 0.0) AS prediction
+         FROM f LEFT JOIN prof p ON p."window" = f.m AND p.station_id = f.station_id
+                 AND p.day_of_week = f.day_of_week AND p.hour_of_day = f.hour_of_day
+         LEFT JOIN smean s ON s."window" = f.m AND s.station_id = f.station_id
+         WHERE f.m IN (SELECT "window" FROM wins)),
+preds AS (SELECT * FROM naive UNION ALL SELECT * FROM hist),
+results AS (SELECT predictor, "window", avg(abs(trips - prediction)) AS mae,
+                   sqrt(avg(pow(trips - prediction, 2))) AS rmse, count(*) AS n FROM preds GROUP BY 1, 2)"""
+
+
+BT_DAY = _bt_ctes(DAILY.grain, DAY_BASE, "dg_grid", DAILY.n_windows)
+ORACLES["eval_months"] = BT_DAY + ' SELECT "window" FROM wins'
+ORACLES["eval_months_hourly"] = _bt_ctes(DEFAULT.grain, HOUR_BASE, "hg_grid", DEFAULT.n_windows) + ' SELECT "window" FROM wins'
+ORACLES["backtest_naive"] = BT_DAY + """ SELECT predictor, "window", round(mae, 6) + 0.0 AS mae, round(rmse, 6) + 0.0 AS rmse, n
+FROM results WHERE predictor = 'seasonal_naive'"""
+ORACLES["backtest_hist_mean"] = BT_DAY + """ SELECT predictor, "window", round(mae, 6) + 0.0 AS mae, round(rmse, 6) + 0.0 AS rmse, n
+FROM results WHERE predictor = 'historical_mean'"""
+ORACLES["backtest_summary"] = BT_DAY + """,
+nv AS (SELECT "window", mae AS naive_mae FROM results WHERE predictor = 'seasonal_naive')
+SELECT r.predictor, round(avg(mae), 6) + 0.0 AS mae_mean, round(stddev_samp(mae), 6) + 0.0 AS mae_std,
+       round(avg(rmse), 6) + 0.0 AS rmse_mean, round(avg(mae / nullif(naive_mae, 0)), 6) + 0.0 AS mase_mean
+FROM results r LEFT JOIN nv ON r."window" = nv."window" GROUP BY r.predictor"""
+
+PT_DAY = BT_DAY + """,
+lastw AS (SELECT max("window") AS w FROM wins),
+pt AS (SELECT n.station_id, n.hour, n.trips, n.prediction AS pred_seasonal_naive, h.prediction AS pred_historical_mean
+       FROM naive n JOIN hist h ON n.station_id = h.station_id AND n.hour = h.hour
+       WHERE n."window" = (SELECT w FROM lastw)),
+err AS (SELECT *, abs(trips - pred_historical_mean) AS ae_model, abs(trips - pred_seasonal_naive) AS ae_naive,
+               pred_historical_mean - trips AS bias_model,
+               abs(trips - pred_seasonal_naive) - abs(trips - pred_historical_mean) AS improvement FROM pt)"""
+ORACLES["prediction_table"] = PT_DAY + """ SELECT station_id, hour, trips,
+  round(pred_seasonal_naive, 6) + 0.0 AS pred_seasonal_naive, round(pred_historical_mean, 6) + 0.0 AS pred_historical_mean FROM pt"""
+ORACLES["error_overall"] = PT_DAY + """ SELECT round(avg(ae_model), 6) + 0.0 AS model_mae, round(avg(ae_naive), 6) + 0.0 AS naive_mae,
+  round(avg(improvement), 6) + 0.0 AS mae_reduction_vs_naive, round(avg(bias_model), 6) + 0.0 AS mean_bias, count(*) AS n,
+  round((1 - avg(ae_model) / nullif(avg(ae_naive), 0)) * 100, 6) + 0.0 AS pct_reduction FROM err"""
+
+_SLICE = """round(avg(ae_model), 6) + 0.0 AS mae_model, round(avg(ae_naive), 6) + 0.0 AS mae_naive,
+  round(avg(improvement), 6) + 0.0 AS mae_reduction, round(avg(trips), 6) + 0.0 AS avg_trips,
+  CAST(sum(trips) AS BIGINT) AS total_trips, count(*) AS n,
+  round(1 - avg(ae_model) / nullif(avg(ae_naive), 0), 6) + 0.0 AS pct_reduction_vs_naive"""
+ORACLES["error_by_weekday"] = PT_DAY + f" SELECT CAST(isodow(hour) AS INTEGER) AS day_of_week, {_SLICE} FROM err GROUP BY 1"
+ORACLES["error_by_weekend"] = PT_DAY + f" SELECT isodow(hour) >= 6 AS is_weekend, {_SLICE} FROM err GROUP BY 1"
+ORACLES["error_by_day"] = PT_DAY + f" SELECT CAST(hour AS DATE) AS date, {_SLICE} FROM err GROUP BY 1"
+ORACLES["error_by_rain"] = PT_DAY + "," + OR_COV + f""" SELECT c.precipitation > 0.5 AS rainy, {_SLICE}
+FROM err LEFT JOIN or_cov c ON err.hour = c.timestamp GROUP BY 1"""
+ORACLES["error_by_series"] = PT_DAY + "," + clean_cte("or_clean2", "or_trips", DAILY, False) + "," + \
+    station_master_cte("sm", "or_clean2") + f""",
+s AS (SELECT station_id, {_SLICE} FROM err GROUP BY 1)
+SELECT s.*, sm.name, round(sm.lat, 6) + 0.0 AS lat, round(sm.lng, 6) + 0.0 AS lng FROM s LEFT JOIN sm ON s.station_id = sm.station_id"""
+ORACLES["peak_bias"] = PT_DAY + """,
+thr AS (SELECT trips AS t FROM (SELECT trips, row_number() OVER (ORDER BY trips) - 1 AS i FROM err)
+        WHERE i = (SELECT CAST(round((count(*) - 1) * 0.95) AS BIGINT) FROM err))
+SELECT trips >= (SELECT t FROM thr) AS top_demand, round(avg(trips), 6) + 0.0 AS avg_actual,
+       round(avg(pred_historical_mean), 6) + 0.0 AS avg_pred, round(avg(bias_model), 6) + 0.0 AS mean_bias,
+       round(avg(ae_model), 6) + 0.0 AS mae_model, count(*) AS n, CAST((SELECT t FROM thr) AS DOUBLE) AS threshold
+FROM err GROUP BY 1"""
+ORACLES["worst_k_series"] = PT_DAY + f" SELECT station_id, {_SLICE} FROM err GROUP BY 1 ORDER BY mae_model DESC, station_id LIMIT 5"

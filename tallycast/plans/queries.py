@@ -16,7 +16,9 @@ from ..functions.calendar import holiday_calendar
 from ..functions.exprs import round6
 from ..operators import cleaning, events, features, grid
 from . import adapters
-from .pipelines import DAY_CFG, HOUR_CFG, day_clean, day_features, day_grid, hour_clean, hour_features, hour_grid
+from .pipelines import (DAY_CFG, HOUR_CFG, day_backtest_base, day_baselines, day_clean, day_covariates,
+                        day_features, day_grid, day_master, hour_clean, hour_covariates, hour_features,
+                        hour_grid, hour_master, hour_scope, product)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -63,9 +65,7 @@ def q_top_n_scope(spark, sf):
 
 @register("series_hour_counts")
 def q_series_hour_counts(spark, sf):
-    clean = hour_clean(spark, sf)
-    scope = grid.select_scope(clean, HOUR_CFG.top_n)
-    return grid.series_counts(clean, scope, HOUR_CFG.grain)
+    return grid.series_counts(hour_clean(spark, sf), hour_scope(spark, sf), HOUR_CFG.grain)
 
 
 @register("full_grid")
@@ -85,7 +85,7 @@ def q_trim(spark, sf):
 
 @register("station_master")
 def q_station_master(spark, sf):
-    return round6(grid.station_master(hour_clean(spark, sf), HOUR_CFG))
+    return round6(hour_master(spark, sf))
 
 
 @register("station_month_panel")
@@ -122,13 +122,13 @@ def q_event_coverage(spark, sf):
 @register("covariate_join")
 def q_cov(spark, sf):
     g = hour_grid(spark, sf)
-    return round6(features.add_covariates(g, adapters.events_covariates(spark, sf), HOUR_CFG))
+    return round6(features.add_covariates(g, hour_covariates(spark, sf), HOUR_CFG))
 
 
 @register("covariate_match_rate")
 def q_cov_rate(spark, sf):
     g = hour_grid(spark, sf)
-    j = g.join(adapters.events_covariates(spark, sf).withColumnRenamed("timestamp", "hour"), "hour", "left")
+    j = g.join(hour_covariates(spark, sf).withColumnRenamed("timestamp", "hour"), "hour", "left")
     return round6(j.agg(F.count(F.lit(1)).alias("total"), F.count("temperature_2m").alias("matched"))
                   .withColumn("match_rate", F.col("matched") / F.col("total"))
                   .withColumn("passed", F.col("match_rate") >= HOUR_CFG.min_covariate_match))
@@ -136,9 +136,7 @@ def q_cov_rate(spark, sf):
 
 @register("station_features")
 def q_station_features(spark, sf):
-    clean = hour_clean(spark, sf)
-    g = grid.build_grid(clean, HOUR_CFG)
-    return round6(features.add_station_features(g, grid.station_master(clean, HOUR_CFG), HOUR_CFG))
+    return round6(features.add_station_features(hour_grid(spark, sf), hour_master(spark, sf), HOUR_CFG))
 
 
 @register("lag_features")
@@ -154,3 +152,94 @@ def q_lags_daily(spark, sf):
 @register("feature_table")
 def q_feature_table(spark, sf):
     return round6(hour_features(spark, sf))
+
+
+# ---------------------------------------------------------------- backtest (day grain on orders)
+from ..operators import backtest as bt  # noqa: E402
+from ..operators import errors as er  # noqa: E402
+
+
+@register("eval_months")
+def q_eval_months(spark, sf):
+    return bt.eval_months(day_grid(spark, sf), DAY_CFG.n_windows, DAY_CFG.grain)
+
+
+@register("eval_months_hourly")
+def q_eval_months_hourly(spark, sf):
+    """Events cover 30 days of one month: no complete month, so no window."""
+    return bt.eval_months(hour_grid(spark, sf), HOUR_CFG.n_windows, HOUR_CFG.grain)
+
+
+@register("backtest_naive")
+def q_bt_naive(spark, sf):
+    f = day_backtest_base(spark, sf)
+    return round6(bt.run_backtest(f, [bt.SeasonalNaive(DAY_CFG.grain)], DAY_CFG.n_windows, DAY_CFG.grain))
+
+
+@register("backtest_hist_mean")
+def q_bt_hist(spark, sf):
+    f = day_backtest_base(spark, sf)
+    return round6(bt.run_backtest(f, [bt.HistoricalMean()], DAY_CFG.n_windows, DAY_CFG.grain))
+
+
+@register("backtest_summary")
+def q_bt_summary(spark, sf):
+    f = day_backtest_base(spark, sf)
+    res = bt.run_backtest(f, day_baselines(), DAY_CFG.n_windows, DAY_CFG.grain)
+    return bt.summarize(res, digits=6)
+
+
+@register("prediction_table")
+def q_pred_table(spark, sf):
+    f = day_backtest_base(spark, sf)
+    return round6(bt.prediction_table(f, day_baselines(), None, DAY_CFG.grain, DAY_CFG.n_windows))
+
+
+def _err(spark, sf):
+    def build():
+        f = day_backtest_base(spark, sf)
+        p = bt.prediction_table(f, day_baselines(), None, DAY_CFG.grain, DAY_CFG.n_windows)
+        return er.error_table(p, "pred_historical_mean")
+    return product(spark, sf, "day_error_table", build)
+
+
+@register("error_overall")
+def q_err_overall(spark, sf):
+    return round6(er.overall_error(_err(spark, sf)))
+
+
+@register("error_by_weekday")
+def q_err_weekday(spark, sf):
+    from ..functions.calendar import iso_dow
+    return round6(er.error_slice(_err(spark, sf), iso_dow(F.col("hour")).alias("day_of_week")))
+
+
+@register("error_by_weekend")
+def q_err_weekend(spark, sf):
+    return round6(er.by_weekend(_err(spark, sf)))
+
+
+@register("error_by_rain")
+def q_err_rain(spark, sf):
+    return round6(er.by_rain(_err(spark, sf), day_covariates(spark, sf), 0.5))
+
+
+@register("error_by_series")
+def q_err_series(spark, sf):
+    return round6(er.by_series(_err(spark, sf), day_master(spark, sf)))
+
+
+@register("error_by_day")
+def q_err_day(spark, sf):
+    return round6(er.by_day(_err(spark, sf)))
+
+
+@register("peak_bias")
+def q_peak_bias(spark, sf):
+    return round6(er.peak_bias(_err(spark, sf), "pred_historical_mean", 0.95))
+
+
+@register("worst_k_series")
+def q_worst_k(spark, sf):
+    s = er.error_slice(_err(spark, sf), "station_id")
+    return round6(er.worst_k(s, "mae_model", 5, tie="station_id"))
