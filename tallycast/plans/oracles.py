@@ -408,3 +408,80 @@ SELECT trips >= (SELECT t FROM thr) AS top_demand, round(avg(trips), 6) + 0.0 AS
        round(avg(ae_model), 6) + 0.0 AS mae_model, count(*) AS n, CAST((SELECT t FROM thr) AS DOUBLE) AS threshold
 FROM err GROUP BY 1"""
 ORACLES["worst_k_series"] = PT_DAY + f" SELECT station_id, {_SLICE} FROM err GROUP BY 1 ORDER BY mae_model DESC, station_id LIMIT 5"
+
+
+# ---------------------------------------------------------------- profiles
+EV_CLEAN_BASE = "WITH " + ",".join([EV_TRIPS, MAPPING, clean_cte("ev_clean", "ev_trips", DEFAULT, True)])
+ORACLES["raw_overview"] = f"""WITH {EV_TRIPS} SELECT count(*) AS total_trips, min(started_at) AS min_started_at,
+  max(started_at) AS max_started_at, count(DISTINCT start_station_id) AS n_start_station_ids,
+  count(DISTINCT end_station_id) AS n_end_station_ids FROM ev_trips"""
+ORACLES["clean_overview"] = EV_CLEAN_BASE + """ SELECT count(*) AS clean_trips,
+  count(DISTINCT start_station_id) AS clean_start_station_ids FROM ev_clean"""
+ORACLES["monthly_demand"] = f"WITH {OR_TRIPS} SELECT strftime(started_at, '%Y-%m') AS month, count(*) AS trips FROM or_trips GROUP BY 1"
+ORACLES["peak_low_month"] = f"""WITH {OR_TRIPS},
+m AS (SELECT strftime(started_at, '%Y-%m') AS month, count(*) AS trips FROM or_trips GROUP BY 1),
+p AS (SELECT month, trips FROM m ORDER BY trips DESC, month LIMIT 1),
+l AS (SELECT month, trips FROM m ORDER BY trips, month LIMIT 1)
+SELECT p.month AS peak_month, p.trips AS peak_trips, l.month AS low_month, l.trips AS low_trips,
+       (SELECT count(*) FROM m) AS months FROM p, l"""
+ORACLES["quality_summary"] = f"""WITH {EV_TRIPS},
+w AS (SELECT count(*) AS total, count_if({dur()} < 60) AS r1, count_if({dur()} > 86400) AS r2,
+             count_if(start_station_id IS NULL) AS r3, count_if(end_station_id IS NULL) AS r4,
+             count_if(started_at > ended_at) AS r5 FROM ev_trips)
+SELECT rule, rows, round(rows / total * 100, 6) + 0.0 AS pct FROM (
+  SELECT 'duration < 60s' AS rule, r1 AS rows, total FROM w UNION ALL
+  SELECT 'duration > 24h', r2, total FROM w UNION ALL
+  SELECT 'missing start_station_id', r3, total FROM w UNION ALL
+  SELECT 'missing end_station_id', r4, total FROM w UNION ALL
+  SELECT 'started_at > ended_at', r5, total FROM w)"""
+ORACLES["duration_histogram"] = f"""WITH {EV_TRIPS},
+d AS (SELECT {dur()} AS s FROM ev_trips),
+b AS (SELECT CAST(least(floor(s / 72.0), 99) AS INTEGER) AS bin FROM d WHERE s BETWEEN 0 AND 7200)
+SELECT bin, count(*) AS trips, CAST(bin * 72.0 AS DOUBLE) AS lo_seconds, CAST((bin + 1) * 72.0 AS DOUBLE) AS hi_seconds
+FROM b GROUP BY bin"""
+ORACLES["hourly_profile"] = EV_CLEAN_BASE + """ SELECT CAST(hour(started_at) AS INTEGER) AS hour,
+  isodow(started_at) >= 6 AS is_weekend, count(*) AS trips FROM ev_clean GROUP BY 1, 2"""
+ORACLES["weekday_hour_pivot"] = EV_CLEAN_BASE + " SELECT CAST(isodow(started_at) AS INTEGER) AS weekday, " + ", ".join(
+    f"count_if(hour(started_at) = {h}) AS h{h}" for h in range(24)) + " FROM ev_clean GROUP BY 1"
+ORACLES["type_hourly"] = EV_CLEAN_BASE + """ SELECT CAST(hour(started_at) AS INTEGER) AS hour, member_casual,
+  count(*) AS trips FROM ev_clean GROUP BY 1, 2"""
+SYS = EV_CLEAN_BASE + "," + EV_COV + """,
+sys AS (SELECT date_trunc('hour', started_at) AS timestamp, count(*) AS trips FROM ev_clean GROUP BY 1),
+sw AS (SELECT s.timestamp, s.trips, c.temperature_2m, c.precipitation, c.snowfall FROM sys s JOIN ev_cov c
+       ON s.timestamp = c.timestamp)"""
+ORACLES["system_hourly"] = SYS + " SELECT * FROM sys"
+ORACLES["system_match_rate"] = SYS + """ SELECT count(*) AS hours, count(c.timestamp) AS matched,
+  round(count(c.timestamp) / count(*), 6) + 0.0 AS match_rate, count(c.timestamp) / count(*) >= 0.95 AS passed
+  FROM sys s LEFT JOIN ev_cov c ON s.timestamp = c.timestamp"""
+ORACLES["mean_by_hour_of_day"] = SYS + """ SELECT CAST(hour(timestamp) AS INTEGER) AS hour,
+  round(avg(trips), 6) + 0.0 AS avg_trips FROM sys GROUP BY 1"""
+ORACLES["temp_bins"] = SYS + """ SELECT CAST(floor(temperature_2m / 5.0) * 5.0 AS DOUBLE) + 0.0 AS temp_bin_c,
+  round(avg(trips), 6) + 0.0 AS avg_trips_per_hour, count(*) AS hours FROM sw GROUP BY 1 HAVING count(*) >= 20"""
+for _name, _flag, _col in (("rain_effect", "precipitation > 0.5", "rainy_hour"), ("snow_effect", "snowfall > 0", "snowy_hour")):
+    ORACLES[_name] = SYS + f""",
+g AS (SELECT {_flag} AS {_col}, avg(trips) AS a, count(*) AS hours FROM sw GROUP BY 1)
+SELECT {_col}, round(a, 6) + 0.0 AS avg_trips_per_hour, hours,
+       round((1 - a / nullif((SELECT a FROM g WHERE NOT {_col}), 0)) * 100, 6) + 0.0 AS reduction_pct FROM g"""
+ORACLES["zero_inflation"] = DAY_BASE + """ SELECT count(*) AS station_hours,
+  round(avg(CAST(trips = 0 AS DOUBLE)), 6) + 0.0 AS zero_share, round(avg(trips), 6) + 0.0 AS avg_trips FROM dg_grid"""
+ORACLES["zero_inflation_monthly"] = DAY_BASE + """ SELECT strftime(hour, '%Y-%m') AS month, count(*) AS station_hours,
+  round(avg(CAST(trips = 0 AS DOUBLE)), 6) + 0.0 AS zero_share, round(avg(trips), 6) + 0.0 AS avg_trips FROM dg_grid GROUP BY 1"""
+VOL = EV_CLEAN_BASE + """,
+vol AS (SELECT station_id, count(*) AS trips FROM ev_clean
+        WHERE started_at >= (SELECT max(started_at) - INTERVAL 365 DAY FROM ev_clean) GROUP BY 1),
+rk AS (SELECT station_id, trips, row_number() OVER (ORDER BY trips DESC, station_id) AS rank,
+              sum(trips) OVER (ORDER BY trips DESC, station_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              / (SELECT sum(trips) FROM vol) AS cum_share FROM vol)"""
+ORACLES["cum_share_rank"] = VOL + " SELECT station_id, trips, rank, round(cum_share, 6) + 0.0 AS cum_share FROM rk"
+ORACLES["rank_for_share"] = VOL + """ SELECT rank AS top_n, round(cum_share, 6) + 0.0 AS cum_share,
+  (SELECT min(rank) FROM rk WHERE cum_share >= 0.65) AS rank_for_target, CAST(0.65 AS DOUBLE) AS target FROM rk WHERE rank IN (10, 20, 50, 100)"""
+ORACLES["shift_sanity"] = EV_CLEAN_BASE + """,
+wk AS (SELECT CAST(hour(started_at) AS INTEGER) AS hour, count(*) AS trips FROM ev_clean WHERE isodow(started_at) < 6 GROUP BY 1),
+v AS (SELECT (SELECT hour FROM wk ORDER BY trips DESC, hour LIMIT 1) AS peak_hour,
+             coalesce((SELECT trips FROM wk WHERE hour = 8), 0) AS morning_trips,
+             coalesce((SELECT trips FROM wk WHERE hour = 3), 0) AS night_trips)
+SELECT *, peak_hour IN (16, 17, 18) AS peak_ok, morning_trips > 3 * night_trips AS morning_ok,
+       peak_hour IN (16, 17, 18) AND morning_trips > 3 * night_trips AS passed FROM v"""
+ORACLES["coordinate_quality"] = EV_CLEAN_BASE + "," + station_master_cte("sm", "ev_clean") + """
+SELECT count(*) AS stations, count_if(lat IS NULL) AS missing_lat, count_if(lng IS NULL) AS missing_lng,
+  count_if(lat < 41.0 OR lat > 43.0) AS lat_outside_box, count_if(lng < -89.0 OR lng > -87.0) AS lng_outside_box FROM sm"""

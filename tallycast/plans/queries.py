@@ -243,3 +243,116 @@ def q_peak_bias(spark, sf):
 def q_worst_k(spark, sf):
     s = er.error_slice(_err(spark, sf), "station_id")
     return round6(er.worst_k(s, "mae_model", 5, tie="station_id"))
+
+
+# ---------------------------------------------------------------- profiles
+from ..operators import profile as pr  # noqa: E402
+
+
+@register("raw_overview")
+def q_raw_overview(spark, sf):
+    return pr.raw_overview(adapters.events_trips(spark, sf))
+
+
+@register("clean_overview")
+def q_clean_overview(spark, sf):
+    return pr.clean_overview(hour_clean(spark, sf))
+
+
+@register("monthly_demand")
+def q_monthly(spark, sf):
+    return pr.monthly_demand(adapters.orders_trips(spark, sf))
+
+
+@register("peak_low_month")
+def q_peak_low(spark, sf):
+    return pr.peak_and_low_month(adapters.orders_trips(spark, sf))
+
+
+@register("quality_summary")
+def q_quality(spark, sf):
+    return round6(pr.quality_summary(adapters.events_trips(spark, sf)))
+
+
+@register("duration_histogram")
+def q_hist(spark, sf):
+    return round6(pr.duration_histogram(adapters.events_trips(spark, sf)))
+
+
+@register("hourly_profile")
+def q_hourly_profile(spark, sf):
+    return pr.hourly_profile(hour_clean(spark, sf))
+
+
+@register("weekday_hour_pivot")
+def q_wh_pivot(spark, sf):
+    return pr.weekday_hour_pivot(hour_clean(spark, sf))
+
+
+@register("type_hourly")
+def q_type_hourly(spark, sf):
+    return pr.type_hourly(hour_clean(spark, sf))
+
+
+@register("system_hourly")
+def q_system_hourly(spark, sf):
+    return pr.system_hourly(hour_clean(spark, sf))
+
+
+@register("system_match_rate")
+def q_sys_match(spark, sf):
+    return round6(pr.system_match_rate(hour_clean(spark, sf), hour_covariates(spark, sf)))
+
+
+@register("mean_by_hour_of_day")
+def q_mean_hod(spark, sf):
+    return round6(pr.mean_by_hour_of_day(hour_clean(spark, sf)))
+
+
+def _sw(spark, sf):
+    return pr.system_with_covariates(hour_clean(spark, sf), hour_covariates(spark, sf))
+
+
+@register("temp_bins")
+def q_temp_bins(spark, sf):
+    return round6(pr.temperature_bins(_sw(spark, sf)))
+
+
+@register("rain_effect")
+def q_rain(spark, sf):
+    return round6(pr.rain_effect(_sw(spark, sf)))
+
+
+@register("snow_effect")
+def q_snow(spark, sf):
+    return round6(pr.snow_effect(_sw(spark, sf)))
+
+
+@register("zero_inflation")
+def q_zero(spark, sf):
+    return round6(pr.zero_inflation(day_grid(spark, sf)))
+
+
+@register("zero_inflation_monthly")
+def q_zero_m(spark, sf):
+    return round6(pr.zero_inflation(day_grid(spark, sf), by_month=True))
+
+
+@register("cum_share_rank")
+def q_cum_share(spark, sf):
+    return round6(pr.volume_ranking(hour_clean(spark, sf)))
+
+
+@register("rank_for_share")
+def q_rank_for(spark, sf):
+    return round6(pr.share_at_and_rank_for(pr.volume_ranking(hour_clean(spark, sf)), 0.65, (10, 20, 50, 100)))
+
+
+@register("shift_sanity")
+def q_shift(spark, sf):
+    return pr.shift_sanity(hour_clean(spark, sf))
+
+
+@register("coordinate_quality")
+def q_coord(spark, sf):
+    return pr.coordinate_quality(hour_master(spark, sf))
