@@ -485,3 +485,166 @@ SELECT *, peak_hour IN (16, 17, 18) AS peak_ok, morning_trips > 3 * night_trips
 ORACLES["coordinate_quality"] = EV_CLEAN_BASE + "," + station_master_cte("sm", "ev_clean") + """
 SELECT count(*) AS stations, count_if(lat IS NULL) AS missing_lat, count_if(lng IS NULL) AS missing_lng,
   count_if(lat < 41.0 OR lat > 43.0) AS lat_outside_box, count_if(lng < -89.0 OR lng > -87.0) AS lng_outside_box FROM sm"""
+
+
+# ---------------------------------------------------------------- spatial
+def _hav(a: str, b: str) -> str:
+    return (f"2 * {D(6371000.0)} * asin(sqrt(pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + "
+            f"cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lng - {a}.lng) / 2), 2)))")
+
+
+SPATIAL = f"""WITH
+vol AS (SELECT l_partkey, count(*) AS total_trips FROM lineitem GROUP BY 1),
+st AS (SELECT CAST(vec_id AS VARCHAR) AS station_id,
+         CASE WHEN vec_id % 3 = 0 THEN 'Dock & Pier ' || CAST(label AS VARCHAR)
+              WHEN vec_id % 3 = 1 THEN 'dock and pier  ' || CAST(label AS VARCHAR)
+              ELSE 'DOCK ' || CAST(label AS VARCHAR) END AS station_name,
+         {D(41.85)} + CAST(embedding[1] AS DOUBLE) * {D(0.02)} AS lat,
+         {D(-87.65)} + CAST(embedding[2] AS DOUBLE) * {D(0.02)} AS lng,
+         CAST(coalesce(v.total_trips, 0) AS BIGINT) AS total_trips
+       FROM embeddings e LEFT JOIN vol v ON e.vec_id = v.l_partkey),
+pp AS (SELECT a.station_id AS id_a, a.station_name AS name_a, a.total_trips AS trips_a,
+              b.station_id AS id_b, b.station_name AS name_b, b.total_trips AS trips_b, {_hav('a', 'b')} AS d
+       FROM st a JOIN st b ON a.station_id < b.station_id),
+pairs AS (SELECT id_a, name_a, trips_a, id_b, name_b, trips_b, round(d, 1) + 0.0 AS dist_m FROM pp WHERE d < 30),
+e0 AS (SELECT CASE WHEN trips_a >= trips_b THEN id_b ELSE id_a END AS raw_station_id,
+              CASE WHEN trips_a >= trips_b THEN id_a ELSE id_b END AS canonical_station_id,
+              greatest(trips_a, trips_b) AS canonical_trips
+       FROM pairs
+       WHERE regexp_replace(replace(lower(coalesce(name_a, '')), '&', 'and'), '\\s+', '', 'g')
+           = regexp_replace(replace(lower(coalesce(name_b, '')), '&', 'and'), '\\s+', '', 'g')),
+edges AS (SELECT raw_station_id, canonical_station_id, canonical_trips FROM (
+            SELECT *, row_number() OVER (PARTITION BY raw_station_id ORDER BY canonical_trips DESC,
+                                         canonical_station_id) AS rn FROM e0) WHERE rn = 1),
+walk AS (SELECT * FROM (WITH RECURSIVE w(raw, cur, depth) AS (
+            SELECT raw_station_id, canonical_station_id, 0 FROM edges
+            UNION ALL
+            SELECT w.raw, e.canonical_station_id, w.depth + 1 FROM w JOIN edges e ON w.cur = e.raw_station_id
+            WHERE w.depth < 100)
+          SELECT raw, cur, depth FROM w)),
+flat AS (SELECT raw AS raw_station_id, arg_max(cur, depth) AS canonical_station_id FROM walk GROUP BY raw)"""
+ORACLES["near_pairs"] = SPATIAL + " SELECT * FROM pairs"
+ORACLES["duplicate_edges"] = SPATIAL + " SELECT * FROM edges"
+ORACLES["flatten_mapping"] = SPATIAL + " SELECT * FROM flat"
+
+
+def _guards(src: str) -> str:
+    return f"""
+SELECT count(*) AS rows, count(*) - count(DISTINCT raw_station_id) AS duplicate_raw_ids,
+       count_if(raw_station_id = canonical_station_id) AS self_maps, count(DISTINCT canonical_station_id) AS targets,
+       (SELECT count(*) FROM {src} WHERE canonical_station_id IN (SELECT raw_station_id FROM {src})) AS chains,
+       count(*) - count(DISTINCT raw_station_id) = 0
+         AND (SELECT count(*) FROM {src} WHERE canonical_station_id IN (SELECT raw_station_id FROM {src})) = 0
+         AND count_if(raw_station_id = canonical_station_id) = 0 AS passed
+FROM {src}"""
+
+
+ORACLES["mapping_guards"] = SPATIAL + _guards("flat")
+ORACLES["supplier_mapping_guards"] = "WITH " + MAPPING + _guards("mapping")
+
+_SLOTS = [f"{w}_{h}" for w in (0, 1) for h in range(24)]
+ORACLES["station_profiles"] = HOUR_BASE + """,
+pm AS (SELECT station_id, CAST(isodow(hour) >= 6 AS INTEGER) AS w, hour(hour) AS h, avg(trips) AS a FROM hg_grid GROUP BY ALL),
+pv AS (SELECT station_id, """ + ", ".join(
+    f"""coalesce(max(a) FILTER (WHERE w = {s.split('_')[0]} AND h = {s.split('_')[1]}), 0.0) AS "{s}\"""" for s in _SLOTS) + """
+       FROM pm GROUP BY station_id),
+pt AS (SELECT *, """ + " + ".join(f'"{s}"' for s in _SLOTS) + """ AS total FROM pv)
+SELECT station_id, """ + ", ".join(
+    f"""round(CASE WHEN total > 0 THEN "{s}" / total ELSE 0.0 END, 6) + 0.0 AS "{s}\"""" for s in _SLOTS) + " FROM pt"
+
+
+# ---------------------------------------------------------------- serving (hour grain, seasonal-naive artifact)
+SERVE = HOUR_BASE + """,
+lastday AS (SELECT CAST(max(hour) AS DATE) AS d FROM hg_grid),
+asof_days AS (SELECT d - 2 AS as_of FROM lastday UNION ALL SELECT d - 1 FROM lastday),
+fut AS (SELECT a.as_of, k.station_id,
+               unnest(generate_series(CAST(a.as_of + 1 AS TIMESTAMP), CAST(a.as_of + 1 AS TIMESTAMP) + INTERVAL 23 HOUR,
+                                      INTERVAL 1 HOUR)) AS hour
+        FROM asof_days a JOIN (SELECT DISTINCT station_id FROM hg_grid) k
+          ON EXISTS (SELECT 1 FROM hg_grid g WHERE g.station_id = k.station_id
+                     AND CAST(g.hour AS DATE) <= a.as_of)),
+store AS (SELECT f.as_of, f.station_id, f.hour, CAST(coalesce(p.trips, 0) AS DOUBLE) AS prediction,
+                 'seasonal-naive-v1' AS model_version
+          FROM (SELECT DISTINCT as_of, station_id, hour FROM fut) f
+          LEFT JOIN hg_grid p ON p.station_id = f.station_id AND p.hour = f.hour - INTERVAL 168 HOUR),
+detail AS (SELECT s.*, g.trips AS actual, abs(s.prediction - g.trips) AS absolute_error
+           FROM store s JOIN hg_grid g ON s.station_id = g.station_id AND s.hour = g.hour),
+daily AS (SELECT as_of, CAST(hour AS DATE) AS target_date, avg(absolute_error) AS mae, count(*) AS n
+          FROM detail GROUP BY 1, 2)"""
+ORACLES["batch_forecast"] = SERVE + " SELECT as_of, station_id, hour, round(prediction, 6) + 0.0 AS prediction, model_version FROM store"
+ORACLES["forecast_eval"] = SERVE + " SELECT as_of, target_date, round(mae, 6) + 0.0 AS mae, n FROM daily"
+ORACLES["replay_mae"] = ORACLES["forecast_eval"]
+ORACLES["forecast_unmatched"] = SERVE + """ SELECT s.as_of, s.station_id, s.hour, s.prediction, s.model_version FROM store s
+  WHERE NOT EXISTS (SELECT 1 FROM hg_grid g WHERE g.station_id = s.station_id AND g.hour = s.hour)"""
+ORACLES["store_health"] = SERVE + """ SELECT count(DISTINCT as_of) AS partitions, max(as_of) AS newest_as_of, count(*) AS rows,
+  'seasonal-naive-v1' AS newest_model_version FROM store"""
+ORACLES["forecast_lookup"] = SERVE + """ SELECT as_of, station_id, hour, round(prediction, 2) + 0.0 AS prediction, model_version
+  FROM store WHERE as_of = (SELECT max(as_of) FROM store) AND station_id = (SELECT min(station_id) FROM store)"""
+ORACLES["forecast_scope"] = SERVE + """ SELECT station_id FROM hg_scope
+  WHERE station_id IN (SELECT station_id FROM store WHERE as_of = (SELECT max(as_of) FROM store))"""
+ORACLES["history_coverage"] = HOUR_BASE + f""",
+lk AS (SELECT CAST(CAST(max(hour) AS DATE) - 1 AS TIMESTAMP) + INTERVAL 23 HOUR AS last FROM hg_grid),
+hs AS (SELECT last, last + INTERVAL 1 HOUR - INTERVAL {DEFAULT.grain.needed_history} HOUR AS start FROM lk),
+keys AS (SELECT DISTINCT station_id FROM hg_grid WHERE hour <= (SELECT last FROM lk)),
+cov AS (SELECT station_id, count(*) AS n_rows, count(DISTINCT hour) AS n_hours, min(hour) AS first_hour,
+               max(hour) AS last_hour FROM hg_grid
+        WHERE hour <= (SELECT last FROM lk) AND hour >= (SELECT start FROM hs) GROUP BY 1)
+SELECT k.station_id, c.n_rows, c.n_hours, c.first_hour, c.last_hour,
+       coalesce(c.n_rows, 0) = {DEFAULT.grain.needed_history} AND coalesce(c.n_hours, 0) = {DEFAULT.grain.needed_history}
+       AND c.first_hour IS NOT DISTINCT FROM (SELECT start FROM hs)
+       AND c.last_hour IS NOT DISTINCT FROM (SELECT last FROM lk) AS complete
+FROM keys k LEFT JOIN cov c ON k.station_id = c.station_id"""
+ORACLES["inference_features"] = FEAT_HOUR + f""",
+lastday AS (SELECT CAST(max(hour) AS DATE) AS d FROM hg_grid)
+SELECT station_id, hour, CAST(NULL AS INTEGER) AS trips, hour_of_day, day_of_week, month, is_weekend, is_holiday,
+       {", ".join(f"lag_{h}" for h in DEFAULT.grain.lags)}, {_round_cols(_FEAT_D)}
+FROM feat WHERE CAST(hour AS DATE) = (SELECT d FROM lastday)"""
+
+_BASELINE = """(SELECT avg(abs(trips - coalesce(l168, 0))) FROM (
+   SELECT hour, trips, lag(trips, 168) OVER (PARTITION BY station_id ORDER BY hour) AS l168 FROM hg_grid)
+   WHERE hour >= CAST((SELECT min(as_of) FROM asof_days) + 1 - 7 AS TIMESTAMP)
+     AND hour < CAST((SELECT min(as_of) FROM asof_days) + 1 AS TIMESTAMP))"""
+ORACLES["performance_gate"] = SERVE + f"""
+SELECT 'performance' AS gate, avg(mae) <= {_BASELINE} * 1.2 AS passed, round(avg(mae), 4) + 0.0 AS mean_mae,
+       round({_BASELINE}, 4) + 0.0 AS baseline_mae, round({_BASELINE} * 1.2, 4) + 0.0 AS threshold,
+       CAST(0.2 AS DOUBLE) AS tolerance, count(*) AS n_days FROM daily"""
+
+
+def _drift_sql(gate: bool) -> str:
+    cols = ["temperature_2m", "precipitation", "wind_speed_10m", "lag_24", "lag_168", "roll_mean_7d"]
+    notnull = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    melt = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS value, side FROM sides WHERE {notnull}" for c in cols)
+    ne = "(n_ref * n_cur / (n_ref + n_cur))"
+    lam = f"((sqrt({ne}) + {D(0.12)} + {D(0.11)} / sqrt({ne})) * ks)"
+    series = "0 + " + " + ".join(f"({(-1) ** (k - 1)} * exp({D(-2.0 * k * k)} * {lam} * {lam}))" for k in range(1, 101))
+    base = FEAT_HOUR + f""",
+cs AS (SELECT CAST(CAST(max(hour) AS DATE) - 6 AS TIMESTAMP) AS t FROM feat),
+sides AS (SELECT *, CASE WHEN hour < (SELECT t FROM cs) THEN 'ref' ELSE 'cur' END AS side FROM feat),
+melt AS ({melt}),
+hist AS (SELECT col, value, count_if(side = 'ref') AS nr, count_if(side = 'cur') AS nc FROM melt GROUP BY ALL),
+e AS (SELECT *, sum(nr) OVER (PARTITION BY col) AS tot_r, sum(nc) OVER (PARTITION BY col) AS tot_c,
+             sum(nr) OVER (PARTITION BY col ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               / sum(nr) OVER (PARTITION BY col) AS ecdf_r,
+             sum(nc) OVER (PARTITION BY col ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               / sum(nc) OVER (PARTITION BY col) AS ecdf_c,
+             coalesce(lead(value) OVER (PARTITION BY col ORDER BY value) - value, 0.0) AS gap FROM hist),
+st AS (SELECT col, sum(abs(ecdf_r - ecdf_c) * gap) AS w1, max(abs(ecdf_r - ecdf_c)) AS ks,
+              CAST(max(tot_r) AS BIGINT) AS n_ref, CAST(max(tot_c) AS BIGINT) AS n_cur FROM e GROUP BY col),
+sd AS (SELECT col, greatest(stddev_pop(value), {D(0.001)}) AS ref_std FROM melt WHERE side = 'ref' GROUP BY col),
+stats AS (SELECT st.col AS "column", w1, ks, n_ref, n_cur, ref_std, w1 / ref_std AS w1_norm,
+                 CASE WHEN ks = 0 THEN 1.0 ELSE least(greatest(2 * ({series}), 0.0), 1.0) END AS ks_pvalue,
+                 CASE WHEN n_ref > 1000 THEN 'wasserstein' ELSE 'ks' END AS test
+          FROM st JOIN sd ON st.col = sd.col),
+dr AS (SELECT *, CASE WHEN test = 'wasserstein' THEN w1_norm >= 0.1 ELSE ks_pvalue < 0.05 END AS drifted FROM stats)"""
+    if not gate:
+        return base + """ SELECT "column", round(w1, 6) + 0.0 AS w1, round(ks, 6) + 0.0 AS ks, n_ref, n_cur,
+  round(ref_std, 6) + 0.0 AS ref_std, round(w1_norm, 6) + 0.0 AS w1_norm, round(ks_pvalue, 6) + 0.0 AS ks_pvalue,
+  test, drifted FROM dr"""
+    return base + """ SELECT 'drift' AS gate, avg(CAST(drifted AS DOUBLE)) <= 0.5 AS passed,
+  round(avg(CAST(drifted AS DOUBLE)), 6) + 0.0 AS drift_share, CAST(0.5 AS DOUBLE) AS max_drift_share,
+  CAST(count(*) AS INTEGER) AS n_columns, list_sort(list("column")) AS columns, CAST(NULL AS VARCHAR) AS note FROM dr"""
+
+
+ORACLES["drift_statistics"] = _drift_sql(False)
+ORACLES["drift_gate"] = _drift_sql(True)

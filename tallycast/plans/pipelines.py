@@ -102,3 +102,41 @@ def day_backtest_base(spark: SparkSession, sf: str) -> DataFrame:
 def day_baselines():
     from ..operators.backtest import HistoricalMean, SeasonalNaive
     return [SeasonalNaive(DAY_CFG.grain), HistoricalMean()]
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint location (never a
+    machine-local temp folder) for tables a query writes and reads back."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tallycast-{name}-{uuid.uuid4().hex[:10]}"
+
+
+def hour_replay_days(spark: SparkSession, sf: str, n: int = 2):
+    """The n days before the last day of the hourly grid (data-derived as_of dates)."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    last = hour_grid(spark, sf).agg(F.max("hour")).first()[0]
+    return [last.date() - dt.timedelta(days=i) for i in range(n, 0, -1)]
+
+
+def hour_store(spark: SparkSession, sf: str) -> str:
+    """Forecast store with seasonal-naive partitions for the replay days."""
+    key = (spark.sparkContext.applicationId, sf, "hour_store_path")
+    if key in _PRODUCTS:
+        return _PRODUCTS[key]
+    from ..operators import forecast as fc
+    from ..operators.models import NaiveArtifact
+
+    path = shared_dir(spark, "store")
+    art = NaiveArtifact(HOUR_CFG.grain.naive_lag)
+    for d in hour_replay_days(spark, sf):
+        fc.run_batch_predict(d, hour_grid(spark, sf), hour_covariates(spark, sf), hour_master(spark, sf),
+                             HOUR_CFG, art, art.metadata, path)
+    _PRODUCTS[key] = path
+    return path

@@ -356,3 +356,176 @@ def q_shift(spark, sf):
 @register("coordinate_quality")
 def q_coord(spark, sf):
     return pr.coordinate_quality(hour_master(spark, sf))
+
+
+# ---------------------------------------------------------------- spatial de-duplication
+from ..operators import spatial as sp  # noqa: E402
+
+
+def _pairs(spark, sf):
+    return product(spark, sf, "near_pairs", lambda: sp.near_pairs(adapters.spatial_stations(spark, sf)))
+
+
+@register("near_pairs")
+def q_near_pairs(spark, sf):
+    return _pairs(spark, sf)
+
+
+@register("duplicate_edges")
+def q_dup_edges(spark, sf):
+    return sp.duplicate_edges(_pairs(spark, sf))
+
+
+@register("flatten_mapping")
+def q_flatten(spark, sf):
+    return sp.flatten_mapping(sp.duplicate_edges(_pairs(spark, sf)))
+
+
+@register("mapping_guards")
+def q_guards(spark, sf):
+    return sp.mapping_guards(sp.flatten_mapping(sp.duplicate_edges(_pairs(spark, sf))))
+
+
+@register("supplier_mapping_guards")
+def q_sup_guards(spark, sf):
+    return sp.mapping_guards(adapters.supplier_mapping(spark, sf))
+
+
+# ---------------------------------------------------------------- clustering
+from ..operators import clustering as cl  # noqa: E402
+
+
+@register("station_profiles")
+def q_profiles(spark, sf):
+    return round6(cl.station_profiles(hour_grid(spark, sf)))
+
+
+def _clusters(spark, sf):
+    return product(spark, sf, "clusters", lambda: cl.cluster_stations(cl.station_profiles(hour_grid(spark, sf)),
+                                                                      k=5, seed=42, n_init=3))
+
+
+@register("cluster_stations")
+def q_clusters(spark, sf):
+    return _clusters(spark, sf)
+
+
+@register("cluster_feature")
+def q_cluster_feature(spark, sf):
+    return cl.add_cluster_feature(hour_grid(spark, sf), _clusters(spark, sf))
+
+
+# ---------------------------------------------------------------- serving and monitoring (hour grain)
+import datetime as _dt  # noqa: E402
+
+from ..operators import drift as dr  # noqa: E402
+from ..operators import forecast as fc  # noqa: E402
+from ..operators import gates as gt  # noqa: E402
+from ..operators.models import NaiveArtifact  # noqa: E402
+from .pipelines import hour_replay_days, hour_store  # noqa: E402
+
+
+@register("history_coverage")
+def q_hist_cov(spark, sf):
+    d = hour_replay_days(spark, sf)[-1]
+    return fc.history_coverage(hour_grid(spark, sf), d, HOUR_CFG.grain)
+
+
+@register("inference_features")
+def q_inference(spark, sf):
+    d = hour_replay_days(spark, sf)[-1]
+    return round6(fc.build_inference_features(hour_grid(spark, sf), hour_covariates(spark, sf),
+                                              hour_master(spark, sf), d, HOUR_CFG))
+
+
+def _store(spark, sf):
+    return fc.read_store(spark, hour_store(spark, sf))
+
+
+@register("batch_forecast")
+def q_batch(spark, sf):
+    return round6(_store(spark, sf).drop("created_at"))
+
+
+@register("forecast_eval")
+def q_fc_eval(spark, sf):
+    detail = fc.prediction_actual_table(_store(spark, sf), hour_grid(spark, sf))
+    return round6(fc.evaluate_predictions(detail))
+
+
+@register("forecast_unmatched")
+def q_fc_unmatched(spark, sf):
+    return _store(spark, sf).drop("created_at").transform(lambda s: fc.unmatched_forecasts(s, hour_grid(spark, sf)))
+
+
+@register("replay_mae")
+def q_replay(spark, sf):
+    days = hour_replay_days(spark, sf)
+    frame = fc.replay_inference_features(hour_grid(spark, sf), days, HOUR_CFG)
+    preds = NaiveArtifact(HOUR_CFG.grain.naive_lag).score(frame)
+    detail = preds.withColumn("absolute_error", F.abs(F.col("prediction") - F.col("trips")))
+    return round6(fc.evaluate_predictions(detail))
+
+
+@register("store_health")
+def q_store_health(spark, sf):
+    return fc.store_health(_store(spark, sf))
+
+
+@register("forecast_lookup")
+def q_lookup(spark, sf):
+    s = _store(spark, sf)
+    key = s.agg(F.min("station_id")).first()[0]
+    return fc.forecast_lookup(s, key)
+
+
+@register("forecast_scope")
+def q_fc_scope(spark, sf):
+    return fc.newest_scope(_store(spark, sf), hour_scope(spark, sf).select("station_id"))
+
+
+def _drift_frames(spark, sf):
+    f = hour_features(spark, sf)
+    last = f.agg(F.max("hour")).first()[0]
+    cur_start = _dt.datetime.combine(last.date() - _dt.timedelta(days=6), _dt.time())
+    ref = f.where(F.col("hour") < F.lit(cur_start))
+    cur = f.where(F.col("hour") >= F.lit(cur_start))
+    return ref, cur
+
+
+@register("drift_statistics")
+def q_drift_stats(spark, sf):
+    ref, cur = _drift_frames(spark, sf)
+    cols = dr.usable_columns(ref, cur)
+    return round6(dr.drift_statistics(ref, cur, cols))
+
+
+@register("drift_gate")
+def q_drift_gate(spark, sf):
+    ref, cur = _drift_frames(spark, sf)
+    return round6(dr.drift_gate(ref, cur, 0.5))
+
+
+def _baseline_mae(spark, sf):
+    """Seasonal-naive MAE over the week before the first served day."""
+    first = hour_replay_days(spark, sf)[0] + _dt.timedelta(days=1)
+    start = _dt.datetime.combine(first - _dt.timedelta(days=7), _dt.time())
+    f = features.add_lag_features(hour_grid(spark, sf), HOUR_CFG.grain)
+    w = f.where((F.col("hour") >= F.lit(start)) & (F.col("hour") < F.lit(_dt.datetime.combine(first, _dt.time()))))
+    return w.agg(F.avg(F.abs(F.col("trips") - F.coalesce(F.col("lag_168"), F.lit(0))))).first()[0]
+
+
+@register("performance_gate")
+def q_perf_gate(spark, sf):
+    daily = fc.evaluate_predictions(fc.prediction_actual_table(_store(spark, sf), hour_grid(spark, sf)))
+    return gt.performance_gate(daily, _baseline_mae(spark, sf), 0.20)
+
+
+@register("monitoring_summary")
+def q_monitoring(spark, sf):
+    art = NaiveArtifact(HOUR_CFG.grain.naive_lag)
+    meta = dict(art.metadata, val_mae=_baseline_mae(spark, sf),
+                train_through=str(_dt.datetime.combine(hour_replay_days(spark, sf)[0], _dt.time(23))))
+    summary, perf, drift = gt.run_monitoring(hour_features(spark, sf), _store(spark, sf), meta, reference_days=14)
+    return (summary.withColumn("performance_passed", F.lit(perf.first()["passed"]))
+            .withColumn("drift_passed", F.lit(drift.first()["passed"])))
