@@ -171,6 +171,7 @@ def train_production(features: DataFrame, cfg: Config, out_dir: str, through: dt
             "data_range": [str(rng["lo"]), str(rng["hi"])], "train_through": str(rng["hi"]), "val_mae": val_mae,
             "model_version": f"{kind}-{str(rng['hi'])[:10]}-{uuid.uuid4().hex[:8]}",
             "created_at": dt.datetime.now(dt.timezone.utc).isoformat(), "kind": kind}
+    meta["path"] = out_dir
     model.write().overwrite().save(f"{out_dir}/model")
     spark = features.sparkSession
     spark.createDataFrame([(json.dumps(meta),)], "metadata string").coalesce(1).write.mode("overwrite").text(

@@ -648,3 +648,23 @@ dr AS (SELECT *, CASE WHEN test = 'wasserstein' THEN w1_norm >= 0.1 ELSE ks_pval
 
 ORACLES["drift_statistics"] = _drift_sql(False)
 ORACLES["drift_gate"] = _drift_sql(True)
+
+
+# ---------------------------------------------------------------- promotion (day grain, naive champion vs hist-mean)
+_CHAMP = BT_DAY + """,
+champ AS (SELECT CAST(CAST(min("window") || '-01' AS DATE) - 1 AS TIMESTAMP) AS through FROM wins),
+allm AS (SELECT DISTINCT m AS "window" FROM f, lastb WHERE NOT (m = strftime(mx, '%Y-%m') AND mx < CAST(last_day(mx) AS TIMESTAMP))),
+unseen AS (SELECT max("window") AS eval_month FROM allm
+           WHERE CAST("window" || '-01' AS TIMESTAMP) > (SELECT through FROM champ))"""
+ORACLES["unseen_full_month"] = _CHAMP + " SELECT eval_month FROM unseen"
+ORACLES["promotion_decision"] = _CHAMP + """,
+mm AS (SELECT predictor, avg(abs(trips - prediction)) AS mae FROM preds WHERE "window" = (SELECT eval_month FROM unseen)
+       GROUP BY 1),
+cur AS (SELECT mae FROM mm WHERE predictor = 'seasonal_naive'),
+cand AS (SELECT mae FROM mm WHERE predictor = 'historical_mean')
+SELECT CASE WHEN (SELECT mae FROM cand) <= (SELECT mae FROM cur) * 0.98 THEN 'promoted' ELSE 'kept' END AS status,
+       (SELECT mae FROM cand) <= (SELECT mae FROM cur) * 0.98 AS promoted,
+       (SELECT eval_month FROM unseen) AS eval_month,
+       round((SELECT mae FROM cand), 4) + 0.0 AS mae_candidate, round((SELECT mae FROM cur), 4) + 0.0 AS mae_current,
+       round((SELECT mae FROM cur) * 0.98, 4) + 0.0 AS required_candidate_mae, CAST(0.02 AS DOUBLE) AS min_improvement,
+       'seasonal-naive-v1' AS current_version"""

@@ -529,3 +529,102 @@ def q_monitoring(spark, sf):
     summary, perf, drift = gt.run_monitoring(hour_features(spark, sf), _store(spark, sf), meta, reference_days=14)
     return (summary.withColumn("performance_passed", F.lit(perf.first()["passed"]))
             .withColumn("drift_passed", F.lit(drift.first()["passed"])))
+
+
+# ---------------------------------------------------------------- models, experiments, promotion (day grain)
+from ..operators import experiments as ex  # noqa: E402
+from ..operators import models as ml  # noqa: E402
+from ..operators import promote as pm  # noqa: E402
+from .pipelines import shared_dir  # noqa: E402
+
+_MODEL_PARAMS = {"max_iter": 20, "max_depth": 4, "step_size": 0.2}
+
+
+def _day_feats_events(spark, sf):
+    return product(spark, sf, "day_features_events", lambda: events.add_event_feature(
+        day_features(spark, sf), events.event_days(adapters.event_calendar(spark))))
+
+
+@register("gbt_forecast")
+def q_gbt(spark, sf):
+    f = day_features(spark, sf)
+    p = ml.ModelPredictor("gbt", DAY_CFG.model_features, _MODEL_PARAMS, "gbt")
+    return bt.run_backtest(f, [p, bt.SeasonalNaive(DAY_CFG.grain)], 1, DAY_CFG.grain)
+
+
+@register("poisson_glm_forecast")
+def q_glm(spark, sf):
+    f = day_features(spark, sf)
+    p = ml.ModelPredictor("poisson_glm", DAY_CFG.model_features, {"max_iter": 25}, "glm")
+    return bt.run_backtest(f, [p, bt.SeasonalNaive(DAY_CFG.grain)], 1, DAY_CFG.grain)
+
+
+def _artifact(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "day_artifact")
+    from .pipelines import _PRODUCTS
+    if key not in _PRODUCTS:
+        f = day_features(spark, sf)
+        last = f.agg(F.max("hour")).first()[0]
+        through = (last - _dt.timedelta(days=60)).date()
+        cfg = DAY_CFG.with_(model_params=_MODEL_PARAMS)
+        _PRODUCTS[key] = ml.train_production(f, cfg, shared_dir(spark, "artifact"), through, "gbt")
+    return _PRODUCTS[key]
+
+
+@register("feature_importance")
+def q_importance(spark, sf):
+    art = _artifact(spark, sf)
+    return ml.feature_importance(art.model, art.metadata["features"])
+
+
+@register("artifact_scoring")
+def q_artifact_scoring(spark, sf):
+    """Reload the saved artifact and score the rows after its cutoff."""
+    art = _artifact(spark, sf)
+    loaded = ml.load_artifact(spark, _artifact_dir(art))
+    cut = _dt.datetime.fromisoformat(loaded.metadata["train_through"])
+    rows = day_features(spark, sf).where(F.col("hour") > F.lit(cut))
+    return loaded.score(rows).select("station_id", "hour", "trips", "prediction")
+
+
+def _artifact_dir(art):
+    return art.metadata["path"]
+
+
+@register("sweep_leaderboard")
+def q_sweep(spark, sf):
+    runs = shared_dir(spark, "runs")
+    ex.run_sweep(day_features(spark, sf), DAY_CFG.model_features, _MODEL_PARAMS,
+                 {"max_depth": [2], "max_iter": [10]}, 1, DAY_CFG.grain, runs, "sweep-gbt")
+    return ex.leaderboard(spark.read.parquet(runs), "sweep")
+
+
+@register("ablation")
+def q_ablation(spark, sf):
+    f = _day_feats_events(spark, sf)
+    base = DAY_CFG.model_features
+    variants = {"base": base, "no_weather": ex.drop_features(base, DAY_CFG.covariates),
+                "event_flag": base + ["is_major_event"]}
+    return ex.compare_variants(f, variants, _MODEL_PARAMS, 1, DAY_CFG.grain)
+
+
+def _champion_meta(spark, sf):
+    """Champion (seasonal naive) 'trained' through the end of the month three
+    months before the last full month of the day grid."""
+    months = [r[0] for r in bt.eval_months(day_grid(spark, sf), 4, DAY_CFG.grain).orderBy("window").collect()]
+    first = _dt.date.fromisoformat(months[0] + "-01") - _dt.timedelta(days=1)
+    return {"model_version": "seasonal-naive-v1", "train_through": f"{first.isoformat()} 00:00:00"}
+
+
+@register("unseen_full_month")
+def q_unseen(spark, sf):
+    meta = _champion_meta(spark, sf)
+    m = pm.latest_unseen_full_month(day_grid(spark, sf), _dt.datetime.fromisoformat(meta["train_through"]), DAY_CFG.grain)
+    return spark.range(1).select(F.lit(m).cast("string").alias("eval_month"))
+
+
+@register("promotion_decision")
+def q_promote(spark, sf):
+    meta = _champion_meta(spark, sf)
+    return round6(pm.promote_if_better(day_backtest_base(spark, sf), bt.SeasonalNaive(DAY_CFG.grain),
+                                       bt.HistoricalMean(), meta, DAY_CFG.grain, 0.02))
