@@ -229,8 +229,7 @@ ORACLES["removal_report"] = f"WITH {EV_TRIPS} SELECT {_RULES(DEFAULT)} FROM ev_t
 ORACLES["removal_report_daily"] = f"WITH {OR_TRIPS} SELECT {_RULES(DAILY)} FROM or_trips"
 ORACLES["clean_trips"] = ("WITH " + ",".join([EV_TRIPS, MAPPING, clean_cte("ev_clean", "ev_trips", DEFAULT, True)])
                           + """ SELECT ride_id, rideable_type, started_at, ended_at, start_station_name, start_station_id,
-  end_station_name, end_station_id, round(start_lat, 6) + 0.0 AS start_lat, round(start_lng, 6) + 0.0 AS start_lng,
-  round(end_lat, 6) + 0.0 AS end_lat, round(end_lng, 6) + 0.0 AS end_lng, member_casual, station_id FROM ev_clean""")
+  end_station_name, end_station_id, start_lat, start_lng, end_lat, end_lng, member_casual, station_id FROM ev_clean""")
 ORACLES["top_n_scope"] = HOUR_BASE + " SELECT station_id, trips FROM hg_scope"
 ORACLES["series_hour_counts"] = HOUR_BASE + " SELECT * FROM hg_counts"
 ORACLES["full_grid"] = HOUR_BASE_UNTRIMMED + " SELECT * FROM hg_grid"
@@ -668,3 +667,16 @@ SELECT CASE WHEN (SELECT mae FROM cand) <= (SELECT mae FROM cur) * 0.98 THEN 'pr
        round((SELECT mae FROM cand), 4) + 0.0 AS mae_candidate, round((SELECT mae FROM cur), 4) + 0.0 AS mae_current,
        round((SELECT mae FROM cur) * 0.98, 4) + 0.0 AS required_candidate_mae, CAST(0.02 AS DOUBLE) AS min_improvement,
        'seasonal-naive-v1' AS current_version"""
+
+
+# ---------------------------------------------------------------- sources and streaming
+ORACLES["trip_csv_roundtrip"] = f"""WITH {EV_TRIPS} SELECT ride_id, rideable_type,
+  date_trunc('second', started_at) AS started_at, date_trunc('second', ended_at) AS ended_at,
+  start_station_name, start_station_id, end_station_name, end_station_id,
+  start_lat, start_lng, end_lat, end_lng, member_casual FROM ev_trips"""
+ORACLES["incremental_months"] = f"""WITH {OR_TRIPS}
+SELECT DISTINCT strftime(started_at, '%Y-%m') AS month FROM or_trips
+WHERE strftime(started_at, '%Y-%m') BETWEEN '1998-01' AND '2000-12'"""
+ORACLES["payload_to_rows"] = "WITH " + EV_COV + f" SELECT timestamp, {_round_cols(_COV)} FROM ev_cov"
+ORACLES["stream_hour_counts"] = EV_CLEAN_BASE + """ SELECT station_id, date_trunc('hour', started_at) AS hour,
+  CAST(count(*) AS INTEGER) AS trips FROM ev_clean GROUP BY 1, 2"""

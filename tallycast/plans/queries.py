@@ -54,7 +54,7 @@ def q_removal_report_daily(spark, sf):
 
 @register("clean_trips")
 def q_clean_trips(spark, sf):
-    return round6(hour_clean(spark, sf))
+    return hour_clean(spark, sf)
 
 
 # ---------------------------------------------------------------- grid
@@ -628,3 +628,70 @@ def q_promote(spark, sf):
     meta = _champion_meta(spark, sf)
     return round6(pm.promote_if_better(day_backtest_base(spark, sf), bt.SeasonalNaive(DAY_CFG.grain),
                                        bt.HistoricalMean(), meta, DAY_CFG.grain, 0.02))
+
+
+# ---------------------------------------------------------------- sources, sinks and streaming
+from ..sources import trips as src_trips  # noqa: E402
+from ..sources import weather as src_weather  # noqa: E402
+from ..streaming import hourly as stream_hourly  # noqa: E402
+from ..schemas import TRIP_COLUMNS  # noqa: E402
+
+
+@register("trip_csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """Trips land as CSV with fractional seconds and 'NULL' tokens; the strict
+    typed reader restores the contract (seconds truncated)."""
+    t = adapters.events_trips(spark, sf)
+    out = []
+    for c in TRIP_COLUMNS:
+        v = F.col(c)
+        if c in ("started_at", "ended_at"):
+            v = F.date_format(v, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        if dict(t.dtypes)[c] != "double":  # doubles are written by the CSV writer itself
+            v = F.coalesce(v.cast("string"), F.lit("NULL"))
+        out.append(v.alias(c))
+    landing = shared_dir(spark, "landing-csv")
+    (t.select(*out, F.date_format("started_at", "yyyy-MM").alias("month"))
+     .write.option("header", True).partitionBy("month").csv(landing))
+    return src_trips.read_trip_csv(spark, landing)
+
+
+@register("incremental_months")
+def q_incremental(spark, sf):
+    """Months offered by the landed file names (YYYYMM-...zip) within the
+    configured range, minus months already in the per-month store."""
+    trips = adapters.orders_trips(spark, sf)
+    names = trips.select(F.concat(F.date_format("started_at", "yyyyMM"), F.lit("-tripdata.zip")).alias("path")).distinct()
+    available = src_trips.months_in_range(names, "1996-01", "2000-12")
+    store = shared_dir(spark, "by-month")
+    src_trips.write_by_month(trips.where(F.col("started_at") < F.lit(_dt.datetime(1998, 1, 1))), store)
+    return src_trips.incremental_months(available, src_trips.stored_months(spark, store))
+
+
+@register("payload_to_rows")
+def q_payload(spark, sf):
+    """Daily payloads (objects of parallel hourly arrays) are written as JSON
+    and reshaped back to the covariate contract."""
+    cov = hour_covariates(spark, sf)
+    fields = ["temperature_2m", "precipitation", "snowfall", "wind_speed_10m", "relative_humidity_2m"]
+    rows = F.array_sort(F.collect_list(F.struct(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm").alias("time"),
+                                                *[F.col(c) for c in fields])))
+    daily = (cov.groupBy(F.to_date("timestamp").alias("d")).agg(rows.alias("r"))
+             .select(F.struct(F.col("r.time").alias("time"), *[F.col(f"r.{c}").alias(c) for c in fields]).alias("hourly")))
+    path = shared_dir(spark, "payloads")
+    daily.write.json(path)
+    return round6(src_weather.read_payloads(spark, path, multiline=False))
+
+
+@register("stream_hour_counts")
+def q_stream(spark, sf):
+    """Clean trips land in two batches; the streaming hour count (watermark,
+    update mode, idempotent upsert sink) is run after each landing."""
+    clean = hour_clean(spark, sf).select("station_id", "started_at")
+    landing, sink, ckpt = shared_dir(spark, "landing"), shared_dir(spark, "counts"), shared_dir(spark, "stream-ckpt")
+    mid = clean.agg(F.min("started_at"), F.max("started_at")).first()
+    split = mid[0] + (mid[1] - mid[0]) / 2
+    for part in (clean.where(F.col("started_at") < F.lit(split)), clean.where(F.col("started_at") >= F.lit(split))):
+        part.write.mode("append").parquet(landing)
+        stream_hourly.run_hourly_counts(spark, landing, clean.schema, sink, ckpt)
+    return stream_hourly.read_counts(spark, sink)
