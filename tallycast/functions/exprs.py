@@ -61,10 +61,27 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint into the session's shared
-    ``spark.checkpoint.dir`` (survives executor loss; never a local checkpoint)."""
+def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
+    """Materialise a reused intermediate.
+
+    ``checkpoint``: reliable checkpoint into the session's shared
+    ``spark.checkpoint.dir`` - cuts lineage (iterative loops, tables that are
+    rewritten in place); never a local checkpoint.
+    ``persist``: MEMORY_AND_DISK cache filled eagerly - keeps lineage, so a
+    lost executor's blocks are recomputed; used for data products that many
+    plans reuse within one session.
+    """
+    from pyspark import StorageLevel
+
     from ..session import ensure_checkpoint_dir
 
+    if mode == "persist":
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df.count()
+        return df
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persist first so writing the checkpoint does not recompute the plan
+    df = df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out

@@ -35,17 +35,36 @@ def eval_months(df: DataFrame, n: int, grain: Grain, ts: str = "hour") -> DataFr
     return months.orderBy(F.desc("window")).limit(n)
 
 
+def month_summary(df: DataFrame, ts: str = "hour") -> list[tuple[str, object]]:
+    """(month, last bucket) per calendar month present, sorted. One small job;
+    the list is bounded by the number of months in the data."""
+    rows = df.groupBy(month_str(ts).alias("m")).agg(F.max(ts).alias("mx")).orderBy("m").collect()
+    return [(r["m"], r["mx"]) for r in rows]
+
+
 def window_table(df: DataFrame, n: int, grain: Grain, ts: str = "hour") -> DataFrame:
-    """Eval windows with their training cutoff (= max bucket of earlier months).
-    Works on the month summary (one row per month), never on the rows."""
-    monthly = df.groupBy(month_str(ts).alias("window")).agg(F.max(ts).alias("_mx"))
-    w = Window.orderBy("window")  # one row per month: a tiny, bounded table
-    cut = monthly.select("window", F.lag("_mx").over(w).alias("cutoff"))
-    return bounded_broadcast(cut.join(eval_months(df, n, grain, ts), "window", "left_semi"))
+    """Eval windows (last ``n`` months, a trailing partial month dropped) with
+    their training cutoff (= last bucket of the previous month present), as a
+    literal table of at most ``n`` rows built from the month summary. Later
+    plans reference this tiny local relation instead of re-running scalar
+    subqueries over the features. Same rule as ``eval_months``."""
+    months = month_summary(df, ts)
+    spark = df.sparkSession
+    if not months:
+        return spark.createDataFrame([], "window string, cutoff timestamp_ntz")
+    last_hour = months[-1][1]
+    full = last_hour >= spark.range(1).select(
+        last_bucket_of_month(F.lit(last_hour).cast("timestamp_ntz"), grain.unit)).first()[0]
+    cutoffs = [(m, months[i - 1][1] if i else None) for i, (m, _) in enumerate(months)]
+    if not full:
+        cutoffs = cutoffs[:-1]
+    keep = cutoffs[-n:] if n > 0 else []
+    return bounded_broadcast(spark.createDataFrame(keep, "window string, cutoff timestamp_ntz"))
 
 
 def _first_window_start(windows: DataFrame):
-    return windows.select(F.to_timestamp_ntz(F.concat(F.min("window"), F.lit("-01")))).scalar()
+    first = windows.agg(F.min("window")).first()[0]
+    return F.lit(None).cast("timestamp_ntz") if first is None else F.to_timestamp_ntz(F.lit(first + "-01"))
 
 
 def eval_rows(features: DataFrame, windows: DataFrame, ts: str = "hour") -> DataFrame:
@@ -82,7 +101,8 @@ class HistoricalMean:
         # A row of month m can only be recent history for windows m+1..m+3:
         # explode those candidates and equi-join on the (broadcast) window table.
         cand = F.array(*[month_str(F.add_months(F.trunc("hour", "month"), i)) for i in (1, 2, 3)])
-        lo = windows.select(F.timestamp_add("DAY", F.lit(-7 * self.weeks), F.min("cutoff"))).scalar()
+        lo = windows.agg(F.min("cutoff")).first()[0]
+        lo = F.timestamp_add("DAY", F.lit(-7 * self.weeks), F.lit(lo).cast("timestamp_ntz"))
         r = features.where(F.col("hour") > lo).select(KEY, "hour", "trips", "day_of_week", "hour_of_day",
                             F.explode(cand).alias("window"))
         r = r.join(windows, "window")

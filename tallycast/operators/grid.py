@@ -47,6 +47,23 @@ def full_grid(counts: DataFrame, keys: DataFrame, grain: Grain, key: str = "stat
             .groupBy(key, "hour").agg(F.sum("trips").cast("int").alias("trips")))
 
 
+def lifetime_grid(counts: DataFrame, clean: DataFrame, scope: DataFrame, grain: Grain,
+                  key: str = "station_id", ts: str = "started_at") -> DataFrame:
+    """``trim_to_lifetime(full_grid(...))`` generated directly: each scope key
+    explodes only the buckets from max(first bucket, its first month) to the
+    last bucket, so no trimming join/filter runs over the full grid. Keys
+    without clean rows (no first month) get no rows, as in the trim."""
+    bounds = counts.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi"))
+    lo = bounds.select("lo").scalar()
+    hi = bounds.select("hi").scalar()
+    fm = first_month(clean.join(bounded_broadcast(scope.select(key)), key, "left_semi"), key, ts)
+    start = F.greatest(lo, F.col("first_month"))
+    seq = F.when(start <= hi, F.sequence(start, hi, F.expr(grain.interval)))
+    zeros = (bounded_broadcast(fm).select(key, F.explode(seq).alias("hour"), F.lit(0).alias("trips")))
+    return (zeros.unionByName(counts.select(key, "hour", "trips"))
+            .groupBy(key, "hour").agg(F.sum("trips").cast("int").alias("trips")))
+
+
 def first_month(clean: DataFrame, key: str = "station_id", ts: str = "started_at") -> DataFrame:
     return clean.groupBy(key).agg(bucket(F.min(ts), "month").alias("first_month"))
 
@@ -106,5 +123,6 @@ def build_grid(clean: DataFrame, cfg: Config, key: str = "station_id", trim: boo
     """scope -> counts -> dense grid -> lifetime trim."""
     scope = select_scope(clean, cfg.top_n, cfg.scope_lookback_days, key)
     counts = series_counts(clean, scope, cfg.grain, key)
-    grid = full_grid(counts, scope, cfg.grain, key)
-    return trim_to_lifetime(grid, clean, key, scope) if trim else grid
+    if trim:
+        return lifetime_grid(counts, clean, scope, cfg.grain, key)
+    return full_grid(counts, scope, cfg.grain, key)
