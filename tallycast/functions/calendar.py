@@ -80,19 +80,29 @@ def holiday_calendar(spark: SparkSession, first_year: Column | int, last_year: C
             .where(F.col("holiday").isNotNull()))
 
 
+def phase_expr(unit: str, ts: str = "hour") -> tuple[str, Column]:
+    """Seasonal phase of a bucket: hour of day (hour grain) or ISO weekday (day grain)."""
+    if unit == "hour":
+        return "hour_of_day", F.hour(F.col(ts)).cast("int")
+    return "day_of_week", iso_dow(F.col(ts))
+
+
 def calendar_features(df: DataFrame, ts: str = "hour") -> DataFrame:
     """Target-free time features; column names follow the feature contract.
-    One projection (not nine ``withColumn`` calls) keeps analysis cheap."""
+    One projection (not nine ``withColumn`` calls) keeps analysis cheap; a
+    phase column already carried by the grid is reused, not recomputed."""
     two_pi = 2 * math.pi
     t = F.col(ts)
     hod = F.hour(t).cast("int")
     dow = iso_dow(t)
     mon = F.month(t).cast("int")
-    return df.select(
-        "*", hod.alias("hour_of_day"), dow.alias("day_of_week"), mon.alias("month"),
-        (dow >= 6).alias("is_weekend"), is_holiday(F.to_date(t)).alias("is_holiday"),
-        F.sin(hod * two_pi / 24).alias("hour_sin"), F.cos(hod * two_pi / 24).alias("hour_cos"),
-        F.sin(mon * two_pi / 12).alias("month_sin"), F.cos(mon * two_pi / 12).alias("month_cos"))
+    cols = [hod.alias("hour_of_day"), dow.alias("day_of_week"), mon.alias("month"),
+            (dow >= 6).alias("is_weekend"), is_holiday(F.to_date(t)).alias("is_holiday"),
+            F.sin(hod * two_pi / 24).alias("hour_sin"), F.cos(hod * two_pi / 24).alias("hour_cos"),
+            F.sin(mon * two_pi / 12).alias("month_sin"), F.cos(mon * two_pi / 12).alias("month_cos")]
+    names = ["hour_of_day", "day_of_week", "month", "is_weekend", "is_holiday",
+             "hour_sin", "hour_cos", "month_sin", "month_cos"]
+    return df.select("*", *[c for c, n in zip(cols, names) if n not in df.columns])
 
 
 def month_bounds(month: Column) -> tuple[Column, Column]:

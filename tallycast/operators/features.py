@@ -65,12 +65,16 @@ def add_lag_features(df: DataFrame, grain: Grain, key: str = "station_id", ts: s
     bad = [h for h in grain.lags if h % grain.season]
     if bad:
         raise ValueError(f"lags {bad} are not multiples of the {grain.season}-bucket cycle")
-    ph = "_phase"
+    # a grid built with ``phase=grain`` already carries the phase column and is
+    # hash-partitioned by (key, phase): the window then needs no exchange
+    own = grain.phase_col not in df.columns
+    ph = "_phase" if own else grain.phase_col
+    out = df.withColumn(ph, phase(grain, ts)) if own else df
     w = Window.partitionBy(key, ph).orderBy(ts)
-    out = df.withColumn(ph, phase(grain, ts))
     cols = [F.lag(y, h // grain.season).over(w).alias(grain.lag_name(h)) for h in grain.lags]
     cols += [F.avg(y).over(w.rowsBetween(-k, -1)).alias(grain.roll_name(k)) for k in grain.rolling]
-    return out.select("*", *cols).drop(ph)
+    out = out.select("*", *cols)
+    return out.drop(ph) if own else out
 
 
 def build_features(grid: DataFrame, covariates: DataFrame | None, master: DataFrame | None,

@@ -8,9 +8,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..config import Config, Grain
+from ..functions.calendar import phase_expr
 from ..functions.exprs import bounded_broadcast, bucket, month_str
 
 
+def _zero_fill(zeros: DataFrame, counts: DataFrame, key: str, phase: Grain | None) -> DataFrame:
+    """Merge zero rows and counts with one aggregation. With ``phase`` the rows
+    are hash-partitioned by (key, phase) first and the phase column is kept, so
+    the aggregation and the later lag window need no further exchange."""
+    u = zeros.unionByName(counts.select(key, "hour", "trips"))
+    if phase is None:
+        return u.groupBy(key, "hour").agg(F.sum("trips").cast("int").alias("trips"))
+    name, expr = phase_expr(phase.unit)
+    u = u.withColumn(name, expr).repartition(key, name)
+    return (u.groupBy(key, name, "hour").agg(F.sum("trips").cast("int").alias("trips"))
+            .select(key, "hour", "trips", name))
+
+
 def select_scope(clean: DataFrame, n: int, lookback_days: int = 365, key: str = "station_id",
                  ts: str = "started_at") -> DataFrame:
     """Top-n keys by volume in the ``lookback_days`` before the latest start
@@ -32,7 +46,8 @@ def series_counts(clean: DataFrame, scope: DataFrame | None, grain: Grain, key:
             .groupBy(key, "hour").agg(F.count(F.lit(1)).cast("int").alias("trips")))
 
 
-def full_grid(counts: DataFrame, keys: DataFrame, grain: Grain, key: str = "station_id") -> DataFrame:
+def full_grid(counts: DataFrame, keys: DataFrame, grain: Grain, key: str = "station_id",
+              phase: Grain | None = None) -> DataFrame:
     """Dense grid keys x buckets from the first to the last bucket of ``counts``
     (both inclusive), zero-filled. The bucket range is a scalar subquery and the
     grid is an ``explode(sequence)`` per key (no nested-loop join); zero rows
@@ -43,12 +58,11 @@ def full_grid(counts: DataFrame, keys: DataFrame, grain: Grain, key: str = "stat
     zeros = keys.select(key).distinct().select(
         key, F.explode(F.sequence(lo, hi, F.expr(grain.interval))).alias("hour"),
         F.lit(0).alias("trips"))
-    return (zeros.unionByName(counts.select(key, "hour", "trips"))
-            .groupBy(key, "hour").agg(F.sum("trips").cast("int").alias("trips")))
+    return _zero_fill(zeros, counts, key, phase)
 
 
 def lifetime_grid(counts: DataFrame, clean: DataFrame, scope: DataFrame, grain: Grain,
-                  key: str = "station_id", ts: str = "started_at") -> DataFrame:
+                  key: str = "station_id", ts: str = "started_at", phase: Grain | None = None) -> DataFrame:
     """``trim_to_lifetime(full_grid(...))`` generated directly: each scope key
     explodes only the buckets from max(first bucket, its first month) to the
     last bucket, so no trimming join/filter runs over the full grid. Keys
@@ -60,8 +74,7 @@ def lifetime_grid(counts: DataFrame, clean: DataFrame, scope: DataFrame, grain:
     start = F.greatest(lo, F.col("first_month"))
     seq = F.when(start <= hi, F.sequence(start, hi, F.expr(grain.interval)))
     zeros = (bounded_broadcast(fm).select(key, F.explode(seq).alias("hour"), F.lit(0).alias("trips")))
-    return (zeros.unionByName(counts.select(key, "hour", "trips"))
-            .groupBy(key, "hour").agg(F.sum("trips").cast("int").alias("trips")))
+    return _zero_fill(zeros, counts, key, phase)
 
 
 def first_month(clean: DataFrame, key: str = "station_id", ts: str = "started_at") -> DataFrame:

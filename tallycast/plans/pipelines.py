@@ -56,7 +56,8 @@ def _series(spark, sf, tag: str, clean_fn, cfg: Config, trim: bool) -> DataFrame
     counts = product(spark, sf, f"{tag}_counts", lambda: grid.series_counts(narrow, scope, cfg.grain))
     if not trim:
         return product(spark, sf, f"{tag}_full", lambda: grid.full_grid(counts, scope, cfg.grain))
-    return product(spark, sf, f"{tag}_grid", lambda: grid.lifetime_grid(counts, narrow, scope, cfg.grain))
+    return product(spark, sf, f"{tag}_grid",
+                   lambda: grid.lifetime_grid(counts, narrow, scope, cfg.grain, phase=cfg.grain))
 
 
 def hour_scope(spark, sf):
@@ -64,12 +65,25 @@ def hour_scope(spark, sf):
     return product(spark, sf, "hour_scope", None)
 
 
+def hour_grid_phased(spark: SparkSession, sf: str) -> DataFrame:
+    """Trimmed hourly grid + ``hour_of_day``, partitioned by (key, hour_of_day)."""
+    return _series(spark, sf, "hour", hour_clean, HOUR_CFG, True)
+
+
+def day_grid_phased(spark: SparkSession, sf: str) -> DataFrame:
+    """Trimmed daily grid + ``day_of_week``, partitioned by (key, day_of_week)."""
+    return _series(spark, sf, "day", day_clean, DAY_CFG, True)
+
+
 def hour_grid(spark: SparkSession, sf: str, trim: bool = True) -> DataFrame:
-    return _series(spark, sf, "hour", hour_clean, HOUR_CFG, trim)
+    """Grid contract (station_id, hour, trips)."""
+    g = _series(spark, sf, "hour", hour_clean, HOUR_CFG, trim)
+    return g.select("station_id", "hour", "trips")
 
 
 def day_grid(spark: SparkSession, sf: str, trim: bool = True) -> DataFrame:
-    return _series(spark, sf, "day", day_clean, DAY_CFG, trim)
+    g = _series(spark, sf, "day", day_clean, DAY_CFG, trim)
+    return g.select("station_id", "hour", "trips")
 
 
 def hour_master(spark, sf):
@@ -90,18 +104,18 @@ def day_covariates(spark, sf):
 
 def hour_features(spark: SparkSession, sf: str) -> DataFrame:
     return product(spark, sf, "hour_features", lambda: features.build_features(
-        hour_grid(spark, sf), hour_covariates(spark, sf), hour_master(spark, sf), HOUR_CFG))
+        hour_grid_phased(spark, sf), hour_covariates(spark, sf), hour_master(spark, sf), HOUR_CFG))
 
 
 def day_features(spark: SparkSession, sf: str) -> DataFrame:
     return product(spark, sf, "day_features", lambda: features.build_features(
-        day_grid(spark, sf), day_covariates(spark, sf), day_master(spark, sf), DAY_CFG))
+        day_grid_phased(spark, sf), day_covariates(spark, sf), day_master(spark, sf), DAY_CFG))
 
 
 def day_backtest_base(spark: SparkSession, sf: str) -> DataFrame:
     """Day-grain grid with calendar and lag features (backtest input)."""
     return product(spark, sf, "day_bt_base", lambda: features.add_lag_features(
-        features.add_calendar_features(day_grid(spark, sf)), DAY_CFG.grain))
+        features.add_calendar_features(day_grid_phased(spark, sf)), DAY_CFG.grain))
 
 
 def day_baselines():

@@ -18,7 +18,7 @@ from ..operators import cleaning, events, features, grid
 from . import adapters
 from .pipelines import (DAY_CFG, HOUR_CFG, day_backtest_base, day_baselines, day_clean, day_covariates,
                         day_features, day_grid, day_master, hour_clean, hour_covariates, hour_features,
-                        hour_grid, hour_master, hour_scope, product)
+                        hour_grid, hour_grid_phased, day_grid_phased, hour_master, hour_scope, product)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,7 +35,7 @@ def register(name: str):
 def naive_mae_by_hour(spark, sf):
     """events -> counts -> dense grid -> calendar -> lags -> seasonal naive ->
     MAE per hour of day."""
-    f = features.add_lag_features(features.add_calendar_features(hour_grid(spark, sf)), HOUR_CFG.grain)
+    f = features.add_lag_features(features.add_calendar_features(hour_grid_phased(spark, sf)), HOUR_CFG.grain)
     pred = F.coalesce(F.col("lag_168"), F.lit(0)).cast("double")
     return round6(f.groupBy("hour_of_day").agg(
         F.avg(F.abs(F.col("trips") - pred)).alias("mae"), F.count(F.lit(1)).alias("n")))
@@ -141,12 +141,12 @@ def q_station_features(spark, sf):
 
 @register("lag_features")
 def q_lags(spark, sf):
-    return round6(features.add_lag_features(hour_grid(spark, sf), HOUR_CFG.grain))
+    return round6(features.add_lag_features(hour_grid_phased(spark, sf), HOUR_CFG.grain).drop("hour_of_day"))
 
 
 @register("lag_features_daily")
 def q_lags_daily(spark, sf):
-    return round6(features.add_lag_features(day_grid(spark, sf), DAY_CFG.grain))
+    return round6(features.add_lag_features(day_grid_phased(spark, sf), DAY_CFG.grain).drop("day_of_week"))
 
 
 @register("feature_table")
@@ -510,7 +510,7 @@ def _baseline_mae(spark, sf):
     """Seasonal-naive MAE over the week before the first served day."""
     first = hour_replay_days(spark, sf)[0] + _dt.timedelta(days=1)
     start = _dt.datetime.combine(first - _dt.timedelta(days=7), _dt.time())
-    f = features.add_lag_features(hour_grid(spark, sf), HOUR_CFG.grain)
+    f = features.add_lag_features(hour_grid_phased(spark, sf), HOUR_CFG.grain)
     w = f.where((F.col("hour") >= F.lit(start)) & (F.col("hour") < F.lit(_dt.datetime.combine(first, _dt.time()))))
     return w.agg(F.avg(F.abs(F.col("trips") - F.coalesce(F.col("lag_168"), F.lit(0))))).first()[0]
 
