@@ -65,3 +65,11 @@ def compare_variants(features: DataFrame, variants: dict[str, list[str]], params
     preds = [ModelPredictor(name, flist, params, kind) for name, flist in variants.items()]
     res = bt.run_backtest(features, preds + [bt.SeasonalNaive(grain)], n_windows, grain)
     return bt.summarize(res, digits=6)
+
+
+def select_run(runs: DataFrame, prefix: str) -> DataFrame:
+    """The single run whose name starts with ``prefix``; zero or several -> error."""
+    ids = runs.where(F.col("run_name").startswith(prefix)).select("run_id").distinct().limit(2).collect()
+    if len(ids) != 1:
+        raise ValueError(f"expected exactly one run starting with {prefix!r}, found {len(ids)}")
+    return runs.where(F.col("run_id") == ids[0][0])

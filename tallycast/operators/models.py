@@ -198,3 +198,14 @@ def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
 def _active_spark():
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession()
+
+
+class ArtifactPredictor:
+    """A frozen artifact used through the backtest predictor protocol (no refit)."""
+
+    def __init__(self, artifact, name: str = "current"):
+        self.artifact, self.name = artifact, name
+
+    def predict_all(self, features: DataFrame, windows: DataFrame) -> DataFrame:
+        ev = bt.eval_rows(features, windows)
+        return self.artifact.score(ev).select("window", KEY, "hour", "trips", F.col("prediction").cast("double"))

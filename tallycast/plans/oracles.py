@@ -680,3 +680,11 @@ WHERE strftime(started_at, '%Y-%m') BETWEEN '1998-01' AND '2000-12'"""
 ORACLES["payload_to_rows"] = "WITH " + EV_COV + f" SELECT timestamp, {_round_cols(_COV)} FROM ev_cov"
 ORACLES["stream_hour_counts"] = EV_CLEAN_BASE + """ SELECT station_id, date_trunc('hour', started_at) AS hour,
   CAST(count(*) AS INTEGER) AS trips FROM ev_clean GROUP BY 1, 2"""
+
+ORACLES["busiest_series_range"] = DAY_BASE + """,
+top AS (SELECT station_id FROM (SELECT station_id, count(*) AS n FROM or_clean
+        WHERE started_at >= (SELECT max(started_at) - INTERVAL 365 DAY FROM or_clean)
+        GROUP BY 1 ORDER BY n DESC, station_id LIMIT 1))
+SELECT station_id, min(hour) AS first_hour, max(hour) AS last_hour, CAST(sum(trips) AS BIGINT) AS total_trips,
+       count(*) AS buckets FROM dg_grid WHERE station_id IN (SELECT station_id FROM top) GROUP BY 1"""
+ORACLES["recent_partitions"] = SERVE + " SELECT DISTINCT as_of FROM store ORDER BY as_of DESC LIMIT 5"

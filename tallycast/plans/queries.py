@@ -695,3 +695,28 @@ def q_stream(spark, sf):
         part.write.mode("append").parquet(landing)
         stream_hourly.run_hourly_counts(spark, landing, clean.schema, sink, ckpt)
     return stream_hourly.read_counts(spark, sink)
+
+
+@register("busiest_series_range")
+def q_busiest(spark, sf):
+    """Busiest key (top-1 by volume, ties by key) and its bucket range in the grid."""
+    top = grid.select_scope(day_clean(spark, sf), 1, DAY_CFG.scope_lookback_days)
+    g = day_grid(spark, sf).join(F.broadcast(top.select("station_id")), "station_id", "left_semi")
+    return g.groupBy("station_id").agg(F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"),
+                                      F.sum("trips").cast("bigint").alias("total_trips"),
+                                      F.count(F.lit(1)).alias("buckets"))
+
+
+@register("recent_partitions")
+def q_recent_parts(spark, sf):
+    return fc.recent_partitions(_store(spark, sf), 5)
+
+
+@register("artifact_backtest")
+def q_artifact_bt(spark, sf):
+    """The saved artifact, frozen, against seasonal naive on the windows after its cutoff."""
+    art = _artifact(spark, sf)
+    f = day_features(spark, sf)
+    cut = _dt.datetime.fromisoformat(art.metadata["train_through"])
+    after = f.where(F.col("hour") > F.lit(cut))
+    return bt.run_backtest(after, [ml.ArtifactPredictor(art), bt.SeasonalNaive(DAY_CFG.grain)], 1, DAY_CFG.grain)
