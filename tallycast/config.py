@@ -82,7 +82,8 @@ class Config:
     grain: Grain = HOUR
     covariates: tuple[str, ...] = COVARIATES
     exact_median: bool = True
-    broadcast_max_rows: int = 2_000_000
+    exact_median_max_distinct: int = 100_000
+    broadcast_max_rows: int = 500_000
     model_params: dict = field(default_factory=lambda: {"max_iter": 50, "max_depth": 6, "step_size": 0.1})
 
     def with_(self, **kw) -> "Config":

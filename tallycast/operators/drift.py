@@ -32,9 +32,26 @@ def _melt(df: DataFrame, cols: list[str], side: str) -> DataFrame:
     return complete.select(F.explode(arr).alias("kv")).select("kv.column", "kv.value", F.lit(side).alias("side"))
 
 
+def _snap_wide_columns(both: DataFrame, max_distinct: int, bins: int) -> DataFrame:
+    """Columns with more than ``max_distinct`` (estimated) distinct values are
+    snapped to ``bins`` equal-width bins between their min and max (bin
+    midpoints), so the per-column ECDF window never holds more than ``bins``
+    rows; narrower columns stay exact."""
+    st = both.groupBy("column").agg(F.approx_count_distinct("value").alias("_nd"), F.min("value").alias("_lo"),
+                                    F.max("value").alias("_hi"))
+    j = both.join(F.broadcast(st), "column")  # one row per column
+    width = (F.col("_hi") - F.col("_lo")) / bins
+    b = F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1))
+    snapped = F.col("_lo") + (b + 0.5) * width
+    return j.select("column", F.when((F.col("_nd") > max_distinct) & (width > 0), snapped)
+                    .otherwise(F.col("value")).alias("value"), "side")
+
+
 def drift_statistics(reference: DataFrame, current: DataFrame, cols: list[str], large_n: int = 1000,
-                     w1_threshold: float = 0.1, p_threshold: float = 0.05) -> DataFrame:
-    both = _melt(reference, cols, "ref").unionByName(_melt(current, cols, "cur"))
+                     w1_threshold: float = 0.1, p_threshold: float = 0.05, max_distinct: int = 1_000_000,
+                     bins: int = 100_000) -> DataFrame:
+    both = _snap_wide_columns(_melt(reference, cols, "ref").unionByName(_melt(current, cols, "cur")),
+                              max_distinct, bins)
     hist = both.groupBy("column", "value").agg(F.count_if(F.col("side") == "ref").alias("nr"),
                                                F.count_if(F.col("side") == "cur").alias("nc"))
     w = Window.partitionBy("column").orderBy("value")
