@@ -67,11 +67,15 @@ def drift_statistics(reference: DataFrame, current: DataFrame, cols: list[str],
                                  F.max("tot_r").alias("n_ref"), F.max("tot_c").alias("n_cur"))
          .join(std, "column"))
     ne = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
-    lam = (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(ne)) * F.col("ks")
-    series = sum(((-1) ** (k - 1)) * F.exp(-2.0 * k * k * lam * lam) for k in range(1, 101))
+    # lambda is materialised as a column first: the 100-term series then refers
+    # to it instead of repeating the whole expression (keeps codegen small)
+    s = s.withColumn("_lam", (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(ne)) * F.col("ks"))
+    lam2 = F.col("_lam") * F.col("_lam")
+    series = sum(((-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam2) for k in range(1, 101))
     p = F.least(F.greatest(2 * series, F.lit(0.0)), F.lit(1.0))
     return (s.withColumn("w1_norm", F.col("w1") / F.col("ref_std"))
             .withColumn("ks_pvalue", F.when(F.col("ks") == 0, F.lit(1.0)).otherwise(p))
+            .drop("_lam")
             .withColumn("test", F.when(F.col("n_ref") > large_n, F.lit("wasserstein")).otherwise(F.lit("ks")))
             .withColumn("drifted", F.when(F.col("test") == "wasserstein", F.col("w1_norm") >= w1_threshold)
                         .otherwise(F.col("ks_pvalue") < p_threshold)))

@@ -609,17 +609,16 @@ SELECT 'performance' AS gate, avg(mae) <= {_BASELINE} * 1.2 AS passed, round(avg
        CAST(0.2 AS DOUBLE) AS tolerance, count(*) AS n_days FROM daily"""
 
 
-def _drift_sql(gate: bool) -> str:
+def _drift_core(base: str) -> str:
+    """Drift statistics over a ``sides`` CTE (feature rows + side 'ref'/'cur')."""
     cols = ["temperature_2m", "precipitation", "wind_speed_10m", "lag_24", "lag_168", "roll_mean_7d"]
     notnull = " AND ".join(f"{c} IS NOT NULL" for c in cols)
     melt = " UNION ALL ".join(
         f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS value, side FROM sides WHERE {notnull}" for c in cols)
     ne = "(n_ref * n_cur / (n_ref + n_cur))"
     lam = f"((sqrt({ne}) + {D(0.12)} + {D(0.11)} / sqrt({ne})) * ks)"
-    series = "0 + " + " + ".join(f"({(-1) ** (k - 1)} * exp({D(-2.0 * k * k)} * {lam} * {lam}))" for k in range(1, 101))
-    base = FEAT_HOUR + f""",
-cs AS (SELECT CAST(CAST(max(hour) AS DATE) - 6 AS TIMESTAMP) AS t FROM feat),
-sides AS (SELECT *, CASE WHEN hour < (SELECT t FROM cs) THEN 'ref' ELSE 'cur' END AS side FROM feat),
+    series = "0 + " + " + ".join(f"({(-1) ** (k - 1)} * exp({D(-2.0 * k * k)} * ({lam} * {lam})))" for k in range(1, 101))
+    return base + f""",
 melt AS ({melt}),
 hist AS (SELECT col, value, count_if(side = 'ref') AS nr, count_if(side = 'cur') AS nc FROM melt GROUP BY ALL),
 e AS (SELECT *, sum(nr) OVER (PARTITION BY col) AS tot_r, sum(nc) OVER (PARTITION BY col) AS tot_c,
@@ -636,6 +635,12 @@ stats AS (SELECT st.col AS "column", w1, ks, n_ref, n_cur, ref_std, w1 / ref_std
                  CASE WHEN n_ref > 1000 THEN 'wasserstein' ELSE 'ks' END AS test
           FROM st JOIN sd ON st.col = sd.col),
 dr AS (SELECT *, CASE WHEN test = 'wasserstein' THEN w1_norm >= 0.1 ELSE ks_pvalue < 0.05 END AS drifted FROM stats)"""
+
+
+def _drift_sql(gate: bool) -> str:
+    base = _drift_core(FEAT_HOUR + """,
+cs AS (SELECT CAST(CAST(max(hour) AS DATE) - 6 AS TIMESTAMP) AS t FROM feat),
+sides AS (SELECT *, CASE WHEN hour < (SELECT t FROM cs) THEN 'ref' ELSE 'cur' END AS side FROM feat)""")
     if not gate:
         return base + """ SELECT "column", round(w1, 6) + 0.0 AS w1, round(ks, 6) + 0.0 AS ks, n_ref, n_cur,
   round(ref_std, 6) + 0.0 AS ref_std, round(w1_norm, 6) + 0.0 AS w1_norm, round(ks_pvalue, 6) + 0.0 AS ks_pvalue,
@@ -688,3 +693,19 @@ top AS (SELECT station_id FROM (SELECT station_id, count(*) AS n FROM or_clean
 SELECT station_id, min(hour) AS first_hour, max(hour) AS last_hour, CAST(sum(trips) AS BIGINT) AS total_trips,
        count(*) AS buckets FROM dg_grid WHERE station_id IN (SELECT station_id FROM top) GROUP BY 1"""
 ORACLES["recent_partitions"] = SERVE + " SELECT DISTINCT as_of FROM store ORDER BY as_of DESC LIMIT 5"
+
+_MON = _drift_core(FEAT_HOUR + SERVE[len(HOUR_BASE):] + """,
+refs0 AS (SELECT least(CAST((SELECT min(as_of) FROM asof_days) AS TIMESTAMP) + INTERVAL 23 HOUR,
+                       CAST((SELECT min(target_date) FROM daily) AS TIMESTAMP) - INTERVAL 1 HOUR) AS ref_end),
+refs AS (SELECT ref_end - INTERVAL 335 HOUR AS ref_start, ref_end FROM refs0),
+sides AS (
+  SELECT *, 'ref' AS side FROM feat WHERE hour BETWEEN (SELECT ref_start FROM refs) AND (SELECT ref_end FROM refs)
+  UNION ALL
+  SELECT *, 'cur' AS side FROM feat WHERE CAST(hour AS DATE) IN (SELECT target_date FROM daily))""")
+ORACLES["monitoring_summary"] = _MON + f""",
+perf AS (SELECT avg(mae) <= {_BASELINE} * (1 + 0.2) AS p FROM daily),
+drg AS (SELECT avg(CAST(drifted AS DOUBLE)) <= 0.5 AS d FROM dr)
+SELECT CASE WHEN NOT p THEN 'critical' WHEN NOT d THEN 'warning' ELSE 'ok' END AS status, p AND d AS passed,
+       'seasonal-naive-v1' AS model_version, strftime(ref_start, '%Y-%m-%d %H:%M:%S') AS reference_start,
+       strftime(ref_end, '%Y-%m-%d %H:%M:%S') AS reference_end, p AS performance_passed, d AS drift_passed
+FROM perf, drg, refs"""
