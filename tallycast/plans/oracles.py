@@ -709,3 +709,10 @@ SELECT CASE WHEN NOT p THEN 'critical' WHEN NOT d THEN 'warning' ELSE 'ok' END A
        'seasonal-naive-v1' AS model_version, strftime(ref_start, '%Y-%m-%d %H:%M:%S') AS reference_start,
        strftime(ref_end, '%Y-%m-%d %H:%M:%S') AS reference_end, p AS performance_passed, d AS drift_passed
 FROM perf, drg, refs"""
+
+ORACLES["grid_trip_total"] = HOUR_BASE + """
+SELECT CAST(sum(trips) AS BIGINT) AS grid_trips,
+       (SELECT count(*) FROM ev_clean WHERE station_id IN (SELECT station_id FROM hg_scope)) AS clean_in_scope,
+       CAST(sum(trips) AS BIGINT) = (SELECT count(*) FROM ev_clean WHERE station_id IN (SELECT station_id FROM hg_scope))
+         AS conserved
+FROM hg_grid"""

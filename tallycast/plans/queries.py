@@ -720,3 +720,12 @@ def q_artifact_bt(spark, sf):
     cut = _dt.datetime.fromisoformat(art.metadata["train_through"])
     after = f.where(F.col("hour") > F.lit(cut))
     return bt.run_backtest(after, [ml.ArtifactPredictor(art), bt.SeasonalNaive(DAY_CFG.grain)], 1, DAY_CFG.grain)
+
+
+@register("grid_trip_total")
+def q_grid_total(spark, sf):
+    """Conservation: trips in the hourly grid equal the clean in-scope rows."""
+    g = hour_grid(spark, sf).agg(F.sum("trips").cast("bigint").alias("grid_trips"))
+    c = hour_clean(spark, sf).join(F.broadcast(hour_scope(spark, sf).select("station_id")), "station_id", "left_semi")
+    n = c.agg(F.count(F.lit(1))).scalar()
+    return g.withColumn("clean_in_scope", n).withColumn("conserved", F.col("grid_trips") == F.col("clean_in_scope"))
