@@ -66,8 +66,32 @@ def holiday_name(date_col: Column) -> Column:
     return expr
 
 
+def _is_fixed(d: Column) -> Column:
+    md = F.date_format(d, "MM-dd")
+    always = [f"{m:02d}-{day:02d}" for _, m, day, since in FIXED_HOLIDAYS if since is None]
+    cond = md.isin(*always)
+    for _, m, day, since in FIXED_HOLIDAYS:
+        if since is not None:
+            cond = cond | ((md == f"{m:02d}-{day:02d}") & (F.year(d) >= since))
+    return cond
+
+
 def is_holiday(date_col: Column) -> Column:
-    return holiday_name(date_col).isNotNull()
+    """Holiday flag as a compact expression (same calendar as ``holiday_name``):
+    fixed dates, their Friday/Monday observances, and n-th weekday rules as a
+    (month/weekday/week-of-month) key lookup. Kept small because it is part of
+    every feature plan."""
+    d = date_col
+    dow = iso_dow(d)
+    nth_keys = [f"{m}/{w}/{(lo + 6) // 7}" for _, m, w, lo, hi in WEEKDAY_HOLIDAYS if hi - lo == 6 and lo % 7 == 1]
+    key = F.concat_ws("/", F.month(d).cast("string"), dow.cast("string"),
+                      F.ceil(F.dayofmonth(d) / 7).cast("string"))
+    last = [(m, w, lo) for _, m, w, lo, hi in WEEKDAY_HOLIDAYS if not (hi - lo == 6 and lo % 7 == 1)]
+    cond = _is_fixed(d) | key.isin(*nth_keys)
+    for m, w, lo in last:
+        cond = cond | ((F.month(d) == m) & (dow == w) & (F.dayofmonth(d) >= lo))
+    cond = cond | ((dow == 5) & _is_fixed(F.date_add(d, 1))) | ((dow == 1) & _is_fixed(F.date_sub(d, 1)))
+    return cond
 
 
 def holiday_calendar(spark: SparkSession, first_year: Column | int, last_year: Column | int) -> DataFrame:
