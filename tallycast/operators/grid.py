@@ -9,7 +9,7 @@ from pyspark.sql import Window
 
 from ..config import Config, Grain
 from ..functions.calendar import phase_expr
-from ..functions.exprs import bounded_broadcast, bucket, month_str
+from ..functions.exprs import bounded_broadcast, bucket, checked_broadcast, month_str
 
 
 def _zero_fill(zeros: DataFrame, counts: DataFrame, key: str, phase: Grain | None) -> DataFrame:
@@ -105,37 +105,40 @@ def assert_grid_complete(grid: DataFrame, key: str = "station_id") -> None:
         raise ValueError(f"grid is not dense: {r['n_rows']} rows != {r['n_keys']} x {r['n_hours']}")
 
 
-def _medians(clean: DataFrame, key: str, cols: list[str], exact: bool, max_distinct: int) -> DataFrame:
-    """Per-key medians of ``cols``. Exact medians keep a value -> count map per
-    key, so they are only used for keys whose (HyperLogLog-estimated) number
-    of distinct values is at most ``max_distinct``; keys with wider domains
-    (e.g. GPS noise on a hot key) use ``percentile_approx`` with a bounded
-    sketch. No key's raw values are ever gathered into one task unbounded."""
-    approx = lambda c: F.percentile_approx(c, 0.5, 10_000).cast("double").alias(c)
-    if not exact:
-        return clean.groupBy(key).agg(*[approx(c) for c in cols])
-    width = clean.groupBy(key).agg(F.greatest(*[F.approx_count_distinct(c) for c in cols]).alias("_w"))
-    narrow = width.where(F.col("_w") <= max_distinct).select(key)
-    exact_part = clean.join(narrow, key, "left_semi").groupBy(key).agg(
-        *[F.median(c).cast("double").alias(c) for c in cols])
-    wide_part = clean.join(narrow, key, "left_anti").groupBy(key).agg(*[approx(c) for c in cols])
-    return exact_part.unionByName(wide_part)
-
-
 def station_master(clean: DataFrame, cfg: Config | None = None, key: str = "station_id") -> DataFrame:
     """Per key: modal non-null name (ties -> smallest), median coordinates,
-    volume, first/last ``yyyy-MM``. All parts are partial aggregates; see
-    ``_medians`` for the bounded exact-median rule."""
+    volume, first/last ``yyyy-MM``. All parts are partial aggregates.
+
+    Medians: Spark's exact ``median`` keeps a value -> count map per key, so it
+    is only fed the values of keys whose (HyperLogLog-estimated) number of
+    distinct coordinates is at most ``exact_median_max_distinct``; wider keys
+    (e.g. GPS noise on a hot key) feed a bounded ``percentile_approx`` sketch.
+    Two passes: the per-key summary (with the estimate), then one median
+    aggregation over the rows joined to the per-key flag (a dimension-sized,
+    count-checked broadcast)."""
     exact = cfg.exact_median if cfg is not None else True
     max_distinct = cfg.exact_median_max_distinct if cfg is not None else 100_000
+    max_rows = cfg.broadcast_max_rows if cfg is not None else 500_000
     base = clean.groupBy(key).agg(
         F.mode("start_station_name", True).alias("name"),
         F.count(F.lit(1)).alias("total_trips"),
         month_str(F.min("started_at")).alias("first_month"),
-        month_str(F.max("started_at")).alias("last_month"))
-    med = _medians(clean.select(key, F.col("start_lat").alias("lat"), F.col("start_lng").alias("lng")),
-                   key, ["lat", "lng"], exact, max_distinct)
-    return base.join(med, key, "left").select(key, "name", "lat", "lng", "total_trips", "first_month", "last_month")
+        month_str(F.max("started_at")).alias("last_month"),
+        F.greatest(F.approx_count_distinct("start_lat"), F.approx_count_distinct("start_lng")).alias("_w"))
+    if exact:
+        base = base.persist()
+        flags = base.select(key, (F.col("_w") <= max_distinct).alias("_small"))
+        rows = clean.select(key, "start_lat", "start_lng").join(checked_broadcast(flags, max_rows), key)
+    else:
+        rows = clean.select(key, "start_lat", "start_lng").withColumn("_small", F.lit(False))
+
+    def med(c):
+        small = F.median(F.when(F.col("_small"), F.col(c)))
+        wide = F.percentile_approx(F.when(~F.col("_small"), F.col(c)), 0.5, 10_000)
+        return F.coalesce(small, wide).cast("double")
+
+    meds = rows.groupBy(key).agg(med("start_lat").alias("lat"), med("start_lng").alias("lng"))
+    return base.join(meds, key, "left").select(key, "name", "lat", "lng", "total_trips", "first_month", "last_month")
 
 
 def station_month_panel(clean: DataFrame, key: str = "station_id",
