@@ -79,10 +79,26 @@ def add_lag_features(df: DataFrame, grain: Grain, key: str = "station_id", ts: s
 
 def build_features(grid: DataFrame, covariates: DataFrame | None, master: DataFrame | None,
                    cfg: Config, check: bool = True, key: str = "station_id") -> DataFrame:
-    """grid -> calendar -> covariates -> station coordinates -> lags."""
+    """grid -> calendar -> covariates -> station coordinates -> lags.
+
+    With ``check`` the result is persisted (it is a reused data product) and
+    the covariate coverage gate runs on the persisted rows, so the gate does
+    not re-run the joins."""
     df = add_calendar_features(grid)
     if covariates is not None:
-        df = add_covariates(df, covariates, cfg, check)
+        cov = covariates.withColumnRenamed("timestamp", "hour")
+        cov = checked_broadcast(cov, cfg.broadcast_max_rows) if check else cov
+        df = df.join(cov, "hour", "left")
     if master is not None:
         df = add_station_features(df, master, cfg if check else None, key)
-    return add_lag_features(df, cfg.grain, key)
+    out = add_lag_features(df, cfg.grain, key)
+    if check and covariates is not None:
+        from pyspark import StorageLevel
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        first = [c for c in covariates.columns if c != "timestamp"][0]
+        rate = covariate_match_rate(out, first).first()["match_rate"]
+        if rate is None or rate < cfg.min_covariate_match:
+            out.unpersist()
+            raise ValueError(f"covariate join matched only {0 if rate is None else rate:.1%} of rows; "
+                             "time zone mismatch or missing coverage")
+    return out
