@@ -28,3 +28,24 @@ def test_plans_prune_and_avoid_nested_loops(spark):
     assert "value" not in schema and "props" not in schema and "ts:" not in schema
     g = pipelines.hour_grid(spark, SF, trim=False)
     assert g.count() > 0
+
+
+def test_grid_to_lag_window_has_one_exchange(spark):
+    import datetime as dt
+
+    from tallycast.config import HOUR
+    from tallycast.operators import features, grid
+
+    rows = [("A", dt.datetime(2025, 1, 1) + dt.timedelta(minutes=37 * i)) for i in range(300)]
+    rows += [("B", dt.datetime(2025, 1, 2) + dt.timedelta(minutes=53 * i)) for i in range(200)]
+    clean = spark.createDataFrame(rows, "station_id string, started_at timestamp_ntz")
+    scope = grid.select_scope(clean, 10)
+    counts = grid.series_counts(clean, scope, HOUR)
+    g = grid.lifetime_grid(counts, clean, scope, HOUR, phase=HOUR)
+    f = features.add_lag_features(features.add_calendar_features(g), HOUR)
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    window_part = plan.split("Window [")[1]
+    # between the window and the zero-fill aggregation there is exactly one exchange
+    head = window_part.split("HashAggregate")[0]
+    assert head.count("Exchange hashpartitioning") <= 1
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
