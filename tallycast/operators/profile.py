@@ -139,15 +139,36 @@ def zero_inflation(grid: DataFrame, by_month: bool = False) -> DataFrame:
                                    F.avg("trips").alias("avg_trips"))
 
 
+def distributed_rank(df: DataFrame, order: list, value: str, partitions: int | None = None) -> DataFrame:
+    """Global rank 1..n and running sum of ``value`` in ``order`` without a
+    single-partition window: range-partition by the order, rank and sum
+    within each partition, then add the offsets of all earlier partitions
+    (a table with one row per partition)."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    ranged = ranged.persist()  # the partition id must be the same in both uses below
+    local = Window.partitionBy("_pid").orderBy(*order)
+    ranked = (ranged.withColumn("_rn", F.row_number().over(local))
+              .withColumn("_cs", F.sum(value).over(local.rowsBetween(Window.unboundedPreceding, 0))))
+    totals = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = totals.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
+                            F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_off_s"))
+    return (ranked.join(F.broadcast(offsets), "_pid")
+            .withColumn("rank", (F.col("_off_n") + F.col("_rn")).cast("int"))
+            .withColumn("running", F.col("_off_s") + F.col("_cs"))
+            .drop("_pid", "_rn", "_cs", "_off_n", "_off_s"))
+
+
 def volume_ranking(clean: DataFrame, lookback_days: int = 365, key: str = "station_id") -> DataFrame:
     """Per key volume in the lookback, rank 1..n by volume (ties by key) and
-    cumulative share. Runs on the per-key aggregate, not on rows."""
+    cumulative share, ranked with ``distributed_rank`` (no single-task window)."""
     cutoff = clean.select(F.timestamp_add("DAY", F.lit(-lookback_days), F.max("started_at"))).scalar()
     vol = clean.where(F.col("started_at") >= cutoff).groupBy(key).agg(F.count(F.lit(1)).alias("trips"))
-    w = Window.orderBy(F.desc("trips"), F.asc(key))
     total = vol.agg(F.sum("trips")).scalar()
-    return (vol.withColumn("rank", F.row_number().over(w))
-            .withColumn("cum_share", F.sum("trips").over(w.rowsBetween(Window.unboundedPreceding, 0)) / total))
+    r = distributed_rank(vol, [F.desc("trips"), F.asc(key)], "trips")
+    return r.withColumn("cum_share", F.col("running") / total).drop("running")
 
 
 def share_at_and_rank_for(ranking: DataFrame, target: float = 0.65, ns=(100, 150, 200, 250, 300)) -> DataFrame:

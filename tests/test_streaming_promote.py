@@ -72,3 +72,16 @@ def test_select_run_and_leaderboard(spark, tmp_path):
     with pytest.raises(ValueError, match="exactly one"):
         ex.select_run(table, "sweep")
     assert [c for c, _ in ex.sweep_candidates({"a": 1, "b": 2}, {"a": [1, 3], "b": [5]})] == ["base", "a=3", "b=5"]
+
+
+def test_distributed_rank_equals_global_window(spark):
+    from pyspark.sql import Window
+    rows = [(f"k{i:04d}", (i * 7919) % 37) for i in range(1000)]
+    df = spark.createDataFrame(rows, "station_id string, trips bigint")
+    order = [F.desc("trips"), F.asc("station_id")]
+    got = {r.station_id: (r.rank, r.running) for r in profile.distributed_rank(df, order, "trips", 7).collect()}
+    w = Window.orderBy(*order)
+    want = {r.station_id: (r.rk, r.rs) for r in df.select(
+        "station_id", F.row_number().over(w).alias("rk"),
+        F.sum("trips").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs")).collect()}
+    assert got == want
