@@ -716,3 +716,5 @@ SELECT CAST(sum(trips) AS BIGINT) AS grid_trips,
        CAST(sum(trips) AS BIGINT) = (SELECT count(*) FROM ev_clean WHERE station_id IN (SELECT station_id FROM hg_scope))
          AS conserved
 FROM hg_grid"""
+
+ORACLES["stream_ingest_trips"] = ORACLES["trip_csv_roundtrip"]

@@ -656,6 +656,33 @@ def q_csv_roundtrip(spark, sf):
     return src_trips.read_trip_csv(spark, landing)
 
 
+def _land_trips_csv(t, landing: str, mode: str = "overwrite") -> None:
+    out = []
+    for c in TRIP_COLUMNS:
+        v = F.col(c)
+        if c in ("started_at", "ended_at"):
+            v = F.date_format(v, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        if dict(t.dtypes)[c] != "double":
+            v = F.coalesce(v.cast("string"), F.lit("NULL"))
+        out.append(v.alias(c))
+    t.select(*out).write.mode(mode).option("header", True).csv(landing)
+
+
+@register("stream_ingest_trips")
+def q_stream_ingest(spark, sf):
+    """Trips land as CSV files in two drops; the availableNow file stream
+    ingests each file exactly once into the per-month Parquet table."""
+    from ..streaming.ingest import ingest_trip_files
+    t = adapters.events_trips(spark, sf)
+    landing, out, ckpt = shared_dir(spark, "ingest-landing"), shared_dir(spark, "ingest-out"), shared_dir(spark, "ingest-ckpt")
+    mid = _dt.datetime(2024, 1, 16)
+    _land_trips_csv(t.where(F.col("started_at") < F.lit(mid)), landing, "append")
+    ingest_trip_files(spark, landing, out, ckpt)
+    _land_trips_csv(t.where(F.col("started_at") >= F.lit(mid)), landing, "append")
+    ingest_trip_files(spark, landing, out, ckpt)
+    return spark.read.parquet(out).select(*TRIP_COLUMNS)
+
+
 @register("incremental_months")
 def q_incremental(spark, sf):
     """Months offered by the landed file names (YYYYMM-...zip) within the

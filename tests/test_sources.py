@@ -84,3 +84,17 @@ def test_payload_reshaping_and_month_bounds(spark, tmp_path):
     bad.write_text(json.dumps({"daily": {}}))
     with pytest.raises(ValueError, match="hourly"):
         sw.read_payloads(spark, str(bad))
+
+
+def test_stream_ingestion_reads_each_file_once(spark, tmp_path):
+    from tallycast.streaming.ingest import ingest_trip_files
+    landing, out, ckpt = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    landing.mkdir()
+    (landing / "a.csv").write_text(HEADER + "\n" + ROWS[0] + "\n")
+    ingest_trip_files(spark, str(landing), out, ckpt)
+    (landing / "b.csv").write_text(HEADER + "\n" + ROWS[1] + "\n")
+    ingest_trip_files(spark, str(landing), out, ckpt)
+    ingest_trip_files(spark, str(landing), out, ckpt)
+    got = spark.read.parquet(out)
+    assert sorted(r.ride_id for r in got.collect()) == ["r1", "r2"]
+    assert [r.month for r in got.select("month").distinct().collect()] == ["2025-06"]
