@@ -154,8 +154,7 @@ def hour_store(spark: SparkSession, sf: str) -> str:
 
     path = shared_dir(spark, "store")
     art = NaiveArtifact(HOUR_CFG.grain.naive_lag)
-    for d in hour_replay_days(spark, sf):
-        fc.run_batch_predict(d, hour_grid(spark, sf), hour_covariates(spark, sf), hour_master(spark, sf),
-                             HOUR_CFG, art, art.metadata, path)
+    fc.run_batch_predict_days(hour_replay_days(spark, sf), hour_grid(spark, sf), hour_covariates(spark, sf),
+                              hour_master(spark, sf), HOUR_CFG, art, art.metadata, path)
     _PRODUCTS[key] = path
     return path

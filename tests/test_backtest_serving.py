@@ -105,3 +105,21 @@ def test_performance_gate_both_ways(spark):
     assert not gates.performance_gate(daily, 0.9, 0.2).first().passed
     with pytest.raises(ValueError):
         gates.performance_gate(daily, 0.0)
+
+
+def test_multi_day_store_write_matches_single_days(spark, tmp_path):
+    hist = serving_world(spark)
+    art = NaiveArtifact("lag_168")
+    days = [dt.date(2025, 2, 5), dt.date(2025, 2, 6)]
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    for d in days:
+        fc.run_batch_predict(d, hist, None, None, DEFAULT, art, art.metadata, a)
+    st = fc.run_batch_predict_days(days, hist, None, None, DEFAULT, art, art.metadata, b)
+    assert set(st.values()) == {"written"}
+    assert set(fc.run_batch_predict_days(days, hist, None, None, DEFAULT, art, art.metadata, b).values()) == {"skipped"}
+    cols = ["as_of", "station_id", "hour", "prediction", "model_version"]
+    assert sorted(map(tuple, fc.read_store(spark, a).select(cols).collect())) == \
+        sorted(map(tuple, fc.read_store(spark, b).select(cols).collect()))
+    other = NaiveArtifact("lag_168", version="v9")
+    with pytest.raises(ValueError, match="belongs to model version"):
+        fc.run_batch_predict_days(days, hist, None, None, DEFAULT, other, other.metadata, b)
