@@ -196,10 +196,16 @@ def run_batch_predict_days(days: list[dt.date], history: DataFrame, covariates:
     if bad:
         raise ValueError(f"recent history is incomplete for as_of {sorted(r['as_of'] for r in bad)}")
     frames = None
-    for i, d in enumerate(pending):
-        f = build_inference_features(history, covariates, master, d, cfg, check=(i == 0))
-        f = model.score(f).select(F.lit(d).alias("as_of"), KEY, "hour", F.col("prediction").cast("double"))
-        frames = f if frames is None else frames.unionByName(f)
+    for d in pending:  # coverage was validated above for every pending day
+        f = build_inference_features(history, covariates, master, d, cfg, check=False)
+        frames = f.withColumn("as_of", F.lit(d)) if frames is None else frames.unionByName(f.withColumn("as_of", F.lit(d)))
+    if covariates is not None:
+        first = [c for c in covariates.columns if c != "timestamp"][0]
+        frames = frames.persist()
+        rate = frames.agg(F.avg(F.col(first).isNotNull().cast("double"))).first()[0]
+        if rate is None or rate < cfg.min_covariate_match:
+            raise ValueError(f"covariate join matched only {0 if rate is None else rate:.1%} of future rows")
+    frames = model.score(frames).select("as_of", KEY, "hour", F.col("prediction").cast("double"))
     created_at = dt.datetime.now(dt.timezone.utc).isoformat()
     out = frames.select("as_of", KEY, "hour", "prediction", F.lit(version).alias("model_version"),
                         F.lit(created_at).alias("created_at"))
