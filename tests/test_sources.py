@@ -17,8 +17,8 @@ ROWS = [
 
 
 def test_month_from_key(spark):
-    df = spark.createDataFrame([("202406-divvy-tripdata.zip",), ("s3/x/202312-tripdata.zip",), ("notes.txt",),
-                                ("2024-06-divvy.zip",)], "path string")
+    df = spark.createDataFrame([("202406-city-tripdata.zip",), ("s3/x/202312-tripdata.zip",), ("notes.txt",),
+                                ("2024-06-city.zip",)], "path string")
     got = [r.m for r in df.select(st.month_from_key(F.col("path")).alias("m")).collect()]
     assert got == ["2024-06", "2023-12", None, None]
 
@@ -26,9 +26,9 @@ def test_month_from_key(spark):
 def test_zip_traps(spark, tmp_path):
     z = tmp_path / "landing"
     z.mkdir()
-    with zipfile.ZipFile(z / "202506-divvy-tripdata.zip", "w") as zf:
-        zf.writestr("202506-divvy-tripdata.csv", HEADER + "\n" + "\n".join(ROWS) + "\n")
-        zf.writestr("__MACOSX/._202506-divvy-tripdata.csv", "junk")
+    with zipfile.ZipFile(z / "202506-city-tripdata.zip", "w") as zf:
+        zf.writestr("202506-city-tripdata.csv", HEADER + "\n" + "\n".join(ROWS) + "\n")
+        zf.writestr("__MACOSX/._202506-city-tripdata.csv", "junk")
     df = st.read_trip_zips(spark, str(z)).orderBy("ride_id").collect()
     assert len(df) == 2
     assert df[1].started_at == dt.datetime(2025, 6, 1, 9, 0, 0)  # fractional seconds stripped
