@@ -20,8 +20,3 @@ def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
 def normalize_name(c: Column) -> Column:
     """lower case, '&' -> 'and', all whitespace removed, null -> ''."""
     return F.regexp_replace(F.replace(F.lower(F.coalesce(c, F.lit(""))), F.lit("&"), F.lit("and")), r"\s+", "")
-
-
-def grid_bin(c: Column, per_degree: int = 1000) -> Column:
-    """Bin index by truncation toward zero (as an int cast does)."""
-    return (c * per_degree).cast("int")

@@ -27,12 +27,6 @@ def removal_report(trips: DataFrame, cfg: Config) -> DataFrame:
                      *[F.count_if(~rule).alias(name) for name, rule in rules.items()])
 
 
-def assert_unique_key(df: DataFrame, key: str, what: str) -> None:
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError(f"{what}: duplicate {key} values would multiply joined rows")
-
-
 def clean_trips(trips: DataFrame, cfg: Config, mapping: DataFrame | None = None,
                 guard: bool = True) -> DataFrame:
     """Apply all survival rules and map raw keys to canonical ones
