@@ -756,3 +756,12 @@ def q_grid_total(spark, sf):
     c = hour_clean(spark, sf).join(F.broadcast(hour_scope(spark, sf).select("station_id")), "station_id", "left_semi")
     n = c.agg(F.count(F.lit(1))).scalar()
     return g.withColumn("clean_in_scope", n).withColumn("conserved", F.col("grid_trips") == F.col("clean_in_scope"))
+
+
+@register("served_error_by_hour")
+def q_served_by_hour(spark, sf):
+    """Served-forecast error by hour of day (hourly store vs. actuals)."""
+    detail = fc.prediction_actual_table(_store(spark, sf), hour_grid(spark, sf))
+    return round6(detail.groupBy(F.hour("hour").cast("int").alias("hour_of_day")).agg(
+        F.avg("absolute_error").alias("mae"), F.avg("actual").alias("avg_trips"),
+        F.avg(F.col("prediction") - F.col("actual")).alias("mean_bias"), F.count(F.lit(1)).alias("n")))
