@@ -528,13 +528,12 @@ ORACLES["flatten_mapping"] = SPATIAL + " SELECT * FROM flat"
 
 
 def _guards(src: str) -> str:
+    chains = f"(SELECT count(*) FROM {src} WHERE canonical_station_id IN (SELECT raw_station_id FROM {src}))"
+    selfm = "coalesce(count_if(raw_station_id = canonical_station_id), 0)"
     return f"""
 SELECT count(*) AS rows, count(*) - count(DISTINCT raw_station_id) AS duplicate_raw_ids,
-       count_if(raw_station_id = canonical_station_id) AS self_maps, count(DISTINCT canonical_station_id) AS targets,
-       (SELECT count(*) FROM {src} WHERE canonical_station_id IN (SELECT raw_station_id FROM {src})) AS chains,
-       count(*) - count(DISTINCT raw_station_id) = 0
-         AND (SELECT count(*) FROM {src} WHERE canonical_station_id IN (SELECT raw_station_id FROM {src})) = 0
-         AND count_if(raw_station_id = canonical_station_id) = 0 AS passed
+       {selfm} AS self_maps, count(DISTINCT canonical_station_id) AS targets, {chains} AS chains,
+       count(*) - count(DISTINCT raw_station_id) = 0 AND {chains} = 0 AND {selfm} = 0 AS passed
 FROM {src}"""
 
 
@@ -593,11 +592,31 @@ SELECT k.station_id, c.n_rows, c.n_hours, c.first_hour, c.last_hour,
        AND c.first_hour IS NOT DISTINCT FROM (SELECT start FROM hs)
        AND c.last_hour IS NOT DISTINCT FROM (SELECT last FROM lk) AS complete
 FROM keys k LEFT JOIN cov c ON k.station_id = c.station_id"""
-ORACLES["inference_features"] = FEAT_HOUR + f""",
-lastday AS (SELECT CAST(max(hour) AS DATE) AS d FROM hg_grid)
+def _inference_sql() -> str:
+    g = DEFAULT.grain
+    lags = ",\n         ".join(
+        f"(SELECT trips FROM hg_grid h WHERE h.station_id = f.station_id AND h.hour = f.hour - INTERVAL {l} HOUR) AS lag_{l}"
+        for l in g.lags)
+    rolls = ",\n         ".join(
+        f"(SELECT avg(trips) FROM hg_grid h WHERE h.station_id = f.station_id AND hour(h.hour) = hour(f.hour)"
+        f" AND h.hour BETWEEN f.hour - INTERVAL {24 * k} HOUR AND f.hour - INTERVAL 24 HOUR) AS {g.roll_name(k)}"
+        for k in g.rolling)
+    return HOUR_BASE + "," + EV_COV + "," + station_master_cte("sm", "ev_clean") + f""",
+lk AS (SELECT CAST(CAST(max(hour) AS DATE) - 1 AS TIMESTAMP) + INTERVAL 23 HOUR AS last FROM hg_grid),
+keys AS (SELECT DISTINCT station_id FROM hg_grid WHERE hour <= (SELECT last FROM lk)),
+fut AS (SELECT k.station_id, unnest(generate_series((SELECT last FROM lk) + INTERVAL 1 HOUR,
+                                                    (SELECT last FROM lk) + INTERVAL 24 HOUR, INTERVAL 1 HOUR)) AS hour
+        FROM keys k),
+fl AS (SELECT f.station_id, f.hour, {lags},
+         {rolls} FROM fut f),
+feat AS (SELECT fl.*, {calendar_cols('fl.hour')}, c.temperature_2m, c.precipitation, c.snowfall, c.wind_speed_10m,
+                c.relative_humidity_2m, m.lat, m.lng
+         FROM fl LEFT JOIN ev_cov c ON fl.hour = c.timestamp LEFT JOIN sm m ON fl.station_id = m.station_id)
 SELECT station_id, hour, CAST(NULL AS INTEGER) AS trips, hour_of_day, day_of_week, month, is_weekend, is_holiday,
-       {", ".join(f"lag_{h}" for h in DEFAULT.grain.lags)}, {_round_cols(_FEAT_D)}
-FROM feat WHERE CAST(hour AS DATE) = (SELECT d FROM lastday)"""
+       {", ".join(f"lag_{h}" for h in g.lags)}, {_round_cols(_FEAT_D)} FROM feat"""
+
+
+ORACLES["inference_features"] = _inference_sql()
 
 _BASELINE = """(SELECT avg(abs(trips - coalesce(l168, 0))) FROM (
    SELECT hour, trips, lag(trips, 168) OVER (PARTITION BY station_id ORDER BY hour) AS l168 FROM hg_grid)
