@@ -4,7 +4,8 @@ The library never creates its own cluster settings beyond what a job needs:
 time is naive (``TIMESTAMP_NTZ``) and the session zone is pinned to UTC so
 ``date_trunc`` round trips are lossless. The checkpoint folder is read from
 the session (``spark.checkpoint.dir``); a private folder is only created when
-nothing is configured, which is the case in local tests.
+nothing is configured and the master is local, as in tests. On a cluster an
+unset folder is an error.
 """
 
 from __future__ import annotations
@@ -49,20 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring it from the session.
 
     Order: already set on the context -> ``spark.checkpoint.dir`` from the
-    session/cluster conf -> (only when both are unset, i.e. local tests) a
-    fresh private folder.
+    cluster or session conf -> with a ``local`` master only, a fresh private
+    folder. Elsewhere executors could not see such a folder, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
-    if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tallycast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
