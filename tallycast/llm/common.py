@@ -41,32 +41,30 @@ def string_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(kind).to_pylist()]
 
 
-def running_total(df: DataFrame, keys: list[str], order: Column, value: Column, out: str,
-                  rows_per_bucket: int = 20_000, total_rows: int | None = None) -> DataFrame:
-    """Adds ``out``: the sum of ``value`` over the rows of the same ``keys``
-    that come before this row in ``order``, a 64-bit hash that is uniform
-    within every key (ties are broken by the other columns' order being fixed
-    by the caller: ``order`` must be unique within a key).
-
-    The hash's top bits cut every key into buckets of about
-    ``rows_per_bucket`` rows, so a key that holds a third of all rows is summed
-    by many tasks; the offsets come from a table with one row per bucket.
+def running_totals(df: DataFrame, keys: list[str], order: Column, values: dict[str, Column], total_rows: int,
+                   rows_per_bucket: int = 20_000) -> DataFrame:
+    """Adds for every ``values`` item a column with its sum over the rows of the
+    same ``keys`` (null is a key) that come before this row in ``order``, a
+    64-bit hash that is uniform within every key. Rows with equal hashes must be
+    interchangeable.
+
+    The hash's top bits cut every key into buckets, so a key that holds a third
+    of all rows is summed by many tasks; offsets come from a table with one row
+    per key and bucket.
     """
-    n = df.count() if total_rows is None else total_rows
-    bits = max(0, min(40, (max(n, 1) // rows_per_bucket).bit_length()))
+    bits = min(40, (max(total_rows, 1) // rows_per_bucket).bit_length())
     bucket = F.shiftrightunsigned(order, 64 - bits) if bits else F.lit(0).cast("long")
-    cut = df.withColumns({"_order": order, "_bucket": bucket, "_value": value})
-    per = cut.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_sum"))
-    # unsigned order of the hash: buckets are non-negative, rows inside a bucket share their top bits
+    cut = df.withColumns({"_order": order, "_bucket": bucket} | {f"_v_{k}": v for k, v in values.items()})
+    per = cut.groupBy(*keys, "_bucket").agg(*[F.sum(f"_v_{k}").alias(f"_s_{k}") for k in values])
+    # buckets are non-negative, and rows of one bucket share the hash's sign, so signed order serves
     w = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_bucket").alias("_b"),
-                         F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_offset"))
+                         *[F.coalesce(F.sum(f"_s_{k}").over(w), F.lit(0)).alias(f"_o_{k}") for k in values])
     inner = Window.partitionBy(*keys, "_bucket").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
-    local = cut.withColumn("_before", F.coalesce(F.sum("_value").over(inner), F.lit(0)))
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_bucket") == F.col("_b")]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
+    local = cut.withColumns({f"_l_{k}": F.coalesce(F.sum(f"_v_{k}").over(inner), F.lit(0)) for k in values})
+    cond = F.col("_bucket") == F.col("_b")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     return (local.join(offsets, cond, "inner")
-            .withColumn(out, F.col("_before") + F.col("_offset"))
-            .drop("_order", "_bucket", "_value", "_before", "_offset", "_b", *[f"_k{i}" for i in range(len(keys))]))
+            .withColumns({k: F.col(f"_l_{k}") + F.col(f"_o_{k}") for k in values})
+            .select(*df.columns, *values))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash_bytes
-from .common import read_table
+from . import byte_cnn, mixing_tree, simhash_bytes, toxicity
+from .common import is_held_out, read_table
 
 REGISTRY = {}
 
@@ -15,6 +16,30 @@ def query(fn):
     return fn
 
 
+def _scored(df: DataFrame, at: float) -> DataFrame:
+    return df.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
+                     (F.col("score") >= at).cast("int").alias("predicted"))
+
+
+@query
+def op2_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return _scored(toxicity.score(docs, model, ["doc_id"]), toxicity.TOXIC_AT)
+
+
 @query
 def op6_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bytes.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = byte_cnn.train(docs, read_table(spark, sf_dir, "labels"))
+    return _scored(byte_cnn.score(docs, model, ["doc_id"]), byte_cnn.KEEP_AT)
+
+
+@query
+def op10_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_tree.taken_words(mixing_tree.mix(read_table(spark, sf_dir, "documents")))
