@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_cnn, chat_events, mixing_tree, sharding, simhash_bytes, toxicity, warc_zip
+from . import byte_cnn, chat_events, license_rules, mixing_tree, sharding, simhash_bytes, syncmers, toxicity, warc_zip
 from .common import is_held_out, read_table
 
 REGISTRY = {}
@@ -53,11 +53,21 @@ def op4_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query
+def op5_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bytes.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_license_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")

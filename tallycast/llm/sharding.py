@@ -18,10 +18,10 @@ distributed (``ordered_ranks``): no shard and no group is sorted in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ordered_ranks, stored
 
 SHARDS = 16
 ROUNDS = 4
@@ -32,23 +32,6 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text.cast("string")), F.lit(0)).cast("long") + 1
 
 
-def ordered_ranks(df: DataFrame, order: list[Column], out: str) -> DataFrame:
-    """Adds ``out``: 0, 1, 2 ... in ``order`` over the whole table. Rows are
-    range-partitioned and numbered per partition; the offsets come from one row
-    per partition. The ranges' table is written once, so the sampled bounds
-    cannot differ between the two uses."""
-    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    parts = stored(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                   .withColumn("_at", F.monotonically_increasing_id()), "ranked")
-    parts = parts.withColumns({"_part": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
-    sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    # one row per range partition is broadcast
-    return (parts.join(F.broadcast(offsets), F.col("_part") == F.col("_p"))
-            .withColumn(out, F.col("_row") + F.col("_offset")).drop("_at", "_part", "_row", "_p", "_offset"))
-
-
 def _start(key: Column, shards: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shards)).cast("int")
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from tallycast.llm import sharding as S
+from tallycast.llm.common import ordered_ranks
 
 
 def corpus(n=600):
@@ -51,7 +52,7 @@ def test_propagation_without_pressure_joins_every_group(spark):
 
 def test_ranks_small_and_empty(spark):
     df = spark.range(50).select((F.col("id") * 7 % 50).alias("v"))
-    assert all(r.v == r.k for r in S.ordered_ranks(df, [F.col("v")], "k").collect())
+    assert all(r.v == r.k for r in ordered_ranks(df, [F.col("v")], "k").collect())
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert S.shard_documents(empty).collect() == []
     few = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "doc_id long, text string")
