@@ -46,6 +46,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def share_code(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it,
+    whatever folder the driver runs in (on a cluster: where that path exists;
+    otherwise the package is installed or shipped there as usual)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring it from the session.
 
@@ -53,6 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cluster or session conf -> with a ``local`` master only, a fresh private
     folder. Elsewhere executors could not see such a folder, so it raises.
     """
+    share_code(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
