@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_cnn, chat_events, license_rules, mixing_tree, sharding, simhash_bytes, syncmers, toxicity, warc_zip
+from . import (byte_cnn, chat_events, latent_decontam, license_rules, mixing_tree, sharding, simhash_bytes, syncmers, toxicity,
+               warc_zip)
 from .common import is_held_out, read_table
 
 REGISTRY = {}
@@ -68,6 +69,12 @@ def op7_license_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = latent_decontam.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("cosine", 4).alias("cosine"), "lcs_words", "item_words", "from_word")
+
+
 @query
 def op9_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")

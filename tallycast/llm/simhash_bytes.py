@@ -161,12 +161,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_per_group(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each group of near
-    duplicates is kept: the one whose id names the component (its columns
-    unchanged; of repeated rows with that id one stays; rows without an id
-    stay, as nothing names them)."""
-    found = near_duplicates(docs.select("doc_id", "text"), **params)
-    keep = (found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_n")))
-    once = docs.join(keep.filter("_n = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(keep.filter("_n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    """``docs`` without the near duplicates of another: of each group the
+    document whose id names the component stays, columns unchanged. Rows that
+    share an id stay or go together, equal ones of them once; rows without an id
+    stay, as nothing names them."""
+    found = stored(near_duplicates(docs.select("doc_id", "text"), **params), "simhash-groups").filter("doc_id is not null")
+    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
+    kept = docs.join(ids.filter(~F.col("stays")).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    many = ids.filter("stays and n > 1").select("doc_id")
+    if many.isEmpty():
+        return kept
+    return (kept.join(many, "doc_id", "left_anti").select(*docs.columns)
+            .unionByName(kept.join(many, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])))
