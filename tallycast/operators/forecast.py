@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, Grain
+from ..functions.exprs import materialize
+from ..sources.paths import has_data, matches
 from . import features as feat
 
 KEY = "station_id"
@@ -46,6 +48,22 @@ def history_coverage(history: DataFrame, as_of: dt.date, grain: Grain) -> DataFr
     return out.withColumn("complete", ~bad)
 
 
+def history_coverage_days(history: DataFrame, days: list[dt.date], grain: Grain) -> DataFrame:
+    """``history_coverage`` of several ``as_of`` days in one plan (adds ``as_of``):
+    rows are copied to the days whose recent window holds them."""
+    needed, step = grain.needed_history, _step(grain)
+    spans = [(d, last_known_bucket(d, grain)) for d in days]
+    every = F.array(*[F.struct(F.lit(d).alias("as_of"), F.lit(last - step * (needed - 1)).alias("start"), F.lit(last).alias("last")) for d, last in spans])
+    keys = (history.groupBy(KEY).agg(F.min("hour").alias("since"))
+            .select(KEY, F.explode(F.filter(every, lambda s: F.col("since") <= s["last"])).alias("s")).select(KEY, "s.*"))
+    held = F.filter(every, lambda s: (F.col("hour") >= s["start"]) & (F.col("hour") <= s["last"]))
+    recent = (history.where(F.col("hour").between(F.lit(min(last for _, last in spans) - step * (needed - 1)), F.lit(max(last for _, last in spans))))
+              .select(KEY, "hour", F.explode(held).alias("s")).groupBy(KEY, "s.as_of")
+              .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("hour").alias("n_hours"), F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour")))
+    whole = ((F.col("n_rows") == needed) & (F.col("n_hours") == needed) & (F.col("first_hour") == F.col("start")) & (F.col("last_hour") == F.col("last")))
+    return keys.join(recent, [KEY, "as_of"], "left").withColumn("complete", F.coalesce(whole, F.lit(False)))
+
+
 def build_inference_features(history: DataFrame, covariates: DataFrame | None, master: DataFrame | None,
                              as_of: dt.date, cfg: Config, horizon: int | None = None,
                              check: bool = True) -> DataFrame:
@@ -65,9 +83,9 @@ def build_inference_features(history: DataFrame, covariates: DataFrame | None, m
         if stats["keys"] == 0:
             raise ValueError("history is empty through the requested as_of date")
         if stats["incomplete"]:
-            sample = [r[KEY] for r in cov.where(~F.col("complete")).orderBy(KEY).limit(5).collect()]
-            raise ValueError(f"recent history is incomplete for {stats['incomplete']} key(s), including {sample}; "
-                             f"expected {needed} continuous buckets from {start} through {last}")
+            some = [r[KEY] for r in cov.where(~F.col("complete")).orderBy(KEY).limit(5).collect()]
+            raise ValueError(f"{stats['incomplete']} of {stats['keys']} keys lack buckets between {start} and {last} "
+                             f"({needed} needed each), for instance {some}; history is incomplete")
     recent = hist.where(F.col("hour") >= F.lit(start))
     first_future, last_future = last + _step(grain), last + _step(grain) * horizon
     future = (hist.select(KEY).distinct()
@@ -83,7 +101,8 @@ def build_inference_features(history: DataFrame, covariates: DataFrame | None, m
 
 
 def replay_inference_features(history: DataFrame, as_of_days: list[dt.date], cfg: Config,
-                              covariates: DataFrame | None = None, horizon: int | None = None) -> DataFrame:
+                              covariates: DataFrame | None = None, horizon: int | None = None,
+                              master: DataFrame | None = None) -> DataFrame:
     """All replay days in ONE plan: target-derived features of a future bucket
     only use buckets at least one horizon earlier, so computing lags on the
     full history and keeping each day's horizon is identical to building each
@@ -99,27 +118,33 @@ def replay_inference_features(history: DataFrame, as_of_days: list[dt.date], cfg
     targets = days.select("as_of", F.explode(F.sequence(F.timestamp_add(shift, F.lit(1), last),
                                                         F.timestamp_add(shift, F.lit(horizon), last),
                                                         F.expr(grain.interval))).alias("hour"))
-    frame = feat.add_lag_features(feat.add_calendar_features(history.select(KEY, "hour", "trips")), grain)
+    known = history.select(KEY, "hour", "trips")
+    # buckets after the history's end (at most one horizon per day) have no rows yet
+    end, step = known.agg(F.max("hour")).first()[0], _step(grain)
+    ahead = sorted({h for d in as_of_days for k in range(1, horizon + 1) if end is not None and (h := last_known_bucket(d, grain) + step * k) > end})
+    future = known.select(KEY).distinct().select(KEY, F.explode(F.array(*[F.lit(h) for h in ahead]).cast("array<timestamp_ntz>")).alias("hour"), F.lit(None).cast("int").alias("trips"))
+    frame = feat.add_lag_features(feat.add_calendar_features(known.unionByName(future)), grain)
     if covariates is not None:
         frame = feat.add_covariates(frame, covariates, cfg, check=False)
+    if master is not None:
+        frame = feat.add_station_features(frame, master)
+    # as many rows as days times horizon
     return frame.join(F.broadcast(targets), "hour")
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """All ``as_of=`` partitions (``as_of`` typed DATE); error when there are none."""
-    try:
-        df = spark.read.option("basePath", path).parquet(f"{path}/as_of=*")
-    except Exception as e:  # noqa: BLE001
-        raise ValueError(f"no forecast partitions found in {path}") from e
+    if not matches(spark, f"{path}/as_of=*"):
+        raise ValueError(f"no forecast partitions found in {path}")
+    df = spark.read.option("basePath", path).parquet(f"{path}/as_of=*")
     return df.withColumn("as_of", F.col("as_of").cast("date")).select(*STORE_COLUMNS)
 
 
 def partition_versions(spark: SparkSession, path: str, as_of: dt.date) -> list[str] | None:
     part = f"{path}/as_of={as_of.isoformat()}"
-    try:
-        df = spark.read.parquet(part)
-    except Exception:  # noqa: BLE001 - partition absent
+    if not has_data(spark, part):
         return None
+    df = spark.read.parquet(part)
     return sorted(r[0] for r in df.select("model_version").distinct().collect())
 
 
@@ -170,14 +195,11 @@ def run_batch_predict_days(days: list[dt.date], history: DataFrame, covariates:
     spark = history.sparkSession
     status, pending = {}, []
     existing = {}
-    try:
-        rows = (spark.read.option("basePath", store_path).parquet(f"{store_path}/as_of=*")
-                .where(F.col("as_of").cast("date").isin(list(days)))
-                .select(F.col("as_of").cast("date").alias("d"), "model_version").distinct().collect())
+    if matches(spark, f"{store_path}/as_of=*"):
+        rows = (read_store(spark, store_path).where(F.col("as_of").isin(list(days)))
+                .select("as_of", "model_version").distinct().collect())
         for r in rows:
-            existing.setdefault(r["d"], set()).add(r["model_version"])
-    except Exception:  # noqa: BLE001 - empty store
-        pass
+            existing.setdefault(r["as_of"], set()).add(r["model_version"])
     for d in days:
         vers = sorted(existing.get(d, []))
         if vers and not force:
@@ -188,20 +210,14 @@ def run_batch_predict_days(days: list[dt.date], history: DataFrame, covariates:
         pending.append(d)
     if not pending:
         return status
-    cov = None
-    for d in pending:
-        c = history_coverage(history, d, cfg.grain).withColumn("as_of", F.lit(d))
-        cov = c if cov is None else cov.unionByName(c)
+    cov = history_coverage_days(history, pending, cfg.grain)
     bad = cov.where(~F.col("complete")).groupBy("as_of").agg(F.count(F.lit(1)).alias("n")).collect()
     if bad:
         raise ValueError(f"recent history is incomplete for as_of {sorted(r['as_of'] for r in bad)}")
-    frames = None
-    for d in pending:  # coverage was validated above for every pending day
-        f = build_inference_features(history, covariates, master, d, cfg, check=False)
-        frames = f.withColumn("as_of", F.lit(d)) if frames is None else frames.unionByName(f.withColumn("as_of", F.lit(d)))
+    frames = replay_inference_features(history, pending, cfg, covariates, master=master)
     if covariates is not None:
         first = [c for c in covariates.columns if c != "timestamp"][0]
-        frames = frames.persist()
+        frames = materialize(frames, "table")
         rate = frames.agg(F.avg(F.col(first).isNotNull().cast("double"))).first()[0]
         if rate is None or rate < cfg.min_covariate_match:
             raise ValueError(f"covariate join matched only {0 if rate is None else rate:.1%} of future rows")
@@ -226,7 +242,9 @@ def unmatched_forecasts(store: DataFrame, actuals: DataFrame) -> DataFrame:
 
 
 def evaluate_predictions(detail: DataFrame) -> DataFrame:
-    """Daily MAE and n by (as_of, target_date)."""
+    """Daily MAE and n by (as_of, target_date); an error when no forecast has an actual."""
+    if detail.isEmpty():
+        raise ValueError("no forecast of the store has an actual count yet")
     return (detail.groupBy("as_of", F.to_date("hour").alias("target_date"))
             .agg(F.avg("absolute_error").alias("mae"), F.count(F.lit(1)).alias("n")))
 

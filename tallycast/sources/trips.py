@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TRIP_COLUMNS, TRIPS_CSV, check_columns
+from .paths import has_data
 
 # Tokens read as null, the raw timestamp format, the file-name pattern.
 NULL_TOKENS = ["", "NULL", "null"]
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+CHUNK_ROWS = 50_000
 KEY_PATTERN = r"^(\d{4})(\d{2})-.*\.zip$"
 
 
@@ -43,14 +45,13 @@ def incremental_months(available: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def _null_tokens(c: Column) -> Column:
-    t = F.trim(c)
-    return F.when(t.isin(*NULL_TOKENS) | c.isNull(), F.lit(None).cast("string")).otherwise(c)
+    return F.when(c.isin(*NULL_TOKENS) | c.isNull(), F.lit(None).cast("string")).otherwise(c)
 
 
 def parse_trips(raw: DataFrame) -> DataFrame:
     """String columns -> typed trips. Ids stay strings; fractional seconds are
     stripped; a malformed timestamp fails the job (ANSI ``to_timestamp_ntz``)."""
-    check_columns([c for c in raw.columns if c in TRIP_COLUMNS], TRIP_COLUMNS, "trips")
+    check_columns(raw.columns, TRIP_COLUMNS, "trips")
     out = []
     for f in TRIPS_CSV.fields:
         c = _null_tokens(F.col(f.name).cast("string"))
@@ -63,8 +64,9 @@ def parse_trips(raw: DataFrame) -> DataFrame:
 
 
 def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Typed read of landed CSV files; the header must match the contract."""
-    raw = spark.read.option("header", True).option("enforceSchema", False).schema(_all_strings()).csv(path)
+    """Typed read of landed CSV files, in sub-folders too (folder names add no
+    columns); the header must match the contract."""
+    raw = spark.read.option("recursiveFileLookup", True).option("header", True).option("enforceSchema", False).schema(_all_strings()).csv(path)
     return parse_trips(raw)
 
 
@@ -74,21 +76,19 @@ def _all_strings():
 
 
 def _unzip_members(it):
-    """Per file: root-level ``*.csv`` members (no '/') as string rows; a zip
-    without any such member is an error."""
+    """Per file: root-level ``*.csv`` members (no '/') as string rows, a chunk
+    at a time; a zip without any such member is an error."""
     for pdf in it:
-        frames = []
         for path, content in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 names = [n for n in zf.namelist() if n.endswith(".csv") and "/" not in n]
                 if not names:
                     raise ValueError(f"{path}: no root-level CSV member")
                 for n in names:
-                    df = pd.read_csv(zf.open(n), dtype=str, keep_default_na=False)
-                    check_columns(list(df.columns), TRIP_COLUMNS, f"{path}:{n}")
-                    frames.append(df[TRIP_COLUMNS])
-        if frames:
-            yield pd.concat(frames, ignore_index=True)
+                    with zf.open(n) as member:
+                        for df in pd.read_csv(member, dtype=str, keep_default_na=False, chunksize=CHUNK_ROWS):
+                            check_columns(list(df.columns), TRIP_COLUMNS, f"{path}:{n}")
+                            yield df[TRIP_COLUMNS]
 
 
 def read_trip_zips(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
@@ -106,7 +106,6 @@ def write_by_month(trips: DataFrame, path: str) -> None:
 
 
 def stored_months(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path).select("month").distinct()
-    except Exception:  # noqa: BLE001 - nothing stored yet
+    if not has_data(spark, path):
         return spark.createDataFrame([], "month string")
+    return spark.read.parquet(path).select("month").distinct()

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.paths import has_data
+
 COUNT_SCHEMA = "station_id string, hour timestamp_ntz, trips bigint, day date"
 
 
@@ -37,15 +39,15 @@ def upsert_counts(batch: DataFrame, sink: str) -> None:
     if upd.limit(1).count() == 0:
         upd.unpersist()
         return
-    try:
-        old = spark.read.schema(COUNT_SCHEMA).parquet(sink)
+    merged = upd
+    if has_data(spark, sink):
+        low, high = upd.agg(F.min("day"), F.max("day")).first()
+        old = spark.read.schema(COUNT_SCHEMA).parquet(sink).where(F.col("day").between(low, high))  # prunes partitions
         days = upd.select("day").distinct()
-        old = (old.join(F.broadcast(days), "day", "left_semi")
+        old = (old.join(days, "day", "left_semi")
                .join(upd.select("station_id", "hour"), ["station_id", "hour"], "left_anti"))
         # cut the lineage to the files being overwritten (reliable checkpoint)
         merged = old.unionByName(upd.select(*old.columns)).checkpoint(eager=True)
-    except Exception:  # noqa: BLE001 - first batch: the sink does not exist yet
-        merged = upd
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("day").parquet(sink))
     upd.unpersist()

@@ -29,11 +29,54 @@ def test_guards(spark):
     assert gates.raise_if_failed(ok) is ok
     with pytest.raises(gates.GateFailed):
         gates.raise_if_failed(spark.createDataFrame([(False,)], "passed boolean"))
-    with pytest.raises(ValueError):
-        gates.leakage_guard([12, 24], 24)
-    with pytest.raises(ValueError):
-        gates.leakage_guard([24], 24, dt.date(2025, 2, 1), dt.date(2025, 1, 1))
+    assert gates.leakage_gate(spark, [24, 48], 24).first().passed
+    assert not gates.leakage_gate(spark, [12, 24], 24).first().passed
+    assert not gates.leakage_gate(spark, [24], 24, dt.date(2025, 2, 1), dt.date(2025, 1, 1)).first().passed
     holey = spark.createDataFrame([("A", dt.datetime(2025, 1, 1, 0), 1), ("A", dt.datetime(2025, 1, 1, 1), 1),
                                    ("B", dt.datetime(2025, 1, 1, 0), 1)], "station_id string, hour timestamp_ntz, trips int")
     with pytest.raises(ValueError, match="not dense"):
         grid.assert_grid_complete(holey)
+
+
+def test_unreadable_files_fail_loudly_and_leave_the_store(spark, tmp_path):
+    from tallycast.operators import forecast as fc
+    from tallycast.sources.trips import stored_months
+    from tallycast.streaming import hourly
+
+    day = dt.date(2025, 1, 1)
+    preds = spark.createDataFrame([("A", dt.datetime(2025, 1, 2), 1.0)], "station_id string, hour timestamp_ntz, prediction double")
+    store = f"{tmp_path}/store"
+    assert fc.write_partition(preds, store, day, "v1") == "written"
+    assert fc.write_partition(preds, store, day, "v1") == "skipped"
+    part = tmp_path / "store" / f"as_of={day}"
+    (part / "part-bad.snappy.parquet").write_bytes(b"not parquet")
+    before = sorted(p.name for p in part.iterdir())
+    with pytest.raises(Exception):
+        fc.write_partition(preds, store, day, "v2")
+    assert sorted(p.name for p in part.iterdir()) == before
+    sink = f"{tmp_path}/sink"
+    counts = spark.createDataFrame([("A", dt.datetime(2025, 1, 1, 5), 3), ("B", dt.datetime(2025, 1, 1, 6), 4)], "station_id string, hour timestamp_ntz, trips bigint")
+    hourly.upsert_counts(counts, sink)
+    hourly.upsert_counts(spark.createDataFrame([("C", dt.datetime(2025, 1, 1, 7), 1)], counts.schema), sink)
+    assert {r.station_id for r in hourly.read_counts(spark, sink).collect()} == {"A", "B", "C"}
+    (tmp_path / "sink" / "day=2025-01-01" / "part-bad.snappy.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        hourly.upsert_counts(spark.createDataFrame([("D", dt.datetime(2025, 1, 1, 8), 1)], counts.schema), sink)
+    assert stored_months(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_nothing_matched_and_duplicate_dimensions_are_errors(spark):
+    from tallycast.config import DEFAULT
+    from tallycast.operators import features
+    from tallycast.operators import forecast as fc
+
+    detail = spark.createDataFrame([], "as_of date, hour timestamp_ntz, absolute_error double")
+    with pytest.raises(ValueError, match="no forecast"):
+        fc.evaluate_predictions(detail)
+    grid_rows = spark.createDataFrame([("A", dt.datetime(2025, 1, 1), 1)], "station_id string, hour timestamp_ntz, trips int")
+    twice = spark.createDataFrame([("A", 1.0, 2.0)] * 2, "station_id string, lat double, lng double")
+    with pytest.raises(ValueError, match="more than once"):
+        features.add_station_features(grid_rows, twice, DEFAULT)
+    hours = spark.createDataFrame([(dt.datetime(2025, 1, 1), 1.0)] * 2, "timestamp timestamp_ntz, temperature_2m double")
+    with pytest.raises(ValueError, match="duplicate"):
+        features.add_covariates(grid_rows, hours, DEFAULT)
