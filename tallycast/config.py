@@ -81,9 +81,6 @@ class Config:
     min_covariate_match: float = 0.95
     grain: Grain = HOUR
     covariates: tuple[str, ...] = COVARIATES
-    exact_median: bool = True
-    exact_median_max_distinct: int = 100_000
-    broadcast_max_rows: int = 500_000
     model_params: dict = field(default_factory=lambda: {"max_iter": 50, "max_depth": 6, "step_size": 0.1})
 
     def with_(self, **kw) -> "Config":

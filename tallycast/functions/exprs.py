@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
@@ -48,13 +49,6 @@ def round6(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after counting it: above ``max_rows`` the planner
-    (sort-merge / AQE) decides instead. Meant for dimension tables."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (a limit, a
     config-sized list, a one-row aggregate)."""
@@ -67,21 +61,47 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     ``checkpoint``: reliable checkpoint into the session's shared
     ``spark.checkpoint.dir`` - cuts lineage (iterative loops, tables that are
     rewritten in place); never a local checkpoint.
-    ``persist``: MEMORY_AND_DISK cache filled eagerly - keeps lineage, so a
-    lost executor's blocks are recomputed; used for data products that many
-    plans reuse within one session.
+    ``table``: written once as Parquet to the same shared folder and read back -
+    data products that many plans reuse: short plans, columnar, pruned reads.
     """
-    from pyspark import StorageLevel
+    import uuid
 
     from ..session import ensure_checkpoint_dir
 
-    if mode == "persist":
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        df.count()
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    # persist first so writing the checkpoint does not recompute the plan
-    df = df.persist()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    base = ensure_checkpoint_dir(df.sparkSession)
+    if mode == "table":
+        path = f"{base.rstrip('/')}/tallycast-table-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.checkpoint(eager=True)
+
+
+def prefix_sums(df: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
+    """Adds, per key and in ``order``, ``<value>_upto`` (running sum including the
+    row), ``<value>_total`` and ``next_<order>`` (null on the last row).
+
+    Rows are range-partitioned by (keys, order), so one key's rows may lie in
+    many partitions; local sums are completed from a table with one row per key
+    and partition. ``order`` must be unique within a key.
+    """
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cols = [F.col(k) for k in [*keys, order]]
+    # written once: the sampled range bounds must be the same for both uses
+    parts = materialize(df.repartitionByRange(n, *cols).withColumn("_part", F.spark_partition_id()), "table")
+    per = parts.groupBy(*keys, "_part").agg(F.min(order).alias("_first"), *[F.sum(v).alias(f"_s_{v}") for v in values])
+    by = Window.partitionBy(*keys)
+    run = by.orderBy("_part")
+    before = run.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"),
+                         F.lead("_first").over(run).alias("_follows"),
+                         *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values],
+                         *[F.sum(f"_s_{v}").over(by).alias(f"{v}_total") for v in values])
+    w = Window.partitionBy(*keys, "_part").orderBy(order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    local = parts.withColumns({f"_l_{v}": F.sum(v).over(upto) for v in values} | {"_next": F.lead(order).over(w)})
+    cond = all_of([F.col("_part") == F.col("_p")] + [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return (local.join(offsets, cond)
+            .withColumns({f"{v}_upto": F.col(f"_l_{v}") + F.col(f"_o_{v}") for v in values}
+                         | {f"next_{order}": F.coalesce("_next", "_follows")})
+            .select(*df.columns, *[f"{v}_upto" for v in values], *[f"{v}_total" for v in values], f"next_{order}"))

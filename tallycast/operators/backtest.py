@@ -98,16 +98,18 @@ class HistoricalMean:
         self.weeks = weeks
 
     def recent_rows(self, features: DataFrame, windows: DataFrame) -> DataFrame:
-        # A row of month m can only be recent history for windows m+1..m+3:
-        # explode those candidates and equi-join on the (broadcast) window table.
-        cand = F.array(*[month_str(F.add_months(F.trunc("hour", "month"), i)) for i in (1, 2, 3)])
-        lo = windows.agg(F.min("cutoff")).first()[0]
-        lo = F.timestamp_add("DAY", F.lit(-7 * self.weeks), F.lit(lo).cast("timestamp_ntz"))
-        r = features.where(F.col("hour") > lo).select(KEY, "hour", "trips", "day_of_week", "hour_of_day",
-                            F.explode(cand).alias("window"))
-        r = r.join(windows, "window")
-        return r.where((F.col("hour") <= F.col("cutoff"))
-                       & (F.col("hour") > F.timestamp_add("DAY", F.lit(-7 * self.weeks), F.col("cutoff"))))
+        # the windows (a handful of rows) become an array: each row is copied to
+        # those whose look-back holds it, however long that is and over gaps
+        cut = [(r["window"], r["cutoff"]) for r in windows.select("window", "cutoff").collect() if r["cutoff"] is not None]
+        if not cut:
+            return features.limit(0).select(KEY, "hour", "trips", "day_of_week", "hour_of_day", F.lit("").alias("window"))
+        back = F.expr(f"INTERVAL {7 * self.weeks} DAYS")
+        spans = F.array(*[F.struct(F.lit(w).alias("window"), F.lit(c).cast("timestamp_ntz").alias("cutoff")) for w, c in cut])
+        mine = F.filter(spans, lambda s: (F.col("hour") <= s["cutoff"]) & (F.col("hour") > s["cutoff"] - back))
+        earliest = F.lit(min(c for _, c in cut)).cast("timestamp_ntz") - back
+        return (features.where(F.col("hour") > earliest)
+                .select(KEY, "hour", "trips", "day_of_week", "hour_of_day", F.explode(mine).alias("s"))
+                .select(KEY, "hour", "trips", "day_of_week", "hour_of_day", "s.window"))
 
     def predict_all(self, features: DataFrame, windows: DataFrame) -> DataFrame:
         recent = self.recent_rows(features, windows)

@@ -36,12 +36,10 @@ def clean_trips(trips: DataFrame, cfg: Config, mapping: DataFrame | None = None,
         return out.withColumn("station_id", F.col("start_station_id"))
     m = mapping.select("raw_station_id", "canonical_station_id")
     if guard:
-        # one job checks both the key uniqueness and the broadcast size bound
+        # duplicate raw keys would multiply rows
         st = m.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("raw_station_id").alias("k")).first()
         if st["n"] != st["k"]:
             raise ValueError("station mapping: duplicate raw_station_id values would multiply joined rows")
-        if st["n"] <= cfg.broadcast_max_rows:
-            m = F.broadcast(m)
     return (out.join(m, out["start_station_id"] == m["raw_station_id"], "left")
             .withColumn("station_id", F.coalesce(F.col("canonical_station_id"), F.col("start_station_id")))
             .drop("raw_station_id", "canonical_station_id"))

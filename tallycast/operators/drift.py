@@ -5,17 +5,17 @@ standard deviation (floored at 0.001), and the two-sample Kolmogorov-Smirnov
 statistic with its asymptotic p-value. A column drifts when the reference has
 more than ``large_n`` rows and normalised W1 >= 0.1, or otherwise when the
 K-S p-value < 0.05. Everything runs on the per-(column, value) histogram:
-values are melted, counted per side, and ECDFs are running sums in a window
-partitioned by column, so rows are never collected.
+values are melted, counted per side, and ECDFs are distributed prefix sums, so
+no column is held in one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..config import DRIFT_COLUMNS
+from ..functions.exprs import materialize, prefix_sums
 
 
 def usable_columns(reference: DataFrame, current: DataFrame, columns=DRIFT_COLUMNS, eps: float = 1e-9) -> list[str]:
@@ -32,40 +32,30 @@ def _melt(df: DataFrame, cols: list[str], side: str) -> DataFrame:
     return complete.select(F.explode(arr).alias("kv")).select("kv.column", "kv.value", F.lit(side).alias("side"))
 
 
-def _snap_wide_columns(both: DataFrame, max_distinct: int, bins: int) -> DataFrame:
-    """Columns with more than ``max_distinct`` (estimated) distinct values are
-    snapped to ``bins`` equal-width bins between their min and max (bin
-    midpoints), so the per-column ECDF window never holds more than ``bins``
-    rows; narrower columns stay exact."""
-    st = both.groupBy("column").agg(F.approx_count_distinct("value").alias("_nd"), F.min("value").alias("_lo"),
-                                    F.max("value").alias("_hi"))
-    j = both.join(F.broadcast(st), "column")  # one row per column
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    b = F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1))
-    snapped = F.col("_lo") + (b + 0.5) * width
-    return j.select("column", F.when((F.col("_nd") > max_distinct) & (width > 0), snapped)
-                    .otherwise(F.col("value")).alias("value"), "side")
-
-
 def drift_statistics(reference: DataFrame, current: DataFrame, cols: list[str], large_n: int = 1000,
-                     w1_threshold: float = 0.1, p_threshold: float = 0.05, max_distinct: int = 1_000_000,
-                     bins: int = 100_000) -> DataFrame:
-    both = _snap_wide_columns(_melt(reference, cols, "ref").unionByName(_melt(current, cols, "cur")),
-                              max_distinct, bins)
+                     w1_threshold: float = 0.1, p_threshold: float = 0.05) -> DataFrame:
+    """Per column: normalised Wasserstein-1 and two-sample Kolmogorov-Smirnov,
+    exact for any number of distinct values: both sides' values are counted
+    once and their running shares come from distributed prefix sums. A side
+    without complete rows is an error."""
+    both = _melt(reference, cols, "ref").unionByName(_melt(current, cols, "cur"))
     hist = both.groupBy("column", "value").agg(F.count_if(F.col("side") == "ref").alias("nr"),
                                                F.count_if(F.col("side") == "cur").alias("nc"))
-    w = Window.partitionBy("column").orderBy("value")
-    tot = Window.partitionBy("column")
-    e = (hist.withColumn("tot_r", F.sum("nr").over(tot)).withColumn("tot_c", F.sum("nc").over(tot))
-         .withColumn("ecdf_r", F.sum("nr").over(w.rowsBetween(Window.unboundedPreceding, 0)) / F.col("tot_r"))
-         .withColumn("ecdf_c", F.sum("nc").over(w.rowsBetween(Window.unboundedPreceding, 0)) / F.col("tot_c"))
-         .withColumn("gap", F.coalesce(F.lead("value").over(w) - F.col("value"), F.lit(0.0))))
-    std = (_melt(reference, cols, "ref").groupBy("column")
-           .agg(F.greatest(F.stddev_pop("value"), F.lit(0.001)).alias("ref_std")))
-    gap = F.abs(F.col("ecdf_r") - F.col("ecdf_c"))
-    s = (e.groupBy("column").agg(F.sum(gap * F.col("gap")).alias("w1"), F.max(gap).alias("ks"),
-                                 F.max("tot_r").alias("n_ref"), F.max("tot_c").alias("n_cur"))
-         .join(std, "column"))
+    e = prefix_sums(hist, ["column"], "value", ["nr", "nc"])
+    gap = F.abs(F.try_divide("nr_upto", "nr_total") - F.try_divide("nc_upto", "nc_total"))
+    step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
+    weight = F.col("nr").cast("double")
+    s = e.groupBy("column").agg(
+        F.sum(gap * step).alias("w1"), F.max(gap).alias("ks"), F.max("nr_total").alias("n_ref"), F.max("nc_total").alias("n_cur"),
+        F.sum(weight * F.col("value")).alias("_sum"))
+    mean = s.select(F.col("column").alias("_c"), F.try_divide("_sum", "n_ref").alias("_mean"))
+    # deviations from the mean, not a difference of large sums
+    std = (hist.join(mean, F.col("column") == F.col("_c")).groupBy("column")
+           .agg(F.greatest(F.sqrt(F.try_divide(F.sum(weight * F.pow(F.col("value") - F.col("_mean"), 2)), F.sum("nr"))), F.lit(0.001)).alias("ref_std")))
+    s = materialize(s.drop("_sum").join(std, "column"), "table")
+    empty = s.agg(F.min("n_ref"), F.min("n_cur")).first()
+    if not empty[0] or not empty[1]:
+        raise ValueError(f"drift needs complete rows on both sides; reference has {empty[0] or 0}, current has {empty[1] or 0}")
     ne = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
     # lambda is materialised as a column first: the 100-term series then refers
     # to it instead of repeating the whole expression (keeps codegen small)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..functions.exprs import prefix_sums
 from ..functions.calendar import iso_dow
 
 
@@ -60,13 +61,11 @@ def by_rain(err: DataFrame, covariates: DataFrame, threshold: float = 0.5) -> Da
 
 def nearest_rank_quantile(df: DataFrame, col: str, q: float) -> Column:
     """Exact 'nearest' quantile (value at sorted index round((n-1)q)) as a
-    scalar subquery. Computed on the distinct-value histogram, so a global
-    sort of all rows is never needed (counts have few distinct values)."""
-    hist = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("_cum", F.sum("_c").over(w))
-    n = df.agg(F.count(F.lit(1)).alias("n")).select(F.round((F.col("n") - 1) * q).cast("bigint")).scalar()
-    return cum.where(F.col("_cum") > n).agg(F.min(col)).scalar()
+    scalar subquery, from distributed prefix sums of the distinct values'
+    counts: no task holds all values, whatever their number."""
+    hist = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = prefix_sums(hist, [], "value", ["n"])
+    return ranked.where(F.col("n_upto") > F.round((F.col("n_total") - 1) * q)).agg(F.min("value")).scalar()
 
 
 def peak_bias(err: DataFrame, model: str, q: float = 0.95) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import Window
 
 from ..config import Config, Grain
 from ..functions.calendar import calendar_features, iso_dow
-from ..functions.exprs import checked_broadcast
+from ..functions.exprs import materialize
+from ..sources.weather import assert_unique_time
 
 
 def add_calendar_features(df: DataFrame, ts: str = "hour") -> DataFrame:
@@ -31,8 +32,9 @@ def add_covariates(df: DataFrame, covariates: DataFrame, cfg: Config, check: boo
                    ts_col: str = "timestamp") -> DataFrame:
     """Left join covariates on the bucket; fails when fewer than
     ``min_covariate_match`` of rows found a covariate row."""
+    if check:
+        assert_unique_time(covariates, ts_col)
     cov = covariates.withColumnRenamed(ts_col, "hour")
-    cov = checked_broadcast(cov, cfg.broadcast_max_rows) if check else cov
     out = df.join(cov, "hour", "left")
     if check:
         first = [c for c in cov.columns if c != "hour"][0]
@@ -45,9 +47,13 @@ def add_covariates(df: DataFrame, covariates: DataFrame, cfg: Config, check: boo
 
 def add_station_features(df: DataFrame, master: DataFrame, cfg: Config | None = None,
                          key: str = "station_id") -> DataFrame:
+    """Left join station coordinates; with ``cfg`` a key that the master lists
+    twice is an error, as it would multiply rows."""
     m = master.select(key, "lat", "lng")
     if cfg is not None:
-        m = checked_broadcast(m, cfg.broadcast_max_rows)
+        twice = m.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(5).collect()
+        if twice:
+            raise ValueError(f"station master lists {[r[0] for r in twice]} more than once")
     return df.join(m, key, "left")
 
 
@@ -81,24 +87,22 @@ def build_features(grid: DataFrame, covariates: DataFrame | None, master: DataFr
                    cfg: Config, check: bool = True, key: str = "station_id") -> DataFrame:
     """grid -> calendar -> covariates -> station coordinates -> lags.
 
-    With ``check`` the result is persisted (it is a reused data product) and
-    the covariate coverage gate runs on the persisted rows, so the gate does
-    not re-run the joins."""
+    With ``check`` the result is written once to the shared folder (it is a
+    reused data product) and the covariate coverage gate reads those rows, so
+    it does not run the joins again; covariates must be unique per bucket."""
     df = add_calendar_features(grid)
     if covariates is not None:
-        cov = covariates.withColumnRenamed("timestamp", "hour")
-        cov = checked_broadcast(cov, cfg.broadcast_max_rows) if check else cov
-        df = df.join(cov, "hour", "left")
+        if check:
+            assert_unique_time(covariates)
+        df = df.join(covariates.withColumnRenamed("timestamp", "hour"), "hour", "left")
     if master is not None:
         df = add_station_features(df, master, cfg if check else None, key)
     out = add_lag_features(df, cfg.grain, key)
     if check and covariates is not None:
-        from pyspark import StorageLevel
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        out = materialize(out, "table")
         first = [c for c in covariates.columns if c != "timestamp"][0]
         rate = covariate_match_rate(out, first).first()["match_rate"]
         if rate is None or rate < cfg.min_covariate_match:
-            out.unpersist()
             raise ValueError(f"covariate join matched only {0 if rate is None else rate:.1%} of rows; "
                              "time zone mismatch or missing coverage")
     return out

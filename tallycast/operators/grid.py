@@ -9,7 +9,7 @@ from pyspark.sql import Window
 
 from ..config import Config, Grain
 from ..functions.calendar import phase_expr
-from ..functions.exprs import bounded_broadcast, bucket, checked_broadcast, month_str
+from ..functions.exprs import bounded_broadcast, bucket, month_str, prefix_sums
 
 
 def _zero_fill(zeros: DataFrame, counts: DataFrame, key: str, phase: Grain | None) -> DataFrame:
@@ -105,53 +105,48 @@ def assert_grid_complete(grid: DataFrame, key: str = "station_id") -> None:
         raise ValueError(f"grid is not dense: {r['n_rows']} rows != {r['n_keys']} x {r['n_hours']}")
 
 
+def exact_medians(rows: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """(key, *cols): the exact median of every column per key, nulls left out.
+    Values are counted per key first; the middle ranks are found by distributed
+    prefix sums, so no key's values are gathered, whatever their number."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("value")) for c in cols]))
+    counted = (rows.select(key, pairs.alias("p")).select(key, "p.*").where(F.col("value").isNotNull())
+               .groupBy(key, "col", "value").agg(F.count(F.lit(1)).alias("n")))
+    ranked = prefix_sums(counted, [key, "col"], "value", ["n"])
+    low, high = F.floor((F.col("n_total") - 1) / 2), F.floor(F.col("n_total") / 2)
+    at = lambda r: F.when((F.col("n_upto") - F.col("n") <= r) & (r < F.col("n_upto")), F.col("value"))
+    mid = lambda c: (F.max(F.when(F.col("col") == c, at(low))) + F.max(F.when(F.col("col") == c, at(high)))) / 2
+    return ranked.groupBy(key).agg(*[mid(c).alias(c) for c in cols])
+
+
 def station_master(clean: DataFrame, cfg: Config | None = None, key: str = "station_id") -> DataFrame:
-    """Per key: modal non-null name (ties -> smallest), median coordinates,
-    volume, first/last ``yyyy-MM``. All parts are partial aggregates.
-
-    Medians: Spark's exact ``median`` keeps a value -> count map per key, so it
-    is only fed the values of keys whose (HyperLogLog-estimated) number of
-    distinct coordinates is at most ``exact_median_max_distinct``; wider keys
-    (e.g. GPS noise on a hot key) feed a bounded ``percentile_approx`` sketch.
-    Two passes: the per-key summary (with the estimate), then one median
-    aggregation over the rows joined to the per-key flag (a dimension-sized,
-    count-checked broadcast)."""
-    exact = cfg.exact_median if cfg is not None else True
-    max_distinct = cfg.exact_median_max_distinct if cfg is not None else 100_000
-    max_rows = cfg.broadcast_max_rows if cfg is not None else 500_000
+    """Per key: modal non-null name (ties -> smallest), exact median coordinates,
+    volume, first/last ``yyyy-MM``. Names are counted per (key, name) and medians
+    from per-value counts, so a hot key is never gathered in one task."""
+    names = (clean.where(F.col("start_station_name").isNotNull()).groupBy(key, "start_station_name").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("start_station_name").alias("name"))).alias("_top")))
     base = clean.groupBy(key).agg(
-        F.mode("start_station_name", True).alias("name"),
         F.count(F.lit(1)).alias("total_trips"),
         month_str(F.min("started_at")).alias("first_month"),
-        month_str(F.max("started_at")).alias("last_month"),
-        F.greatest(F.approx_count_distinct("start_lat"), F.approx_count_distinct("start_lng")).alias("_w"))
-    if exact:
-        base = base.persist()
-        flags = base.select(key, (F.col("_w") <= max_distinct).alias("_small"))
-        rows = clean.select(key, "start_lat", "start_lng").join(checked_broadcast(flags, max_rows), key)
-    else:
-        rows = clean.select(key, "start_lat", "start_lng").withColumn("_small", F.lit(False))
-
-    def med(c):
-        small = F.median(F.when(F.col("_small"), F.col(c)))
-        wide = F.percentile_approx(F.when(~F.col("_small"), F.col(c)), 0.5, 10_000)
-        return F.coalesce(small, wide).cast("double")
-
-    meds = rows.groupBy(key).agg(med("start_lat").alias("lat"), med("start_lng").alias("lng"))
-    return base.join(meds, key, "left").select(key, "name", "lat", "lng", "total_trips", "first_month", "last_month")
+        month_str(F.max("started_at")).alias("last_month"))
+    medians = exact_medians(clean, key, ["start_lat", "start_lng"]).withColumnsRenamed({"start_lat": "lat", "start_lng": "lng"})
+    return (base.join(names, key, "left").join(medians, key, "left")
+            .select(key, F.col("_top.name").alias("name"), "lat", "lng", "total_trips", "first_month", "last_month"))
 
 
 def station_month_panel(clean: DataFrame, key: str = "station_id",
                         types: tuple[str, str] = ("member", "casual")) -> DataFrame:
-    """Counts by key and month split by rider type (listed pivot values, missing -> 0).
-    Unlisted types are ignored."""
+    """Counts by key and month split by rider type (missing -> 0). Types beyond
+    the listed ones get a ``<type>_trips`` column each, after the total, which
+    counts the listed ones; a null type is counted nowhere."""
+    found = [r[0] for r in clean.select("member_casual").distinct().collect()]  # a handful of rider types
+    extra = sorted(t for t in found if t is not None and t not in types)
     p = (clean.withColumn("month", month_str("started_at"))
-         .groupBy(key, "month").pivot("member_casual", list(types)).agg(F.count(F.lit(1))))
+         .groupBy(key, "month").pivot("member_casual", [*types, *extra]).agg(F.count(F.lit(1))))
+    n = lambda t: F.coalesce(F.col(f"`{t}`"), F.lit(0)).cast("int")
     m, c = types
-    return (p.select(key, "month",
-                     F.coalesce(F.col(m), F.lit(0)).cast("int").alias("member_trips"),
-                     F.coalesce(F.col(c), F.lit(0)).cast("int").alias("casual_trips"))
-            .withColumn("total_trips", (F.col("member_trips") + F.col("casual_trips")).cast("int")))
+    return p.select(key, "month", n(m).alias("member_trips"), n(c).alias("casual_trips"), (n(m) + n(c)).cast("int").alias("total_trips"),
+                    *[n(t).alias(f"{t}_trips") for t in extra])
 
 
 def build_grid(clean: DataFrame, cfg: Config, key: str = "station_id", trim: bool = True) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..functions.exprs import materialize
 from ..config import Config
 from ..functions.calendar import iso_dow
 from ..functions.exprs import bucket, duration_seconds, month_str
@@ -146,8 +147,8 @@ def distributed_rank(df: DataFrame, order: list, value: str, partitions: int | N
     (a table with one row per partition)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.persist()  # the partition id must be the same in both uses below
+    # written once: the partition id must be the same in both uses below
+    ranged = materialize(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "table")
     local = Window.partitionBy("_pid").orderBy(*order)
     ranked = (ranged.withColumn("_rn", F.row_number().over(local))
               .withColumn("_cs", F.sum(value).over(local.rowsBetween(Window.unboundedPreceding, 0))))
@@ -179,17 +180,16 @@ def share_at_and_rank_for(ranking: DataFrame, target: float = 0.65, ns=(100, 150
 
 
 def shift_sanity(clean: DataFrame, peak_hours=(16, 17, 18), morning: int = 8, night: int = 3) -> DataFrame:
-    """Weekday peak hour in the commute window and morning > 3 x night."""
+    """Weekday peak hour in the commute window and morning > 3 x night, in one
+    pass over the hourly profile."""
     wk = hourly_profile(clean).where(~F.col("is_weekend"))
-    peak = wk.orderBy(F.desc("trips"), F.asc("hour")).limit(1).select("hour").scalar()
-    h8 = wk.where(F.col("hour") == morning).select("trips").scalar()
-    h3 = wk.where(F.col("hour") == night).select("trips").scalar()
-    return (wk.agg(F.count(F.lit(1)).alias("hours_present"))
-            .select(peak.alias("peak_hour"), F.coalesce(h8, F.lit(0)).alias("morning_trips"),
-                    F.coalesce(h3, F.lit(0)).alias("night_trips"))
+    at = lambda h: F.coalesce(F.max(F.when(F.col("hour") == h, F.col("trips"))), F.lit(0))
+    top = F.min(F.struct((-F.col("trips")).alias("n"), F.col("hour").alias("hour")))
+    return (wk.agg(F.count(F.lit(1)).alias("hours_present"), top.alias("_top"), at(morning).alias("morning_trips"), at(night).alias("night_trips"))
+            .select(F.col("_top.hour").alias("peak_hour"), "morning_trips", "night_trips", "hours_present")
             .withColumn("peak_ok", F.col("peak_hour").isin(list(peak_hours)))
             .withColumn("morning_ok", F.col("morning_trips") > 3 * F.col("night_trips"))
-            .withColumn("passed", F.col("peak_ok") & F.col("morning_ok")))
+            .withColumn("passed", F.col("peak_ok") & F.col("morning_ok")).drop("hours_present"))
 
 
 def coordinate_quality(master: DataFrame, lat_box=(41.0, 43.0), lng_box=(-89.0, -87.0)) -> DataFrame:

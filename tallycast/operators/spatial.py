@@ -56,22 +56,23 @@ def duplicate_edges(pairs: DataFrame) -> DataFrame:
     return e.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def flatten_mapping(edges: DataFrame, max_rounds: int = 20) -> DataFrame:
+def flatten_mapping(edges: DataFrame) -> DataFrame:
     """Pointer jumping: replace every target that is itself mapped by its target
-    until nothing changes (edges are acyclic by construction). Each round is one
-    self join; lineage is cut with a reliable checkpoint every round."""
-    m = materialize(edges.select("raw_station_id", "canonical_station_id"))
-    for _ in range(max_rounds):
+    until nothing changes. Chains halve with each round (one self join, lineage
+    cut in the shared folder), so a mapping of n rows is flat after log2(n) + 2
+    rounds unless it has a cycle, which is an error."""
+    m = materialize(edges.select("raw_station_id", "canonical_station_id"), "table")
+    rounds = m.count().bit_length() + 2
+    for _ in range(rounds):
         nxt = m.select(F.col("raw_station_id").alias("_r"), F.col("canonical_station_id").alias("_c"))
         step = (m.join(nxt, m["canonical_station_id"] == nxt["_r"], "left")
                 .select("raw_station_id", F.coalesce("_c", "canonical_station_id").alias("canonical_station_id"),
                         F.col("_c").isNotNull().alias("_moved")))
-        step = materialize(step)
-        moved = step.where("_moved").limit(1).count()
+        step = materialize(step, "table")
         m = step.drop("_moved")
-        if not moved:
-            break
-    return m
+        if step.where("_moved").isEmpty():
+            return m
+    raise ValueError("the mapping has a cycle and cannot be flattened")
 
 
 def mapping_guards(mapping: DataFrame) -> DataFrame:

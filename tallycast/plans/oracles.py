@@ -498,7 +498,7 @@ st AS (SELECT CAST(vec_id AS VARCHAR) AS station_id,
          CASE WHEN vec_id % 3 = 0 THEN 'Dock & Pier ' || CAST(label AS VARCHAR)
               WHEN vec_id % 3 = 1 THEN 'dock and pier  ' || CAST(label AS VARCHAR)
               ELSE 'DOCK ' || CAST(label AS VARCHAR) END AS station_name,
-         {D(41.85)} + CAST(embedding[1] AS DOUBLE) * {D(0.02)} AS lat,
+         {D(41.85)} + CAST(floor(vec_id / 500.0) AS DOUBLE) * {D(0.05)} + CAST(embedding[1] AS DOUBLE) * {D(0.02)} AS lat,
          {D(-87.65)} + CAST(embedding[2] AS DOUBLE) * {D(0.02)} AS lng,
          CAST(coalesce(v.total_trips, 0) AS BIGINT) AS total_trips
        FROM embeddings e LEFT JOIN vol v ON e.vec_id = v.l_partkey),
@@ -741,3 +741,17 @@ ORACLES["stream_ingest_trips"] = ORACLES["trip_csv_roundtrip"]
 ORACLES["served_error_by_hour"] = SERVE + """ SELECT CAST(hour(hour) AS INTEGER) AS hour_of_day,
   round(avg(absolute_error), 6) + 0.0 AS mae, round(avg(actual), 6) + 0.0 AS avg_trips,
   round(avg(prediction - actual), 6) + 0.0 AS mean_bias, count(*) AS n FROM detail GROUP BY 1"""
+
+ORACLES["backtest_hist_mean_16w"] = ORACLES["backtest_hist_mean"].replace("INTERVAL 56 DAY", "INTERVAL 112 DAY")
+ORACLES["leakage_gate"] = HOUR_BASE + """ SELECT 'leakage' AS gate, true AS passed, CAST(24 AS INTEGER) AS min_lag, CAST(24 AS INTEGER) AS horizon,
+       CAST(max(hour) AS DATE) - 2 AS train_through, CAST(max(hour) AS DATE) - 2 AS as_of FROM hg_grid"""
+ORACLES["event_calendar_csv"] = """
+SELECT p.event_name, count(*) AS orders
+FROM orders, (VALUES (106, 107, 'Winter Fest'), (107, 109, 'Auto Show'), (115, 115, 'Parade'),
+              (701, 704, 'Summer Fair'), (703, 705, 'Jazz Fest'), (910, 912, 'Air Show')) p(a, b, event_name)
+WHERE month(o_orderdate) * 100 + day(o_orderdate) BETWEEN p.a AND p.b AND year(o_orderdate) BETWEEN 1995 AND 2024
+GROUP BY 1"""
+ORACLES["id_mapping_csv"] = """
+WITH c AS (SELECT s_nationkey, min(s_suppkey) AS canon FROM supplier GROUP BY 1)
+SELECT CAST(s_suppkey AS VARCHAR) AS raw_station_id, CAST(canon AS VARCHAR) AS canonical_station_id
+FROM supplier JOIN c USING (s_nationkey) WHERE s_suppkey <> canon"""

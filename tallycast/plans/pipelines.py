@@ -2,9 +2,10 @@
 on orders x lineitem).
 
 Products that many queries reuse (scope, counts, grid, features) are built
-once per session and data folder and persisted (MEMORY_AND_DISK, filled eagerly),
-like the pipeline's own Parquet data products: later plans start from a short
-lineage instead of re-deriving the grid inside every scalar subquery.
+once per session and data folder and written as Parquet to the shared folder
+(``spark.checkpoint.dir``): later plans start from a plain scan instead of
+re-deriving the grid inside every scalar subquery, and a lost executor loses
+nothing.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ DAY_CFG = DAILY
 _PRODUCTS: dict[tuple, DataFrame] = {}
 
 
-def product(spark: SparkSession, sf: str, name: str, build, mode: str = "persist") -> DataFrame:
+def product(spark: SparkSession, sf: str, name: str, build, mode: str = "table") -> DataFrame:
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _PRODUCTS:
         _PRODUCTS[key] = materialize(build(), mode)
@@ -30,9 +31,6 @@ def product(spark: SparkSession, sf: str, name: str, build, mode: str = "persist
 
 
 def clear_products() -> None:
-    for v in _PRODUCTS.values():
-        if hasattr(v, "unpersist"):
-            v.unpersist()
     _PRODUCTS.clear()
 
 

@@ -182,6 +182,12 @@ def q_bt_hist(spark, sf):
     return round6(bt.run_backtest(f, [bt.HistoricalMean()], DAY_CFG.n_windows, DAY_CFG.grain))
 
 
+@register("backtest_hist_mean_16w")
+def q_bt_hist_16w(spark, sf):
+    f = day_backtest_base(spark, sf)
+    return round6(bt.run_backtest(f, [bt.HistoricalMean(16)], DAY_CFG.n_windows, DAY_CFG.grain))
+
+
 @register("backtest_summary")
 def q_bt_summary(spark, sf):
     f = day_backtest_base(spark, sf)
@@ -521,14 +527,20 @@ def q_perf_gate(spark, sf):
     return gt.performance_gate(daily, _baseline_mae(spark, sf), 0.20)
 
 
+@register("leakage_gate")
+def q_leakage_gate(spark, sf):
+    days = hour_replay_days(spark, sf)
+    return gt.leakage_gate(spark, HOUR_CFG.grain.lags, HOUR_CFG.grain.horizon, days[0], days[0])
+
+
 @register("monitoring_summary")
 def q_monitoring(spark, sf):
     art = NaiveArtifact(HOUR_CFG.grain.naive_lag)
     meta = dict(art.metadata, val_mae=_baseline_mae(spark, sf),
                 train_through=str(_dt.datetime.combine(hour_replay_days(spark, sf)[0], _dt.time(23))))
     summary, perf, drift = gt.run_monitoring(hour_features(spark, sf), _store(spark, sf), meta, reference_days=14)
-    return (summary.withColumn("performance_passed", F.lit(perf.first()["passed"]))
-            .withColumn("drift_passed", F.lit(drift.first()["passed"])))
+    one = lambda g, name: g.select(F.lit(1).alias("k"), F.col("passed").alias(name))
+    return summary.withColumn("k", F.lit(1)).join(one(perf, "performance_passed"), "k").join(one(drift, "drift_passed"), "k").drop("k")
 
 
 # ---------------------------------------------------------------- models, experiments, promotion (day grain)
@@ -537,6 +549,8 @@ from ..operators import models as ml  # noqa: E402
 from ..operators import promote as pm  # noqa: E402
 from .pipelines import shared_dir  # noqa: E402
 
+from ..sources import dimensions  # noqa: E402
+
 _MODEL_PARAMS = {"max_iter": 20, "max_depth": 4, "step_size": 0.2}
 
 
@@ -765,3 +779,23 @@ def q_served_by_hour(spark, sf):
     return round6(detail.groupBy(F.hour("hour").cast("int").alias("hour_of_day")).agg(
         F.avg("absolute_error").alias("mae"), F.avg("actual").alias("avg_trips"),
         F.avg(F.col("prediction") - F.col("actual")).alias("mean_bias"), F.count(F.lit(1)).alias("n")))
+
+
+@register("event_calendar_csv")
+def q_event_calendar_csv(spark, sf):
+    """The named-period calendar as a file: written as CSV, read with its own
+    schema, expanded to days, and counted per name over the orders' years."""
+    path = shared_dir(spark, "calendar")
+    adapters.event_calendar(spark).write.csv(path, header=True)
+    days = dimensions.read_event_calendar(spark, path)
+    dates = adapters.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d"))
+    each = days.select("event_name", F.explode(F.sequence("start_date", "end_date")).alias("d"))
+    hit = dates.join(each, "d")
+    return hit.groupBy("event_name").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@register("id_mapping_csv")
+def q_id_mapping_csv(spark, sf):
+    path = shared_dir(spark, "mapping")
+    adapters.supplier_mapping(spark, sf).write.csv(path, header=True)
+    return dimensions.read_id_mapping(spark, path)

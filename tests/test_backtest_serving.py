@@ -10,8 +10,11 @@ from tallycast.operators.models import NaiveArtifact
 
 
 def periodic(spark, days=120, start=dt.datetime(2025, 1, 1)):
-    rows = [("A", start + dt.timedelta(hours=i), (i % 168) % 7) for i in range(days * 24)]
-    df = spark.createDataFrame(rows, "station_id string, hour timestamp_ntz, trips int")
+    """Counts that repeat every week: by weekday and hour, zero at night."""
+    def count(h):
+        return (3 * h.weekday() + h.hour // 5) % 11 if h.hour >= 6 else 0
+    hours = [start + dt.timedelta(hours=i) for i in range(days * 24)]
+    df = spark.createDataFrame([("A", h, count(h)) for h in hours], "station_id string, hour timestamp_ntz, trips int")
     return features.add_lag_features(features.add_calendar_features(df), HOUR)
 
 

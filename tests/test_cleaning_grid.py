@@ -99,13 +99,17 @@ def test_station_master_and_panel(spark):
     assert p == {"2025-01": (1, 0, 1), "2025-02": (0, 1, 1)}
 
 
-def test_wide_domain_keys_use_the_median_sketch(spark):
-    from tallycast.config import DEFAULT
+def test_medians_are_exact_for_odd_even_and_missing_values(spark):
+    rows = [("a", 3.0), ("a", 1.0), ("a", 2.0), ("b", 1.0), ("b", 4.0), ("b", 4.0), ("b", 2.0), ("c", None), ("d", 5.0), ("d", None)]
+    df = spark.createDataFrame(rows, "station_id string, v double")
+    got = {r.station_id: r.v for r in grid.exact_medians(df, "station_id", ["v"]).collect()}
+    assert got == {"a": 2.0, "b": 3.0, "d": 5.0}
+
+
+def test_panel_keeps_unlisted_rider_types(spark):
     rows = []
-    for i in range(9):
-        trip(rows, f"w{i}", T0 + dt.timedelta(minutes=i), 600, "W")
-    df = spark.createDataFrame(rows, TRIPS).withColumn("start_lat", F.lit(41.0) + F.monotonically_increasing_id() * 0.001)
-    clean = cleaning.clean_trips(df, DEFAULT)
-    exact = grid.station_master(clean, DEFAULT).first().lat
-    sketch = grid.station_master(clean, DEFAULT.with_(exact_median_max_distinct=1)).first().lat
-    assert abs(exact - sketch) < 1e-9  # odd count: the sketch returns the middle element too
+    for i in range(4):
+        trip(rows, f"p{i}", T0 + dt.timedelta(minutes=i), 600, "P")
+    df = spark.createDataFrame(rows, TRIPS).withColumn("member_casual", F.when(F.col("ride_id") == "p0", "guest").otherwise("member"))
+    r = grid.station_month_panel(df.withColumn("station_id", F.col("start_station_id"))).first()
+    assert (r.member_trips, r.casual_trips, r.total_trips, r.guest_trips) == (3, 0, 3, 1)
