@@ -15,25 +15,35 @@ import json
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.exprs import month_str
+from ..functions.exprs import materialize
 from . import backtest as bt
 
 KEY = "station_id"
+CODE_VERSION = "2"  # of the feature and model code an artifact was fitted by
 
 
 def _target_derived(cols):
     return [c for c in cols if c.startswith("lag_") or c.startswith("roll_mean_")]
 
 
-def prepare(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str]]:
-    """Numeric design columns (booleans -> double, nulls -> 0 + indicator)."""
-    numeric = [c for c in features if c != KEY]
+def categorical_columns(df: DataFrame, features: list[str]) -> list[str]:
+    """The series key and every other feature that is a string."""
+    kinds = dict(df.dtypes)
+    return [c for c in features if c == KEY or kinds[c] == "string"]
+
+
+def prepare(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """(frame, numeric design columns, categorical columns): booleans become
+    numbers, null numbers 0 (with an indicator for target-derived ones), null
+    categories a level of their own."""
+    cats = categorical_columns(df, features)
+    numeric = [c for c in features if c not in cats]
     out, cols = df, []
     for c in numeric:
         v = F.col(c).cast("double")
@@ -42,29 +52,28 @@ def prepare(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str]]:
             cols.append(f"_x_{c}_missing")
         out = out.withColumn(f"_x_{c}", F.coalesce(v, F.lit(0.0)))
         cols.append(f"_x_{c}")
-    return out, cols
+    for c in cats:
+        out = out.withColumn(f"_cat_{c}", F.coalesce(F.col(c).cast("string"), F.lit("unknown")))
+    return out, cols, cats
 
 
 def time_based_split(train: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Validation = last calendar month present; error with fewer than two months."""
-    last_month = train.agg(F.max(month_str("hour"))).scalar()
-    n_months = train.select(month_str("hour").alias("m")).distinct().count()
-    if n_months < 2:
+    span = train.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi")).first()
+    start = span["hi"] and dt.datetime(span["hi"].year, span["hi"].month, 1)
+    if start is None or span["lo"] >= start:
         raise ValueError("need at least two calendar months to hold out a validation month")
-    m = month_str("hour")
-    return train.where(m < last_month), train.where(m == last_month)
+    return train.where(F.col("hour") < F.lit(start)), train.where(F.col("hour") >= F.lit(start))
 
 
-def _pipeline(kind: str, design: list[str], params: dict, n_keys: int, use_key: bool) -> Pipeline:
+def _pipeline(kind: str, design: list[str], params: dict, cats: list[str], levels: int) -> Pipeline:
     stages = []
     inputs = list(design)
-    if use_key:
-        stages.append(StringIndexer(inputCol=KEY, outputCol="_key_idx", handleInvalid="keep"))
+    for c in cats:
+        stages.append(StringIndexer(inputCol=f"_cat_{c}", outputCol=f"_idx_{c}", handleInvalid="keep"))
         if kind == "glm":
-            stages.append(OneHotEncoder(inputCols=["_key_idx"], outputCols=["_key_vec"], handleInvalid="keep"))
-            inputs.append("_key_vec")
-        else:
-            inputs.append("_key_idx")
+            stages.append(OneHotEncoder(inputCols=[f"_idx_{c}"], outputCols=[f"_vec_{c}"], handleInvalid="keep"))
+        inputs.append(f"_vec_{c}" if kind == "glm" else f"_idx_{c}")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"))
     if kind == "glm":
         stages.append(GeneralizedLinearRegression(family="poisson", link="log", featuresCol="_features",
@@ -74,7 +83,7 @@ def _pipeline(kind: str, design: list[str], params: dict, n_keys: int, use_key:
     else:
         stages.append(GBTRegressor(featuresCol="_features", labelCol="_label", predictionCol="_pred",
                                    maxIter=int(params.get("max_iter", 50)), maxDepth=int(params.get("max_depth", 6)),
-                                   stepSize=float(params.get("step_size", 0.1)), maxBins=max(32, n_keys + 2),
+                                   stepSize=float(params.get("step_size", 0.1)), maxBins=max(32, levels + 2),
                                    seed=int(params.get("seed", 7))))
     return Pipeline(stages=stages)
 
@@ -83,35 +92,43 @@ def fit_model(train: DataFrame, features: list[str], params: dict, kind: str = "
               refit_full: bool = True) -> tuple[PipelineModel, float]:
     """Drop training rows with null target-derived features, hold out the last
     month, pick the tree count by validation MAE (GBT), refit on all rows.
-    Returns (model, validation MAE)."""
+    Returns (model, validation MAE); without the refit the model has the picked
+    number of trees, too, and so has the validation MAE."""
     tgt = _target_derived(features)
     rows = train.dropna(subset=tgt) if tgt else train
-    rows, design = prepare(rows.withColumn("_label", F.col("trips").cast("double")), features)
-    rows = rows.persist()
+    rows, design, cats = prepare(rows.withColumn("_label", F.col("trips").cast("double")), features)
+    rows = materialize(rows, "table")
     fit_part, valid = time_based_split(rows)
-    use_key = KEY in features
-    n_keys = rows.select(KEY).distinct().count() if use_key else 0
-    model = _pipeline(kind, design, params, n_keys, use_key).fit(fit_part)
-    best_iter = None
+    levels = max(rows.agg(*[F.count_distinct(f"_cat_{c}") for c in cats]).first()) if cats else 0
+    model = _pipeline(kind, design, params, cats, levels).fit(fit_part)
+    p = dict(params)
     if kind == "gbt":
         gbt = model.stages[-1]
         prepared_valid = PipelineModel(model.stages[:-1]).transform(valid)
         errs = gbt.evaluateEachIteration(prepared_valid, "absolute")
-        best_iter = int(min(range(len(errs)), key=lambda i: errs[i])) + 1
+        p["max_iter"] = min(range(len(errs)), key=lambda i: errs[i]) + 1
+        if p["max_iter"] < len(errs):
+            # boosting with the same seed: the first trees are the same ones
+            model = _pipeline(kind, design, p, cats, levels).fit(fit_part)
     scored = model.transform(valid)
     val_mae = scored.agg(F.avg(F.abs(F.greatest(F.col("_pred"), F.lit(0.0)) - F.col("_label")))).first()[0]
     if refit_full:
-        p = dict(params)
-        if best_iter:
-            p["max_iter"] = best_iter
-        model = _pipeline(kind, design, p, n_keys, use_key).fit(rows)
-    rows.unpersist()
+        model = _pipeline(kind, design, p, cats, levels).fit(rows)
     return model, float(val_mae) if val_mae is not None else float("nan")
 
 
+def fitted_trees(model: PipelineModel) -> int | None:
+    return model.stages[-1].getNumTrees if hasattr(model.stages[-1], "getNumTrees") else None
+
+
+def categories(model: PipelineModel) -> dict[str, list[str]]:
+    """The frozen levels of every categorical feature."""
+    return {s.getInputCol().removeprefix("_cat_"): list(s.labels) for s in model.stages if isinstance(s, StringIndexerModel)}
+
+
 def score(model: PipelineModel, frame: DataFrame, features: list[str]) -> DataFrame:
     """Non-negative predictions for every row (no nulls)."""
-    prepared, _ = prepare(frame, features)
+    prepared, _, _ = prepare(frame, features)
     out = model.transform(prepared)
     keep = [c for c in frame.columns]
     return out.select(*keep, F.greatest(F.coalesce(F.col("_pred"), F.lit(0.0)), F.lit(0.0)).alias("prediction"))
@@ -126,8 +143,10 @@ class ModelPredictor:
     def predict_all(self, features: DataFrame, windows: DataFrame) -> DataFrame:
         out = None
         for (w,) in windows.select("window").orderBy("window").collect():  # <= n_windows values
-            train = features.where(month_str("hour") < w)
-            ev = features.where(month_str("hour") == w)
+            start = dt.datetime.strptime(w, "%Y-%m")
+            end = dt.datetime(start.year + start.month // 12, start.month % 12 + 1, 1)
+            train = features.where(F.col("hour") < F.lit(start))
+            ev = features.where((F.col("hour") >= F.lit(start)) & (F.col("hour") < F.lit(end)))
             model, _ = fit_model(train, self.features, self.params, self.kind, refit_full=False)
             d = score(model, ev, self.features).select(F.lit(w).alias("window"), KEY, "hour", "trips", "prediction")
             out = d if out is None else out.unionByName(d)
@@ -168,6 +187,7 @@ def train_production(features: DataFrame, cfg: Config, out_dir: str, through: dt
     flist = feature_list or cfg.model_features
     model, val_mae = fit_model(features, flist, cfg.model_params, kind, refit_full=True)
     meta = {"schema_version": 1, "features": flist, "params": {k: str(v) for k, v in cfg.model_params.items()},
+            "categories": categories(model), "fitted_n_estimators": fitted_trees(model), "code_version": CODE_VERSION,
             "data_range": [str(rng["lo"]), str(rng["hi"])], "train_through": str(rng["hi"]), "val_mae": val_mae,
             "model_version": f"{kind}-{str(rng['hi'])[:10]}-{uuid.uuid4().hex[:8]}",
             "created_at": dt.datetime.now(dt.timezone.utc).isoformat(), "kind": kind}
@@ -191,7 +211,7 @@ def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
     names = assembler.getInputCols()
     imp = gbt.featureImportances.toArray().tolist()
     spark = _active_spark()
-    rows = [(n.replace("_x_", "").replace("_key_idx", KEY), float(v)) for n, v in zip(names, imp)]
+    rows = [(n.removeprefix("_x_").removeprefix("_idx_"), float(v)) for n, v in zip(names, imp)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 

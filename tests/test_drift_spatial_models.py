@@ -104,3 +104,36 @@ def test_model_beats_naive_and_handles_unknown_key(spark):
     unseen = f.where("station_id = 'B'").withColumn("station_id", F.lit("C")).limit(50)
     scored = models.score(model, unseen, feats)
     assert scored.where("prediction is null or prediction < 0").count() == 0 and scored.count() == 50
+
+
+def test_categorical_levels_tree_count_and_metadata(spark, tmp_path):
+    from tallycast.config import DEFAULT, HOUR
+    from tallycast.operators import features, models
+    rng = np.random.default_rng(3)
+    start = dt.datetime(2025, 1, 20)
+    rows = [(k, start + dt.timedelta(hours=i), int(rng.poisson(3 if k == "A" else 1)), c)
+            for k, c in (("A", "busy"), ("B", "unknown")) for i in range(40 * 24)]
+    df = spark.createDataFrame(rows, "station_id string, hour timestamp_ntz, trips int, cluster string")
+    f = features.add_lag_features(features.add_calendar_features(df), HOUR)
+    feats = ["hour_of_day", "station_id", "cluster", "lag_24"]
+    model, mae = models.fit_model(f, feats, {"max_iter": 6, "max_depth": 2}, "gbt", refit_full=False)
+    rows_, design, cats = models.prepare(f.dropna(subset=["lag_24"]).withColumn("_label", F.col("trips").cast("double")), feats)
+    _, valid = models.time_based_split(rows_)
+    again = model.transform(valid).agg(F.avg(F.abs(F.greatest(F.col("_pred"), F.lit(0.0)) - F.col("_label")))).first()[0]
+    assert cats == ["station_id", "cluster"] and models.fitted_trees(model) <= 6 and abs(again - mae) < 1e-9
+    art = models.train_production(f, DEFAULT.with_(model_params={"max_iter": 3, "max_depth": 2}), f"{tmp_path}/a", feature_list=feats)
+    loaded = models.load_artifact(spark, f"{tmp_path}/a")
+    assert loaded.metadata["categories"] == {"station_id": ["A", "B"], "cluster": ["busy", "unknown"]}
+    assert loaded.metadata["fitted_n_estimators"] == models.fitted_trees(art.model)
+    some = f.where("hour >= '2025-02-20'")
+    one = {(r.station_id, r.hour): r.prediction for r in art.score(some).collect()}
+    assert one == {(r.station_id, r.hour): r.prediction for r in loaded.score(some).collect()}
+
+
+def test_drift_needs_rows_and_cycles_are_errors(spark):
+    r, c = frames(spark, 0)
+    with pytest.raises(ValueError, match="complete rows"):
+        drift.drift_statistics(r, c.limit(0), ["temperature_2m"])
+    loop = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "raw_station_id string, canonical_station_id string")
+    with pytest.raises(ValueError, match="cycle"):
+        spatial.flatten_mapping(loop)
