@@ -42,7 +42,7 @@ def month_summary(df: DataFrame, ts: str = "hour") -> list[tuple[str, object]]:
     return [(r["m"], r["mx"]) for r in rows]
 
 
-def window_table(df: DataFrame, n: int, grain: Grain, ts: str = "hour") -> DataFrame:
+def window_table(df: DataFrame, n: int, grain: Grain, ts: str = "hour", only: str | None = None) -> DataFrame:
     """Eval windows (last ``n`` months, a trailing partial month dropped) with
     their training cutoff (= last bucket of the previous month present), as a
     literal table of at most ``n`` rows built from the month summary. Later
@@ -58,7 +58,7 @@ def window_table(df: DataFrame, n: int, grain: Grain, ts: str = "hour") -> DataF
     cutoffs = [(m, months[i - 1][1] if i else None) for i, (m, _) in enumerate(months)]
     if not full:
         cutoffs = cutoffs[:-1]
-    keep = cutoffs[-n:] if n > 0 else []
+    keep = [c for c in cutoffs if c[0] == only] if only else cutoffs[-n:] if n > 0 else []
     return bounded_broadcast(spark.createDataFrame(keep, "window string, cutoff timestamp_ntz"))
 
 

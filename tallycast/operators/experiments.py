@@ -47,15 +47,20 @@ def log_run(results: DataFrame, runs_path: str, run_name: str, candidate: str, p
 def run_sweep(features: DataFrame, feature_list: list[str], base: dict, grid: dict, n_windows: int, grain: Grain,
               runs_path: str, run_name: str, kind: str = "gbt") -> None:
     for name, params in sweep_candidates(base, grid):
-        res = bt.run_backtest(features, [ModelPredictor(name, feature_list, params, kind)], n_windows, grain)
+        res = bt.run_backtest(features, [ModelPredictor(name, feature_list, params, kind), bt.SeasonalNaive(grain)], n_windows, grain)
         log_run(res, runs_path, run_name, name, params)
 
 
-def leaderboard(runs: DataFrame, run_prefix: str | None = None) -> DataFrame:
-    """Mean / std MAE, mean RMSE per (candidate, run); null metrics dropped; sorted by MAE."""
+def leaderboard(runs: DataFrame, run_prefix: str | None = None, naive: str = "seasonal_naive") -> DataFrame:
+    """Mean / std MAE, mean RMSE and mean MASE per (candidate, run), the naive
+    predictor's rows apart; null metrics dropped; sorted by MAE. MASE is null
+    where a run has no naive row for a window."""
     r = runs if run_prefix is None else runs.where(F.col("run_name").startswith(run_prefix))
-    return (r.groupBy("candidate", "run_id", "params").agg(
-        F.avg("mae").alias("mae_mean"), F.stddev_samp("mae").alias("mae_std"), F.avg("rmse").alias("rmse_mean"))
+    base = r.where(F.col("predictor") == naive).groupBy(F.col("run_id").alias("_r"), F.col("window").alias("_w")).agg(F.avg("mae").alias("_naive"))
+    own = r.where(F.col("predictor") != naive).join(base, (F.col("run_id") == F.col("_r")) & (F.col("window") == F.col("_w")), "left")
+    return (own.groupBy("candidate", "run_id", "params").agg(
+        F.avg("mae").alias("mae_mean"), F.stddev_samp("mae").alias("mae_std"), F.avg("rmse").alias("rmse_mean"),
+        F.avg(F.try_divide("mae", "_naive")).alias("mase_mean"))
         .dropna(subset=["mae_mean"]).orderBy("mae_mean", "candidate"))
 
 

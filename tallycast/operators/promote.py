@@ -7,8 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import Grain
+from ..config import Config, Grain
+from ..functions.exprs import materialize
+from ..sources.paths import has_data
 from . import backtest as bt
+from .models import Artifact, ArtifactPredictor, train_production
 
 
 def latest_unseen_full_month(features: DataFrame, train_through: dt.datetime, grain: Grain) -> str | None:
@@ -34,7 +37,7 @@ def promote_if_better(features: DataFrame, champion, challenger, champion_meta:
     if month is None:
         return spark.createDataFrame([("waiting_for_unseen_month", False, None, None, None, None,
                                        float(min_improvement), champion_meta["model_version"])], schema)
-    windows = F.broadcast(bt.window_table(features, 10_000, grain).where(F.col("window") == month))
+    windows = bt.window_table(features, 1, grain, only=month)
     preds = bt.all_predictions(features, [champion, challenger], windows)
     m = bt.metrics(preds, ["predictor"])
     cur = m.where(F.col("predictor") == champion.name).select("mae").scalar()
@@ -48,16 +51,51 @@ def promote_if_better(features: DataFrame, champion, challenger, champion_meta:
         F.lit(champion_meta["model_version"]).alias("current_version"))
 
 
-def record_decision(decision: DataFrame, registry_path: str, new_version: str | None = None) -> DataFrame:
+def record_decision(decision: DataFrame, registry_path: str, new_version: str | None = None, artifact_path: str | None = None) -> DataFrame:
     """Append the decision to the registry table; the current model is the
     newest promoted version (a pointer row instead of a directory swap)."""
-    row = decision.withColumn("new_version", F.lit(new_version)).withColumn(
-        "decided_at", F.lit(dt.datetime.now(dt.timezone.utc).isoformat()))
+    row = (decision.withColumn("new_version", F.lit(new_version).cast("string")).withColumn("artifact_path", F.lit(artifact_path).cast("string"))
+           .withColumn("decided_at", F.lit(dt.datetime.now(dt.timezone.utc).isoformat())))
     row.write.mode("append").parquet(registry_path)
     return row
 
 
-def current_version(spark, registry_path: str) -> str | None:
+def current_model(spark, registry_path: str) -> DataFrame:
+    """The newest promoted row: (new_version, artifact_path, eval_month); no row before a promotion."""
+    if not has_data(spark, registry_path):
+        return spark.createDataFrame([], "new_version string, artifact_path string, eval_month string")
     reg = spark.read.parquet(registry_path).where(F.col("promoted"))
-    r = reg.orderBy(F.desc("decided_at")).select("new_version").first()
-    return r[0] if r else None
+    return reg.orderBy(F.desc("decided_at")).limit(1).select("new_version", "artifact_path", "eval_month")
+
+
+def current_version(spark, registry_path: str) -> str | None:
+    r = current_model(spark, registry_path).first()
+    return r["new_version"] if r else None
+
+
+def run_promotion(features: DataFrame, champion: Artifact, cfg: Config, models_dir: str, registry_path: str, version: str,
+                  min_improvement: float = 0.02, feature_list: list[str] | None = None, kind: str = "gbt") -> DataFrame:
+    """Challenge the champion on the newest full month that it has not seen.
+
+    A challenger is fitted on everything before that month and both predict it.
+    If the challenger wins it is fitted again through the newest bucket and saved
+    as ``models_dir/version``; a version that exists is refused before any work.
+    The decision is appended to the registry either way and returned.
+    """
+    spark = features.sparkSession
+    home = f"{models_dir}/{version}"
+    if has_data(spark, home):
+        raise ValueError(f"model version {version} is already archived in {models_dir}")
+    through = dt.datetime.fromisoformat(str(champion.metadata["train_through"]))
+    month = latest_unseen_full_month(features, through, cfg.grain)
+    incumbent = ArtifactPredictor(champion, "champion")
+    if month is None:
+        return record_decision(promote_if_better(features, incumbent, incumbent, champion.metadata, cfg.grain, min_improvement), registry_path)
+    start = dt.datetime.strptime(month, "%Y-%m")
+    trial = train_production(features.where(F.col("hour") < F.lit(start)), cfg, f"{models_dir}/_trial-{version}", None, kind, feature_list)
+    decision = promote_if_better(features, incumbent, ArtifactPredictor(trial, "challenger"), champion.metadata, cfg.grain, min_improvement)
+    decision = materialize(decision, "table")
+    if not decision.first()["promoted"]:
+        return record_decision(decision, registry_path)
+    train_production(features, cfg, home, None, kind, feature_list)
+    return record_decision(decision, registry_path, version, home)

@@ -716,7 +716,7 @@ ORACLES["recent_partitions"] = SERVE + " SELECT DISTINCT as_of FROM store ORDER
 _MON = _drift_core(FEAT_HOUR + SERVE[len(HOUR_BASE):] + """,
 refs0 AS (SELECT least(CAST((SELECT min(as_of) FROM asof_days) AS TIMESTAMP) + INTERVAL 23 HOUR,
                        CAST((SELECT min(target_date) FROM daily) AS TIMESTAMP) - INTERVAL 1 HOUR) AS ref_end),
-refs AS (SELECT ref_end - INTERVAL 335 HOUR AS ref_start, ref_end FROM refs0),
+refs AS (SELECT ref_end - INTERVAL 1439 HOUR AS ref_start, ref_end FROM refs0),
 sides AS (
   SELECT *, 'ref' AS side FROM feat WHERE hour BETWEEN (SELECT ref_start FROM refs) AND (SELECT ref_end FROM refs)
   UNION ALL
@@ -755,3 +755,4 @@ ORACLES["id_mapping_csv"] = """
 WITH c AS (SELECT s_nationkey, min(s_suppkey) AS canon FROM supplier GROUP BY 1)
 SELECT CAST(s_suppkey AS VARCHAR) AS raw_station_id, CAST(canon AS VARCHAR) AS canonical_station_id
 FROM supplier JOIN c USING (s_nationkey) WHERE s_suppkey <> canon"""
+ORACLES["current_model"] = _CHAMP + " SELECT 'v2' AS new_version, 'models/v2' AS artifact_path, eval_month FROM unseen"

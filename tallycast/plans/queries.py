@@ -408,7 +408,7 @@ def q_profiles(spark, sf):
 
 def _clusters(spark, sf):
     return product(spark, sf, "clusters", lambda: cl.cluster_stations(cl.station_profiles(hour_grid(spark, sf)),
-                                                                      k=5, seed=42, n_init=3))
+                                                                      k=5, seed=42))
 
 
 @register("cluster_stations")
@@ -538,7 +538,7 @@ def q_monitoring(spark, sf):
     art = NaiveArtifact(HOUR_CFG.grain.naive_lag)
     meta = dict(art.metadata, val_mae=_baseline_mae(spark, sf),
                 train_through=str(_dt.datetime.combine(hour_replay_days(spark, sf)[0], _dt.time(23))))
-    summary, perf, drift = gt.run_monitoring(hour_features(spark, sf), _store(spark, sf), meta, reference_days=14)
+    summary, perf, drift = gt.run_monitoring(hour_features(spark, sf), _store(spark, sf), meta)
     one = lambda g, name: g.select(F.lit(1).alias("k"), F.col("passed").alias(name))
     return summary.withColumn("k", F.lit(1)).join(one(perf, "performance_passed"), "k").join(one(drift, "drift_passed"), "k").drop("k")
 
@@ -644,6 +644,18 @@ def q_promote(spark, sf):
                                        bt.HistoricalMean(), meta, DAY_CFG.grain, 0.02))
 
 
+@register("current_model")
+def q_current_model(spark, sf):
+    """The decision is recorded as promoted and as kept; the pointer names the promoted version."""
+    meta = _champion_meta(spark, sf)
+    decision = pm.promote_if_better(day_backtest_base(spark, sf), bt.SeasonalNaive(DAY_CFG.grain),
+                                    bt.HistoricalMean(), meta, DAY_CFG.grain, 0.0)
+    registry = shared_dir(spark, "registry")
+    pm.record_decision(decision.withColumn("promoted", F.lit(True)), registry, "v2", "models/v2")
+    pm.record_decision(decision.withColumn("promoted", F.lit(False)), registry)
+    return pm.current_model(spark, registry)
+
+
 # ---------------------------------------------------------------- sources, sinks and streaming
 from ..sources import trips as src_trips  # noqa: E402
 from ..sources import weather as src_weather  # noqa: E402

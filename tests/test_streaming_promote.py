@@ -85,3 +85,28 @@ def test_distributed_rank_equals_global_window(spark):
         "station_id", F.row_number().over(w).alias("rk"),
         F.sum("trips").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs")).collect()}
     assert got == want
+
+
+def test_promotion_retrains_archives_and_refuses_a_used_version(spark, tmp_path):
+    import math
+    from tallycast.config import DEFAULT
+    from tallycast.operators import models
+    start = dt.datetime(2025, 1, 1)
+    rows = [("A", start + dt.timedelta(hours=i), int(6 * math.exp(-((i % 24 - 9) ** 2) / 9)) + (i // 24) % 3) for i in range(120 * 24)]
+    df = spark.createDataFrame(rows, "station_id string, hour timestamp_ntz, trips int")
+    f = features.add_lag_features(features.add_calendar_features(df), HOUR)
+    cfg = DEFAULT.with_(model_params={"max_iter": 8, "max_depth": 4})
+    weak = models.train_production(f.where("hour < '2025-03-05'"), cfg.with_(model_params={"max_iter": 1, "max_depth": 1}), f"{tmp_path}/m/v1",
+                                   feature_list=["day_of_week", "lag_24"])
+    flist = ["hour_of_day", "lag_24", "lag_168"]
+    reg = f"{tmp_path}/registry"
+    assert promote.current_version(spark, reg) is None
+    d = promote.run_promotion(f, weak, cfg, f"{tmp_path}/m", reg, "v2", feature_list=flist).first()
+    assert d.status == "promoted" and d.eval_month == "2025-04" and d.mae_candidate < d.mae_current
+    now = promote.current_model(spark, reg).first()
+    strong = models.load_artifact(spark, now.artifact_path)
+    assert now.new_version == "v2" and strong.metadata["train_through"].startswith("2025-04-30")
+    with pytest.raises(ValueError, match="already archived"):
+        promote.run_promotion(f, strong, cfg, f"{tmp_path}/m", reg, "v2")
+    assert promote.run_promotion(f, strong, cfg, f"{tmp_path}/m", reg, "v3").first().status == "waiting_for_unseen_month"
+    assert promote.current_version(spark, reg) == "v2"
