@@ -1,4 +1,8 @@
-"""Pipeline configuration (defaults follow the published pipeline settings)."""
+"""Pipeline configuration.
+
+Fixed values: the defaults, feature names and covariate names below are the
+published pipeline settings that results must match.
+"""
 
 from __future__ import annotations
 

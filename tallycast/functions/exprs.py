@@ -34,10 +34,6 @@ def month_str(col: str | Column) -> Column:
     return F.date_format(c, "yyyy-MM")
 
 
-def ne_null_safe(a: Column, b: Column) -> Column:
-    return ~a.eqNullSafe(b)
-
-
 def round6(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column (used once, after the last aggregation)."""
     out = []

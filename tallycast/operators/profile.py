@@ -31,14 +31,13 @@ def monthly_demand(trips: DataFrame) -> DataFrame:
 
 
 def peak_and_low_month(trips: DataFrame) -> DataFrame:
-    """Busiest and quietest month (ties -> earliest month), via scalar subqueries
-    over the per-month table."""
-    m = monthly_demand(trips)
-    peak = m.orderBy(F.desc("trips"), F.asc("month")).limit(1)
-    low = m.orderBy(F.asc("trips"), F.asc("month")).limit(1)
-    return m.agg(F.count(F.lit(1)).alias("months")).select(
-        peak.select("month").scalar().alias("peak_month"), peak.select("trips").scalar().alias("peak_trips"),
-        low.select("month").scalar().alias("low_month"), low.select("trips").scalar().alias("low_trips"), "months")
+    """Busiest and quietest month (ties -> earliest month), in one pass over the
+    per-month table."""
+    top = F.min(F.struct((-F.col("trips")).alias("n"), "month"))
+    low = F.min(F.struct(F.col("trips").alias("n"), "month"))
+    return (monthly_demand(trips).agg(top.alias("top"), low.alias("low"), F.count(F.lit(1)).alias("months"))
+            .select(F.col("top.month").alias("peak_month"), (-F.col("top.n")).alias("peak_trips"),
+                    F.col("low.month").alias("low_month"), F.col("low.n").alias("low_trips"), "months"))
 
 
 def quality_summary(trips: DataFrame, min_seconds: int = 60, max_hours: int = 24) -> DataFrame:
@@ -50,6 +49,7 @@ def quality_summary(trips: DataFrame, min_seconds: int = 60, max_hours: int = 24
         F.count_if(F.col("start_station_id").isNull()).alias("r3"),
         F.count_if(F.col("end_station_id").isNull()).alias("r4"),
         F.count_if(F.col("started_at") > F.col("ended_at")).alias("r5"))
+    # fixed values: rule names of the published summary
     labels = [f"duration < {min_seconds}s", f"duration > {max_hours}h", "missing start_station_id",
               "missing end_station_id", "started_at > ended_at"]
     stack = "stack(5, " + ", ".join(f"'{lab}', r{i + 1}" for i, lab in enumerate(labels)) + ") as (rule, rows)"
