@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallycast.llm import byte_cnn, latent_decontam, mixing_tree, sharding, simhash_bytes
-from tallycast.llm.common import read_table, stored
+from tallycast.llm.common import bounded_batches, read_table, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near duplicates."""
+    bounded_batches(spark)
     return simhash_bytes.keep_one_per_group(docs)
 
 
