@@ -11,7 +11,20 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches for Python workers of at most ``BATCH_ROWS`` rows in this
+    session: texts are long, and the default of 10,000 rows is made for numbers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
