@@ -25,8 +25,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,17 +39,16 @@ COSINE, COVER, WEIGHT_SHARE = 0.4, 0.35, 0.4
 LCS_SHARE, ANSWER_SHARE = 0.6, 0.6
 ITEM_BLOCK = 512
 WORD_BLOCK = 1024
+GROUP_WORDS = 100_000  # words of documents that a task works on at a time
 SEED = 8
 
-_DROP = re.compile(r"[\W_]+")
-
-
-def word_form(token: str) -> str:
-    return _DROP.sub("", token.lower())
+def word_forms(tokens: pa.Array) -> pa.Array:
+    """Lower-case letters and digits of every token; empty where it has none."""
+    return pc.replace_substring_regex(pc.utf8_lower(tokens), r"[^\p{L}\p{N}]+", "")
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in map(word_form, text.split()) if w]
+    return [w for w in word_forms(pc.utf8_split_whitespace(pa.array([text])).flatten()).to_pylist() if w]
 
 
 def answer_of(text: str) -> list[str]:
@@ -88,24 +87,24 @@ def encode(docs: DataFrame, vocab: dict[str, int]) -> DataFrame:
     """(doc_id, h, words): the vocabulary numbers of every row's words, as int32 bytes, and the text's hash."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     src = docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text"))
+    words = list(vocab)  # in the order of their numbers
 
     def run(batches):
-        seen: dict[str, int] = {}
-        for b in batches:
-            out = []
-            for t in b.column(2):
-                tokens = t.as_py().split()
-                got = list(map(seen.get, tokens))
-                if None in got:
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    for x in set(tokens).difference(seen):
-                        w = word_form(x)
-                        seen[x] = vocab.get(w, -1) if w else -2
-                    got = list(map(seen.get, tokens))
-                ids = np.array(got, np.int32)
-                out.append(ids[ids != -2].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], ["doc_id", "h", "words"])
+        known = pa.array(words, pa.string())
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):  # bounds the tokens held at a time
+                b = batch.slice(at, 256)
+                lists = pc.utf8_split_whitespace(b.column(2))
+                tokens = lists.flatten().dictionary_encode()
+                forms = word_forms(tokens.dictionary)
+                number = pc.fill_null(pc.index_in(forms, value_set=known), -1).to_numpy().astype(np.int32)
+                number[pc.equal(forms, "").to_numpy(zero_copy_only=False)] = -2
+                ids = number[tokens.indices.to_numpy()] if len(tokens) else np.zeros(0, np.int32)
+                keep = ids != -2
+                # how many kept words come before each document's first and after its last token
+                upto = np.concatenate(([0], np.cumsum(keep)))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+                packed = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer((upto * 4).astype(np.int64)), pa.py_buffer(ids[keep])])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), packed.cast(pa.binary())], ["doc_id", "h", "words"])
 
     return src.mapInArrow(run, StructType([*src.schema.fields[:2], *StructType.fromDDL("words binary").fields]))
 
@@ -116,7 +115,7 @@ def passages(batch: pa.RecordBatch, step: int) -> Iterator[tuple[np.ndarray, np.
     column, i = batch.column(2), 0
     while i < batch.num_rows:
         parts, n = [], 0
-        while i < batch.num_rows and n < 400_000:
+        while i < batch.num_rows and n < GROUP_WORDS:
             parts.append(np.frombuffer(column[i].as_py(), np.int32))
             n += len(parts[-1])
             i += 1
@@ -131,16 +130,19 @@ def passages(batch: pa.RecordBatch, step: int) -> Iterator[tuple[np.ndarray, np.
         yield ids[known], block[known], first, lengths
 
 
-def _sum_rows(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of ``rows`` by ``ids`` (0 to n - 1)."""
-    out = np.zeros((n, rows.shape[1]), np.float64)
+def _sum_by_word(ids: np.ndarray, block: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` words the sum of its blocks' rows of ``y``."""
+    out = np.zeros((n, y.shape[1]), np.float64)
     if len(ids):
         order = np.argsort(ids, kind="stable")
-        s = ids[order]
+        s, where = ids[order], block[order]
         cuts = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-        for a in range(0, len(cuts), 4096):  # bounded copies
-            lo, hi = cuts[a], cuts[a + 4096] if a + 4096 < len(cuts) else len(s)
-            out[s[cuts[a:a + 4096]]] = np.add.reduceat(rows[order[lo:hi]], cuts[a:a + 4096] - lo, axis=0)
+        ends = np.r_[cuts[1:], len(s)]
+        a = 0
+        while a < len(cuts):  # copies of 16,384 rows, or of one word's
+            b = max(a + 1, int(np.searchsorted(ends, cuts[a] + 16_384, side="right")))
+            out[s[cuts[a:b]]] = np.add.reduceat(y[where[cuts[a]:ends[b - 1]]], cuts[a:b] - cuts[a], axis=0)
+            a = b
     return out
 
 
@@ -187,13 +189,14 @@ def _summed(encoded: DataFrame, n_rows: int, n_cols: int, per_batch) -> np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([TaskContext.get().partitionId() % 64] * len(at)),
                                           pa.array([total[a:a + WORD_BLOCK].tobytes() for a in at], pa.binary())], ["at", "salt", "part"])
 
-    def add(pdf):
-        total = sum(np.frombuffer(x) for x in pdf["part"])
-        return pd.DataFrame({"at": [pdf["at"].iloc[0]], "salt": [pdf["salt"].iloc[0]], "part": [total.tobytes()]})
+    def add(table):
+        first = table.slice(0, 1)
+        total = sum(np.frombuffer(x) for x in table["part"].to_pylist())
+        return pa.table({"at": first["at"], "salt": first["salt"], "part": pa.array([total.tobytes()], pa.binary())})
 
     kind = "at long, salt long, part binary"
-    once = encoded.mapInArrow(run, kind).groupBy("at", "salt").applyInPandas(add, kind)
-    rows = once.groupBy("at").applyInPandas(add, kind).collect()
+    once = encoded.mapInArrow(run, kind).groupBy("at", "salt").applyInArrow(add, kind)
+    rows = once.groupBy("at").applyInArrow(add, kind).collect()
     out = np.zeros((n_rows, n_cols))
     for r in rows:
         part = np.frombuffer(r.part).reshape(-1, n_cols)
@@ -211,7 +214,7 @@ def randomised_svd(encoded: DataFrame, idf: np.ndarray, rank: int = RANK, oversa
     def forth_and_back(b):
         for ids, block, first, _ in passages(b, PASSAGE):
             y = _block_sums(ids, block, int(first[-1]), omega)
-            yield _sum_rows(ids, y[block], n) * idf[:, None]
+            yield _sum_by_word(ids, block, y, n) * idf[:, None]
 
     q, _ = np.linalg.qr(_summed(encoded, n, width, forth_and_back))
     table = (q * idf[:, None]).astype(np.float32)
