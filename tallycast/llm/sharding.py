@@ -77,7 +77,8 @@ def assign(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Data
     total = nodes.count()
     quota = [(k + 1) * total // shards - k * total // shards for k in range(shards)]
     groups = nodes.filter("grp is not null").groupBy(F.col("grp").alias("_g")).agg(F.count("*").alias("n")).filter("n > 1").select("_g")
-    linked = nodes.join(groups, F.col("grp") == F.col("_g")).select("node", "grp", _start(F.col("node"), shards).alias("shard"))
+    # written first, so that a large group's side of the join can be split
+    linked = nodes.join(stored(groups, "shard-groups"), F.col("grp") == F.col("_g")).select("node", "grp", _start(F.col("node"), shards).alias("shard"))
     linked = propagate(stored(linked, "shard-linked"), min(quota, default=0), shards, rounds)
     # linked documents first, by shard and group; then, as if in shard number ``shards``, the rest in a fixed random order
     placed = nodes.select("node").join(linked, "node", "left").select(
