@@ -57,3 +57,30 @@ def test_ranks_small_and_empty(spark):
     assert S.shard_documents(empty).collect() == []
     few = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "doc_id long, text string")
     assert sorted(r.slot for r in S.shard_documents(few).collect()) == [0, 0, 0]
+
+
+def test_circulation_swaps_cycles_and_room():
+    assert S.circulation([[0, 5], [3, 0]], [0, 0]) == [[0, 3], [3, 0]]
+    assert S.circulation([[0, 5], [3, 0]], [0, 1]) == [[0, 4], [3, 0]]
+    assert S.circulation([[0, 4, 0], [0, 0, 4], [3, 0, 0]], [0, 0, 0]) == [[0, 3, 0], [0, 0, 3], [3, 0, 0]]
+    assert S.circulation([[0, 9], [0, 0]], [7, 0]) == [[0, 0], [0, 0]]
+
+
+def together(got, keep):
+    mine = [r for r in got if keep(r.doc_id)]
+    sizes = Counter(r.text_group for r in mine).values()
+    pairs = sum(n * (n - 1) // 2 for n in sizes)
+    return 1 - cut_pairs(mine, lambda r: r.shard) / pairs
+
+
+def test_a_hot_group_fills_whole_shards(spark):
+    rows = [(i, "hot" if i < 2000 else "pair %d" % (i % 600) if i < 3200 else "own %d" % i) for i in range(6000)]
+    got = S.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert together(got, lambda i: i < 2000) > 0.13  # 5.33 full shards: 0.18; by chance: 0.06
+    assert together(got, lambda i: 2000 <= i < 3200) > 0.9
+
+
+def test_pairs_move_where_nearly_every_row_is_linked(spark):
+    rows = [(i, "pair %d" % (i % 1960) if i < 3920 else "own %d" % i) for i in range(4000)]
+    got = S.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert together(got, lambda i: i < 3920) > 0.9
