@@ -3,7 +3,7 @@
 Writers hide words by look-alike symbols (``1d10t``), by spacing them out
 (``s c u m``, ``s.c.u.m``) and by repeating letters (``loooser``). Every
 suspicious span becomes a lattice: at each place the letters it may stand for,
-or nothing, with a channel cost. A Viterbi search under a character trigram
+or nothing (a space: nothing or a word border), with a channel cost. A Viterbi search under a character trigram
 model of the corpus restores the likeliest spellings, which are scored together
 with the plain words.
 
@@ -43,6 +43,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõ
 SIZE = 64
 CODE = {c: i + 2 for i, c in enumerate(LETTERS)}  # 0: word border, 1: any other letter
 LIKE_COST, SKIP_COST, NOISE_COST, REPEAT_COST = -0.7, -2.5, -0.2, -0.3
+GAP_COST = -3.0  # a wider space that is no word border
 
 _TABLE = np.array([CODE.get(chr(c).lower(), 1 if chr(c).isalpha() else 0) for c in range(0x10000)], np.uint8)
 
@@ -106,7 +107,9 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
         if ch in LOOK_ALIKES:
             opts = [(c * k, LIKE_COST * k + REPEAT_COST * (n - k)) for c in LOOK_ALIKES[ch] for k in {1, min(n, 2)}]
             out.append(opts if ch.isdigit() else [*opts, ("", SKIP_COST)])
-        elif ch in NOISE or ch.isspace():
+        elif ch.isspace():
+            out.append([("", NOISE_COST if n == 1 else GAP_COST), (" ", NOISE_COST)])
+        elif ch in NOISE:
             out.append([("", NOISE_COST)])
         elif n >= 3:
             out.append([(ch, REPEAT_COST), (ch * 2, REPEAT_COST)])
@@ -127,9 +130,9 @@ def decode(span: str, lm: CharModel, n_best: int = N_BEST) -> list[str]:
             for text, cost in options:
                 x, y, add = a, b, cost
                 for c in text:
-                    k = CODE.get(c, 1)
+                    k = 0 if c == " " else CODE.get(c, 1)
                     add += lm.step(x, y, k)
-                    x, y = y, k
+                    x, y = (y, k) if k else (0, 0)
                 new.setdefault((x, y), []).extend((s + add, p + text) for s, p in paths)
         states = {k: sorted(set(v), reverse=True)[:n_best] for k, v in new.items()}
     ends = sorted(((s + lm.step(a, b, 0), p) for (a, b), v in states.items() for s, p in v), reverse=True)
@@ -138,6 +141,7 @@ def decode(span: str, lm: CharModel, n_best: int = N_BEST) -> list[str]:
 
 # Punctuation that is taken off a token's ends (look-alikes may begin a word).
 _AFTER = ".,;:!?\"'()[]{}<>*#%&$…|»«“”’-_/\\=~`^"
+_AFTER_SURE = "".join(c for c in _AFTER if c not in LOOK_ALIKES)
 _BEFORE = ".,;:?\"')[]{}<>*#%&…»«“”‘-_/\\=~`^"
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?<!\S)(?:\S[^\S\n]+){2,}\S(?!\S)")
@@ -152,18 +156,24 @@ def suspicious(core: str) -> bool:
 
 def token_words(token: str, lm: CharModel) -> tuple:
     """A lower-cased token as scored: without the punctuation around it, and
-    with the restored spellings if it is suspicious."""
+    with the restored spellings if it is suspicious; look-alikes at its end are
+    taken as punctuation, as letters, and as letters before exclamation marks."""
     core = token.rstrip(_AFTER).lstrip(_BEFORE)
     if not core:
         return ()
-    return (core, *decode(core, lm)) if suspicious(core) else (core,)
+    wide = token.rstrip(_AFTER_SURE).lstrip(_BEFORE)
+    forms = dict.fromkeys((core, wide.rstrip(_AFTER_SURE + "!"), wide))
+    return tuple(dict.fromkeys([core, *(w for f in forms if suspicious(f) for w in decode(f, lm))]))
 
 
 def spaced_words(low: str, tokens: list[str], lm: CharModel) -> list[str]:
-    """Restored spellings of runs of at least three single symbols."""
+    """Words of the restored spellings of runs of at least three single symbols:
+    of a run as one word (letters repeated across spaces are one), and of a run
+    whose spaces may be word borders."""
     if "111" not in "".join(["1" if len(t) == 1 else "0" for t in tokens]):
         return []
-    return [w for m in _SPACED.finditer(low) for w in decode("".join(m.group().split()), lm)]
+    runs = [m.group() for m in _SPACED.finditer(low)]
+    return [w for run in runs for f in ("".join(run.split()), run) for path in decode(f, lm) for w in path.split()]
 
 
 @dataclass

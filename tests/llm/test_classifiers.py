@@ -134,3 +134,16 @@ def test_toxicity_finds_plain_and_hidden_words(spark):
     assert min(got[i] for i, _ in hidden) >= toxicity.TOXIC_AT > max(got[i] for i, _ in clean)
     held = [(i, y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 4 == 2]
     assert auc([got[i] for i, _ in held], [y for _, y in held]) > 0.97
+
+
+def test_spaced_words_keep_their_borders_and_trailing_look_alikes_count():
+    lm = model_of(["you are a stupid idiot and i say you scum are a loser with an ass piss off u moron this is a kiss of the class"] * 5)
+
+    def words(text):
+        return toxicity.spaced_words(text, text.split(), lm)
+    assert "stupid" in words("you are a s t u p i d")
+    assert "scum" in words("y o u s c u m")
+    assert {"stupid", "scum"} <= set(words("s t u p i d  s c u m"))
+    assert "moron" in words("u m o r o n") and "idiot" in words("i d i o o o t")
+    assert "ass" in toxicity.token_words("a$$", lm) and "ass" in toxicity.token_words("a$$!!", lm)
+    assert "piss" in toxicity.token_words("p!$$", lm) and toxicity.token_words("class.", lm) == ("class",)
