@@ -50,9 +50,12 @@ _TABLE = np.array([CODE.get(chr(c).lower(), 1 if chr(c).isalpha() else 0) for c
 
 def trigram_counts(text: str) -> np.ndarray:
     """Dense SIZE^3 counts of letter trigrams over UTF-16 units; anything that
-    is no letter is a word border."""
-    code = _TABLE[np.frombuffer(f" {text} ".encode("utf-16-le", "surrogatepass"), np.uint16)].astype(np.int64)
-    return np.bincount((code[:-2] << 12) | (code[1:-1] << 6) | code[2:], minlength=SIZE ** 3)
+    is no letter is a word border. Borders in a row are not counted, so texts
+    joined by two borders give the sum of their own counts."""
+    code = _TABLE[np.frombuffer(f"  {text} ".encode("utf-16-le", "surrogatepass"), np.uint16)].astype(np.int64)
+    counts = np.bincount((code[:-2] << 12) | (code[1:-1] << 6) | code[2:], minlength=SIZE ** 3)
+    counts.reshape(SIZE, SIZE, SIZE)[:, 0, 0] = 0
+    return counts
 
 
 def corpus_trigrams(docs: DataFrame) -> np.ndarray:
@@ -67,10 +70,10 @@ def corpus_trigrams(docs: DataFrame) -> np.ndarray:
                 held.append(t)
                 n += len(t)
                 if n > 1_000_000:
-                    total += trigram_counts("\n".join(held))
+                    total += trigram_counts("\n\n".join(held))
                     held, n = [], 0
             if held:
-                total += trigram_counts("\n".join(held))
+                total += trigram_counts("\n\n".join(held))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["gram", "n"])
 
@@ -85,7 +88,6 @@ class CharModel:
 
     def __init__(self, counts: np.ndarray):
         tri = counts.reshape(SIZE, SIZE, SIZE).astype(np.float64)
-        tri[:, 0, 0] = 0           # borders in a row are one border
         tri[0, 0] = tri[:, 0].sum(0)  # a word's first letter has nothing before its border
         bi, uni = tri.sum(0), tri.sum((0, 1))
         p1 = (uni + 1) / (uni.sum() + SIZE)

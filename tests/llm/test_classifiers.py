@@ -104,12 +104,13 @@ def test_viterbi_equals_enumeration():
     assert toxicity.decode("1d10t", lm)[0] == "idiot" and "scum" in toxicity.decode("s.c.u.m", lm)
 
 
-def test_trigrams_are_counted_over_all_documents(spark):
-    texts = ["the cat", None, "", "Ärger 12 über\U0001f600x", "a" * 5000]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
-    got = toxicity.CharModel(toxicity.corpus_trigrams(df)).logp
-    want = toxicity.CharModel(sum(toxicity.trigram_counts(t) for t in texts if t is not None)).logp
-    assert np.allclose(got, want, atol=0.02)
+def test_trigrams_do_not_depend_on_the_layout_of_the_documents(spark):
+    texts = ["the cat", None, "", "Ärger 12 über\U0001f600x", "a" * 5000, "  two  blanks ", "x"]
+    want = sum(toxicity.trigram_counts(t) for t in texts if t is not None)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for parts in (1, 3, 16):
+        assert (toxicity.corpus_trigrams(df.repartition(parts)) == want).all()
+    assert want.reshape((toxicity.SIZE,) * 3)[0, 0, toxicity.CODE["t"]] == 2
 
 
 def test_toxicity_finds_plain_and_hidden_words(spark):
