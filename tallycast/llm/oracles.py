@@ -23,4 +23,26 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(24 + length(url_encode(role)) + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')))::BIGINT AS formatted_chars
         FROM c GROUP BY conv_id""",
+    # the texts' pieces as word lists, every run of one to three words, then the textbook formulas
+    "op13_trie_collocations": r"""
+        WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+                       FROM documents),
+             w AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM piece),
+             gram AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) AS g
+                      FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k),
+             f AS (SELECT lang, k, g, count(*)::HUGEINT AS a FROM gram GROUP BY ALL),
+             total AS (SELECT lang, sum(a)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+             cand AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+             longer AS (SELECT lang, g[1:2] AS g, a FROM cand WHERE k = 3 UNION ALL SELECT lang, g[2:3], a FROM cand WHERE k = 3),
+             kept AS (SELECT * FROM cand c WHERE NOT EXISTS
+                        (SELECT 1 FROM longer x WHERE x.lang = c.lang AND x.g = c.g AND 100 * x.a >= 50 * c.a)),
+             cut AS (SELECT c.lang, c.g, c.a, i, l.a AS l, r.a AS r, (1000000::HUGEINT * c.a * c.a) // (l.a * r.a) AS score
+                     FROM (SELECT *, unnest(range(1, k)) AS i FROM kept) c
+                     JOIN f l ON l.lang = c.lang AND l.g = c.g[1:i] JOIN f r ON r.lang = c.lang AND r.g = c.g[i + 1:]),
+             best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, i) = 1),
+             ranked AS (SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER
+                          (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank FROM best)
+        SELECT r.lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked r JOIN total t ON t.lang = r.lang WHERE rank <= 2000""",
 }

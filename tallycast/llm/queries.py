@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_cnn, chat_events, latent_decontam, license_rules, mixing_tree, sharding, simhash_bytes, syncmers, toxicity,
+from . import (byte_cnn, chat_events, collocations, latent_decontam, license_rules, mixing_tree, sharding, simhash_bytes, syncmers, toxicity,
                warc_zip)
 from .common import is_held_out, read_table
 
@@ -85,3 +85,8 @@ def op9_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_tree.taken_words(mixing_tree.mix(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
