@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_cnn, chat_events, collocations, latent_decontam, license_rules, mixing_tree, sharding, simhash_bytes, syncmers, toxicity,
+from . import (bpe_stream, byte_cnn, chat_events, collocations, latent_decontam, license_rules, mixing_tree, sharding, simhash_bytes, syncmers, toxicity,
                warc_zip)
 from .common import is_held_out, read_table
 
@@ -87,6 +87,18 @@ def op10_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_tree.taken_words(mixing_tree.mix(read_table(spark, sf_dir, "documents")))
 
 
+@query
+def op12_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # where the vocabulary files are; the operator takes any path
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe_stream.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    back = bpe_stream.decode(coded, path)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op13_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
