@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_stream, byte_cnn, chat_events, collocations, latent_decontam, license_rules, mixing_tree, sharding, simhash_bytes, syncmers, toxicity,
-               warc_zip)
+from . import (bpe_stream, byte_cnn, chat_events, collocations, latent_decontam, license_rules, mixing_tree, sharding, simhash_bytes,
+               structure_repair, syncmers, toxicity, warc_zip)
 from .common import is_held_out, read_table
 
 REGISTRY = {}
@@ -87,6 +87,12 @@ def op10_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_tree.taken_words(mixing_tree.mix(read_table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_block_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return structure_repair.repair_digests(rows, structure_repair.damaged(rows))
+
+
 @query
 def op12_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers  # where the vocabulary files are; the operator takes any path
