@@ -1,21 +1,24 @@
 """Serving: leak-safe inference features, the versioned forecast store,
 replay, evaluation against actuals and store lookups.
 
-The store is a Hive-style partitioned Parquet table ``<path>/as_of=YYYY-MM-DD``
-written with dynamic partition overwrite, so replacing one day never touches
-the others and each task's output is committed atomically.
+The store keeps every write in a folder of its own, ``data/attempt=<id>/as_of=<day>``;
+a day's forecast becomes visible by a numbered commit record in
+``commits/as_of=<day>``, created only if absent, and readers follow the newest
+record of each day. A writer that dies leaves files that no record names, and of
+two writers of the same day one learns that it came second.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, Grain
 from ..functions.exprs import materialize
-from ..sources.paths import has_data, matches
+from ..sources.commits import commit, records, records_by_folder
 from . import features as feat
 
 KEY = "station_id"
@@ -104,9 +107,10 @@ def replay_inference_features(history: DataFrame, as_of_days: list[dt.date], cfg
                               covariates: DataFrame | None = None, horizon: int | None = None,
                               master: DataFrame | None = None) -> DataFrame:
     """All replay days in ONE plan: target-derived features of a future bucket
-    only use buckets at least one horizon earlier, so computing lags on the
-    full history and keeping each day's horizon is identical to building each
-    day separately (the leakage guard makes this exact). Adds ``as_of``."""
+    only use buckets at least one horizon earlier, so computing lags once and
+    keeping each day's horizon is identical to building each day separately (the
+    leakage guard makes this exact). History older than the first day's look-back
+    is not read. Adds ``as_of``."""
     grain = cfg.grain
     horizon = horizon or grain.horizon
     if horizon > min(grain.lags):
@@ -118,11 +122,12 @@ def replay_inference_features(history: DataFrame, as_of_days: list[dt.date], cfg
     targets = days.select("as_of", F.explode(F.sequence(F.timestamp_add(shift, F.lit(1), last),
                                                         F.timestamp_add(shift, F.lit(horizon), last),
                                                         F.expr(grain.interval))).alias("hour"))
-    known = history.select(KEY, "hour", "trips")
+    since = min(last_known_bucket(d, grain) for d in as_of_days) - _step(grain) * (grain.needed_history - 1)
+    known = history.where(F.col("hour") >= F.lit(since)).select(KEY, "hour", "trips")
     # buckets after the history's end (at most one horizon per day) have no rows yet
     end, step = known.agg(F.max("hour")).first()[0], _step(grain)
     ahead = sorted({h for d in as_of_days for k in range(1, horizon + 1) if end is not None and (h := last_known_bucket(d, grain) + step * k) > end})
-    future = known.select(KEY).distinct().select(KEY, F.explode(F.array(*[F.lit(h) for h in ahead]).cast("array<timestamp_ntz>")).alias("hour"), F.lit(None).cast("int").alias("trips"))
+    future = history.select(KEY).distinct().select(KEY, F.explode(F.array(*[F.lit(h) for h in ahead]).cast("array<timestamp_ntz>")).alias("hour"), F.lit(None).cast("int").alias("trips"))
     frame = feat.add_lag_features(feat.add_calendar_features(known.unionByName(future)), grain)
     if covariates is not None:
         frame = feat.add_covariates(frame, covariates, cfg, check=False)
@@ -132,39 +137,80 @@ def replay_inference_features(history: DataFrame, as_of_days: list[dt.date], cfg
     return frame.join(F.broadcast(targets), "hour")
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """All ``as_of=`` partitions (``as_of`` typed DATE); error when there are none."""
-    if not matches(spark, f"{path}/as_of=*"):
+def _commits(path: str, as_of: dt.date) -> str:
+    return f"{path}/commits/as_of={as_of.isoformat()}"
+
+
+def newest_commits(spark: SparkSession, path: str, days: list[dt.date] | None = None) -> dict[dt.date, tuple[int, dict]]:
+    """day -> (number, record) of its newest commit, in one read."""
+    found = {dt.date.fromisoformat(k.split("=", 1)[1]): v[-1] for k, v in records_by_folder(spark, f"{path}/commits/as_of=*").items()}
+    return {d: found[d] for d in sorted(found) if days is None or d in days}
+
+
+def newest_commit(spark: SparkSession, path: str, as_of: dt.date) -> tuple[int, dict | None]:
+    """(number, record) of the newest commit of a day; (0, None) without one."""
+    found = records(spark, _commits(path, as_of))
+    return found[-1] if found else (0, None)
+
+
+def read_store(spark: SparkSession, path: str, days: list[dt.date] | None = None) -> DataFrame:
+    """The committed forecasts of all days, or of those given (``as_of`` typed
+    DATE); error when there are none. Files of writers that never committed,
+    and those of replaced forecasts, are not read."""
+    found = newest_commits(spark, path, days)
+    if not found:
         raise ValueError(f"no forecast partitions found in {path}")
-    df = spark.read.option("basePath", path).parquet(f"{path}/as_of=*")
+    folders = [f"{path}/data/attempt={record['attempt']}/as_of={d.isoformat()}" for d, (_, record) in found.items()]
+    df = spark.read.option("basePath", f"{path}/data").parquet(*folders)
     return df.withColumn("as_of", F.col("as_of").cast("date")).select(*STORE_COLUMNS)
 
 
-def partition_versions(spark: SparkSession, path: str, as_of: dt.date) -> list[str] | None:
-    part = f"{path}/as_of={as_of.isoformat()}"
-    if not has_data(spark, part):
-        return None
-    df = spark.read.parquet(part)
-    return sorted(r[0] for r in df.select("model_version").distinct().collect())
+def stage_forecasts(predictions: DataFrame, path: str) -> str:
+    """Writes forecasts (``STORE_COLUMNS``) of any number of days where no reader
+    looks yet; returns the attempt's id."""
+    attempt = uuid.uuid4().hex
+    predictions.select(*STORE_COLUMNS).write.partitionBy("as_of").parquet(f"{path}/data/attempt={attempt}")
+    return attempt
+
+
+def commit_forecast(spark: SparkSession, path: str, as_of: dt.date, attempt: str, model_version: str, after: int, force: bool = False) -> str:
+    """Makes a staged day visible as commit ``after`` + 1. Where another writer
+    was faster: ``skipped`` if it wrote the same version, an error if another,
+    with ``force`` the next number."""
+    while True:
+        if commit(spark, _commits(path, as_of), after + 1, {"attempt": attempt, "model_version": model_version}):
+            return "written"
+        after, other = newest_commit(spark, path, as_of)
+        if force:
+            continue
+        if other["model_version"] == model_version:
+            return "skipped"
+        raise ValueError(f"partition as_of={as_of} belongs to model version(s) {[other['model_version']]}, not {model_version}")
+
+
+def _may_write(newest: tuple[int, dict | None], as_of: dt.date, model_version: str, force: bool) -> int | None:
+    """Number of the newest commit of a day that may be written; None where it holds this version."""
+    number, record = newest
+    if record is not None and not force:
+        if record["model_version"] == model_version:
+            return None
+        raise ValueError(f"partition as_of={as_of} belongs to model version(s) {[record['model_version']]}, not {model_version}")
+    return number
 
 
 def write_partition(predictions: DataFrame, path: str, as_of: dt.date, model_version: str,
                     force: bool = False, created_at: str | None = None) -> str:
-    """Idempotent daily partition: skip when it already holds exactly this
-    model version, refuse another version unless ``force``, else dynamic
-    partition overwrite (only this ``as_of`` is replaced)."""
+    """Idempotent daily partition: skipped when it already holds exactly this
+    model version, refused to another version unless ``force``; otherwise staged
+    and then committed."""
     spark = predictions.sparkSession
-    existing = partition_versions(spark, path, as_of)
-    if existing is not None and not force:
-        if existing == [model_version]:
-            return "skipped"
-        raise ValueError(f"partition as_of={as_of} belongs to model version(s) {existing}, not {model_version}")
+    number = _may_write(newest_commit(spark, path, as_of), as_of, model_version, force)
+    if number is None:
+        return "skipped"
     created_at = created_at or dt.datetime.now(dt.timezone.utc).isoformat()
     out = predictions.select(F.lit(as_of).alias("as_of"), KEY, "hour", F.col("prediction").cast("double"),
                              F.lit(model_version).alias("model_version"), F.lit(created_at).alias("created_at"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("as_of").parquet(path))
-    return "written"
+    return commit_forecast(spark, path, as_of, stage_forecasts(out, path), model_version, number, force)
 
 
 def run_batch_predict(as_of: dt.date, history: DataFrame, covariates: DataFrame | None, master: DataFrame | None,
@@ -173,8 +219,7 @@ def run_batch_predict(as_of: dt.date, history: DataFrame, covariates: DataFrame
     trained = dt.date.fromisoformat(str(metadata["train_through"])[:10])
     if trained > as_of:
         raise ValueError(f"model was trained through {trained}, after as_of={as_of}: replay would leak")
-    existing = partition_versions(history.sparkSession, store_path, as_of)
-    if existing == [metadata["model_version"]] and not force:
+    if _may_write(newest_commit(history.sparkSession, store_path, as_of), as_of, metadata["model_version"], force) is None:
         return "skipped"
     frame = build_inference_features(history, covariates, master, as_of, cfg)
     preds = model.score(frame)
@@ -185,36 +230,29 @@ def run_batch_predict_days(days: list[dt.date], history: DataFrame, covariates:
                            master: DataFrame | None, cfg: Config, model, metadata: dict, store_path: str,
                            force: bool = False) -> dict:
     """Several ``as_of`` partitions with the same checks as ``run_batch_predict``
-    but one coverage job and ONE write job (all pending partitions are written
-    together with dynamic partition overwrite). Returns day -> status."""
+    but one coverage job and ONE write job: all pending days are staged
+    together and then committed one by one. Returns day -> status."""
     trained = dt.date.fromisoformat(str(metadata["train_through"])[:10])
     late = [d for d in days if trained > d]
     if late:
         raise ValueError(f"model was trained through {trained}, after as_of={min(late)}: replay would leak")
     version = metadata["model_version"]
     spark = history.sparkSession
-    status, pending = {}, []
-    existing = {}
-    if matches(spark, f"{store_path}/as_of=*"):
-        rows = (read_store(spark, store_path).where(F.col("as_of").isin(list(days)))
-                .select("as_of", "model_version").distinct().collect())
-        for r in rows:
-            existing.setdefault(r["as_of"], set()).add(r["model_version"])
+    status, pending = {}, {}
+    committed = newest_commits(spark, store_path, days)
     for d in days:
-        vers = sorted(existing.get(d, []))
-        if vers and not force:
-            if vers == [version]:
-                status[d] = "skipped"
-                continue
-            raise ValueError(f"partition as_of={d} belongs to model version(s) {vers}, not {version}")
-        pending.append(d)
+        number = _may_write(committed.get(d, (0, None)), d, version, force)
+        if number is None:
+            status[d] = "skipped"
+        else:
+            pending[d] = number
     if not pending:
         return status
-    cov = history_coverage_days(history, pending, cfg.grain)
+    cov = history_coverage_days(history, list(pending), cfg.grain)
     bad = cov.where(~F.col("complete")).groupBy("as_of").agg(F.count(F.lit(1)).alias("n")).collect()
     if bad:
         raise ValueError(f"recent history is incomplete for as_of {sorted(r['as_of'] for r in bad)}")
-    frames = replay_inference_features(history, pending, cfg, covariates, master=master)
+    frames = replay_inference_features(history, list(pending), cfg, covariates, master=master)
     if covariates is not None:
         first = [c for c in covariates.columns if c != "timestamp"][0]
         frames = materialize(frames, "table")
@@ -225,9 +263,8 @@ def run_batch_predict_days(days: list[dt.date], history: DataFrame, covariates:
     created_at = dt.datetime.now(dt.timezone.utc).isoformat()
     out = frames.select("as_of", KEY, "hour", "prediction", F.lit(version).alias("model_version"),
                         F.lit(created_at).alias("created_at"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(store_path))
-    status.update({d: "written" for d in pending})
-    return status
+    attempt = stage_forecasts(out, store_path)
+    return status | {d: commit_forecast(spark, store_path, d, attempt, version, number, force) for d, number in pending.items()}
 
 
 def prediction_actual_table(store: DataFrame, actuals: DataFrame) -> DataFrame:
@@ -257,13 +294,17 @@ def store_health(store: DataFrame) -> DataFrame:
 
 
 def forecast_lookup(store: DataFrame, key: str, as_of: dt.date | None = None, digits: int = 2) -> DataFrame:
-    """One key's forecast from the newest (or the given) partition, rounded."""
+    """One key's forecast from the newest (or the given) partition, rounded; an
+    error when there is none."""
     s = store
     if as_of is None:
         s = s.where(F.col("as_of") == store.agg(F.max("as_of")).scalar())
     else:
         s = s.where(F.col("as_of") == F.lit(as_of))
-    return (s.where(F.col(KEY) == key).select("as_of", KEY, "hour", F.round("prediction", digits).alias("prediction"),
+    s = s.where(F.col(KEY) == key)
+    if s.isEmpty():
+        raise ValueError(f"no forecast of {key!r} for {as_of or 'the newest day'}")
+    return (s.select("as_of", KEY, "hour", F.round("prediction", digits).alias("prediction"),
                                               "model_version").orderBy("hour"))
 
 
@@ -276,3 +317,9 @@ def newest_scope(store: DataFrame, keys: DataFrame) -> DataFrame:
 
 def recent_partitions(store: DataFrame, n: int = 5) -> DataFrame:
     return store.select("as_of").distinct().orderBy(F.desc("as_of")).limit(n)
+
+
+def replay_summary(daily: DataFrame, reference_mae: float) -> DataFrame:
+    """One row: mean of the daily MAEs of a replay and its difference to a reference (negative: better)."""
+    g = daily.agg(F.avg("mae").alias("mean_mae"), F.count(F.lit(1)).alias("days"), F.sum("n").alias("n"))
+    return g.select("days", "n", "mean_mae", F.lit(float(reference_mae)).alias("reference_mae"), (F.col("mean_mae") - F.lit(float(reference_mae))).alias("delta"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config, Grain
 from ..functions.exprs import materialize
+from ..sources.commits import commit, records
 from ..sources.paths import has_data
 from . import backtest as bt
 from .models import Artifact, ArtifactPredictor, train_production
@@ -51,21 +52,37 @@ def promote_if_better(features: DataFrame, champion, challenger, champion_meta:
         F.lit(champion_meta["model_version"]).alias("current_version"))
 
 
-def record_decision(decision: DataFrame, registry_path: str, new_version: str | None = None, artifact_path: str | None = None) -> DataFrame:
-    """Append the decision to the registry table; the current model is the
-    newest promoted version (a pointer row instead of a directory swap)."""
-    row = (decision.withColumn("new_version", F.lit(new_version).cast("string")).withColumn("artifact_path", F.lit(artifact_path).cast("string"))
-           .withColumn("decided_at", F.lit(dt.datetime.now(dt.timezone.utc).isoformat())))
-    row.write.mode("append").parquet(registry_path)
-    return row
+class StaleDecision(RuntimeError):
+    """Another decision was recorded since this one's champion was read."""
+
+
+def decisions(spark, registry_path: str) -> list[tuple[int, dict]]:
+    """(number, decision) in the order in which they were recorded."""
+    return records(spark, registry_path)
+
+
+def record_decision(decision: DataFrame, registry_path: str, new_version: str | None = None, artifact_path: str | None = None,
+                    after: int | None = None) -> DataFrame:
+    """Records a one-row decision as number ``after`` + 1 (``after``: the newest
+    number when the champion was read; by default the newest now). If another
+    decision has that number, it raises ``StaleDecision`` and records nothing.
+    The current model is the newest promoted one: a pointer instead of a
+    directory swap. Returns the decision with its number."""
+    spark = decision.sparkSession
+    if after is None:
+        after = max([n for n, _ in decisions(spark, registry_path)], default=0)
+    row = decision.first().asDict()
+    record = row | {"new_version": new_version, "artifact_path": artifact_path, "decided_at": dt.datetime.now(dt.timezone.utc).isoformat()}
+    if not commit(spark, registry_path, after + 1, record):
+        raise StaleDecision(f"decision {after + 1} was recorded by another promotion")
+    return (decision.withColumn("new_version", F.lit(new_version).cast("string")).withColumn("artifact_path", F.lit(artifact_path).cast("string"))
+            .withColumn("number", F.lit(after + 1)))
 
 
 def current_model(spark, registry_path: str) -> DataFrame:
-    """The newest promoted row: (new_version, artifact_path, eval_month); no row before a promotion."""
-    if not has_data(spark, registry_path):
-        return spark.createDataFrame([], "new_version string, artifact_path string, eval_month string")
-    reg = spark.read.parquet(registry_path).where(F.col("promoted"))
-    return reg.orderBy(F.desc("decided_at")).limit(1).select("new_version", "artifact_path", "eval_month")
+    """The newest promoted model: (number, new_version, artifact_path, eval_month); no row before a promotion."""
+    promoted = [(n, d["new_version"], d["artifact_path"], d["eval_month"]) for n, d in decisions(spark, registry_path) if d["promoted"]]
+    return spark.createDataFrame(promoted[-1:], "number int, new_version string, artifact_path string, eval_month string")
 
 
 def current_version(spark, registry_path: str) -> str | None:
@@ -80,9 +97,12 @@ def run_promotion(features: DataFrame, champion: Artifact, cfg: Config, models_d
     A challenger is fitted on everything before that month and both predict it.
     If the challenger wins it is fitted again through the newest bucket and saved
     as ``models_dir/version``; a version that exists is refused before any work.
-    The decision is appended to the registry either way and returned.
+    The decision is recorded either way and returned; when another promotion has
+    recorded one in the meantime, ``StaleDecision`` is raised, as the champion
+    may have changed.
     """
     spark = features.sparkSession
+    after = max([n for n, _ in decisions(spark, registry_path)], default=0)
     home = f"{models_dir}/{version}"
     if has_data(spark, home):
         raise ValueError(f"model version {version} is already archived in {models_dir}")
@@ -90,12 +110,12 @@ def run_promotion(features: DataFrame, champion: Artifact, cfg: Config, models_d
     month = latest_unseen_full_month(features, through, cfg.grain)
     incumbent = ArtifactPredictor(champion, "champion")
     if month is None:
-        return record_decision(promote_if_better(features, incumbent, incumbent, champion.metadata, cfg.grain, min_improvement), registry_path)
+        return record_decision(promote_if_better(features, incumbent, incumbent, champion.metadata, cfg.grain, min_improvement), registry_path, after=after)
     start = dt.datetime.strptime(month, "%Y-%m")
     trial = train_production(features.where(F.col("hour") < F.lit(start)), cfg, f"{models_dir}/_trial-{version}", None, kind, feature_list)
     decision = promote_if_better(features, incumbent, ArtifactPredictor(trial, "challenger"), champion.metadata, cfg.grain, min_improvement)
     decision = materialize(decision, "table")
     if not decision.first()["promoted"]:
-        return record_decision(decision, registry_path)
+        return record_decision(decision, registry_path, after=after)
     train_production(features, cfg, home, None, kind, feature_list)
-    return record_decision(decision, registry_path, version, home)
+    return record_decision(decision, registry_path, version, home, after)

@@ -48,8 +48,8 @@ def test_unreadable_files_fail_loudly_and_leave_the_store(spark, tmp_path):
     store = f"{tmp_path}/store"
     assert fc.write_partition(preds, store, day, "v1") == "written"
     assert fc.write_partition(preds, store, day, "v1") == "skipped"
-    part = tmp_path / "store" / f"as_of={day}"
-    (part / "part-bad.snappy.parquet").write_bytes(b"not parquet")
+    part = tmp_path / "store" / "commits" / f"as_of={day}"
+    (part / "00000002.json").write_bytes(b"not json")
     before = sorted(p.name for p in part.iterdir())
     with pytest.raises(Exception):
         fc.write_partition(preds, store, day, "v2")
