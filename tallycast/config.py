@@ -86,6 +86,11 @@ class Config:
     grain: Grain = HOUR
     covariates: tuple[str, ...] = COVARIATES
     model_params: dict = field(default_factory=lambda: {"max_iter": 50, "max_depth": 6, "step_size": 0.1})
+    tree_params: dict = field(default_factory=lambda: {"n_estimators": 2000, "learning_rate": 0.05, "num_leaves": 63})
+    min_improvement: float = 0.02
+
+    def params_of(self, kind: str) -> dict:
+        return self.tree_params if kind == "poisson_trees" else self.model_params
 
     def with_(self, **kw) -> "Config":
         return replace(self, **kw)

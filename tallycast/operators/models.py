@@ -1,7 +1,10 @@
-"""Count models on Spark ML and the model-artifact contract.
+"""Count models and the model-artifact contract.
 
-Gradient-boosted trees (squared loss, predictions clamped at 0) or a Poisson
-GLM with log link. The series key is a categorical frozen at fit time
+Three kinds: ``poisson_trees`` (boosted trees with Poisson loss, see
+``poisson_trees.py``, where missing values and unseen categories follow each
+split's default branch), and on Spark ML ``gbt`` (boosted trees with squared
+loss, predictions clamped at 0) and ``glm`` (Poisson with log link). For these
+two the series key is a categorical frozen at fit time
 (``StringIndexer(handleInvalid='keep')``): an unseen key scores as the
 'unknown' level instead of failing. Target-derived features may be null
 (short history); they are imputed with 0 plus a ``<col>_missing`` indicator,
@@ -23,9 +26,11 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.exprs import materialize
 from . import backtest as bt
+from . import poisson_trees as pt
+from .poisson_trees import FitSpec, PoissonModel
 
 KEY = "station_id"
-CODE_VERSION = "2"  # of the feature and model code an artifact was fitted by
+CODE_VERSION = "3"  # of the feature and model code an artifact was fitted by
 
 
 def _target_derived(cols):
@@ -88,14 +93,40 @@ def _pipeline(kind: str, design: list[str], params: dict, cats: list[str], level
     return Pipeline(stages=stages)
 
 
+def usable_rows(frame: DataFrame, features: list[str]) -> DataFrame:
+    """Rows that may train a model: none of their target-derived features is null."""
+    tgt = _target_derived(features)
+    return frame.dropna(subset=tgt) if tgt else frame
+
+
+def month_start(t: dt.datetime) -> dt.datetime:
+    return dt.datetime(t.year, t.month, 1)
+
+
+def _fit_poisson(train: DataFrame, features: list[str], params: dict, refit_full: bool) -> tuple[PoissonModel, float]:
+    rows = usable_rows(train, features)
+    span = rows.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi")).first()
+    start = span["hi"] and month_start(span["hi"])
+    if start is None or span["lo"] >= start:
+        raise ValueError("need at least two calendar months to hold out a validation month")
+    end = span["hi"] + dt.timedelta(microseconds=1)
+    model = pt.fit_many(rows, [FitSpec("selection", tuple(features), params, start, end)])[0]
+    if not refit_full:
+        return model, model.val_mae
+    full = pt.fit_many(rows, [FitSpec("full", tuple(features), dict(params, n_estimators=max(1, len(model.trees))), end)])[0]
+    full.val_mae = model.val_mae
+    return full, model.val_mae
+
+
 def fit_model(train: DataFrame, features: list[str], params: dict, kind: str = "gbt",
-              refit_full: bool = True) -> tuple[PipelineModel, float]:
+              refit_full: bool = True):
     """Drop training rows with null target-derived features, hold out the last
     month, pick the tree count by validation MAE (GBT), refit on all rows.
     Returns (model, validation MAE); without the refit the model has the picked
     number of trees, too, and so has the validation MAE."""
-    tgt = _target_derived(features)
-    rows = train.dropna(subset=tgt) if tgt else train
+    if kind == "poisson_trees":
+        return _fit_poisson(train, features, params, refit_full)
+    rows = usable_rows(train, features)
     rows, design, cats = prepare(rows.withColumn("_label", F.col("trips").cast("double")), features)
     rows = materialize(rows, "table")
     fit_part, valid = time_based_split(rows)
@@ -117,38 +148,63 @@ def fit_model(train: DataFrame, features: list[str], params: dict, kind: str = "
     return model, float(val_mae) if val_mae is not None else float("nan")
 
 
-def fitted_trees(model: PipelineModel) -> int | None:
+def fitted_trees(model) -> int | None:
+    if isinstance(model, PoissonModel):
+        return len(model.trees)
     return model.stages[-1].getNumTrees if hasattr(model.stages[-1], "getNumTrees") else None
 
 
-def categories(model: PipelineModel) -> dict[str, list[str]]:
+def categories(model) -> dict[str, list[str]]:
     """The frozen levels of every categorical feature."""
+    if isinstance(model, PoissonModel):
+        return model.bins.levels
     return {s.getInputCol().removeprefix("_cat_"): list(s.labels) for s in model.stages if isinstance(s, StringIndexerModel)}
 
 
-def score(model: PipelineModel, frame: DataFrame, features: list[str]) -> DataFrame:
+def score(model, frame: DataFrame, features: list[str]) -> DataFrame:
     """Non-negative predictions for every row (no nulls)."""
+    if isinstance(model, PoissonModel):
+        return model.score(frame)
     prepared, _, _ = prepare(frame, features)
     out = model.transform(prepared)
     keep = [c for c in frame.columns]
     return out.select(*keep, F.greatest(F.coalesce(F.col("_pred"), F.lit(0.0)), F.lit(0.0)).alias("prediction"))
 
 
+def window_specs(features: DataFrame, windows: DataFrame, name: str, feature_list: list[str], params: dict) -> dict[str, FitSpec]:
+    """window -> fit on the months before it, the last of which chooses the number of trees."""
+    out = {}
+    for r in windows.select("window", "cutoff").orderBy("window").collect():  # <= n_windows rows
+        if r["cutoff"] is None:
+            raise ValueError(f"no month before {r['window']} to train on")
+        out[r["window"]] = FitSpec(f"{name}/{r['window']}", tuple(feature_list), params, month_start(r["cutoff"]), dt.datetime.strptime(r["window"], "%Y-%m"))
+    return out
+
+
+def window_rows(features: DataFrame, window: str) -> DataFrame:
+    start = dt.datetime.strptime(window, "%Y-%m")
+    end = dt.datetime(start.year + start.month // 12, start.month % 12 + 1, 1)
+    return features.where((F.col("hour") >= F.lit(start)) & (F.col("hour") < F.lit(end)))
+
+
 class ModelPredictor:
-    """Backtest predictor: one fit per window on the rows of earlier months."""
+    """Backtest predictor: one fit per window on the rows of earlier months; the
+    Poisson trees of all windows are fitted together."""
 
     def __init__(self, name: str, features: list[str], params: dict, kind: str = "gbt"):
         self.name, self.features, self.params, self.kind = name, features, params, kind
 
     def predict_all(self, features: DataFrame, windows: DataFrame) -> DataFrame:
+        if self.kind == "poisson_trees":
+            specs = window_specs(features, windows, self.name, self.features, self.params)
+            fitted = dict(zip(specs, pt.fit_many(usable_rows(features, self.features), list(specs.values()))))
+        else:
+            # <= n_windows values
+            fitted = {w: fit_model(features.where(F.col("hour") < F.lit(dt.datetime.strptime(w, "%Y-%m"))), self.features, self.params, self.kind,
+                                   refit_full=False)[0] for (w,) in windows.select("window").orderBy("window").collect()}
         out = None
-        for (w,) in windows.select("window").orderBy("window").collect():  # <= n_windows values
-            start = dt.datetime.strptime(w, "%Y-%m")
-            end = dt.datetime(start.year + start.month // 12, start.month % 12 + 1, 1)
-            train = features.where(F.col("hour") < F.lit(start))
-            ev = features.where((F.col("hour") >= F.lit(start)) & (F.col("hour") < F.lit(end)))
-            model, _ = fit_model(train, self.features, self.params, self.kind, refit_full=False)
-            d = score(model, ev, self.features).select(F.lit(w).alias("window"), KEY, "hour", "trips", "prediction")
+        for w, model in fitted.items():
+            d = score(model, window_rows(features, w), self.features).select(F.lit(w).alias("window"), KEY, "hour", "trips", "prediction")
             out = d if out is None else out.unionByName(d)
         return out
 
@@ -156,7 +212,7 @@ class ModelPredictor:
 class Artifact:
     """A fitted model plus its metadata (same feature list for train and serve)."""
 
-    def __init__(self, model: PipelineModel | None, metadata: dict):
+    def __init__(self, model, metadata: dict):
         self.model, self.metadata = model, metadata
 
     def score(self, frame: DataFrame) -> DataFrame:
@@ -177,7 +233,7 @@ class NaiveArtifact:
 
 def train_production(features: DataFrame, cfg: Config, out_dir: str, through: dt.date | None = None,
                      kind: str = "gbt", feature_list: list[str] | None = None) -> Artifact:
-    """Cutoff -> fit with refit -> save ``PipelineModel`` + one-row metadata JSON."""
+    """Cutoff -> fit with refit -> save the model + one-row metadata JSON."""
     if through is not None:
         end = dt.datetime(through.year, through.month, through.day, 23)
         features = features.where(F.col("hour") <= F.lit(end))
@@ -185,15 +241,19 @@ def train_production(features: DataFrame, cfg: Config, out_dir: str, through: dt
     if rng["hi"] is None:
         raise ValueError("no training rows through the requested cutoff")
     flist = feature_list or cfg.model_features
-    model, val_mae = fit_model(features, flist, cfg.model_params, kind, refit_full=True)
-    meta = {"schema_version": 1, "features": flist, "params": {k: str(v) for k, v in cfg.model_params.items()},
+    params = cfg.params_of(kind)
+    model, val_mae = fit_model(features, flist, params, kind, refit_full=True)
+    meta = {"schema_version": 1, "features": flist, "params": {k: str(v) for k, v in params.items()},
             "categories": categories(model), "fitted_n_estimators": fitted_trees(model), "code_version": CODE_VERSION,
             "data_range": [str(rng["lo"]), str(rng["hi"])], "train_through": str(rng["hi"]), "val_mae": val_mae,
             "model_version": f"{kind}-{str(rng['hi'])[:10]}-{uuid.uuid4().hex[:8]}",
             "created_at": dt.datetime.now(dt.timezone.utc).isoformat(), "kind": kind}
     meta["path"] = out_dir
-    model.write().overwrite().save(f"{out_dir}/model")
     spark = features.sparkSession
+    if isinstance(model, PoissonModel):
+        spark.createDataFrame([(model.to_json(),)], "model string").coalesce(1).write.mode("overwrite").text(f"{out_dir}/model")
+    else:
+        model.write().overwrite().save(f"{out_dir}/model")
     spark.createDataFrame([(json.dumps(meta),)], "metadata string").coalesce(1).write.mode("overwrite").text(
         f"{out_dir}/metadata")
     return Artifact(model, meta)
@@ -201,11 +261,16 @@ def train_production(features: DataFrame, cfg: Config, out_dir: str, through: dt
 
 def load_artifact(spark, out_dir: str) -> Artifact:
     meta = json.loads(spark.read.text(f"{out_dir}/metadata").first()[0])
+    if meta["kind"] == "poisson_trees":
+        return Artifact(PoissonModel.from_json(spark.read.text(f"{out_dir}/model").first()[0]), meta)
     return Artifact(PipelineModel.load(f"{out_dir}/model"), meta)
 
 
-def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
-    """Gain-based importances of a GBT pipeline, descending."""
+def feature_importance(model, features: list[str]) -> DataFrame:
+    """Importances, descending: total split gain of Poisson trees, Spark ML's
+    normalised impurity decrease of a GBT pipeline."""
+    if isinstance(model, PoissonModel):
+        return pt.feature_gains(model, _active_spark())
     gbt = model.stages[-1]
     assembler = [s for s in model.stages if isinstance(s, VectorAssembler)][0]
     names = assembler.getInputCols()
