@@ -9,6 +9,8 @@ parallel than partitioning by key and needs the grid to be dense.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -61,13 +63,20 @@ def phase(grain: Grain, ts: str = "hour"):
     return F.hour(ts).cast("int") if grain.unit == "hour" else iso_dow(F.col(ts))
 
 
+def assert_no_leak(lags, horizon: int, train_through: dt.date | None = None, as_of: dt.date | None = None) -> None:
+    """Every lag reaches back at least the horizon, and the model was not trained on days after ``as_of``."""
+    if horizon > min(lags):
+        raise ValueError(f"horizon {horizon} > min lag {min(lags)}: future targets would leak into lags")
+    if train_through is not None and as_of is not None and train_through > as_of:
+        raise ValueError(f"model was trained through {train_through}, after as_of={as_of}: replay would leak")
+
+
 def add_lag_features(df: DataFrame, grain: Grain, key: str = "station_id", ts: str = "hour",
                      y: str = "trips") -> DataFrame:
     """lag_h = value h buckets earlier for the same key; roll_mean_k = mean of
     the same phase over the previous k cycles (nulls skipped; no history ->
     null). Requires a dense grid per key."""
-    if min(grain.lags) < grain.horizon:
-        raise ValueError(f"all lags must be >= the horizon ({grain.horizon} {grain.unit}s)")
+    assert_no_leak(grain.lags, grain.horizon)
     bad = [h for h in grain.lags if h % grain.season]
     if bad:
         raise ValueError(f"lags {bad} are not multiples of the {grain.season}-bucket cycle")

@@ -74,8 +74,7 @@ def build_inference_features(history: DataFrame, covariates: DataFrame | None, m
     complete recent history, built with the same feature functions as training."""
     grain = cfg.grain
     horizon = horizon or grain.horizon
-    if horizon > min(grain.lags):
-        raise ValueError(f"horizon {horizon} > min lag {min(grain.lags)}: future targets would leak into lags")
+    feat.assert_no_leak(grain.lags, horizon)
     last = last_known_bucket(as_of, grain)
     needed = grain.needed_history
     start = last + _step(grain) * (1 - needed)
@@ -113,8 +112,7 @@ def replay_inference_features(history: DataFrame, as_of_days: list[dt.date], cfg
     is not read. Adds ``as_of``."""
     grain = cfg.grain
     horizon = horizon or grain.horizon
-    if horizon > min(grain.lags):
-        raise ValueError("horizon exceeds the minimum lag")
+    feat.assert_no_leak(grain.lags, horizon)
     spark = history.sparkSession
     days = spark.createDataFrame([(d,) for d in as_of_days], "as_of date")
     shift = "HOUR" if grain.unit == "hour" else "DAY"
@@ -216,9 +214,7 @@ def write_partition(predictions: DataFrame, path: str, as_of: dt.date, model_ver
 def run_batch_predict(as_of: dt.date, history: DataFrame, covariates: DataFrame | None, master: DataFrame | None,
                       cfg: Config, model, metadata: dict, store_path: str, force: bool = False) -> str:
     """Artifact cutoff must not be after ``as_of``; features -> predictions -> partition."""
-    trained = dt.date.fromisoformat(str(metadata["train_through"])[:10])
-    if trained > as_of:
-        raise ValueError(f"model was trained through {trained}, after as_of={as_of}: replay would leak")
+    feat.assert_no_leak(cfg.grain.lags, cfg.grain.horizon, dt.date.fromisoformat(str(metadata["train_through"])[:10]), as_of)
     if _may_write(newest_commit(history.sparkSession, store_path, as_of), as_of, metadata["model_version"], force) is None:
         return "skipped"
     frame = build_inference_features(history, covariates, master, as_of, cfg)
@@ -232,10 +228,7 @@ def run_batch_predict_days(days: list[dt.date], history: DataFrame, covariates:
     """Several ``as_of`` partitions with the same checks as ``run_batch_predict``
     but one coverage job and ONE write job: all pending days are staged
     together and then committed one by one. Returns day -> status."""
-    trained = dt.date.fromisoformat(str(metadata["train_through"])[:10])
-    late = [d for d in days if trained > d]
-    if late:
-        raise ValueError(f"model was trained through {trained}, after as_of={min(late)}: replay would leak")
+    feat.assert_no_leak(cfg.grain.lags, cfg.grain.horizon, dt.date.fromisoformat(str(metadata["train_through"])[:10]), min(days))
     version = metadata["model_version"]
     spark = history.sparkSession
     status, pending = {}, {}

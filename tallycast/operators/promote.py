@@ -15,13 +15,15 @@ from . import backtest as bt
 from .models import Artifact, ArtifactPredictor, train_production
 
 
+def unseen_full_month(features: DataFrame, train_through: dt.datetime, grain: Grain) -> DataFrame:
+    """One row: the latest full month whose first day is strictly after the champion cutoff, null without one."""
+    months = bt.eval_months(features, 10_000, grain)  # every month that data can have
+    return (months.where(F.to_timestamp_ntz(F.concat("window", F.lit("-01"))) > F.lit(train_through))
+            .agg(F.max("window").alias("eval_month")))
+
+
 def latest_unseen_full_month(features: DataFrame, train_through: dt.datetime, grain: Grain) -> str | None:
-    """Latest full month whose first day is strictly after the champion cutoff."""
-    n_months = features.select(bt.month_str("hour").alias("m")).distinct().count()
-    months = bt.eval_months(features, n_months, grain)
-    row = (months.where(F.to_timestamp_ntz(F.concat("window", F.lit("-01"))) > F.lit(train_through))
-           .agg(F.max("window")).first())
-    return row[0]
+    return unseen_full_month(features, train_through, grain).first()[0]
 
 
 def promote_if_better(features: DataFrame, champion, challenger, champion_meta: dict, grain: Grain,

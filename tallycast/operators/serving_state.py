@@ -73,8 +73,7 @@ def state_features(state: DataFrame, as_of: dt.date, cfg: Config, covariates: Da
                    check: bool = True) -> DataFrame:
     """The feature rows of the horizon after ``as_of``, as ``build_inference_features`` makes them from the history."""
     grain = cfg.grain
-    if grain.horizon > min(grain.lags):
-        raise ValueError(f"horizon {grain.horizon} > min lag {min(grain.lags)}: future targets would leak into lags")
+    feat.assert_no_leak(grain.lags, grain.horizon)
     if grain.horizon > grain.season:
         raise ValueError("the state serves one cycle at most")
     last = last_known_bucket(as_of, grain)

@@ -743,8 +743,18 @@ ORACLES["served_error_by_hour"] = SERVE + """ SELECT CAST(hour(hour) AS INTEGER)
   round(avg(prediction - actual), 6) + 0.0 AS mean_bias, count(*) AS n FROM detail GROUP BY 1"""
 
 ORACLES["backtest_hist_mean_16w"] = ORACLES["backtest_hist_mean"].replace("INTERVAL 56 DAY", "INTERVAL 112 DAY")
-ORACLES["leakage_gate"] = HOUR_BASE + """ SELECT 'leakage' AS gate, true AS passed, CAST(24 AS INTEGER) AS min_lag, CAST(24 AS INTEGER) AS horizon,
-       CAST(max(hour) AS DATE) - 2 AS train_through, CAST(max(hour) AS DATE) - 2 AS as_of FROM hg_grid"""
+_G = DEFAULT.grain
+ORACLES["leakage_gate"] = HOUR_BASE + f""",
+cutp AS (SELECT CAST(CAST(max(hour) AS DATE) - 2 AS TIMESTAMP) + INTERVAL 23 HOUR AS cut FROM hg_grid),
+spoiled AS (SELECT station_id, hour, CASE WHEN hour > cut THEN trips + 1000 ELSE trips END AS trips FROM hg_grid, cutp),
+a AS (SELECT station_id, hour, {lag_cols(_G)} FROM hg_grid), b AS (SELECT station_id, hour, {lag_cols(_G)} FROM spoiled),
+d AS (SELECT {" OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in _G.feature_names)} AS differs
+      FROM a JOIN b USING (station_id, hour), cutp WHERE hour <= cut + INTERVAL 24 HOUR)
+SELECT 'leakage' AS gate, count_if(differs) = 0 AS passed, count(*) AS checked_rows, CAST(count_if(differs) AS BIGINT) AS leaked_rows,
+       CAST(24 AS INTEGER) AS min_lag, CAST(24 AS INTEGER) AS horizon FROM d"""
+ORACLES["state_inference_features"] = ORACLES["inference_features"]
+ORACLES["replay_summary"] = SERVE + f""" SELECT count(*) AS days, CAST(sum(n) AS BIGINT) AS n, round(avg(mae), 6) + 0.0 AS mean_mae,
+  round({_BASELINE}, 6) + 0.0 AS reference_mae, round(avg(mae) - {_BASELINE}, 6) + 0.0 AS delta FROM daily"""
 ORACLES["event_calendar_csv"] = """
 SELECT p.event_name, count(*) AS orders
 FROM orders, (VALUES (106, 107, 'Winter Fest'), (107, 109, 'Auto Show'), (115, 115, 'Parade'),
@@ -755,4 +765,10 @@ ORACLES["id_mapping_csv"] = """
 WITH c AS (SELECT s_nationkey, min(s_suppkey) AS canon FROM supplier GROUP BY 1)
 SELECT CAST(s_suppkey AS VARCHAR) AS raw_station_id, CAST(canon AS VARCHAR) AS canonical_station_id
 FROM supplier JOIN c USING (s_nationkey) WHERE s_suppkey <> canon"""
-ORACLES["current_model"] = _CHAMP + " SELECT 'v2' AS new_version, 'models/v2' AS artifact_path, eval_month FROM unseen"
+ORACLES["current_model"] = _CHAMP + """,
+mm AS (SELECT predictor, avg(abs(trips - prediction)) AS mae FROM preds WHERE "window" = (SELECT eval_month FROM unseen) GROUP BY 1),
+two AS (SELECT (SELECT mae FROM mm WHERE predictor = 'seasonal_naive') AS sn, (SELECT mae FROM mm WHERE predictor = 'historical_mean') AS hm),
+made AS (SELECT 1 AS number, hm <= sn * 0.98 AS promoted, 'historical-mean-v1' AS v FROM two
+         UNION ALL SELECT 2, sn <= hm * 0.98, 'seasonal-naive-v2' FROM two)
+SELECT CAST(number AS INTEGER) AS number, v AS new_version, 'models/' || v AS artifact_path, (SELECT eval_month FROM unseen) AS eval_month
+FROM made WHERE promoted ORDER BY number DESC LIMIT 1"""

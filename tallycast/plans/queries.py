@@ -429,6 +429,7 @@ from ..operators import forecast as fc  # noqa: E402
 from ..operators import gates as gt  # noqa: E402
 from ..operators.models import NaiveArtifact  # noqa: E402
 from .pipelines import hour_replay_days, hour_store  # noqa: E402
+from ..operators import serving_state as st  # noqa: E402
 
 
 @register("history_coverage")
@@ -464,13 +465,15 @@ def q_fc_unmatched(spark, sf):
     return _store(spark, sf).drop("created_at").transform(lambda s: fc.unmatched_forecasts(s, hour_grid(spark, sf)))
 
 
+def _replayed(spark, sf):
+    frame = fc.replay_inference_features(hour_grid(spark, sf), hour_replay_days(spark, sf), HOUR_CFG)
+    preds = NaiveArtifact(HOUR_CFG.grain.naive_lag).score(frame).drop("trips")
+    return fc.evaluate_predictions(fc.prediction_actual_table(preds, hour_grid(spark, sf)))
+
+
 @register("replay_mae")
 def q_replay(spark, sf):
-    days = hour_replay_days(spark, sf)
-    frame = fc.replay_inference_features(hour_grid(spark, sf), days, HOUR_CFG)
-    preds = NaiveArtifact(HOUR_CFG.grain.naive_lag).score(frame)
-    detail = preds.withColumn("absolute_error", F.abs(F.col("prediction") - F.col("trips")))
-    return round6(fc.evaluate_predictions(detail))
+    return round6(_replayed(spark, sf))
 
 
 @register("store_health")
@@ -529,8 +532,28 @@ def q_perf_gate(spark, sf):
 
 @register("leakage_gate")
 def q_leakage_gate(spark, sf):
-    days = hour_replay_days(spark, sf)
-    return gt.leakage_gate(spark, HOUR_CFG.grain.lags, HOUR_CFG.grain.horizon, days[0], days[0])
+    """Every count after a day is changed; the lag features up to one horizon later must not notice."""
+    cut = _dt.datetime.combine(hour_replay_days(spark, sf)[0], _dt.time(23))
+    return gt.leakage_gate(hour_grid(spark, sf), HOUR_CFG.grain, cut)
+
+
+@register("state_inference_features")
+def q_state_features(spark, sf):
+    """The coming day's features from the committed per-phase state: initialised
+    one day earlier, advanced by one day's counts, read back."""
+    before, as_of = hour_replay_days(spark, sf)
+    path, hist, cov, master = shared_dir(spark, "state"), hour_grid(spark, sf), hour_covariates(spark, sf), hour_master(spark, sf)
+    st.commit_state(st.initial_state(hist, before, HOUR_CFG.grain), path, before)
+    _, state = st.read_state(spark, path)
+    st.commit_state(st.advance(state, hist.where(F.to_date("hour") == F.lit(as_of)), as_of, HOUR_CFG.grain), path, as_of)
+    day, state = st.read_state(spark, path)
+    return round6(st.state_features(state, day, HOUR_CFG, cov, master))
+
+
+@register("replay_summary")
+def q_replay_summary(spark, sf):
+    """Mean MAE of the replayed days and its difference to the naive baseline of the week before."""
+    return round6(fc.replay_summary(_replayed(spark, sf), _baseline_mae(spark, sf)))
 
 
 @register("monitoring_summary")
@@ -654,8 +677,7 @@ def _champion_meta(spark, sf):
 @register("unseen_full_month")
 def q_unseen(spark, sf):
     meta = _champion_meta(spark, sf)
-    m = pm.latest_unseen_full_month(day_grid(spark, sf), _dt.datetime.fromisoformat(meta["train_through"]), DAY_CFG.grain)
-    return spark.range(1).select(F.lit(m).cast("string").alias("eval_month"))
+    return pm.unseen_full_month(day_grid(spark, sf), _dt.datetime.fromisoformat(meta["train_through"]), DAY_CFG.grain)
 
 
 @register("promotion_decision")
@@ -667,16 +689,28 @@ def q_promote(spark, sf):
 
 @register("current_model")
 def q_current_model(spark, sf):
-    """The decision is recorded as promoted and as kept; the pointer names the promoted version."""
-    meta = _champion_meta(spark, sf)
-    decision = pm.promote_if_better(day_backtest_base(spark, sf), bt.SeasonalNaive(DAY_CFG.grain),
-                                    bt.HistoricalMean(), meta, DAY_CFG.grain, 0.0)
-    registry = shared_dir(spark, "registry")
-    pm.record_decision(decision.withColumn("promoted", F.lit(True)), registry, "v2", "models/v2")
-    pm.record_decision(decision.withColumn("promoted", F.lit(False)), registry)
+    """Two real decisions are recorded, seasonal naive against historical mean
+    and the other way round; the pointer names the version promoted last."""
+    meta, registry = _champion_meta(spark, sf), shared_dir(spark, "registry")
+    base, naive, hist = day_backtest_base(spark, sf), bt.SeasonalNaive(DAY_CFG.grain), bt.HistoricalMean()
+    for champion, challenger, version in ((naive, hist, "historical-mean-v1"), (hist, naive, "seasonal-naive-v2")):
+        decision = pm.promote_if_better(base, champion, challenger, meta, DAY_CFG.grain, 0.02)
+        won = decision.first()["promoted"]
+        pm.record_decision(decision, registry, version if won else None, f"models/{version}" if won else None)
     return pm.current_model(spark, registry)
 
 
+@register("promotion_run")
+def q_promotion_run(spark, sf):
+    """The saved artifact is challenged by one fitted on everything before the
+    newest full month that it has not seen; the winner is archived and recorded."""
+    registry = shared_dir(spark, "promotion")
+    cfg = DAY_CFG.with_(tree_params=_TREES)
+    pm.run_promotion(day_features(spark, sf), _artifact(spark, sf), cfg, shared_dir(spark, "models"), registry, "v2", kind="poisson_trees")
+    rows = [(n, d["status"], d["promoted"], d["eval_month"], d["mae_candidate"], d["mae_current"], d["new_version"]) for n, d in pm.decisions(spark, registry)]
+    return spark.createDataFrame(rows, "number int, status string, promoted boolean, eval_month string, mae_candidate double, mae_current double, new_version string")
+
+
 # ---------------------------------------------------------------- sources, sinks and streaming
 from ..sources import trips as src_trips  # noqa: E402
 from ..sources import weather as src_weather  # noqa: E402

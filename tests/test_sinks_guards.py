@@ -4,7 +4,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallycast.operators import gates, grid
+from tallycast.config import HOUR
+from tallycast.operators import features, gates, grid
 from tallycast.sources import sinks
 from tallycast.sources.weather import assert_unique_time
 
@@ -29,9 +30,20 @@ def test_guards(spark):
     assert gates.raise_if_failed(ok) is ok
     with pytest.raises(gates.GateFailed):
         gates.raise_if_failed(spark.createDataFrame([(False,)], "passed boolean"))
-    assert gates.leakage_gate(spark, [24, 48], 24).first().passed
-    assert not gates.leakage_gate(spark, [12, 24], 24).first().passed
-    assert not gates.leakage_gate(spark, [24], 24, dt.date(2025, 2, 1), dt.date(2025, 1, 1)).first().passed
+    features.assert_no_leak([24, 48], 24)
+    for args in (([12, 24], 24), ([24], 24, dt.date(2025, 2, 1), dt.date(2025, 1, 1))):
+        with pytest.raises(ValueError, match="leak"):
+            features.assert_no_leak(*args)
+    start = dt.datetime(2025, 1, 1)
+    hours = spark.createDataFrame([(k, start + dt.timedelta(hours=i), i % 11) for k in "AB" for i in range(24 * 12)], "station_id string, hour timestamp_ntz, trips int")
+    good = gates.leakage_gate(hours, HOUR, start + dt.timedelta(hours=24 * 10 - 1)).first()
+    assert good.passed and good.checked_rows == 2 * 24 * 11 and good.leaked_rows == 0
+
+    def peeks(grid, grain):
+        ahead = grid.select("station_id", (F.col("hour") - F.expr("INTERVAL 1 HOUR")).alias("hour"), F.col("trips").alias("lag_24"))
+        return features.add_lag_features(grid, grain).drop("lag_24").join(ahead, ["station_id", "hour"], "left")
+    bad = gates.leakage_gate(hours, HOUR, start + dt.timedelta(hours=24 * 10 - 1), peeks).first()
+    assert not bad.passed and bad.leaked_rows == 2 * 25
     holey = spark.createDataFrame([("A", dt.datetime(2025, 1, 1, 0), 1), ("A", dt.datetime(2025, 1, 1, 1), 1),
                                    ("B", dt.datetime(2025, 1, 1, 0), 1)], "station_id string, hour timestamp_ntz, trips int")
     with pytest.raises(ValueError, match="not dense"):
