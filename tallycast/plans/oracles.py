@@ -737,6 +737,7 @@ SELECT CAST(sum(trips) AS BIGINT) AS grid_trips,
 FROM hg_grid"""
 
 ORACLES["stream_ingest_trips"] = ORACLES["trip_csv_roundtrip"]
+ORACLES["trip_zip_roundtrip"] = ORACLES["trip_csv_roundtrip"]
 
 ORACLES["served_error_by_hour"] = SERVE + """ SELECT CAST(hour(hour) AS INTEGER) AS hour_of_day,
   round(avg(absolute_error), 6) + 0.0 AS mae, round(avg(actual), 6) + 0.0 AS avg_trips,

@@ -712,17 +712,15 @@ def q_promotion_run(spark, sf):
 
 
 # ---------------------------------------------------------------- sources, sinks and streaming
+from ..sources import archives  # noqa: E402
 from ..sources import trips as src_trips  # noqa: E402
 from ..sources import weather as src_weather  # noqa: E402
 from ..streaming import hourly as stream_hourly  # noqa: E402
 from ..schemas import TRIP_COLUMNS  # noqa: E402
 
 
-@register("trip_csv_roundtrip")
-def q_csv_roundtrip(spark, sf):
-    """Trips land as CSV with fractional seconds and 'NULL' tokens; the strict
-    typed reader restores the contract (seconds truncated)."""
-    t = adapters.events_trips(spark, sf)
+def _trip_strings(t):
+    """Trips as the raw files have them: fractional seconds, 'NULL' tokens."""
     out = []
     for c in TRIP_COLUMNS:
         v = F.col(c)
@@ -731,22 +729,31 @@ def q_csv_roundtrip(spark, sf):
         if dict(t.dtypes)[c] != "double":  # doubles are written by the CSV writer itself
             v = F.coalesce(v.cast("string"), F.lit("NULL"))
         out.append(v.alias(c))
+    return out
+
+
+@register("trip_csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """Trips land as CSV with fractional seconds and 'NULL' tokens; the strict
+    typed reader restores the contract (seconds truncated)."""
+    t = adapters.events_trips(spark, sf)
     landing = shared_dir(spark, "landing-csv")
-    (t.select(*out, F.date_format("started_at", "yyyy-MM").alias("month"))
+    (t.select(*_trip_strings(t), F.date_format("started_at", "yyyy-MM").alias("month"))
      .write.option("header", True).partitionBy("month").csv(landing))
     return src_trips.read_trip_csv(spark, landing)
 
 
+@register("trip_zip_roundtrip")
+def q_zip_roundtrip(spark, sf):
+    """The same through zip archives: several members an archive, each read by a task of its own."""
+    t = adapters.events_trips(spark, sf)
+    landing = shared_dir(spark, "landing-zip")
+    archives.write_archives(t.repartition(4, "ride_id").select(*[c.cast("string") for c in _trip_strings(t)]).toDF(*TRIP_COLUMNS), landing, "202401-tripdata", 2_000)
+    return src_trips.read_trip_zips(spark, landing)
+
+
 def _land_trips_csv(t, landing: str, mode: str = "overwrite") -> None:
-    out = []
-    for c in TRIP_COLUMNS:
-        v = F.col(c)
-        if c in ("started_at", "ended_at"):
-            v = F.date_format(v, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        if dict(t.dtypes)[c] != "double":
-            v = F.coalesce(v.cast("string"), F.lit("NULL"))
-        out.append(v.alias(c))
-    t.select(*out).write.mode(mode).option("header", True).csv(landing)
+    t.select(*_trip_strings(t)).write.mode(mode).option("header", True).csv(landing)
 
 
 @register("stream_ingest_trips")
@@ -756,7 +763,8 @@ def q_stream_ingest(spark, sf):
     from ..streaming.ingest import ingest_trip_files
     t = adapters.events_trips(spark, sf)
     landing, out, ckpt = shared_dir(spark, "ingest-landing"), shared_dir(spark, "ingest-out"), shared_dir(spark, "ingest-ckpt")
-    mid = _dt.datetime(2024, 1, 16)
+    first, last = t.agg(F.min("started_at"), F.max("started_at")).first()
+    mid = first + (last - first) / 2
     _land_trips_csv(t.where(F.col("started_at") < F.lit(mid)), landing, "append")
     ingest_trip_files(spark, landing, out, ckpt)
     _land_trips_csv(t.where(F.col("started_at") >= F.lit(mid)), landing, "append")

@@ -3,20 +3,16 @@ strict typed CSV parsing (also from zip archives) and per-month sinks."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TRIP_COLUMNS, TRIPS_CSV, check_columns
+from . import archives
 from .paths import has_data
 
 # Tokens read as null, the raw timestamp format, the file-name pattern.
 NULL_TOKENS = ["", "NULL", "null"]
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-CHUNK_ROWS = 50_000
 KEY_PATTERN = r"^(\d{4})(\d{2})-.*\.zip$"
 
 
@@ -75,28 +71,10 @@ def _all_strings():
     return T.StructType([T.StructField(c, T.StringType(), True) for c in TRIP_COLUMNS])
 
 
-def _unzip_members(it):
-    """Per file: root-level ``*.csv`` members (no '/') as string rows, a chunk
-    at a time; a zip without any such member is an error."""
-    for pdf in it:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                names = [n for n in zf.namelist() if n.endswith(".csv") and "/" not in n]
-                if not names:
-                    raise ValueError(f"{path}: no root-level CSV member")
-                for n in names:
-                    with zf.open(n) as member:
-                        for df in pd.read_csv(member, dtype=str, keep_default_na=False, chunksize=CHUNK_ROWS):
-                            check_columns(list(df.columns), TRIP_COLUMNS, f"{path}:{n}")
-                            yield df[TRIP_COLUMNS]
-
-
 def read_trip_zips(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """Zipped monthly trip files -> typed trips. Files are split across tasks
-    by Spark's binary-file source; each task unzips its own files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    schema = ", ".join(f"{c} string" for c in TRIP_COLUMNS)
-    return parse_trips(files.mapInPandas(_unzip_members, schema))
+    """Zipped monthly trip files -> typed trips: every root-level CSV member is
+    inflated as a stream by a task of its own, whatever the archive's size."""
+    return parse_trips(archives.read_members(archives.list_members(spark, path, glob), TRIP_COLUMNS, check_columns))
 
 
 def write_by_month(trips: DataFrame, path: str) -> None:
