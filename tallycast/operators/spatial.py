@@ -16,27 +16,49 @@ from ..functions.geo import haversine_m, normalize_name
 M_PER_DEG = 110_000.0
 
 
+CELL_ROWS = 2000  # rows of a cell that one join key takes from either side
+
+
 def near_pairs(stations: DataFrame, max_m: float = 30.0, key: str = "station_id",
-               name: str = "station_name") -> DataFrame:
+               name: str = "station_name", cell_rows: int = CELL_ROWS) -> DataFrame:
     """Unordered pairs (id_a < id_b) closer than ``max_m`` metres.
 
     Candidate pruning is an equi-join on grid cells after exploding each point
     into its 3 x 3 neighbour cells on one side, so no nested-loop join is
     planned. Cells are sized from ``max_m`` itself (longitude cells widened by
     the largest |latitude| present), so candidates are a constant factor
-    (~3x) of the true pairs instead of every pair in a coarse bin."""
+    (~3x) of the true pairs instead of every pair in a coarse bin. A cell with
+    more than ``cell_rows`` points is cut into parts by a hash, and every part
+    meets every part of its neighbours under a key of its own: no key gets more
+    than about ``cell_rows`` rows from one cell, wherever the points lie."""
     s0 = stations.where(F.col("lat").isNotNull() & F.col("lng").isNotNull())
     cell_lat = max_m / M_PER_DEG
     max_abs_lat = s0.agg(F.max(F.abs("lat"))).scalar()
     cell_lng = F.lit(max_m / M_PER_DEG) / F.cos(F.radians(F.least(max_abs_lat, F.lit(89.0))))
+    cell = ["lat_bin", "lng_bin"]
     s = s0.select(F.col(key).alias("id"), F.col(name).alias("name"), "lat", "lng", "total_trips",
                   F.floor(F.col("lat") / cell_lat).alias("lat_bin"), F.floor(F.col("lng") / cell_lng).alias("lng_bin"))
-    offsets = F.array(*[F.struct(F.lit(a).alias("dl"), F.lit(b).alias("dg")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    b = (s.select("*", F.explode(offsets).alias("o"))
-         .select(*[F.col(c).alias(f"{c}_b") for c in ("id", "name", "lat", "lng", "total_trips")],
-                 (F.col("lat_bin") + F.col("o.dl")).alias("lat_bin"), (F.col("lng_bin") + F.col("o.dg")).alias("lng_bin")))
-    a = s.select(*[F.col(c).alias(f"{c}_a") for c in ("id", "name", "lat", "lng", "total_trips")], "lat_bin", "lng_bin")
-    j = a.join(b, ["lat_bin", "lng_bin"]).where(F.col("id_a") < F.col("id_b"))
+    offsets = F.explode(F.array(*[F.struct(F.lit(a).alias("dl"), F.lit(b).alias("dg")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
+    moved = [(F.col("lat_bin") + F.col("o.dl")).alias("lat_bin"), (F.col("lng_bin") + F.col("o.dg")).alias("lng_bin")]
+
+    hot = materialize(s.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("parts")).where("parts > 1"), "table")
+    beside = hot.select("*", offsets.alias("o")).select(*moved, "parts").groupBy(*cell).agg(F.max("parts").alias("parts_b"))
+
+    def parts(side: DataFrame, table: DataFrame, column: str) -> DataFrame:
+        return side.join(table.withColumnRenamed("parts", column), cell, "left").withColumn(column, F.coalesce(column, F.lit(1)))
+
+    def part(n: str):
+        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    points = ("id", "name", "lat", "lng", "total_trips")
+    own = parts(s, hot, "parts_own")
+    b = own.select("*", part("parts_own").alias("j"), offsets.alias("o")).select(*[F.col(c).alias(f"{c}_b") for c in points], "j", *moved)
+    b = parts(b, hot, "parts_a").select("*", every("parts_a").alias("i"))
+    a = parts(own, beside, "parts_b").select(*[F.col(c).alias(f"{c}_a") for c in points], part("parts_own").alias("i"), every("parts_b").alias("j"), *cell)
+    j = a.join(b, [*cell, "i", "j"]).where(F.col("id_a") < F.col("id_b"))
     d = haversine_m(F.col("lat_a"), F.col("lng_a"), F.col("lat_b"), F.col("lng_b"))
     return (j.withColumn("dist", d).where(F.col("dist") < max_m)
             .select("id_a", "name_a", F.col("total_trips_a").alias("trips_a"), "id_b", "name_b",

@@ -70,6 +70,23 @@ def test_binned_pairs_equal_brute_force(spark):
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_a_hot_cell_is_spread_over_many_keys(spark):
+    rnd = random.Random(4)
+    # 98 % of the points within one cell, the rest around it
+    pts = [(f"h{i:03d}", 41.88 + rnd.uniform(0, 2e-5), -87.63 + rnd.uniform(0, 2e-5)) for i in range(294)]
+    pts += [(f"t{i}", 41.88 + rnd.uniform(-4e-4, 4e-4), -87.63 + rnd.uniform(-4e-4, 4e-4)) for i in range(6)]
+    df = spark.createDataFrame([(p[0], "n", p[1], p[2], 1) for p in pts],
+                               "station_id string, station_name string, lat double, lng double, total_trips bigint")
+    pairs = spatial.near_pairs(df, cell_rows=40)
+    got = [(r.id_a, r.id_b) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(pts)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    # the keys that the two sides meet under
+    sides = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert sides.count("Generate explode(sequence(0") == 2
+
+
 def test_edges_flatten_chains(spark):
     pairs = spark.createDataFrame([
         ("a", "Dock & Pier", 1, "b", "dock and  pier", 5, 3.0),
