@@ -670,6 +670,7 @@ sides AS (SELECT *, CASE WHEN hour < (SELECT t FROM cs) THEN 'ref' ELSE 'cur' EN
 
 
 ORACLES["drift_statistics"] = _drift_sql(False)
+ORACLES["drift_from_days"] = ORACLES["drift_statistics"]
 ORACLES["drift_gate"] = _drift_sql(True)
 
 

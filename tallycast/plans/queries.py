@@ -428,7 +428,7 @@ from ..operators import drift as dr  # noqa: E402
 from ..operators import forecast as fc  # noqa: E402
 from ..operators import gates as gt  # noqa: E402
 from ..operators.models import NaiveArtifact  # noqa: E402
-from .pipelines import hour_replay_days, hour_store  # noqa: E402
+from .pipelines import hour_replay_days, hour_store, shared_dir  # noqa: E402
 from ..operators import serving_state as st  # noqa: E402
 
 
@@ -509,6 +509,20 @@ def q_drift_stats(spark, sf):
     return round6(dr.drift_statistics(ref, cur, cols))
 
 
+@register("drift_from_days")
+def q_drift_days(spark, sf):
+    """The same statistics from histograms that were stored day by day, in two
+    runs of which the second finds the first one's days counted."""
+    f = hour_features(spark, sf)
+    first, last = (r.date() for r in f.agg(F.min("hour"), F.max("hour")).first())
+    days = [first + _dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    path, split = shared_dir(spark, "histograms"), last - _dt.timedelta(days=6)
+    dr.record_days(f, path, days[:len(days) // 2])
+    if dr.record_days(f, path, days) != days[len(days) // 2:]:
+        raise AssertionError("a day was counted twice")
+    return round6(dr.drift_of_days(spark, path, (first, split - _dt.timedelta(days=1)), (split, last)))
+
+
 @register("drift_gate")
 def q_drift_gate(spark, sf):
     ref, cur = _drift_frames(spark, sf)
@@ -570,8 +584,6 @@ def q_monitoring(spark, sf):
 from ..operators import experiments as ex  # noqa: E402
 from ..operators import models as ml  # noqa: E402
 from ..operators import promote as pm  # noqa: E402
-from .pipelines import shared_dir  # noqa: E402
-
 from ..sources import dimensions  # noqa: E402
 
 # trees of a registered fit: the configured 2,000 are a parameter, see the README for times

@@ -39,6 +39,26 @@ def test_w1_matches_quantile_definition(spark):
     assert math.isclose(s.ks, float(np.max(np.abs(fa - fb))), rel_tol=1e-12)
 
 
+def test_stored_days_give_the_direct_statistics(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    start, cols = dt.datetime(2025, 1, 1), ["temperature_2m", "lag_24", "flat"]
+    rows = [(start + dt.timedelta(hours=3 * i), float(round(rng.normal(20 + (i > 200) * 3, 4), 1)), None if i % 17 == 0 else float(rng.poisson(3)), 1.0) for i in range(320)]
+    df = spark.createDataFrame(rows, "hour timestamp_ntz, temperature_2m double, lag_24 double, flat double")
+    days = [dt.date(2025, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    path = f"{tmp_path}/h"
+    assert drift.record_days(df, path, days[:30], cols) == days[:30]
+    assert drift.record_days(df, path, days, cols) == days[30:] and drift.record_days(df, path, days, cols) == []
+    got = drift.drift_of_days(spark, path, (days[0], days[24]), (days[25], days[39])).orderBy("column").collect()
+    cut = F.col("hour") < F.lit(dt.datetime(2025, 1, 26))
+    want = drift.drift_statistics(df.where(cut), df.where(~cut), cols[:2]).orderBy("column").collect()
+    assert [r.column for r in got] == ["lag_24", "temperature_2m"]
+    for a, b in zip(got, want):
+        assert a.n_ref == b.n_ref and a.n_cur == b.n_cur and a.drifted == b.drifted
+        assert math.isclose(a.w1, b.w1, rel_tol=1e-9) and math.isclose(a.ks, b.ks, rel_tol=1e-9) and math.isclose(a.ref_std, b.ref_std, rel_tol=1e-9)
+    with pytest.raises(ValueError, match="no histogram"):
+        drift.merged_days(spark, path, days[0], dt.date(2025, 3, 1))
+
+
 def test_no_usable_columns_passes(spark):
     r = spark.createDataFrame([(1.0,)] * 5, "temperature_2m double")
     g = drift.drift_gate(r, r).first()
