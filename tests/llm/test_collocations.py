@@ -74,13 +74,15 @@ def test_trie_finds_its_candidates_and_nothing_else(n, alphabet):
     cand = {(int(symbols[a]), int(symbols[b]), int(symbols[c]) if t else 0) for (a, b, c), t in zip(draw, third)}
     rows = np.array(sorted(cand), np.int64).reshape(-1, 3)
     trie = collocations.build_trie(*rows.T)
-    at = np.flatnonzero(trie.accept)
+    at = np.arange(len(trie.ends))
     assert {tuple(map(int, x)) for x in zip(*trie.phrases(at))} == cand and len(at) == len(cand)
     seq = symbols[np.minimum(rng.zipf(1.4, 5000) - 1, alphabet - 1)]
     seq[rng.random(5000) < 0.05] = 0
-    counts = np.zeros(len(trie.base), np.int64)
-    collocations.count_states(trie, seq[:2000], 0, counts)
-    collocations.count_states(trie, seq[1998:], 2, counts)
+    counts = np.zeros(len(trie.ends), np.int64)
+    vocabulary = np.append(0, symbols)
+    codes = np.array([np.flatnonzero(vocabulary == h)[0] for h in seq])
+    collocations.count_states(trie, codes[:2000], vocabulary, 0, counts)
+    collocations.count_states(trie, codes[1998:], vocabulary, 2, counts)
     want = Counter()
     for k in (2, 3):
         want.update(tuple(g) + (0,) * (3 - k) for g in zip(*[seq[i:].tolist() for i in range(k)]) if 0 not in g and tuple(g) + (0,) * (3 - k) in cand)
