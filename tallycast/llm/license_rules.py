@@ -1,9 +1,11 @@
 """Licence recognition by sentences: known sentences get identifiers, licence
 rules are ordered sequences of them.
 
-A text is cut into sentences twice, by lines and by paragraphs (so that wrapped
-licence texts are whole), normalised to lower-case words, and looked up in a
-fixed table. What is left of a document is a short sequence of sentence
+A text is cut into sentences three times: by lines, by paragraphs (so that wrapped
+licence texts are whole), and before every place where a known sentence or a
+copyright notice begins (so that a title or a lead-in hides nothing, also in
+texts whose lines were joined). Sentences are normalised to lower-case words and
+looked up in a fixed table. What is left of a document is a short sequence of sentence
 identifiers; a rule matches where its identifiers follow each other with at most
 ``GAP`` unknown sentences in between. Everything happens within a row, by
 DataFrame expressions: there is no shuffle, and no document is compared with
@@ -66,7 +68,33 @@ SENTENCES = {
     "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0.",
                  "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "cc0": ["This work is licensed under CC0 1.0.", "Licensed under CC0 1.0."],
-    "mpl2": ["This Source Code Form is subject to the terms of the Mozilla Public License, v."],  # "2.0." follows as a sentence of its own
+    "gpl2-work": ["SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-or-later",
+                  "This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2."],
+    "lgpl21-free": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                    "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "lgpl3-free": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                   "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "lgpl-warranty": ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+                      "of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
+    "lgpl21-work": ["SPDX-License-Identifier: LGPL-2.1-only", "SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "lgpl3-work": ["SPDX-License-Identifier: LGPL-3.0-only", "SPDX-License-Identifier: LGPL-3.0-or-later"],
+    "agpl3-free": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                   "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "agpl3-work": ["SPDX-License-Identifier: AGPL-3.0-only", "SPDX-License-Identifier: AGPL-3.0-or-later"],
+    "unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
+    "epl2": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available "
+             "at https://www.eclipse.org/legal/epl-2.0/", "SPDX-License-Identifier: EPL-2.0"],
+    "bsl1-grant": ["Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+                   "documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the "
+                   "Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to "
+                   "do so, all subject to the following:"],
+    "bsl1-released": ["Distributed under the Boost Software License, Version 1.0.", "SPDX-License-Identifier: BSL-1.0"],
+    "zlib-asis": ["This software is provided 'as-is', without any express or implied warranty."],
+    "zlib-grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+                   "redistribute it freely, subject to the following restrictions:"],
+    "bsd-spdx3": ["SPDX-License-Identifier: BSD-3-Clause"],
+    "bsd-spdx2": ["SPDX-License-Identifier: BSD-2-Clause"],
+    "mpl2": ["SPDX-License-Identifier: MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v."],  # "2.0." follows as a sentence of its own
 }
 # Rules in order of sentences, with the licence they show.
 RULES = [
@@ -79,6 +107,22 @@ RULES = [
     ("gpl3-header", "GPL-3.0-or-later", ["gpl-free", "gpl-warranty", "gpl-see"]),
     ("gpl2-header", "GPL-2.0-or-later", ["gpl2-free", "gpl-warranty", "gpl-see"]),
     ("gpl3-notice", "GPL-3.0", ["gpl3-work"]),
+    ("gpl2-notice", "GPL-2.0", ["gpl2-work"]),
+    ("lgpl21-header", "LGPL-2.1-or-later", ["lgpl21-free", "lgpl-warranty"]),
+    ("lgpl21-grant", "LGPL-2.1-or-later", ["lgpl21-free"]),
+    ("lgpl3-grant", "LGPL-3.0-or-later", ["lgpl3-free"]),
+    ("lgpl21-notice", "LGPL-2.1", ["lgpl21-work"]),
+    ("lgpl3-notice", "LGPL-3.0", ["lgpl3-work"]),
+    ("agpl3-header", "AGPL-3.0-or-later", ["agpl3-free", "gpl-warranty"]),
+    ("agpl3-grant", "AGPL-3.0-or-later", ["agpl3-free"]),
+    ("agpl3-notice", "AGPL-3.0", ["agpl3-work"]),
+    ("unlicense-text", "Unlicense", ["unlicense"]),
+    ("epl2-notice", "EPL-2.0", ["epl2"]),
+    ("bsl1-text", "BSL-1.0", ["bsl1-grant"]),
+    ("bsl1-notice", "BSL-1.0", ["bsl1-released"]),
+    ("zlib-text", "Zlib", ["zlib-asis", "zlib-grant"]),
+    ("bsd3-notice", "BSD-3-Clause", ["bsd-spdx3"]),
+    ("bsd2-notice", "BSD-2-Clause", ["bsd-spdx2"]),
     ("bsd3-text", "BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("bsd2-text", "BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("isc-text", "ISC", ["isc-grant"]),
@@ -90,7 +134,8 @@ RULES = [
     ("proprietary-notice", "LicenseRef-all-rights-reserved", ["all-rights"]),
 ]
 # Fixed value: every sentence above contains one of these.
-WORDS = "licens|rights|warrant|redistribut|permission"
+WORDS = "licens|rights|warrant|redistribut|permission|unencumbered"
+STARTER_WORDS = 4  # words of a known sentence that begin a sentence wherever they stand
 
 # ends of sentences: a full stop and the like before white space or the end, a colon at a line's end, a blank line
 _BREAK = r"(?<=[.!?])(?=\s|$)|(?<=:)(?=[ \t]*\n)|\n[ \t#/*;-]*\n"
@@ -107,6 +152,29 @@ def normal_form(sentence: str) -> str:
     return regex.sub(r"[^\p{L}\p{N}]+", " ", sentence.lower()).strip()
 
 
+def starters() -> list[list[str]]:
+    """The first words of every known sentence, at least ``STARTER_WORDS`` and as
+    many as no other kind of sentence has within it; a sentence without such a
+    beginning is known on its own only."""
+    forms = [(name, normal_form(f)) for name, fs in SENTENCES.items() for f in fs]
+    heads = {}
+    for name, form in forms:
+        words = form.split()
+        others = [f" {f} " for n, f in forms if n != name]
+        for n in range(STARTER_WORDS, len(words) + 1):
+            head = " " + " ".join(words[:n]) + " "
+            if not any(o.find(head, 1) > 0 for o in others):
+                heads[tuple(words[:n])] = None
+                break
+    return [list(h) for h in heads]
+
+
+def _starters() -> str:
+    """A pattern of places where a known sentence or a copyright notice begins."""
+    heads = [r"[^\p{L}\p{N}]+".join(h) for h in starters()]
+    return r"(?i)(?<=\s)(?=(?:" + "|".join(heads) + r"|copyright (?:\(c\)|\x{a9}|\d{4}))(?![\p{L}\p{N}]))"
+
+
 def _table() -> Column:
     pairs = {}
     for name, forms in SENTENCES.items():
@@ -115,10 +183,13 @@ def _table() -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
 
 
-def known_sentences(text: Column, by_line: bool) -> Column:
+_CUTS = {"lines": r"\n|" + _BREAK, "paragraphs": _BREAK, "starts": _BREAK + r"|(?<=:)(?=\s+\d+[.)])|" + _starters()}
+
+
+def known_sentences(text: Column, cut: str) -> Column:
     """array<struct<i, id>>: the known sentences of a text and their numbers
-    among its non-empty sentences."""
-    pieces = F.split(text, r"\n|" + _BREAK if by_line else _BREAK)
+    among its non-empty sentences, in one of the ways of cutting."""
+    pieces = F.split(text, _CUTS[cut])
     words = F.filter(F.transform(pieces, normal), lambda s: s != "")
     found = F.transform(words, lambda s, i: F.struct(i.alias("i"), F.try_element_at(_table(), s).alias("id")))
     return F.filter(found, lambda x: x["id"].isNotNull())
@@ -148,18 +219,18 @@ def rule_matches(found: Column, gap: int = GAP) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gap: int = GAP) -> DataFrame:
     """One row per licence rule that a document matches: (doc_id, license, rule,
-    matches, sentences), ``matches`` counting the places (the larger of the two
-    segmentations).
+    matches, sentences), ``matches`` counting the places (the largest of the three
+    cuts).
 
     A rule inside a longer rule's match is part of that one. Null and empty
     texts match nothing; repeated rows are scanned each; a null id is kept; a
     sentence may be repeated any number of times; other columns are ignored.
     """
     hits = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").rlike(f"(?i){WORDS}"))
-    seen = hits.select("doc_id", known_sentences(F.col("text"), True).alias("lines"), known_sentences(F.col("text"), False).alias("paras"))
-    seen = seen.filter((F.size("lines") > 0) | (F.size("paras") > 0))
-    both = seen.select("doc_id", rule_matches(F.col("lines"), gap).alias("a"), rule_matches(F.col("paras"), gap).alias("b"))
-    names = F.array_distinct(F.transform(F.concat("a", "b"), lambda m: F.struct(m["license"].alias("license"), m["rule"].alias("rule"), m["sentences"].alias("sentences"))))
-    rows = both.select("doc_id", "a", "b", F.explode(names).alias("m"))
+    seen = hits.select("doc_id", *[known_sentences(F.col("text"), c).alias(c) for c in _CUTS])
+    seen = seen.filter(reduce(lambda x, y: x | y, [F.size(c) > 0 for c in _CUTS]))
+    each = seen.select("doc_id", *[rule_matches(F.col(c), gap).alias(c) for c in _CUTS])
+    names = F.array_distinct(F.transform(F.concat(*_CUTS), lambda m: F.struct(m["license"].alias("license"), m["rule"].alias("rule"), m["sentences"].alias("sentences"))))
+    rows = each.select("doc_id", *_CUTS, F.explode(names).alias("m"))
     times = lambda c: F.size(F.filter(c, lambda x: x["rule"] == F.col("m.rule")))
-    return rows.select("doc_id", "m.license", "m.rule", F.greatest(times("a"), times("b")).alias("matches"), "m.sentences")
+    return rows.select("doc_id", "m.license", "m.rule", F.greatest(*[times(c) for c in _CUTS]).alias("matches"), "m.sentences")

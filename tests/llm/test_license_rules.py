@@ -17,8 +17,9 @@ def test_every_known_sentence_has_a_trigger_word_and_is_one_sentence(spark):
 def slow_scan(text):
     table = {L.normal_form(f): k for k, fs in L.SENTENCES.items() for f in fs}
     counts = []
-    for by_line in (True, False):
-        cut = ("\n|" if by_line else "") + r"(?<=[.!?])(?=\s|$)|(?<=:)(?=[ \t]*\n)|\n[ \t#/*;-]*\n"
+    starts = "|".join(r"[^\p{L}\p{N}]+".join(h) for h in L.starters()) + r"|copyright (?:\(c\)|©|\d{4})"
+    paragraphs = r"(?<=[.!?])(?=\s|$)|(?<=:)(?=[ \t]*\n)|\n[ \t#/*;-]*\n"
+    for cut in ("\n|" + paragraphs, paragraphs, paragraphs + rf"|(?<=:)(?=\s+\d+[.)])|(?<=\s)(?=(?i:{starts})(?![\p{{L}}\p{{N}}]))"):
         words = [w for w in (L.normal_form(p) for p in regex.split(cut, text, flags=regex.V1)) if w]
         seq = [(i, table[w]) for i, w in enumerate(words) if w in table]
         found = []
@@ -77,5 +78,36 @@ def test_scan_equals_brute_force(spark):
     assert any(x[3] == "apache-header" for x in got) and any(x[3] == "mit-text" for x in got)
 
 
+def joined(rule):
+    return " ".join(L.SENTENCES[s][0] for s in dict((r[0], r[2]) for r in L.RULES)[rule])
+
+
+def test_published_texts_on_one_line_wrapped_and_after_a_lead_in(spark):
+    cases = {}
+    for rule, lic, steps in L.RULES:
+        body = joined(rule)
+        for text in (body, f"Title 1.0 Copyright (c) 2024 Some Body {body}", wrap(body), f"Note: {body}", f"Read this first\n\n{body}\n\nBye."):
+            cases[len(cases)] = (text, rule)
+    cases[len(cases)] = ("MIT License Copyright (c) 2020 A. Person " + joined("mit-text"), "mit-text")
+    cases[len(cases)] = ("MIT License Copyright (c) 2020 A. Person " + joined("mit-text"), "mit-title")
+    bsd = [L.SENTENCES[s][0] for s in ("bsd-grant", "bsd-source", "bsd-binary")]
+    cases[len(cases)] = (f"BSD Copyright 2020, Me. {bsd[0]} 1. {bsd[1]} 2. {bsd[2]}", "bsd2-text")
+    cases[len(cases)] = ("Note: Licensed under the MIT License.", "mit-notice")
+    df = spark.createDataFrame([(i, t) for i, (t, _) in cases.items()], "doc_id long, text string")
+    got = {}
+    for r in L.scan(df).collect():
+        got.setdefault(r.doc_id, set()).add(r.rule)
+    lone = {r[0] for r in L.RULES if len(r[2]) == 1 and len(L.normal_form(L.SENTENCES[r[2][0]][0]).split()) < L.STARTER_WORDS}
+    missed = [(rule, text) for i, (text, rule) in cases.items() if rule not in got.get(i, ())]
+    # a title of three words or fewer is only known as a line or sentence of its own
+    assert all(rule in lone for rule, _ in missed), [m for m in missed if m[0] not in lone]
+
+
+def test_extra_columns_and_very_long_texts(spark):
+    long = "Plain words about rights and wrongs of ants. " * 20_000 + joined("mit-text")
+    df = spark.createDataFrame([(1, long, "a", 2, [1])], "doc_id long, text string, m string, lines int, names array<int>")
+    assert [(r.doc_id, r.rule) for r in L.scan(df).collect()] == [(1, "mit-text")]
+
+
 def test_empty(spark):
     assert L.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
