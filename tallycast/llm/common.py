@@ -42,6 +42,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, each with underscores in front until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def is_held_out(doc_id: Column) -> Column:
     """Rows that no model may learn from: crc32 of the id's text mod 4 is 2
     (a null id is held out as well)."""

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import stored
+from .common import free_names, stored
 
 PASSAGE, STEP = 32, 16
 RANK, OVERSAMPLE = 64, 8
@@ -358,6 +358,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text gives no benchmark item away, columns unchanged."""
-    bad = leaks(docs.select("doc_id", "text"), benchmark).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    doc_id, h = free_names(docs, "_id", "_h")
+    bad = leaks(docs.select("doc_id", "text"), benchmark).select(F.col("doc_id").alias(doc_id), F.col("h").alias(h)).distinct()
     own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_h")), "left_anti")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc_id)) & (own == F.col(h)), "left_anti")

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import running_totals, stored
+from .common import free_names, running_totals, stored
 
 WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2.0
@@ -137,11 +137,12 @@ def splitting_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
 
 
 def mix(docs: DataFrame, block_words: int | None = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED,
-        weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+        weights=WEIGHTS, share: float = SHARE, cap: float = CAP, row: str | None = None) -> DataFrame:
     """The drawn blocks: (row, doc_id, source, size, source_size, target, block,
     epoch, words, shard, shuffle_key).
 
-    ``row`` names an input row (repeated rows are drawn from separately).
+    ``row`` names an input row (repeated rows are drawn from separately): the
+    column of that name given, or a number.
     ``block_words`` None makes every document one block. A document of no words
     (null or empty text) has one block of none; a block that is not drawn in the
     partial pass appears there with ``words`` 0 and no shard. A null source is
@@ -150,9 +151,9 @@ def mix(docs: DataFrame, block_words: int | None = BLOCK_WORDS, shards: int = SH
     """
     if cap > 2:
         raise ValueError("a source is passed over at most twice")
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
     base = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                              F.xxhash64(F.lit(seed), "doc_id", "source", "text").alias("key"))
-                  .withColumn("row", F.monotonically_increasing_id()), "mix-base")
+                              F.xxhash64(F.lit(seed), "doc_id", "source", "text").alias("key"), number.alias("row")), "mix-base")
     targets = stored(source_targets(base, weights, share, cap)
                      .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
                                  .otherwise(0).cast("long"))
@@ -193,21 +194,15 @@ def taken_words(mixed: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` as mixed: every document as many times as it is drawn (0 to 2),
-    columns unchanged. Documents are whole blocks here; the one document that a
-    source's quota cuts is taken when at least half its words are. Documents of
-    no words, whose taking changes no target, stay once."""
-    m = mix(docs, block_words=None, **params)
+    """``docs`` as mixed: every row as many times as it is drawn (0 to 2), columns
+    unchanged. Documents are whole blocks here; the one document that a source's
+    quota cuts is taken when at least half its words are. Documents of no words,
+    whose taking changes no target, stay once. Rows are told apart by a number,
+    so repeated ids and texts keep their own draws."""
+    row, copies = free_names(docs, "_row", "_copies")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    m = mix(numbered.select("doc_id", "source", "text", F.col(row).alias("row")), block_words=None, row="row", **params)
     whole = F.col("shard").isNotNull() & (2 * F.col("words") >= F.col("size")) & (F.col("size") > 0)
-    copies = m.groupBy("row").agg(F.first("doc_id").alias("_id"), F.first("source").alias("_source"), F.first("size").alias("_size"),
-                                  F.count_if(whole).alias("_n"))
-    per = (copies.groupBy("_id", "_source", "_size").agg(F.sum(F.when(F.col("_size") == 0, 1).otherwise(F.col("_n"))).alias("_total"), F.count("*").alias("_rows")))
-    # equal (id, source, size) rows share their copies: the first ones get one more
-    sized = docs.withColumn("_words", word_count(F.col("text")))
-    cond = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
-    single = sized.join(per.filter("_rows = 1 and _total > 0"), cond).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_total"))))
-    w = Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64("text"))
-    repeated = (sized.join(per.filter("_rows > 1"), cond).withColumn("_i", F.row_number().over(w) - 1)
-                .withColumn("_k", F.floor(F.col("_total") / F.col("_rows")) + F.when(F.col("_i") < F.col("_total") % F.col("_rows"), 1).otherwise(0))
-                .filter("_k > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k")))))
-    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    times = m.groupBy(F.col("row").alias(row)).agg(F.when(F.first("size") == 0, F.lit(1)).otherwise(F.count_if(whole).cast("int")).alias(copies))
+    drawn = numbered.join(times.filter(F.col(copies) > 0), row)
+    return drawn.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, string_bytes
+from .common import free_names, stored, string_bytes
 from .components import connected_components
 
 SHINGLE = 3
@@ -161,15 +161,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_per_group(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` without the near duplicates of another: of each group the
-    document whose id names the component stays, columns unchanged. Rows that
-    share an id stay or go together, equal ones of them once; rows without an id
-    stay, as nothing names them."""
-    found = stored(near_duplicates(docs.select("doc_id", "text"), **params), "simhash-groups").filter("doc_id is not null")
-    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
-    kept = docs.join(ids.filter(~F.col("stays")).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    many = ids.filter("stays and n > 1").select("doc_id")
-    if many.isEmpty():
-        return kept
-    return (kept.join(many, "doc_id", "left_anti").select(*docs.columns)
-            .unionByName(kept.join(many, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])))
+    """``docs`` with one row of each group of near duplicates, columns unchanged:
+    the row of smallest id (a null id counts as the largest), of rows with the
+    same id the one whose text hashes lowest. Rows are told apart by a number, so
+    exactly one row of a group stays whatever ids are missing or repeated."""
+    row, = free_names(docs, "_row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    groups = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), **params).select(F.col("doc_id").alias("r"), "component_id")
+    names = numbered.select(F.col(row).alias("n"), F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("name"),
+                            F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h"))
+    stays = groups.join(names, F.col("r") == F.col("n")).groupBy("component_id").agg(F.min(F.struct("unnamed", "name", "h", "n")).alias("s"))
+    return numbered.join(stays.select(F.col("s.n").alias(row)), row, "left_semi").select(*docs.columns)

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline as P
-from tallycast.llm import latent_decontam, queries, simhash_bytes
+from tallycast.llm import labelled, latent_decontam, mixing_tree, queries, simhash_bytes
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,12 +60,43 @@ def test_each_stage_takes_effect(spark, tmp_path):
     assert len(sharded) == len(mixed) and max(per.values()) - min(per.get(s, 0) for s in range(16)) <= 1
 
 
+def test_stages_tell_rows_apart_and_keep_clashing_columns(spark):
+    """Null and repeated ids, columns named like helpers, very long texts."""
+    rng = random.Random(3)
+    words = ["ation", "thing", "eshor", "nded", "whor", "reon", "ouble", "ingha"]
+    prose = lambda n: " ".join(rng.choice(words) + str(rng.randrange(99)) for _ in range(n))
+    texts = [prose(60) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (4, texts[2]), (9, texts[0]), (10, prose(20_000)), (11, None), (12, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, n, "u", "v", 7, 8) for n, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _row int, _id string, _h string, _words int, _copies int")
+    kept = simhash_bytes.keep_one_per_group(docs)
+    assert kept.columns == docs.columns
+    # equal texts are one group, null and empty ones too: one row each, the smallest id's, a null id last
+    assert sorted((r.doc_id is None, r.doc_id or 0, (r.text or "")[:9]) for r in kept.collect()) == sorted(
+        [(False, 9, texts[0][:9]), (True, 0, texts[1][:9]), (False, 4, texts[2][:9]), (False, 4, texts[3][:9]), (False, 10, rows[7][1][:9]), (False, 11, "")])
+    bench = spark.createDataFrame([(1, texts[1])], "item_id long, text string")
+    clean = latent_decontam.drop_leaks(docs, bench)
+    assert clean.columns == docs.columns and sorted(r._row for r in clean.collect()) == [0, 1, 3, 4, 5, 6, 7, 8, 9]
+    mixed = mixing_tree.mixed_documents(docs, share=1.0)
+    assert mixed.columns == docs.columns and Counter(r._row for r in mixed.collect()) == dict.fromkeys(range(10), 1)
+
+
+def test_the_labelled_sample_is_bounded_in_rows_and_bytes(spark):
+    texts = [(i, f"{i} " * 50) for i in range(60)] + [(7, "again")] * 40 + [(8, "x" * 100_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    got, y, _ = labelled.training_sample(docs, labels, "quality", 500)
+    assert len(got) == len(y) <= 60 and sum(t == "again" for t in got) <= 1
+    few, y, _ = labelled.training_sample(docs, labels, "quality", 500, class_bytes=1000)
+    assert 2 <= len(few) < len(got) and sum(len(t) for t, k in zip(few, y) if k) <= 1000
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 def test_entry_registers_one_query_per_operator(spark):
     import __spark_entry__ as e
 
     names = [n for n in e.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in e.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in e.queries()
     assert set(queries.REGISTRY) == set(names) and set(e.oracle_sql()) <= set(e.queries())
 
 
