@@ -20,10 +20,13 @@ def event_days(calendar: DataFrame) -> DataFrame:
 
 
 def add_event_feature(df: DataFrame, days: DataFrame, ts: str = "hour") -> DataFrame:
-    """is_major_event 0/1 by a left join on date. ``days`` is unique by date
-    (built by ``event_days``), so the join cannot change the row count; the
-    day table is bounded by the calendar span and broadcast."""
-    d = F.broadcast(days.select(F.col("date").alias("_event_date"), "event_name"))
+    """is_major_event 0/1 by a left join on date; the planner chooses the join.
+    A date listed twice is an error, as it would multiply rows (``event_days``
+    lists each once)."""
+    twice = days.groupBy("date").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(5).collect()
+    if twice:
+        raise ValueError(f"event days list {[str(r[0]) for r in twice]} more than once")
+    d = days.select(F.col("date").alias("_event_date"), "event_name")
     return (df.withColumn("_event_date", F.to_date(ts)).join(d, "_event_date", "left")
             .withColumn("is_major_event", F.col("event_name").isNotNull().cast("int"))
             .drop("_event_date", "event_name"))

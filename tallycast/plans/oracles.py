@@ -10,11 +10,20 @@ left join) so the comparison checks the shortcut.
 from __future__ import annotations
 
 from ..config import DAILY, DEFAULT
-from ..functions.calendar import FIXED_HOLIDAYS, WEEKDAY_HOLIDAYS
-from .adapters import EVENT_PATTERNS, EVENT_YEARS
 
 D = "CAST({} AS DOUBLE)".format
 
+# Fixed values, written out here a second time so that the oracles do not take them from the code they check:
+# holidays by date (name, month, day, first year) and by n-th weekday (name, month, ISO weekday, n; -1 is the last), named periods.
+_DATES = [("New Year's Day", 1, 1, None), ("Lincoln's Birthday", 2, 12, None), ("Juneteenth National Independence Day", 6, 19, 2021),
+          ("Independence Day", 7, 4, None), ("Veterans Day", 11, 11, None), ("Christmas Day", 12, 25, None)]
+_NTH = [("Martin Luther King Jr. Day", 1, 1, 3), ("Washington's Birthday", 2, 1, 3), ("Casimir Pulaski Day", 3, 1, 1), ("Memorial Day", 5, 1, -1),
+        ("Labor Day", 9, 1, 1), ("Columbus Day", 10, 1, 2), ("Thanksgiving", 11, 4, 4)]
+_PERIODS = [("01-06", "01-07", "Winter Fest"), ("01-07", "01-09", "Auto Show"), ("01-15", "01-15", "Parade"),
+            ("07-01", "07-04", "Summer Fair"), ("07-03", "07-05", "Jazz Fest"), ("09-10", "09-12", "Air Show")]
+_PERIOD_YEARS = (1995, 2024)
+_WEEKDAYS = [(name, m, w, 7 * n - 6 if n > 0 else 25, 7 * n if n > 0 else 31) for name, m, w, n in _NTH]
+
 
 def dur(s: str = "started_at", e: str = "ended_at") -> str:
     return f"CAST(trunc((epoch_us({e}) - epoch_us({s})) / 1000000) AS BIGINT)"
@@ -115,10 +124,10 @@ def holiday_sql(d: str) -> str:
         if since:
             c += f" AND year({x}) >= {since}"
         return c + ")"
-    parts = [fixed(d, m, day, s) for _, m, day, s in FIXED_HOLIDAYS]
+    parts = [fixed(d, m, day, s) for _, m, day, s in _DATES]
     parts += [f"(month({d}) = {m} AND isodow({d}) = {w} AND day({d}) BETWEEN {lo} AND {hi})"
-              for _, m, w, lo, hi in WEEKDAY_HOLIDAYS]
-    for _, m, day, s in FIXED_HOLIDAYS:
+              for _, m, w, lo, hi in _WEEKDAYS]
+    for _, m, day, s in _DATES:
         parts.append(f"(isodow({d}) = 5 AND {fixed(f'({d} + INTERVAL 1 DAY)', m, day, s)})")
         parts.append(f"(isodow({d}) = 1 AND {fixed(f'({d} - INTERVAL 1 DAY)', m, day, s)})")
     return "(" + " OR ".join(parts) + ")"
@@ -203,7 +212,7 @@ event_days AS (
            row_number() OVER (PARTITION BY CAST(d AS DATE) ORDER BY start_date, event_name) AS rn
     FROM (SELECT unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS d, event_name, start_date FROM cal))
   WHERE rn = 1)""".format(
-    pats=", ".join(f"('{s}', '{e}', '{n}')" for s, e, n in EVENT_PATTERNS), y0=EVENT_YEARS[0], y1=EVENT_YEARS[1] + 1)
+    pats=", ".join(f"('{s}', '{e}', '{n}')" for s, e, n in _PERIODS), y0=_PERIOD_YEARS[0], y1=_PERIOD_YEARS[1] + 1)
 
 HOUR_BASE = "WITH " + ",".join([EV_TRIPS, MAPPING, clean_cte("ev_clean", "ev_trips", DEFAULT, True),
                                 grid_ctes("hg", "ev_clean", DEFAULT)])
@@ -272,10 +281,10 @@ def _holiday_name_sql(d: str) -> str:
         if since:
             c += f" AND year({x}) >= {since}"
         return c + ")"
-    br = [(fixed(d, m, day, s), n) for n, m, day, s in FIXED_HOLIDAYS]
+    br = [(fixed(d, m, day, s), n) for n, m, day, s in _DATES]
     br += [(f"(month({d}) = {m} AND isodow({d}) = {w} AND day({d}) BETWEEN {lo} AND {hi})", n)
-           for n, m, w, lo, hi in WEEKDAY_HOLIDAYS]
-    for n, m, day, s in FIXED_HOLIDAYS:
+           for n, m, w, lo, hi in _WEEKDAYS]
+    for n, m, day, s in _DATES:
         br.append((f"(isodow({d}) = 5 AND {fixed(f'({d} + INTERVAL 1 DAY)', m, day, s)})", f"{n} (observed)"))
         br.append((f"(isodow({d}) = 1 AND {fixed(f'({d} - INTERVAL 1 DAY)', m, day, s)})", f"{n} (observed)"))
     esc = lambda s: s.replace("'", "''")
@@ -670,6 +679,7 @@ sides AS (SELECT *, CASE WHEN hour < (SELECT t FROM cs) THEN 'ref' ELSE 'cur' EN
 
 
 ORACLES["drift_statistics"] = _drift_sql(False)
+ORACLES["feature_product"] = ORACLES["feature_table"]
 ORACLES["drift_from_days"] = ORACLES["drift_statistics"]
 ORACLES["drift_gate"] = _drift_sql(True)
 

@@ -26,7 +26,7 @@ _PRODUCTS: dict[tuple, DataFrame] = {}
 def product(spark: SparkSession, sf: str, name: str, build, mode: str = "table") -> DataFrame:
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _PRODUCTS:
-        _PRODUCTS[key] = materialize(build(), mode)
+        _PRODUCTS[key] = build() if mode == "as is" else materialize(build(), mode)
     return _PRODUCTS[key]
 
 
@@ -53,11 +53,16 @@ def _series(spark, sf, tag: str, clean_fn, cfg: Config, trim: bool) -> DataFrame
                     lambda: grid.select_scope(narrow, cfg.top_n, cfg.scope_lookback_days))
     counts = product(spark, sf, f"{tag}_counts", lambda: grid.series_counts(narrow, scope, cfg.grain))
     if not trim:
-        return product(spark, sf, f"{tag}_full", lambda: grid.full_grid(counts, scope, cfg.grain))
+        return product(spark, sf, f"{tag}_full", lambda: _dense(materialize(grid.full_grid(counts, scope, cfg.grain), "table")), "as is")
     return product(spark, sf, f"{tag}_grid",
                    lambda: grid.lifetime_grid(counts, narrow, scope, cfg.grain, phase=cfg.grain))
 
 
+def _dense(full: DataFrame) -> DataFrame:
+    grid.assert_grid_complete(full)
+    return full
+
+
 def hour_scope(spark, sf):
     _series(spark, sf, "hour", hour_clean, HOUR_CFG, trim=False)
     return product(spark, sf, "hour_scope", None)

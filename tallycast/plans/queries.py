@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import holiday_calendar
 from ..functions.exprs import materialize, round6
 from ..operators import cleaning, events, features, grid
+from ..sources import sinks
 from . import adapters
 from .pipelines import (DAY_CFG, HOUR_CFG, day_backtest_base, day_baselines, day_clean, day_covariates,
                         day_features, day_grid, day_master, hour_clean, hour_covariates, hour_features,
@@ -149,6 +150,19 @@ def q_lags_daily(spark, sf):
     return round6(features.add_lag_features(day_grid_phased(spark, sf), DAY_CFG.grain).drop("day_of_week"))
 
 
+@register("feature_product")
+def q_feature_product(spark, sf):
+    """The feature table as a named product, one partition a month: written,
+    its last month written again, read back month by month."""
+    from .pipelines import shared_dir
+
+    root, f = shared_dir(spark, "products"), hour_features(spark, sf)
+    sinks.write_product(f, root, "features")
+    months = [r[0] for r in f.select(F.date_format("hour", "yyyy-MM")).distinct().orderBy(F.desc("date_format(hour, yyyy-MM)")).collect()]
+    sinks.write_product(f.where(F.date_format("hour", "yyyy-MM") == months[0]), root, "features")
+    return round6(sinks.read_product(spark, root, "features", months))
+
+
 @register("feature_table")
 def q_feature_table(spark, sf):
     return round6(hour_features(spark, sf))
@@ -586,8 +600,9 @@ from ..operators import models as ml  # noqa: E402
 from ..operators import promote as pm  # noqa: E402
 from ..sources import dimensions  # noqa: E402
 
-# trees of a registered fit: the configured 2,000 are a parameter, see the README for times
-_TREES = {**DAY_CFG.tree_params, "n_estimators": 40}
+# trees of a registered fit; the configured 2,000 and 50 are parameters, see the README for times
+_TREES = {**DAY_CFG.tree_params, "n_estimators": 12}
+_GBT = {"max_iter": 20, "max_depth": 4, "step_size": 0.2}
 
 
 def _day_feats_events(spark, sf):
@@ -609,7 +624,7 @@ def q_poisson_trees(spark, sf):
 
 @register("gbt_forecast")
 def q_gbt(spark, sf):
-    return _model_backtest(spark, sf, "gbt", "gbt", DAY_CFG.model_params)
+    return _model_backtest(spark, sf, "gbt", "gbt", _GBT)
 
 
 @register("poisson_glm_forecast")

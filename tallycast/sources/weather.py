@@ -7,17 +7,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import WEATHER_COLUMNS
+from ..schemas import WEATHER_COLUMNS, check_columns
 
 VARS = WEATHER_COLUMNS[1:]
 
 
 def payload_to_rows(payloads: DataFrame) -> DataFrame:
-    """Each row holds one payload with an ``hourly`` struct of arrays
-    (``time`` + variables). Output: the weather contract, in order."""
+    """Each row holds one payload with an ``hourly`` struct of arrays (``time`` +
+    variables, no others, equally long). Output: the weather contract, in order."""
     if "hourly" not in payloads.columns:
         raise ValueError("payload has no 'hourly' block")
+    check_columns(payloads.schema["hourly"].dataType.fieldNames(), ["time", *VARS], "payload", ordered=False)
     h = F.col("hourly")
+    sizes = F.array_distinct(F.array(*[F.size(h.getField(v)) for v in ("time", *VARS)]))
+    h = F.when(F.size(sizes) == 1, h).otherwise(F.raise_error(F.concat(F.lit("payload arrays differ in length: "), sizes.cast("string"))))
     zipped = F.arrays_zip(h.getField("time").alias("time"), *[h.getField(v).alias(v) for v in VARS])
     rows = payloads.select(F.inline(zipped))
     return rows.select(F.to_timestamp_ntz(F.col("time"), F.lit("yyyy-MM-dd'T'HH:mm")).alias("timestamp"),

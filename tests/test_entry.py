@@ -13,8 +13,11 @@ def test_entry_and_queries_run_on_smoke_data(spark):
     assert len(out) == 24 and all(r.n > 0 for r in out)
     qs, ors = e.queries(), e.oracle_sql()
     assert set(ors) <= set(qs)
-    for name in ("full_grid", "lag_features", "near_pairs", "backtest_summary"):
-        assert qs[name](spark, SF).count() >= 0
+    grid = qs["full_grid"](spark, SF)
+    keys, hours = grid.select("station_id").distinct().count(), grid.select("hour").distinct().count()
+    assert grid.count() == keys * hours > 0
+    assert qs["lag_features"](spark, SF).count() == qs["covariate_join"](spark, SF).count() > 0
+    assert {r.predictor for r in qs["backtest_summary"](spark, SF).collect()} == {"seasonal_naive", "historical_mean"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")

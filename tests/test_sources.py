@@ -66,6 +66,32 @@ def test_csv_reader_and_incremental_months(spark, tmp_path):
     assert [r.month for r in todo.collect()] == ["2025-05", "2025-07"]
 
 
+def test_payloads_with_other_fields_or_lengths_are_refused(spark, tmp_path):
+    names = ["temperature_2m", "precipitation", "snowfall", "wind_speed_10m", "relative_humidity_2m"]
+    good = {"time": ["2024-02-29T00:00"], **{n: [1.0] for n in names}}
+    for name, change, says in (("extra", {"pressure": [1.0]}, "extra=\\['pressure'\\]"), ("short", {"snowfall": []}, "differ in length")):
+        f = tmp_path / f"{name}.json"
+        f.write_text(json.dumps({"hourly": good | change}))
+        with pytest.raises(Exception, match=says):
+            sw.read_payloads(spark, str(f)).collect()
+    missing = tmp_path / "missing.json"
+    missing.write_text(json.dumps({"hourly": {k: v for k, v in good.items() if k != "snowfall"}}))
+    with pytest.raises(Exception, match="missing=\\['snowfall'\\]"):
+        sw.read_payloads(spark, str(missing)).collect()
+
+
+def test_products_are_partitioned_by_month(spark, tmp_path):
+    from tallycast.sources import sinks
+    rows = [(dt.datetime(2025, m, 3), m) for m in (1, 1, 2, 3)]
+    df = spark.createDataFrame(rows, "hour timestamp_ntz, v int")
+    path = sinks.write_product(df, str(tmp_path), "features")
+    sinks.write_product(df.where("v = 2").withColumn("v", F.lit(20)), str(tmp_path), "features")
+    assert sorted(r.v for r in sinks.read_product(spark, str(tmp_path), "features").collect()) == [1, 1, 3, 20]
+    one = sinks.read_product(spark, str(tmp_path), "features", ["2025-01"])
+    assert one.columns == ["hour", "v"] and one.count() == 2 and sorted(p.name for p in tmp_path.joinpath("features").glob("_month=*")) == [f"_month=2025-0{m}" for m in (1, 2, 3)]
+    assert "PartitionFilters: [" in one._jdf.queryExecution().executedPlan().toString() and path.endswith("/features")
+
+
 def test_payload_reshaping_and_month_bounds(spark, tmp_path):
     payload = {"latitude": 41.9, "hourly": {"time": ["2024-02-29T00:00", "2024-02-29T01:00"],
                                              "temperature_2m": [1.5, 2.0], "precipitation": [0.0, 0.2],
