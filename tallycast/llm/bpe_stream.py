@@ -23,9 +23,11 @@ import json
 import re
 import unicodedata
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ PIECE = 1 << 16   # characters of a text that are read at a time
 STEP = 512        # symbols gathered beyond the lookahead before merges are tried
 SHORT = 64        # longer runs without white space go through the transducer
 CACHE = 1 << 18   # runs and words whose encoding a worker remembers
+LEARN = 1 << 21   # characters of texts whose new runs are encoded together
 
 # The pre-token pattern, the white space that parts pre-tokens.
 _SPACES = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -104,8 +107,20 @@ class Vocabulary:
         self.widest = max(map(len, self.specials), default=1)
         self.lookahead = sufficient_lookahead(merges, lambda t: len(t.removesuffix(self.suffix) if self.suffix else t))
         self.spelling = {i: t for t, i in (*self.ids.items(), *self.specials.items())}
-        self.runs: dict[str, tuple[int, ...]] = {}
+        self.runs = _Runs(self)
         self.words: dict[str, tuple[int, ...]] = {}
+        # the merge list as an open hash table of pairs of ids, for many words at once
+        self.width = max(self.ids.values()) + 1
+        self.merged_id = np.array([self.ids[u + v] for u, v in merges], np.int64)
+        bits = max(8, (4 * len(merges)).bit_length())
+        self.shift, self.keys, self.rank_at = np.uint64(64 - bits), np.full((1 << bits) + 64, -1, np.int64), np.zeros((1 << bits) + 64, np.int32)
+        pairs = np.array([self.ids[u] * self.width + self.ids[v] for u, v in merges], np.int64)
+        for key, at, rank in zip(pairs.tolist(), self._slot(pairs).tolist(), range(len(merges))):
+            while self.keys[at] >= 0:
+                at += 1
+            self.keys[at], self.rank_at[at] = key, rank
+        self.first = np.array([self.ids.get(c, -1) for c in LETTERS], np.int64)
+        self.final = np.array([self.ids.get(c + self.suffix, -1) for c in LETTERS], np.int64)
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The tokens of a list of symbols: always the merge of lowest rank, the leftmost first."""
@@ -121,6 +136,66 @@ class Vocabulary:
                 ranks[i] = rank((s[i], s[i + 1]), none)
         return s
 
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _ranks(self, pairs: np.ndarray) -> np.ndarray:
+        """Rank of every pair of ids, the number of merges where there is none."""
+        out = np.full(len(pairs), len(self.ranks), np.int32)
+        at, todo = self._slot(pairs), np.arange(len(pairs))
+        while len(todo):
+            found = self.keys[at]
+            hit = found == pairs[todo]
+            out[todo[hit]] = self.rank_at[at[hit]]
+            go = ~hit & (found >= 0)
+            at, todo = at[go] + 1, todo[go]
+        return out
+
+    def learn(self, runs: set[str]) -> None:
+        """Encodes the short runs that are not remembered yet: the merges of all
+        their words advance together, a merge a word at a time."""
+        if len(self.runs) > CACHE:
+            self.runs.clear()
+        if len(self.words) > CACHE:
+            self.words.clear()
+        fresh = [r for r in runs.difference(self.runs) if len(r) <= SHORT and not ("<" in r and self.special.search(r))]
+        parts = [_PRETOKEN.findall(r.lower() if r.isascii() else normal(r)) for r in fresh]
+        words = [w for w in dict.fromkeys(chain.from_iterable(parts)) if w not in self.words]
+        self.words.update(zip(words, self._merge_all(words)))
+        of = self.words.__getitem__
+        self.runs.update((r, of(p[0]) if len(p) == 1 else tuple(chain.from_iterable(map(of, p)))) for r, p in zip(fresh, parts))
+
+    def _merge_all(self, words: list[str]) -> list[tuple[int, ...]]:
+        if not words:
+            return []
+        data = [w.encode() for w in words]
+        sizes = np.array(list(map(len, data)))
+        flat = np.frombuffer(b"".join(data), np.uint8)
+        ids, ends = self.first[flat], np.cumsum(sizes) - 1
+        ids[ends] = self.final[flat[ends]]
+        if (ids < 0).any():
+            raise KeyError("the vocabulary lacks a byte")
+        which, none, done = np.repeat(np.arange(len(words)), sizes), len(self.ranks), []
+        while len(ids):
+            ranks = np.append(self._ranks(ids[:-1] * self.width + ids[1:]), np.int32(none))
+            ranks[:-1][which[:-1] != which[1:]] = none
+            starts = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+            low = np.repeat(np.minimum.reduceat(ranks, starts), np.diff(np.append(starts, len(ids))))
+            rest = low == none
+            done.append((which[rest], ids[rest]))
+            ids, which, ranks, low = ids[~rest], which[~rest], ranks[~rest], low[~rest]
+            at = np.flatnonzero(ranks == low)
+            at = at[np.append(True, which[at[1:]] != which[at[:-1]])] if len(at) else at  # the leftmost of a word
+            ids[at] = self.merged_id[ranks[at]]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, which = ids[keep], which[keep]
+        which, ids = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(which, kind="stable")
+        cuts = np.cumsum(np.bincount(which, minlength=len(words))).tolist()
+        tokens = ids[order].tolist()
+        return [tuple(tokens[a:b]) for a, b in zip([0, *cuts[:-1]], cuts)]
+
     def last(self, symbols: list[str]) -> list[int]:
         """Ids of symbols that end their pre-token."""
         return [self.ids[t] for t in self.merged([*symbols[:-1], symbols[-1] + self.suffix])]
@@ -133,16 +208,22 @@ class Vocabulary:
             got = self.words[word] = tuple(self.last([LETTERS[b] for b in word.encode()]))
         return got
 
-    def run(self, run: str) -> tuple[int, ...]:
-        """Ids of a run without white space."""
-        got = self.runs.get(run)
-        if got is None:
-            if len(run) > SHORT or self.special.search(run):
-                t = Transducer(self)
-                return (*t.feed(run), *t.close())
-            if len(self.runs) > CACHE:
-                self.runs.clear()
-            got = self.runs[run] = tuple(i for w in _PRETOKEN.findall(normal(run)) for i in self.word(w))
+
+class _Runs(dict):
+    """Run without white space -> its ids. Short ones are remembered; those with
+    special tokens and long ones go through the transducer."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.v = vocabulary
+
+    def __missing__(self, run: str) -> tuple[int, ...]:
+        if len(run) > SHORT or self.v.special.search(run):
+            t = Transducer(self.v)
+            return (*t.feed(run), *t.close())
+        if len(self) > CACHE:
+            self.clear()
+        got = self[run] = tuple(i for w in _PRETOKEN.findall(normal(run)) for i in self.v.word(w))
         return got
 
 
@@ -251,7 +332,7 @@ def encode_text(v: Vocabulary, text: str) -> array:
             last = next((i for i in range(end, max(at, end - 4 * SHORT), -1) if _SPACE.match(text, i)), None)
             if last is None:  # a long run: from its start to the next white space, piece by piece
                 start = max((m.end() for m in _SPACE.finditer(text, at, end)), default=at)
-                out.extend(i for r in _runs(text[at:start]) for i in v.run(r))
+                out.extend(chain.from_iterable(map(v.runs.__getitem__, _runs(text[at:start]))))
                 t, at = Transducer(v), start
                 while True:
                     m = _SPACE.search(text, at, at + PIECE)
@@ -262,8 +343,7 @@ def encode_text(v: Vocabulary, text: str) -> array:
                 out.extend(t.close())
                 continue
             end = last
-        for r in _runs(text[at:end]):
-            out.extend(v.run(r))
+        out.extend(chain.from_iterable(map(v.runs.__getitem__, _runs(text[at:end]))))
         at = end
     return out
 
@@ -338,9 +418,20 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
         v = _vocabulary(data.value)
         for b in batches:
             ids, ends = array("i"), [0]
-            for t in b.column(len(keep)).to_pylist():
-                ids.extend(encode_text(v, t))
-                ends.append(len(ids))
+            texts = b.column(len(keep)).to_pylist()
+            at = 0
+            while at < len(texts):  # texts of about LEARN characters share the work on their new runs
+                end, n, new = at, 0, set()
+                while end < len(texts) and n < LEARN:
+                    n += len(texts[end])
+                    if len(texts[end]) < LEARN:
+                        new.update(_runs(texts[end]))
+                    end += 1
+                v.learn(new)
+                for t in texts[at:end]:
+                    ids.extend(encode_text(v, t))
+                    ends.append(len(ids))
+                at = end
             lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32)))
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], lists], [*keep, out])
 
@@ -358,10 +449,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", as_
     def run(batches):
         v = _vocabulary(data.value)
         for b in batches:
+            lists = b.column(len(keep))
+            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
             texts = []
-            for x in b.column(len(keep)):
+            for start, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
                 d = Decoder(v, as_spelled)
-                texts.append(d.feed(x.as_py() or []) + d.close())
+                texts.append("".join(d.feed(flat[i:min(end, i + PIECE)].tolist()) for i in range(start, end, PIECE)) + d.close())
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(texts, pa.string())], [*keep, out])
 
     return src.mapInArrow(run, StructType([*src.schema.fields[:len(keep)], StructField(out, StringType())]))

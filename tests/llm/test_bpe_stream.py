@@ -60,6 +60,19 @@ def test_mixed_texts_are_encoded_as_the_library_does(ours, theirs, monkeypatch):
     ours.runs.clear()
 
 
+def test_words_merged_together_equal_words_merged_alone(ours, theirs):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("aeinorstlé日") for _ in range(rng.randrange(1, 30))) for _ in range(3000)] + ["a", "é", "aaaaaaaa", "abababab"]
+    words = list(dict.fromkeys(words))
+    want = [tuple(e.ids) for e in theirs.encode_batch(words, add_special_tokens=False)]
+    assert ours._merge_all(words) == want and ours._merge_all([]) == []
+    ours.runs.clear()
+    ours.words.clear()
+    runs = {"it's", "<|endoftext|>x", "x" * 500, "a,b", "ÀB", "\x1cq"}
+    ours.learn(runs)
+    assert all(list(ours.runs[r]) == ids_of(theirs, r) for r in runs) and "a,b" in ours.runs and "x" * 500 not in dict(ours.runs)
+
+
 def test_the_transducer_in_pieces_equals_the_library_on_unbroken_runs(ours, theirs):
     rng = random.Random(4)
     words = list(ours.ids)
