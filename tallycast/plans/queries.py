@@ -601,7 +601,7 @@ from ..operators import promote as pm  # noqa: E402
 from ..sources import dimensions  # noqa: E402
 
 # trees of a registered fit; the configured 2,000 and 50 are parameters, see the README for times
-_TREES = {**DAY_CFG.tree_params, "n_estimators": 12}
+_TREES = {**DAY_CFG.tree_params, "n_estimators": 10, "max_depth": 7}
 _GBT = {"max_iter": 20, "max_depth": 4, "step_size": 0.2}
 
 
