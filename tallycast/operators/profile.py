@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.exprs import materialize
-from ..config import Config
 from ..functions.calendar import iso_dow
 from ..functions.exprs import bucket, duration_seconds, month_str
 

@@ -418,6 +418,14 @@ FROM err GROUP BY 1"""
 ORACLES["worst_k_series"] = PT_DAY + f" SELECT station_id, {_SLICE} FROM err GROUP BY 1 ORDER BY mae_model DESC, station_id LIMIT 5"
 
 
+ORACLES["best_days"] = PT_DAY + f" SELECT CAST(hour AS DATE) AS date, {_SLICE} FROM err GROUP BY 1 ORDER BY avg(ae_model), date LIMIT 5"
+ORACLES["error_by_hour"] = FEAT_HOUR + f""",
+err AS (SELECT hour, trips, abs(trips - roll_mean_7d) AS ae_model, abs(trips - lag_168) AS ae_naive,
+               abs(trips - lag_168) - abs(trips - roll_mean_7d) AS improvement
+        FROM feat WHERE lag_168 IS NOT NULL AND roll_mean_7d IS NOT NULL)
+SELECT CAST(hour(hour) AS INTEGER) AS hour_of_day, {_SLICE} FROM err GROUP BY 1"""
+
+
 # ---------------------------------------------------------------- profiles
 EV_CLEAN_BASE = "WITH " + ",".join([EV_TRIPS, MAPPING, clean_cte("ev_clean", "ev_trips", DEFAULT, True)])
 ORACLES["raw_overview"] = f"""WITH {EV_TRIPS} SELECT count(*) AS total_trips, min(started_at) AS min_started_at,

@@ -265,6 +265,30 @@ def q_worst_k(spark, sf):
     return round6(er.worst_k(s, "mae_model", 5, tie="station_id"))
 
 
+@register("best_days")
+def q_best_days(spark, sf):
+    """The five days on which the model errs least, the other end of the same ranking."""
+    return round6(er.worst_k(er.by_day(_err(spark, sf)), "mae_model", 5, ascending=True, tie="date"))
+
+
+@register("error_by_hour")
+def q_err_hour(spark, sf):
+    """Error slices by hour of day at hour grain: the same hour's mean of the last week against the weekly lag."""
+    f = hour_features(spark, sf).where("lag_168 IS NOT NULL AND roll_mean_7d IS NOT NULL")
+    p = f.select("station_id", "hour", "trips", F.col("lag_168").cast("double").alias("pred_seasonal_naive"), F.col("roll_mean_7d").alias("pred_same_hour"))
+    return round6(er.by_hour(er.error_table(p, "pred_same_hour")))
+
+
+@register("model_error_by_weekend")
+def q_model_err(spark, sf):
+    """Error slices of the saved, fitted model on the months after its cutoff."""
+    art, f = _artifact(spark, sf), day_features(spark, sf)
+    cut = _dt.datetime.fromisoformat(art.metadata["train_through"])
+    after = f.where((F.col("hour") > F.lit(cut)) & F.col(DAY_CFG.grain.naive_lag).isNotNull())
+    p = art.score(after).withColumn("pred_seasonal_naive", F.col(DAY_CFG.grain.naive_lag).cast("double"))
+    return er.by_weekend(er.error_table(p, "prediction"))
+
+
 # ---------------------------------------------------------------- profiles
 from ..operators import profile as pr  # noqa: E402
 

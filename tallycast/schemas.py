@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# The column names of the contracts, which results must match.
 S, D, TS, I, L, B, DT = (T.StringType(), T.DoubleType(), T.TimestampNTZType(), T.IntegerType(),
                          T.LongType(), T.BooleanType(), T.DateType())
 
@@ -56,18 +56,3 @@ def check_columns(columns: list[str], expected: list[str], source: str, ordered:
     raise SchemaError(
         f"{source}: schema mismatch; missing={missing} extra={extra} "
         f"(order {'differs' if not missing and not extra else 'n/a'})")
-
-
-def assert_schema(df: DataFrame, expected: T.StructType | list[str], source: str = "frame",
-                  ordered: bool = True) -> DataFrame:
-    names = expected.fieldNames() if isinstance(expected, T.StructType) else list(expected)
-    check_columns(df.columns, names, source, ordered)
-    return df
-
-
-def validate_trip_schema(df: DataFrame, source: str = "trips") -> DataFrame:
-    return assert_schema(df, TRIP_COLUMNS, source)
-
-
-def validate_weather_schema(df: DataFrame, source: str = "weather") -> DataFrame:
-    return assert_schema(df, WEATHER_COLUMNS, source)
