@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import bucket
+from ..functions.exprs import bounded_broadcast, bucket
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,12 +82,16 @@ def events_covariates(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.coalesce(F.col("v_view"), _d(0.0)) / _d(5.0)).alias("relative_humidity_2m"))
 
 
-def orders_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_trips(spark: SparkSession, sf_dir: str, stations: DataFrame | None = None) -> DataFrame:
     """Day-grain trips: one line item = one trip started at the order date and
-    ended at the ship date; supplier = station; returned items = members."""
+    ended at the ship date; supplier = station; returned items = members. With
+    ``stations``, a list of bounded size, the trips of those: the others' line
+    items are left out before the join with the orders."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
                                                  "l_returnflag", "l_quantity", "l_discount")
+    if stations is not None:
+        li = li.join(bounded_broadcast(stations.select(F.col("station_id").alias("_s"))), F.col("l_suppkey").cast("string") == F.col("_s"), "left_semi")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     sk = F.col("l_suppkey")
     lat = _d(41.7) + (sk % 97) * _d(1e-3) + F.col("l_discount") * _d(1e-3)

@@ -39,8 +39,10 @@ def hour_clean(spark: SparkSession, sf: str, guard: bool = True) -> DataFrame:
                                 adapters.supplier_mapping(spark, sf), guard=guard)
 
 
-def day_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.clean_trips(adapters.orders_trips(spark, sf), DAY_CFG, None)
+def day_clean(spark: SparkSession, sf: str, scope: DataFrame | None = None) -> DataFrame:
+    """With ``scope`` the rows of its stations only. Raw ids are the canonical
+    ones here, so line items of other stations need not meet their orders."""
+    return cleaning.clean_trips(adapters.orders_trips(spark, sf, scope), DAY_CFG, None)
 
 
 def _series(spark, sf, tag: str, clean_fn, cfg: Config, trim: bool) -> DataFrame:
@@ -93,8 +95,19 @@ def hour_master(spark, sf):
     return product(spark, sf, "hour_master", lambda: grid.station_master(hour_clean(spark, sf), HOUR_CFG))
 
 
+def day_scope(spark, sf):
+    _series(spark, sf, "day", day_clean, DAY_CFG, trim=True)
+    return product(spark, sf, "day_scope", None)
+
+
 def day_master(spark, sf):
-    return product(spark, sf, "day_master", lambda: grid.station_master(day_clean(spark, sf), DAY_CFG))
+    """Master of the stations in scope, the only ones that the day grid's rows
+    meet. Their clean rows are written once: the master reads them three times,
+    each of which would join all orders and line items again."""
+    scope = day_scope(spark, sf)
+    rows = product(spark, sf, "day_clean_scope", lambda: day_clean(spark, sf, scope).select(
+        "station_id", "started_at", "start_station_name", "start_lat", "start_lng"))
+    return product(spark, sf, "day_master", lambda: grid.station_master(rows, DAY_CFG))
 
 
 def hour_covariates(spark, sf):
