@@ -448,12 +448,13 @@ def _pass(state: DataFrame, fits: list[_Fit], pending: list[list[Tree]], layout:
              _micros(f.spec.valid_before) if f.spec.valid_before else None) for i, f in enumerate(fits) if not f.grown]
 
     def run(batches):
-        tables = {i: np.zeros((len(nodes) * cells, 3), np.int64) for i, _, _, nodes, _, _ in work}
+        tables = {i: np.zeros((3, len(nodes) * cells), np.int64) for i, _, _, nodes, _, _ in work}
         errors = {i: [0, 0] for i, *_ in work}
         for b in batches:
             for n, y, t, bins, margins in zip(*(c.to_pylist() for c in b.columns)):
                 y, t = np.frombuffer(y), np.frombuffer(t, np.int64)
                 bins, margins = np.frombuffer(bins, np.uint16).reshape(n_features, n), np.frombuffer(margins).reshape(-1, n)
+                cell_of = offsets[:, None] + bins  # the same for all fits
                 for i, trees, growing, nodes, fit_before, valid_before in work:
                     margin = margins[i]
                     for p in trees:
@@ -467,15 +468,16 @@ def _pass(state: DataFrame, fits: list[_Fit], pending: list[list[Tree]], layout:
                     index = np.full(len(growing[0]), -1)
                     index[nodes] = np.arange(len(nodes))
                     at = np.flatnonzero(t < fit_before)
-                    slot = index[leaf_of(growing, bins[:, at])]
+                    slot = index[leaf_of(growing, bins if len(at) == n else bins[:, at])]
                     at, slot = at[slot >= 0], slot[slot >= 0]
                     mu = np.exp(margin[at])
-                    cell = (slot * cells)[None] + offsets[:, None] + bins[:, at]
-                    whole = [np.rint((mu - y[at]) * unit), np.rint(mu * math.exp(HESSIAN_SHIFT) * unit), np.ones(len(at))]
-                    for k, w in enumerate(whole):
-                        tables[i][:, k] += np.bincount(cell.ravel(), np.broadcast_to(w, cell.shape).ravel(), len(tables[i])).astype(np.int64)
+                    cell = ((slot * cells)[None] + (cell_of if len(at) == n else cell_of[:, at])).ravel()
+                    size = tables[i].shape[1]
+                    for k, w in enumerate([np.rint((mu - y[at]) * unit), np.rint(mu * math.exp(HESSIAN_SHIFT) * unit)]):
+                        tables[i][k] += np.bincount(cell, np.tile(w, n_features), size).astype(np.int64)
+                    tables[i][2] += np.bincount(cell, minlength=size)
         for i in tables:
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([tables[i].tobytes()], pa.binary()),
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([tables[i].T.tobytes()], pa.binary()),
                                               pa.array([errors[i][0]], pa.int64()), pa.array([errors[i][1]], pa.int64())], ["fit", "sums", "error", "held"])
 
     def add(batches):
