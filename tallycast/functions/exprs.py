@@ -72,6 +72,15 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a ``table`` of ``materialize`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.rsplit("/", 1)[-1].startswith("tallycast-table-"):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
     """Adds, per key and in ``order``, ``<value>_upto`` (running sum including the
     row), ``<value>_total`` and ``next_<order>`` (null on the last row).

@@ -7,11 +7,17 @@ is also where unseen categories go, and every split sends bin 0 one way.
 
 The binned rows are stored as columnar blocks. A pass over the blocks adds, in
 every task, the gradients of all open nodes per (node, feature, bin); Spark sums
-the tasks' tables, and the driver, which holds nothing that grows with the rows,
-picks the splits. Fits that differ in parameters, features or training months
-share their passes: a sweep over candidates and windows takes as many passes as
-one of its fits. Sums are of whole numbers (gradients in fixed point), so results
-do not depend on the order in which tasks finish.
+the tasks' tables, and the driver picks the splits. Fits that differ in
+parameters, features or training months share their passes: a sweep over
+candidates and windows takes as many passes as one of its fits. Sums are of whole
+numbers (gradients in fixed point), so results do not depend on the order in
+which tasks finish.
+
+A pass costs a job however few rows there are, and a fit of 2,000 trees takes
+14,000. Up to ``LOCAL_CELLS`` binned values the blocks are therefore sent to the
+executors, and every fit is grown in a task of its own by the same sums and
+splits: the trees are the same ones. Beyond that bound nothing that grows with
+the rows reaches the driver or a single task.
 
 Trees grow level by level; where more leaves could be split than ``num_leaves``
 allows, those with the largest gain are. Of two sibling nodes only the smaller
@@ -31,13 +37,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions.exprs import materialize, prefix_sums
+from ..functions.exprs import discard, materialize, prefix_sums
 
 MAX_BINS = 64            # of a numeric feature, besides the one of missing values
 MAX_LEVELS = 60_000      # of a categorical feature; bins are 16-bit numbers
 BLOCK_ROWS = 4096
 REWRITE_TREES = 4        # trees after which the rows' margins are stored anew
 MAX_FITS = 64            # fits that share a pass
+LOCAL_CELLS = 1 << 25    # binned values (rows x features, 64 MB) up to which a task grows a whole fit
+BUNDLE = 1 << 12         # combinations of bins up to which features are counted together
+SPLIT_CELLS = 1 << 18    # bins whose splits are searched at once
 HESSIAN_SHIFT = 0.7      # fixed value: the published step safeguard of Poisson boosting
 MIN_HESSIAN = 1e-3
 CATEGORY_SMOOTH, CATEGORY_L2 = 10.0, 10.0
@@ -231,9 +240,9 @@ class Split:
     rows_left: int
 
 
-def best_split(table: np.ndarray, layout: Layout, usable: list[int], params: dict) -> Split | None:
-    """The split of largest gain of a node whose (bin, [gradient, hessian, rows])
-    table is given; None where none is allowed or gains anything. Ties go to the
+def best_splits(tables: np.ndarray, layout: Layout, usable: list[int], params: dict) -> list[Split | None]:
+    """Per node the split of largest gain, given (node, bin, [gradient, hessian,
+    rows]) tables; None where none is allowed or gains anything. Ties go to the
     earlier feature, then missing right, then the fewest bins left.
 
     A numeric feature is cut between two bins. The levels of a categorical one
@@ -241,34 +250,40 @@ def best_split(table: np.ndarray, layout: Layout, usable: list[int], params: dic
     on both sides; where there are none, they would go with the larger side.
     """
     off, l2, least = layout.offsets, params["l2"], params["min_child_samples"]
-    best: Split | None = None
+    nodes = np.arange(len(tables))
+    most = np.full(len(tables), 1e-9)
+    best: list[Split | None] = [None] * len(tables)
     for f in usable:
-        t = table[off[f]:off[f + 1]]
-        g, h, n = t.sum(0)
-        missing, cells = t[0], t[1:]
+        t = tables[:, off[f]:off[f + 1]]
+        g, h, n = t.sum(1).T[:, :, None]
+        missing, cells = t[:, :1], t[:, 1:]
+        some = missing[:, :, 2] > 0
         cat = layout.categorical[f]
         reg = l2 + (CATEGORY_L2 if cat else 0.0)
-        order = np.arange(len(cells))
+        order, ends = None, cells.shape[1]
         if cat:
-            order = order[cells[:, 2] > 0]
-            order = order[np.argsort(cells[order, 0] / (cells[order, 1] + CATEGORY_SMOOTH), kind="stable")]
-        if len(order) < 1:
+            filled = cells[:, :, 2] > 0
+            order = np.argsort(np.where(filled, cells[:, :, 0] / (cells[:, :, 1] + CATEGORY_SMOOTH), np.inf), axis=1, kind="stable")
+            cells, ends = np.take_along_axis(cells, order[:, :, None], 1), filled.sum(1)[:, None]
+        if not cells.shape[1]:
             continue
-        low = np.cumsum(cells[order], axis=0)
-        if missing[2] == 0:
-            low = low[:-1]
-        for with_missing in ((False, True) if missing[2] else (False,)):
+        low = np.cumsum(cells, axis=1)
+        allowed = np.arange(cells.shape[1]) < ends - ~some
+        for with_missing in ((False, True) if some.any() else (False,)):
             side = low + missing if with_missing else low
-            gl, hl, nl = side[:, 0], side[:, 1], side[:, 2]
-            ok = (nl >= least) & (n - nl >= least) & (hl >= MIN_HESSIAN) & (h - hl >= MIN_HESSIAN)
-            if not ok.any():
-                continue
-            gain = np.full(len(side), -np.inf)
-            gain[ok] = gl[ok] ** 2 / (hl[ok] + reg) + (g - gl[ok]) ** 2 / (h - hl[ok] + reg) - g ** 2 / (h + reg)
-            k = int(np.argmax(gain))
-            if gain[k] > 1e-9 and (best is None or gain[k] > best.gain):
-                goes = with_missing if missing[2] else nl[k] > n - nl[k]
-                best = Split(float(gain[k]), f, ([0] if goes else []) + sorted((order[:k + 1] + 1).tolist()), int(nl[k]))
+            gl, hl, nl = side[:, :, 0], side[:, :, 1], side[:, :, 2]
+            ok = allowed & (nl >= least) & (n - nl >= least) & (hl >= MIN_HESSIAN) & (h - hl >= MIN_HESSIAN)
+            if with_missing:
+                ok &= some
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = np.where(ok, gl ** 2 / (hl + reg) + (g - gl) ** 2 / (h - hl + reg) - g ** 2 / (h + reg), -np.inf)
+            cut = gain.argmax(1)
+            for i in np.flatnonzero(gain[nodes, cut] > most):
+                k = int(cut[i])
+                most[i] = gain[i, k]
+                goes = with_missing if some[i, 0] else nl[i, k] > n[i, 0] - nl[i, k]
+                left = range(1, k + 2) if order is None else sorted((order[i, :k + 1] + 1).tolist())
+                best[i] = Split(float(gain[i, k]), f, ([0] if goes else []) + list(left), int(nl[i, k]))
     return best
 
 
@@ -318,6 +333,7 @@ class _Fit:
         self.usable = [i for i, f in enumerate(features) if f in set(spec.features)]
         self.trees: list[Tree] = []
         self.maes: list[float] = []
+        self.mae = math.nan
         self.done = False
         self.begin()
 
@@ -326,15 +342,30 @@ class _Fit:
         self.sum_nodes, self.rest = [0], {}
         self.leaves, self.depth, self.grown = 1, 0, False
 
+    def end_tree(self) -> None:
+        self.trees.append(self.tree)
+        self.done = self.tree.left[0] < 0 or len(self.trees) >= self.p["n_estimators"] and self.spec.valid_before is None
+        self.begin()
+
+    def kept(self) -> tuple[list[Tree], float]:
+        """The trees up to the least validation error, and that error; all trees without validation rows."""
+        if not self.maes:
+            return self.trees, self.mae
+        k = min(range(len(self.maes)), key=self.maes.__getitem__)
+        return self.trees[:k], self.maes[k]
+
     def take(self, found: np.ndarray) -> None:
         """Splits nodes, given the tables of ``sum_nodes``; the tree is grown when nothing may be split any more."""
         level = dict(zip(self.sum_nodes, found))
         for node, (parent, sibling) in self.rest.items():
             level[sibling] = self.tables[parent] - level[node]
         if self.depth == 0:
-            self.sums[0] = found[0][:self.layout.sizes[0]].sum(0)
+            f = self.usable[0]
+            self.sums[0] = found[0][self.layout.offsets[f]:self.layout.offsets[f + 1]].sum(0)
         self.tables = level
-        splits = [(s.gain, node, s) for node, t in level.items() if (s := best_split(t, self.layout, self.usable, self.p))]
+        nodes, step = list(level), max(1, SPLIT_CELLS // int(self.layout.offsets[-1]))
+        splits = [(s.gain, node, s) for i in range(0, len(nodes), step)
+                  for node, s in zip(nodes[i:], best_splits(np.stack([level[x] for x in nodes[i:i + step]]), self.layout, self.usable, self.p)) if s]
         splits = sorted(splits, key=lambda x: (-x[0], x[1]))[:self.p["num_leaves"] - self.leaves]
         self.sum_nodes, self.rest = [], {}
         for _, node, s in sorted(splits, key=lambda x: x[1]):
@@ -375,23 +406,38 @@ def _fit_group(rows: DataFrame, specs: list[FitSpec], time: str, label: str, max
     layout = Layout(tuple(bins.sizes()), tuple(f in bins.levels for f in features))
 
     each = [F.struct(F.sum(F.when(F.col(time) < F.lit(s.fit_before), F.col(label).cast("decimal(20,0)"))).alias("y"),
-                     F.count_if(F.col(time) < F.lit(s.fit_before)).alias("n")).alias(f"s{i}") for i, s in enumerate(specs)]
-    start = used.agg(*each, F.max(F.col(label).cast("double")).alias("largest")).first()
+                     F.count_if(F.col(time) < F.lit(s.fit_before)).alias("n"),
+                     F.count_if((F.col(time) >= F.lit(s.fit_before)) & (F.col(time) < F.lit(s.valid_before or s.fit_before))).alias("held")).alias(f"s{i}") for i, s in enumerate(specs)]
+    start = used.agg(*each, F.max(F.col(label).cast("double")).alias("largest"), F.count(F.lit(1)).alias("rows")).first()
     if any(not start[f"s{i}"]["n"] for i in range(len(specs))):
         raise ValueError("a fit has no training rows")
+    if any(s.valid_before and not start[f"s{i}"]["held"] for i, s in enumerate(specs)):
+        raise ValueError("a fit has no validation rows")
     bases = [math.log(max(float(start[f"s{i}"]["y"]) / start[f"s{i}"]["n"], 1e-6)) for i in range(len(specs))]
     n_rows = max(start[f"s{i}"]["n"] for i in range(len(specs)))
     # gradients in fixed point: sums over all rows stay below 2^62
     bits = max(4, min(26, 60 - int(n_rows).bit_length() - int(max(start["largest"], 1.0) * 8).bit_length()))
     fits = [_Fit(s, b, layout, features) for s, b in zip(specs, bases)]
-    state = _blocks(used, bins, time, label, bases)
+    if start["rows"] * len(features) <= LOCAL_CELLS:
+        _grow_local(_blocks(used, bins, time, label, []), fits, layout, len(features), bits)
+    else:
+        _grow_in_passes(_blocks(used, bins, time, label, bases), fits, layout, len(features), bits)
+    out = []
+    for f in fits:
+        trees, mae = f.kept()
+        out.append(PoissonModel(_own_bins(bins, f.spec.features), f.base, [_renumbered(t, features, f.spec.features) for t in trees], mae))
+    return out
+
+
+def _grow_in_passes(state: DataFrame, fits: list[_Fit], layout: Layout, n_features: int, bits: int) -> None:
+    """Grows all fits together, a pass over the blocks for every level."""
     pending: list[list[Tree]] = [[] for _ in fits]  # trees that the stored margins do not hold yet
     while not all(f.done for f in fits):
         for f in fits:
             f.grown = f.done
         first = True
         while not all(f.grown for f in fits):
-            got = _pass(state, fits, pending, layout, len(features), bits, first)
+            got = _pass(state, fits, pending, layout, n_features, bits, first)
             if first:
                 _stop_early(fits, [g[1] for g in got])
             for f, (tables, _) in zip(fits, got):
@@ -401,21 +447,143 @@ def _fit_group(rows: DataFrame, specs: list[FitSpec], time: str, label: str, max
             first = False
         for f, p in zip(fits, pending):
             if not f.done:
-                f.trees.append(f.tree)
                 p.append(f.tree)
-                f.done = f.tree.left[0] < 0 or len(f.trees) >= f.p["n_estimators"] and f.spec.valid_before is None
-                f.begin()
+                f.end_tree()
         if not all(f.done for f in fits) and max(map(len, pending)) >= REWRITE_TREES:
-            state = _with_margins(state, pending, layout, len(features))
+            before, state = state, _with_margins(state, pending, layout, n_features)
+            discard(before)
             pending = [[] for _ in fits]
-    out = []
-    for f in fits:
-        trees, mae = f.trees, math.nan
-        if f.maes:
-            k = min(range(len(f.maes)), key=f.maes.__getitem__)
-            trees, mae = f.trees[:k], f.maes[k]
-        out.append(PoissonModel(_own_bins(bins, f.spec.features), f.base, [_renumbered(t, features, f.spec.features) for t in trees], mae))
-    return out
+    discard(state)
+
+
+class _Rows:
+    """The training rows of one fit, and their sums per bin.
+
+    Features whose bins take at most ``BUNDLE`` combinations in these rows are
+    counted as one: a large node is summed per combination, and every feature's
+    bins are sums of those. A node of few rows is summed bin by bin.
+    """
+
+    def __init__(self, bins: np.ndarray, usable: list[int], layout: Layout):
+        self.size, off = int(layout.offsets[-1]), layout.offsets
+        self.cells = np.empty((bins.shape[1], len(usable)), np.uint16 if self.size <= 1 << 16 else np.int32)
+        bundles: list[tuple[np.ndarray, dict[int, np.ndarray]]] = []  # code of every row, feature -> bin of every code
+        for k, f in enumerate(usable):
+            self.cells[:, k] = bins[f] + off[f]
+            for i, (code, members) in enumerate(bundles):
+                codes = len(next(iter(members.values())))
+                if codes * layout.sizes[f] > BUNDLE << 10:
+                    continue
+                joint = code * layout.sizes[f] + bins[f]
+                seen = np.bincount(joint, minlength=codes * layout.sizes[f]) > 0
+                if seen.sum() <= BUNDLE:
+                    both = np.flatnonzero(seen)
+                    bundles[i] = ((np.cumsum(seen) - 1)[joint], {g: m[both // layout.sizes[f]] for g, m in members.items()} | {f: both % layout.sizes[f]})
+                    break
+            else:
+                bundles.append((bins[f].astype(np.intp), {f: np.arange(layout.sizes[f])}))
+        self.bundles, self.small = [], 0
+        for code, members in bundles:
+            codes, ways = len(next(iter(members.values()))), []
+            for f, m in members.items():
+                order = np.argsort(m, kind="stable")
+                found, starts = np.unique(m[order], return_index=True)
+                ways.append((order, starts, found + off[f]))
+            self.bundles.append((code.astype(np.min_scalar_type(codes)), codes, ways))
+            self.small += codes * len(members)
+        self.small //= len(usable)
+
+    def sums(self, at: np.ndarray, weights: list[np.ndarray], chunk: int) -> np.ndarray:
+        """(bin, [gradient, hessian, rows]) whole numbers of the rows ``at``;
+        ``chunk`` rows of the weights are added exactly."""
+        out = np.zeros((3, self.size), np.int64)
+        chunk = min(chunk, 8 * BLOCK_ROWS)
+        if len(at) <= self.small:
+            for i in range(0, len(at), chunk):
+                part = at[i:i + chunk]
+                cell = self.cells[part].ravel().astype(np.intp)
+                for k, w in enumerate(weights):
+                    out[k] += np.bincount(cell, np.repeat(w[part], self.cells.shape[1]), self.size).astype(np.int64)
+                out[2] += np.bincount(cell, minlength=self.size)
+            return out.T
+        found = [np.zeros((3, codes), np.int64) for _, codes, _ in self.bundles]
+        for i in range(0, len(at), chunk):
+            part = at[i:i + chunk] if len(at) < len(self.cells) else slice(i, i + chunk)
+            some = [w[part] for w in weights]
+            for (code, codes, _), x in zip(self.bundles, found):
+                c = code[part].astype(np.intp)
+                for k, w in enumerate(some):
+                    x[k] += np.bincount(c, w, codes).astype(np.int64)
+                x[2] += np.bincount(c, minlength=codes)
+        for (_, _, ways), x in zip(self.bundles, found):
+            for order, starts, cells in ways:
+                out[:, cells] = np.add.reduceat(x.take(order, axis=1), starts, axis=1)
+        return out.T
+
+
+def _grow_alone(fit: _Fit, blocks: list[tuple], layout: Layout, n_features: int, bits: int) -> None:
+    """Grows one fit from all of its rows, by the sums and splits of the passes."""
+    unit, before = float(1 << bits), _micros(fit.spec.fit_before)
+    until = _micros(fit.spec.valid_before) if fit.spec.valid_before else before
+    parts: list[list[tuple]] = [[], []]
+    for n, y, t, bins in blocks:
+        t = np.frombuffer(t, np.int64)
+        for part, some in zip(parts, (t < before, (t >= before) & (t < until))):
+            if some.any():
+                part.append((np.frombuffer(y)[some], np.frombuffer(bins, np.uint16).reshape(n_features, n)[:, some]))
+    none = (np.zeros(0), np.zeros((n_features, 0), np.uint16))
+    (y, bins), (held_y, held) = ((np.concatenate([x[0] for x in p or [none]]), np.concatenate([x[1] for x in p or [none]], axis=1)) for p in parts)
+    # no node can be cut by a feature whose training rows share a bin
+    fit.usable = [f for f in fit.usable if bins[f].min() != bins[f].max()] or fit.usable[:1]
+    rows, widest = _Rows(bins, fit.usable, layout), max(layout.sizes)
+    margin, held_margin = np.full(len(y), fit.base), np.full(len(held_y), fit.base)
+    while not fit.done:
+        if fit.spec.valid_before is not None:
+            error = np.rint(np.abs(np.exp(held_margin) - held_y) * unit).sum()
+            _stop_early([fit], [int(error) / unit / len(held_y) if len(held_y) else None])
+            if fit.done:
+                break
+        mu = np.exp(margin)
+        weights = [(mu - y) * unit, mu * math.exp(HESSIAN_SHIFT) * unit]
+        for w in weights:
+            np.rint(w, out=w)
+        chunk = max(1, int(2 ** 51 / (max(mu.max(), y.max()) * 2 * unit + 1)))
+        at = {0: np.arange(len(y))}
+        while not fit.grown:
+            fit.take(np.stack([rows.sums(at[node], weights, chunk) for node in fit.sum_nodes]) / np.array([unit, unit, 1.0]))
+            for node in [x for x in at if fit.tree.left[x] >= 0]:
+                own, goes = at.pop(node), np.zeros(widest, bool)
+                goes[fit.tree.goes_left[node]] = True
+                bin_of = bins[fit.tree.feature[node]]
+                left = goes[(bin_of if len(own) == len(y) else bin_of[own]).astype(np.intp)]
+                at[fit.tree.left[node]], at[fit.tree.right[node]] = own.compress(left), own.compress(~left)
+        for node, own in at.items():
+            margin[own] += fit.tree.value[node]
+        packed = fit.tree.packed(widest)
+        held_margin += packed[4][leaf_of(packed, held)]
+        fit.end_tree()
+
+
+def _grow_local(blocks: DataFrame, fits: list[_Fit], layout: Layout, n_features: int, bits: int) -> None:
+    """Grows every fit in a task of its own, which has all blocks: at most
+    ``LOCAL_CELLS`` bins are sent to the driver and from there to the executors."""
+    spark = blocks.sparkSession
+    shared = spark.sparkContext.broadcast([tuple(r) for r in blocks.select("n", "y", "t", "bins").collect()])
+    # fits of small steps take the most trees: they begin first
+    turn = sorted(range(len(fits)), key=lambda i: (fits[i].p["learning_rate"], -fits[i].p["num_leaves"]))
+
+    def run(batches):
+        for b in batches:
+            for k in b.column(0).to_pylist():
+                _grow_alone(fit := fits[turn[k]], shared.value, layout, n_features, bits)
+                trees, mae = fit.kept()
+                yield pa.RecordBatch.from_arrays([pa.array([turn[k]], pa.int32()), pa.array([json.dumps([vars(t) for t in trees])]), pa.array([mae])], ["fit", "trees", "mae"])
+
+    for r in spark.range(0, len(fits), 1, len(fits)).mapInArrow(run, "fit int, trees string, mae double").collect():
+        fits[r["fit"]].trees, fits[r["fit"]].mae = [Tree(**t) for t in json.loads(r["trees"])], r["mae"]
+        fits[r["fit"]].done = True
+    shared.destroy()
+    discard(blocks)
 
 
 def _own_bins(bins: Bins, features: tuple[str, ...]) -> Bins:

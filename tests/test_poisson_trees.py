@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -168,3 +169,50 @@ def test_edge_cases(spark):
     with pytest.raises(ValueError, match="no validation rows"):
         pt.fit_many(df, [spec(cut=400)])
     assert m.score(df.limit(0)).count() == 0
+
+
+def test_a_task_grows_what_the_passes_grow(spark, monkeypatch):
+    df = spark.createDataFrame(data(900, 11), COLS)
+    specs = [spec(cut=500, num_leaves=20, min_child_samples=3), spec("b", ("station_id", "x"), cut=550, learning_rate=0.3, n_estimators=8, valid=False),
+             spec("c", n_estimators=40, learning_rate=0.8, early_stopping=2)]
+    monkeypatch.setattr(pt, "_pass", None)  # no pass over the blocks is needed
+    alone = [m.to_json() for m in pt.fit_many(df, specs)]
+    monkeypatch.undo()
+    monkeypatch.setattr(pt, "LOCAL_CELLS", 0)
+    assert [m.to_json() for m in pt.fit_many(df, specs)] == alone
+
+
+def test_sums_of_bundles_are_the_sums_of_the_rows(monkeypatch):
+    rng = np.random.default_rng(4)
+    sizes = (3, 8, 2, 65, 9)
+    bins = np.stack([rng.integers(0, s, 5000).astype(np.uint16) for s in sizes])
+    bins[4] = bins[1] // 2  # follows from another feature
+    layout = pt.Layout(sizes, (False,) * 5)
+    weights = [np.rint(rng.normal(size=5000) * 2 ** 20), np.rint(rng.random(5000) * 2 ** 45)]
+    for bundle in (1, 30, 4096):
+        monkeypatch.setattr(pt, "BUNDLE", bundle)
+        rows = pt._Rows(bins, [0, 1, 3, 4], layout)
+        assert len(rows.bundles) == {1: 4, 30: 2, 4096: 1}[bundle]
+        for at in (np.arange(5000), np.sort(rng.permutation(5000)[:4800]), np.arange(0, 5000, 100)):
+            want = np.zeros((sum(sizes), 3), np.int64)
+            for f in (0, 1, 3, 4):
+                cell = layout.offsets[f] + bins[f, at].astype(int)
+                for k, w in enumerate([*weights, np.ones(5000)]):
+                    np.add.at(want[:, k], cell, w[at].astype(np.int64))
+            for few in (0, 10_000):
+                rows.small = few
+                assert np.array_equal(rows.sums(at, weights, 70), want)
+
+
+def test_passes_leave_no_superseded_blocks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(pt, "LOCAL_CELLS", 0)
+    stored, gone, real = [], [], pt.materialize
+
+    def kept(df, mode):
+        stored.append(real(df, mode))
+        return stored[-1]
+    monkeypatch.setattr(pt, "materialize", kept)
+    discard = pt.discard
+    monkeypatch.setattr(pt, "discard", lambda df: (gone.append(df.inputFiles()[0].removeprefix("file:")), discard(df)))
+    model = pt.fit_many(spark.createDataFrame(data(300, 2), COLS), [spec(cut=250, valid=False, n_estimators=9, num_leaves=3)])[0]
+    assert len(model.trees) == 9 and len(stored) == len(gone) == 3 and not any(os.path.exists(f) for f in gone)
