@@ -29,6 +29,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import zlib
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -153,6 +155,29 @@ class Tree:
         return (np.array(self.feature), np.array(self.left), np.array(self.right), table, np.array(self.value))
 
 
+class Trees(Sequence):
+    """Trees as compressed JSON, read whenever they are used: as objects those of a sweep would take hundreds of MB."""
+
+    def __init__(self, packed: bytes, n: int):
+        self.packed, self.n = packed, n
+
+    @staticmethod
+    def of(trees: list[Tree]) -> Trees:
+        return Trees(zlib.compress(json.dumps([vars(t) for t in trees]).encode()), len(trees))
+
+    def text(self) -> str:
+        return zlib.decompress(self.packed).decode()
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __iter__(self):
+        return iter([Tree(**t) for t in json.loads(self.text())])
+
+    def __getitem__(self, i):
+        return list(self)[i]
+
+
 def leaf_of(packed: tuple, bins: np.ndarray) -> np.ndarray:
     """The leaf of every row of (features, rows) bins; all rows step down together."""
     feature, left, right, table, _ = packed
@@ -174,12 +199,13 @@ class PoissonModel:
 
     bins: Bins
     base: float
-    trees: list[Tree]
+    trees: Sequence[Tree]
     val_mae: float = math.nan
 
     def to_json(self) -> str:
-        return json.dumps({"features": self.bins.features, "edges": self.bins.edges, "levels": self.bins.levels, "base": self.base,
-                           "val_mae": self.val_mae, "trees": [vars(t) for t in self.trees]})
+        head = json.dumps({"features": self.bins.features, "edges": self.bins.edges, "levels": self.bins.levels, "base": self.base, "val_mae": self.val_mae})
+        trees = self.trees.text() if isinstance(self.trees, Trees) else json.dumps([vars(t) for t in self.trees])
+        return f'{head[:-1]}, "trees": {trees}}}'
 
     @staticmethod
     def from_json(text: str) -> PoissonModel:
@@ -199,10 +225,10 @@ class PoissonModel:
         named like ``out`` is replaced."""
         keep = [c for c in frame.columns if c != out]
         src = frame.select(*keep, *_raw(frame, self.bins.features))
-        model = frame.sparkSession.sparkContext.broadcast(self.to_json())  # bounded by trees, leaves and levels
+        model = frame.sparkSession.sparkContext.broadcast(zlib.compress(self.to_json().encode()))  # bounded by trees, leaves and levels
 
         def run(batches):
-            m = PoissonModel.from_json(model.value)
+            m = PoissonModel.from_json(zlib.decompress(model.value).decode())
             for b in batches:
                 mu = np.exp(m.margins(m.bins.of(b.columns[len(keep):])))
                 yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(mu)], [*keep, out])
@@ -250,40 +276,51 @@ def best_splits(tables: np.ndarray, layout: Layout, usable: list[int], params: d
     on both sides; where there are none, they would go with the larger side.
     """
     off, l2, least = layout.offsets, params["l2"], params["min_child_samples"]
-    nodes = np.arange(len(tables))
-    most = np.full(len(tables), 1e-9)
-    best: list[Split | None] = [None] * len(tables)
-    for f in usable:
-        t = tables[:, off[f]:off[f + 1]]
-        g, h, n = t.sum(1).T[:, :, None]
-        missing, cells = t[:, :1], t[:, 1:]
-        some = missing[:, :, 2] > 0
-        cat = layout.categorical[f]
+    shape = (len(tables), len(usable))
+    gains, cuts, sides, orders = np.full(shape, -np.inf), np.zeros(shape, int), np.zeros(shape, bool), {}
+    flat = np.zeros((3, len(tables), int(off[-1]) + 1))  # the last bin stays empty
+    flat[:, :, :-1] = tables.transpose(2, 0, 1)
+    cats = [j for j, f in enumerate(usable) if layout.categorical[f]]
+    for group in ([j for j in range(len(usable)) if j not in cats], *([j] for j in cats)):  # numeric ones together
+        first, sizes = (np.array([x[usable[j]] for j in group], int) for x in (off, layout.sizes))
+        at = np.arange(max(sizes - 1, default=0))
+        if not len(at):
+            continue
+        cat = group[0] in cats
         reg = l2 + (CATEGORY_L2 if cat else 0.0)
-        order, ends = None, cells.shape[1]
+        ends = sizes[:, None] - 1
+        cells = flat.take(np.where(at < ends, first[:, None] + 1 + at, off[-1]), axis=2)  # (3, nodes, features, bins)
+        missing = flat.take(first, axis=2)[..., None]
+        some = missing[2] > 0
         if cat:
-            filled = cells[:, :, 2] > 0
-            order = np.argsort(np.where(filled, cells[:, :, 0] / (cells[:, :, 1] + CATEGORY_SMOOTH), np.inf), axis=1, kind="stable")
-            cells, ends = np.take_along_axis(cells, order[:, :, None], 1), filled.sum(1)[:, None]
-        if not cells.shape[1]:
-            continue
-        low = np.cumsum(cells, axis=1)
-        allowed = np.arange(cells.shape[1]) < ends - ~some
+            order = np.argsort(np.where(cells[2] > 0, cells[0] / (cells[1] + CATEGORY_SMOOTH), np.inf), axis=-1, kind="stable")
+            cells, ends, orders[group[0]] = np.take_along_axis(cells, order[None], -1), (cells[2] > 0).sum(-1, keepdims=True), order[:, 0]
+        low = np.cumsum(cells, axis=-1)
+        g, h, n = low[..., -1:] + missing
+        allowed = at < ends - ~some
         for with_missing in ((False, True) if some.any() else (False,)):
-            side = low + missing if with_missing else low
-            gl, hl, nl = side[:, :, 0], side[:, :, 1], side[:, :, 2]
+            gl, hl, nl = low + missing if with_missing else low
             ok = allowed & (nl >= least) & (n - nl >= least) & (hl >= MIN_HESSIAN) & (h - hl >= MIN_HESSIAN)
             if with_missing:
                 ok &= some
             with np.errstate(divide="ignore", invalid="ignore"):
                 gain = np.where(ok, gl ** 2 / (hl + reg) + (g - gl) ** 2 / (h - hl + reg) - g ** 2 / (h + reg), -np.inf)
-            cut = gain.argmax(1)
-            for i in np.flatnonzero(gain[nodes, cut] > most):
-                k = int(cut[i])
-                most[i] = gain[i, k]
-                goes = with_missing if some[i, 0] else nl[i, k] > n[i, 0] - nl[i, k]
-                left = range(1, k + 2) if order is None else sorted((order[i, :k + 1] + 1).tolist())
-                best[i] = Split(float(gain[i, k]), f, ([0] if goes else []) + list(left), int(nl[i, k]))
+            cut = gain.argmax(-1)
+            top = np.take_along_axis(gain, cut[..., None], -1)[..., 0]
+            better = top > gains[:, group]
+            for kept, new in ((gains, top), (cuts, cut), (sides, with_missing)):
+                kept[:, group] = np.where(better, new, kept[:, group])
+    best: list[Split | None] = []
+    for i, j in enumerate(gains.argmax(1)):
+        if not gains[i, j] > 1e-9:
+            best.append(None)
+            continue
+        f, k = usable[j], int(cuts[i, j]) + 1
+        left = sorted((orders[j][i, :k] + 1).tolist()) if j in orders else list(range(1, k + 1))
+        rows = tables[i, off[f]:off[f + 1], 2]
+        n_left = rows[left].sum() + (rows[0] if sides[i, j] else 0)
+        goes = sides[i, j] if rows[0] else n_left > rows.sum() - n_left
+        best.append(Split(float(gains[i, j]), f, ([0] if goes else []) + left, int(n_left)))
     return best
 
 
@@ -329,11 +366,10 @@ class _Fit:
     """A fit in progress: its finished trees, and the tree that is growing."""
 
     def __init__(self, spec: FitSpec, base: float, layout: Layout, features: list[str]):
-        self.spec, self.p, self.base, self.layout = spec, spec.param(), base, layout
+        self.spec, self.p, self.base, self.layout, self.features = spec, spec.param(), base, layout, features
         self.usable = [i for i, f in enumerate(features) if f in set(spec.features)]
         self.trees: list[Tree] = []
         self.maes: list[float] = []
-        self.mae = math.nan
         self.done = False
         self.begin()
 
@@ -348,11 +384,9 @@ class _Fit:
         self.begin()
 
     def kept(self) -> tuple[list[Tree], float]:
-        """The trees up to the least validation error, and that error; all trees without validation rows."""
-        if not self.maes:
-            return self.trees, self.mae
-        k = min(range(len(self.maes)), key=self.maes.__getitem__)
-        return self.trees[:k], self.maes[k]
+        """The trees up to the least validation error, in terms of the fit's own features, and that error; all trees without validation rows."""
+        k = min(range(len(self.maes)), key=self.maes.__getitem__) if self.maes else len(self.trees)
+        return [_renumbered(t, self.features, self.spec.features) for t in self.trees[:k]], self.maes[k] if self.maes else math.nan
 
     def take(self, found: np.ndarray) -> None:
         """Splits nodes, given the tables of ``sum_nodes``; the tree is grown when nothing may be split any more."""
@@ -419,14 +453,11 @@ def _fit_group(rows: DataFrame, specs: list[FitSpec], time: str, label: str, max
     bits = max(4, min(26, 60 - int(n_rows).bit_length() - int(max(start["largest"], 1.0) * 8).bit_length()))
     fits = [_Fit(s, b, layout, features) for s, b in zip(specs, bases)]
     if start["rows"] * len(features) <= LOCAL_CELLS:
-        _grow_local(_blocks(used, bins, time, label, []), fits, layout, len(features), bits)
+        grown = _grow_local(_blocks(used, bins, time, label, []), fits, layout, len(features), bits)
     else:
         _grow_in_passes(_blocks(used, bins, time, label, bases), fits, layout, len(features), bits)
-    out = []
-    for f in fits:
-        trees, mae = f.kept()
-        out.append(PoissonModel(_own_bins(bins, f.spec.features), f.base, [_renumbered(t, features, f.spec.features) for t in trees], mae))
-    return out
+        grown = [f.kept() for f in fits]
+    return [PoissonModel(_own_bins(bins, f.spec.features), f.base, trees, mae) for f, (trees, mae) in zip(fits, grown)]
 
 
 def _grow_in_passes(state: DataFrame, fits: list[_Fit], layout: Layout, n_features: int, bits: int) -> None:
@@ -564,9 +595,9 @@ def _grow_alone(fit: _Fit, blocks: list[tuple], layout: Layout, n_features: int,
         fit.end_tree()
 
 
-def _grow_local(blocks: DataFrame, fits: list[_Fit], layout: Layout, n_features: int, bits: int) -> None:
-    """Grows every fit in a task of its own, which has all blocks: at most
-    ``LOCAL_CELLS`` bins are sent to the driver and from there to the executors."""
+def _grow_local(blocks: DataFrame, fits: list[_Fit], layout: Layout, n_features: int, bits: int) -> list[tuple[Trees, float]]:
+    """What every fit keeps, grown in a task of its own, which has all blocks: at
+    most ``LOCAL_CELLS`` bins are sent to the driver and from there to the executors."""
     spark = blocks.sparkSession
     shared = spark.sparkContext.broadcast([tuple(r) for r in blocks.select("n", "y", "t", "bins").collect()])
     # fits of small steps take the most trees: they begin first
@@ -577,13 +608,13 @@ def _grow_local(blocks: DataFrame, fits: list[_Fit], layout: Layout, n_features:
             for k in b.column(0).to_pylist():
                 _grow_alone(fit := fits[turn[k]], shared.value, layout, n_features, bits)
                 trees, mae = fit.kept()
-                yield pa.RecordBatch.from_arrays([pa.array([turn[k]], pa.int32()), pa.array([json.dumps([vars(t) for t in trees])]), pa.array([mae])], ["fit", "trees", "mae"])
+                trees = Trees.of(trees)
+                yield pa.RecordBatch.from_arrays([pa.array([turn[k]], pa.int32()), pa.array([trees.packed], pa.binary()), pa.array([trees.n], pa.int32()), pa.array([mae])], ["fit", "trees", "n", "mae"])
 
-    for r in spark.range(0, len(fits), 1, len(fits)).mapInArrow(run, "fit int, trees string, mae double").collect():
-        fits[r["fit"]].trees, fits[r["fit"]].mae = [Tree(**t) for t in json.loads(r["trees"])], r["mae"]
-        fits[r["fit"]].done = True
+    rows = spark.range(0, len(fits), 1, len(fits)).mapInArrow(run, "fit int, trees binary, n int, mae double").collect()
     shared.destroy()
     discard(blocks)
+    return [(Trees(bytes(r["trees"]), r["n"]), r["mae"]) for r in sorted(rows, key=lambda r: r["fit"])]
 
 
 def _own_bins(bins: Bins, features: tuple[str, ...]) -> Bins:

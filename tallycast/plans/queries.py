@@ -689,12 +689,12 @@ def _artifact_dir(art):
 
 @register("sweep_leaderboard")
 def q_sweep(spark, sf):
-    """Nine candidates, one knob changed each, over all evaluation windows; the
-    run is started a second time and finds every fit in the log."""
+    """Nine candidates, one knob changed each, of up to the sweep's 500 trees over all
+    evaluation windows; the run is started a second time and finds every fit in the log."""
     f, runs = day_features(spark, sf), shared_dir(spark, "runs")
     knobs = {"learning_rate": (0.03, 0.05, 0.10), "num_leaves": (31, 63, 127), "min_child_samples": (20, 100, 500)}
-    base = DAY_CFG.model_features
-    candidates = {f"{k}={v}": (base, {**_TREES, k: v}) for k, values in knobs.items() for v in values}
+    base, params = DAY_CFG.model_features, {**DAY_CFG.tree_params, "n_estimators": DAY_CFG.sweep_estimators}
+    candidates = {f"{k}={v}": (base, {**params, k: v}) for k, values in knobs.items() for v in values}
     ex.run_grid(f, candidates, DAY_CFG.n_windows, DAY_CFG.grain, runs, "sweep-trees", together=36)
     if ex.run_grid(f, candidates, DAY_CFG.n_windows, DAY_CFG.grain, runs, "sweep-trees"):
         raise AssertionError("logged fits were made again")

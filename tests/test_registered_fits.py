@@ -37,3 +37,11 @@ def test_the_artifact_is_fitted_with_the_configured_parameters(spark, fits):
     assert {k: chosen[k] for k in ("n_estimators", "learning_rate", "num_leaves", "early_stopping")} == {
         "n_estimators": 2000, "learning_rate": 0.05, "num_leaves": 63, "early_stopping": 50}
     assert chosen["max_depth"] == pt.DEFAULTS["max_depth"] and refit | {"n_estimators": 2000} == chosen
+
+
+def test_the_sweep_fits_its_500_trees_on_every_window(spark, fits):
+    board = queries.q_sweep(spark, "own rows of the sweep").collect()
+    assert len(board) == 9 and len(fits) == 9 * DAY_CFG.n_windows
+    assert {(p["n_estimators"], p["early_stopping"], p["max_depth"]) for p in (s.param() for s in fits)} == {(500, 50, pt.DEFAULTS["max_depth"])}
+    changed = {k: {s.param()[k] for s in fits} for k in ("learning_rate", "num_leaves", "min_child_samples")}
+    assert changed == {"learning_rate": {0.03, 0.05, 0.1}, "num_leaves": {31, 63, 127}, "min_child_samples": {20, 100, 500}}
